@@ -1,0 +1,25 @@
+"""Join helpers with an explicit rule for when a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count a side may have, by a bound derived from the report
+# parameters (not from the data), to be broadcast by hint. Sides without
+# such a bound are left to AQE, which converts a join to broadcast only
+# after measuring the shuffled size of that side at run time.
+BROADCAST_ROW_LIMIT = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
+    """Hint ``df`` for broadcast only when ``row_bound`` proves it small."""
+    if row_bound is not None and row_bound <= BROADCAST_ROW_LIMIT:
+        return F.broadcast(df)
+    return df
+
+
+def left_join(left: DataFrame, right: DataFrame, on: list[str] | Column,
+              right_row_bound: int | None = None) -> DataFrame:
+    """Left outer join; broadcasts ``right`` only behind a proven row bound."""
+    return left.join(bounded_broadcast(right, right_row_bound), on=on, how="left")
