@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dialtone.catalog import params as P
 from dialtone.catalog.oracle_hourly import hourly_sql
+from dialtone.catalog.oracle_perf import call_performance_sql
 
 
 def oracle_sql() -> dict[str, str]:
@@ -19,4 +20,6 @@ def oracle_sql() -> dict[str, str]:
                                                     P.COMPANY, P.TENANT,
                                                     band=(P.FROM_HOUR, P.TO_HOUR),
                                                     with_outbound=True),
+        "call_performance": call_performance_sql(P.FROM_TS, P.TO_TS),
+        "call_performance_mid": call_performance_sql(P.MID_FROM_TS, P.MID_TO_TS),
     }

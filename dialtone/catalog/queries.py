@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone.catalog import params as P
+from dialtone.plans import call_performance as perf
 from dialtone.plans import hourly
 from dialtone.session import apply_conf
 from dialtone.sources.fixtures import tables
@@ -33,10 +34,20 @@ def _hourly_w_hour(b_unit):
     return run
 
 
+def _call_performance(from_ts, to_ts):
+    def run(spark, sf_dir):
+        apply_conf(spark)
+        t = tables(spark, sf_dir)
+        return perf.call_performance(t.cdr, t.daily, from_ts, to_ts, P.TZ)
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "hourly_call_summary": _hourly(None),
         "hourly_call_summary_bu": _hourly(P.B_UNIT),
         "hourly_call_summary_w_hour": _hourly_w_hour(None),
         "hourly_call_summary_w_hour_bu": _hourly_w_hour(P.B_UNIT),
+        "call_performance": _call_performance(P.FROM_TS, P.TO_TS),
+        "call_performance_mid": _call_performance(P.MID_FROM_TS, P.MID_TO_TS),
     }
