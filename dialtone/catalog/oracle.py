@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dialtone.catalog import params as P
+from dialtone.catalog.oracle_agent import agent_sql
 from dialtone.catalog.oracle_hourly import hourly_sql
 from dialtone.catalog.oracle_perf import call_performance_sql
 
@@ -22,4 +23,15 @@ def oracle_sql() -> dict[str, str]:
                                                     with_outbound=True),
         "call_performance": call_performance_sql(P.FROM_TS, P.TO_TS),
         "call_performance_mid": call_performance_sql(P.MID_FROM_TS, P.MID_TO_TS),
+        "agent_productivity": agent_sql(P.FROM_TS, P.TO_TS, variant="base", company=P.COMPANY,
+                                        tenant=P.TENANT),
+        "agent_productivity_mid_bu": agent_sql(P.MID_FROM_TS, P.MID_TO_TS, variant="base",
+                                               b_unit=P.B_UNIT, company=P.COMPANY,
+                                               tenant=P.TENANT),
+        "agent_productivity_agent": agent_sql(P.FROM_TS, P.TO_TS, variant="base", resource_id=P.AGENT,
+                                              company=P.COMPANY, tenant=P.TENANT),
+        "agent_productivity_all": agent_sql(P.FROM_TS, P.TO_TS, variant="all"),
+        "agent_productivity_all_mid": agent_sql(P.MID_FROM_TS, P.MID_TO_TS, variant="all"),
+        "agent_productivity_bu": agent_sql(P.FROM_TS, P.TO_TS, variant="bu"),
+        "agent_productivity_bu_mid": agent_sql(P.MID_FROM_TS, P.MID_TO_TS, variant="bu"),
     }

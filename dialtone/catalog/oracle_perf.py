@@ -72,7 +72,7 @@ LEFT OUTER JOIN (
     sum(CASE WHEN window_name = 'AFTERWORK' THEN total_time ELSE 0 END) AS acw_time,
     sum(CASE WHEN window_name = 'BREAK' THEN total_time ELSE 0 END) AS break_time
   FROM daily
-  WHERE CAST(summary_date AS TIMESTAMP) >= {q.ts(from_ts)} AND CAST(summary_date AS TIMESTAMP) <= {q.ts(to_ts)}
+  WHERE summary_date >= CAST({q.ts(from_ts)} AS DATE) AND summary_date <= CAST({q.ts(to_ts)} AS DATE)
   GROUP BY CAST(summary_date AS DATE), tenant, company, business_unit
 ) AS daily_agg
 ON main.local_day = daily_agg.d AND main.tenant_id = CAST(daily_agg.tenant AS INTEGER)

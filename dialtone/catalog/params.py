@@ -13,7 +13,8 @@ MID_TO_TS = "2024-01-20 12:00:00"
 COMPANY = 1
 TENANT = 1
 SKILLS = "skill0,skill1,skill2"
-B_UNIT = "BU1"
+B_UNIT = "BU2"  # a unit of tenant 1 in the derived tables
+AGENT = "6"  # an agent of tenant 1, company 1 in the derived tables
 FROM_HOUR = 8
 TO_HOUR = 18
 TZ = "Asia/Colombo"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone.catalog import params as P
+from dialtone.plans import agent_daily
 from dialtone.plans import call_performance as perf
 from dialtone.plans import hourly
 from dialtone.session import apply_conf
@@ -42,6 +43,24 @@ def _call_performance(from_ts, to_ts):
     return run
 
 
+def _agent(from_ts, to_ts, resource_id=None, b_unit=None):
+    def run(spark, sf_dir):
+        apply_conf(spark)
+        t = tables(spark, sf_dir)
+        return agent_daily.agent_productivity(t.daily, t.status, from_ts, to_ts, resource_id,
+                                              P.TZ, b_unit, P.COMPANY, P.TENANT)
+    return run
+
+
+def _agent_all(from_ts, to_ts, by_unit):
+    def run(spark, sf_dir):
+        apply_conf(spark)
+        t = tables(spark, sf_dir)
+        f = agent_daily.agent_productivity_bu if by_unit else agent_daily.agent_productivity_all
+        return f(t.daily, t.status, from_ts, to_ts)
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "hourly_call_summary": _hourly(None),
@@ -50,4 +69,11 @@ def queries() -> dict[str, Query]:
         "hourly_call_summary_w_hour_bu": _hourly_w_hour(P.B_UNIT),
         "call_performance": _call_performance(P.FROM_TS, P.TO_TS),
         "call_performance_mid": _call_performance(P.MID_FROM_TS, P.MID_TO_TS),
+        "agent_productivity": _agent(P.FROM_TS, P.TO_TS),
+        "agent_productivity_mid_bu": _agent(P.MID_FROM_TS, P.MID_TO_TS, b_unit=P.B_UNIT),
+        "agent_productivity_agent": _agent(P.FROM_TS, P.TO_TS, resource_id=P.AGENT),
+        "agent_productivity_all": _agent_all(P.FROM_TS, P.TO_TS, False),
+        "agent_productivity_all_mid": _agent_all(P.MID_FROM_TS, P.MID_TO_TS, False),
+        "agent_productivity_bu": _agent_all(P.FROM_TS, P.TO_TS, True),
+        "agent_productivity_bu_mid": _agent_all(P.MID_FROM_TS, P.MID_TO_TS, True),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,8 @@ def int_div(a: Column, b: Column | int) -> Column:
     return F.when(b != 0, F.call_function("div", a.cast("bigint"), b.cast("bigint")))
 
 
-def _part(x: Column) -> Column:
-    # two-digit field; a negative field keeps its own minus sign ("-01")
-    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")),
-                    F.format_string("%02d", F.abs(x)))
+def _sign(x: Column) -> Column:
+    return F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
 
 
 def hms(seconds: Column) -> Column:
@@ -24,10 +22,27 @@ def hms(seconds: Column) -> Column:
     Hours are not wrapped at 24 (90000 -> ``25:00:00``); division and
     remainder truncate toward zero, so every non-zero negative field
     carries its own minus: -3661 -> ``-01:-01:-01``, -30 -> ``00:00:-30``.
+    Pass a column reference: the input is used several times.
     """
     s = seconds.cast("bigint")
-    return F.when(s.isNotNull(), F.concat_ws(
-        ":", _part(int_div(s, 3600)), _part(int_div(s % 3600, 60)), _part(s % 60)))
+    h = F.call_function("div", s, F.lit(3600))
+    m = F.call_function("div", s % 3600, F.lit(60))
+    sec = s % 60
+    text = F.format_string("%s%02d:%s%02d:%s%02d", _sign(h), F.abs(h), _sign(m), F.abs(m),
+                           _sign(sec), F.abs(sec))
+    return F.when(s.isNotNull(), text)
+
+
+def format_hms(df: DataFrame, names: list[str] | set[str]) -> DataFrame:
+    """Second projection turning the named whole-second columns into ``HH:MM:SS``.
+
+    Durations are first computed as numbers in one projection and then
+    formatted here from plain column references, which keeps each
+    generated method small (a wide report would otherwise exceed the JVM
+    method size limit and lose whole-stage code generation).
+    """
+    names = set(names)
+    return df.select(*[hms(F.col(n)).alias(n) if n in names else F.col(n) for n in df.columns])
 
 
 def pct_int(part: Column, whole: Column) -> Column:

@@ -53,12 +53,11 @@ def ts_literal(value: str | dt.datetime) -> Column:
 
 
 def date_bounds(from_ts: str | dt.datetime, to_ts: str | dt.datetime) -> tuple[dt.date, dt.date]:
-    """Dates ``d`` with ``from_ts <= d 00:00 UTC <= to_ts``.
+    """Summary-date range for a timestamp range: ``[from_ts.date(), to_ts.date()]``.
 
-    A ``date`` compared with a ``timestamptz`` bound is promoted to midnight
-    (UTC session); computing the equivalent date range up front keeps the
-    predicate on the raw column, so it reaches the parquet reader.
+    The original splices the bounds into its SQL as untyped literals, which
+    are read as dates when compared with a date column, dropping the time
+    of day. Computing the dates up front keeps the predicate on the raw
+    column, so it reaches the parquet reader.
     """
-    lo, hi = parse_ts(from_ts), parse_ts(to_ts)
-    first = lo.date() if lo.time() == dt.time(0) else lo.date() + dt.timedelta(days=1)
-    return first, hi.date()
+    return parse_ts(from_ts).date(), parse_ts(to_ts).date()
