@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialtone.functions.fmt import int_div
-from dialtone.operators.cdr import count_where
 
 c = F.col
 
@@ -53,26 +51,31 @@ def window_rollup(daily: DataFrame, keys: list[str], windows: list[str], *,
     """
     wanted = sorted({WINDOWS[w][0] for w in windows})
     rows = daily.filter(c("window_name").isin(wanted))
-    aggs = [count_where(window_match(driver)).alias("_driver_rows")]
+    aggs = [F.expr(f"count_if({_match_sql(driver)}) AS _driver_rows")]
     for w in windows:
-        m = window_match(w)
-        aggs += [
-            F.max(F.when(m, c("max_time"))).alias(f"{w}_m"),
-            F.sum(F.when(m, c("total_count"))).alias(f"{w}_n"),
-            F.sum(F.when(m, c("total_time"))).alias(f"{w}_t"),
-            F.avg(F.when(m, c("total_count"))).alias(f"{w}_avg_n"),
-        ]
+        m = _match_sql(w)
+        aggs += [F.expr(f"max(CASE WHEN {m} THEN max_time END) AS {w}_m"),
+                 F.expr(f"sum(CASE WHEN {m} THEN total_count END) AS {w}_n"),
+                 F.expr(f"sum(CASE WHEN {m} THEN total_time END) AS {w}_t"),
+                 F.expr(f"avg(CASE WHEN {m} THEN total_count END) AS {w}_avg_n")]
         if not weighted_avg_time:
-            aggs.append(F.avg(F.when(m, c("total_time"))).alias(f"{w}_avg_t"))
+            aggs.append(F.expr(f"avg(CASE WHEN {m} THEN total_time END) AS {w}_avg_t"))
     out = rows.groupBy(*keys).agg(*aggs)
     if weighted_avg_time:
-        for w in windows:
-            den = F.coalesce(F.nullif(c(f"{w}_n"), F.lit(0)), F.lit(1))
-            out = out.withColumn(f"{w}_avg_t", F.when(c(f"{w}_t").isNotNull(),
-                                                     int_div(c(f"{w}_t"), den)))
+        out = out.selectExpr("*", *[
+            f"CASE WHEN {w}_t IS NOT NULL THEN {w}_t div coalesce(nullif({w}_n, 0), 1) END "
+            f"AS {w}_avg_t" for w in windows])
     return out
 
 
+def _match_sql(name: str) -> str:
+    window_name, param2 = WINDOWS[name]
+    cond = f"window_name = '{window_name}'"
+    if param2 is not None:
+        cond += f" AND param2 = '{param2}'"
+    return f"({cond})"
+
+
 def mask_null_keys(df: DataFrame, keys: list[str], windows: list[str], driver: str = "login",
                    suffixes=("m", "n", "t", "avg_n", "avg_t")) -> DataFrame:
     """NULL the non-driver window columns of groups that have a NULL key."""
@@ -97,6 +100,4 @@ def group_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> D
     for k in keys:
         ok = ok & c(k).isNotNull()
     w = Window.partitionBy(*keys)
-    for name, expr in totals.items():
-        df = df.withColumn(name, F.when(ok, F.sum(expr).over(w)))
-    return df
+    return df.select("*", *[F.when(ok, F.sum(e).over(w)).alias(n) for n, e in totals.items()])

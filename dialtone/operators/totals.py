@@ -17,4 +17,8 @@ def with_grand_totals(df: DataFrame, totals: dict[str, Column]) -> DataFrame:
     if not totals:
         return df
     packed = df.agg(F.struct(*[e.alias(n) for n, e in totals.items()]).alias("_t")).scalar()
-    return df.select("*", *[packed.getField(n).alias(n) for n in totals])
+    # one subquery expression, unpacked in a second projection (a getField per
+    # total on the subquery itself would embed one copy of its plan per field)
+    with_struct = df.select("*", packed.alias("_grand_totals"))
+    return with_struct.select(*[F.col(x) for x in df.columns],
+                              *[F.col("_grand_totals").getField(n).alias(n) for n in totals])

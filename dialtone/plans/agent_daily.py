@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtone.functions.fmt import format_hms, int_div, round_avg_to_long
+from dialtone.functions.fmt import format_hms
 from dialtone.functions.timefx import date_bounds
 from dialtone.operators.daily import group_totals, mask_null_keys, window_rollup
 from dialtone.operators.sessions import first_last_per_day, last_before
@@ -36,174 +36,175 @@ ALL_WINDOWS = BASE_WINDOWS + ["dialed"]
 AVG_DIGITS = 4  # numeric averages are compared at 4 decimals
 
 
-def z(name: str) -> Column:
-    """Window column or 0 when the window had no row."""
-    return F.coalesce(c(name), F.lit(0))
+# SQL expression text for the wide projections: one JVM call per column.
+def z(name: str) -> str:
+    """Window value, 0 when the window had no row."""
+    return f"coalesce({name}, 0)"
 
 
-def zb(name: str) -> Column:
-    return F.coalesce(c(name).cast("bigint"), F.lit(0).cast("bigint"))
+def zb(name: str) -> str:
+    return f"coalesce(cast({name} AS bigint), 0L)"
 
 
-def per_call(total: Column, count_col: str) -> Column:
+def per_call(total: str, count_col: str) -> str:
     """``total div coalesce(count, 1)``, a zero count also counting as 1."""
-    return int_div(total, F.coalesce(F.nullif(c(count_col), F.lit(0)), F.lit(1)))
+    return f"(({total}) div coalesce(nullif({count_col}, 0), 1))"
 
 
-def avg_num(name: str) -> Column:
-    return F.round(F.coalesce(c(name).cast("double"), F.lit(0.0)), AVG_DIGITS)
+def avg_num(name: str) -> str:
+    return f"round(coalesce(cast({name} AS double), 0D), {AVG_DIGITS})"
 
 
-def _idle_in() -> Column:
-    return zb("inbound_t") - (zb("in_acw_t") + zb("in_conn_t"))
+IDLE_IN = f"{zb('inbound_t')} - ({zb('in_acw_t')} + {zb('in_conn_t')})"
+IDLE_OUT = f"{zb('outbound_t')} - ({zb('out_acw_t')} + {zb('out_conn_t')})"
+IDLE_OFF = f"{zb('login_t')} - (({IDLE_IN}) + ({IDLE_OUT}))"
+TALK_IN = f"{zb('in_conn_t')} - {zb('in_hold_t')}"
+TALK_OUT = f"{zb('out_conn_t')} - {zb('out_hold_t')}"
 
 
-def _idle_out() -> Column:
-    return zb("outbound_t") - (zb("out_acw_t") + zb("out_conn_t"))
-
-
-def _idle_offline_base() -> Column:
-    return zb("login_t") - (_idle_in() + _idle_out())
+def _round_avg(expr: str) -> str:
+    """``round(avg(expr))`` half away from zero, exact in integer arithmetic."""
+    total, n = f"sum({expr})", "count(1)"
+    return (f"CASE WHEN {n} <> 0 THEN (CASE WHEN {total} < 0 THEN -1L ELSE 1L END) * "
+            f"((abs({total}) * 2 + {n}) div ({n} * 2)) END")
 
 
 def _grand_totals() -> dict[str, Column]:
-    s = F.sum
-    return {
-        "g_login_t": s(zb("login_t")), "g_inbound_t": s(zb("inbound_t")),
-        "g_outbound_t": s(zb("outbound_t")), "g_idle_in": s(_idle_in()),
-        "g_idle_out": s(_idle_out()), "g_idle_off": s(_idle_offline_base()),
-        "g_in_acw_t": s(zb("in_acw_t")), "g_out_acw_t": s(zb("out_acw_t")),
-        "g_in_talk": s(zb("in_conn_t") - zb("in_hold_t")),
-        "g_out_talk": s(zb("out_conn_t") - zb("out_hold_t")),
-        "g_in_hold_t": s(zb("in_hold_t")), "g_out_hold_t": s(zb("out_hold_t")),
-        "g_in_hold_n": s(zb("in_hold_n")), "g_out_hold_n": s(zb("out_hold_n")),
-        "g_brk_t": s(zb("brk_t")), "g_in_conn_n": s(zb("in_conn_n")),
-        "g_out_conn_n": s(zb("out_conn_n")), "g_inbound_n": s(zb("inbound_n")),
-        "g_outbound_n": s(zb("outbound_n")), "g_in_conn_t": s(zb("in_conn_t")),
-        "g_out_conn_t": s(zb("out_conn_t")),
-        "g_in_conn_n1": s(F.coalesce(c("in_conn_n"), F.lit(1)).cast("bigint")),
-        "g_out_conn_n1": s(F.coalesce(c("out_conn_n"), F.lit(1)).cast("bigint")),
-        "g_in_talk_avg": round_avg_to_long(s(zb("in_conn_t") - zb("in_hold_t")), F.count(F.lit(1))),
-        "g_out_talk_avg": round_avg_to_long(s(zb("out_conn_t") - zb("out_hold_t")), F.count(F.lit(1))),
-        "g_in_hold_avg": round_avg_to_long(s(zb("in_hold_t")), F.count(F.lit(1))),
-        "g_out_hold_avg": round_avg_to_long(s(zb("out_hold_t")), F.count(F.lit(1))),
+    sums = {
+        "g_login_t": zb("login_t"), "g_inbound_t": zb("inbound_t"),
+        "g_outbound_t": zb("outbound_t"), "g_idle_in": IDLE_IN, "g_idle_out": IDLE_OUT,
+        "g_idle_off": IDLE_OFF, "g_in_acw_t": zb("in_acw_t"), "g_out_acw_t": zb("out_acw_t"),
+        "g_in_talk": TALK_IN, "g_out_talk": TALK_OUT, "g_in_hold_t": zb("in_hold_t"),
+        "g_out_hold_t": zb("out_hold_t"), "g_in_hold_n": zb("in_hold_n"),
+        "g_out_hold_n": zb("out_hold_n"), "g_brk_t": zb("brk_t"),
+        "g_in_conn_n": zb("in_conn_n"), "g_out_conn_n": zb("out_conn_n"),
+        "g_inbound_n": zb("inbound_n"), "g_outbound_n": zb("outbound_n"),
+        "g_in_conn_t": zb("in_conn_t"), "g_out_conn_t": zb("out_conn_t"),
+        "g_in_conn_n1": "coalesce(cast(in_conn_n AS bigint), 1L)",
+        "g_out_conn_n1": "coalesce(cast(out_conn_n AS bigint), 1L)",
     }
+    out = {k: F.expr(f"sum({v})") for k, v in sums.items()}
+    for k, v in {"g_in_talk_avg": TALK_IN, "g_out_talk_avg": TALK_OUT,
+                 "g_in_hold_avg": zb("in_hold_t"), "g_out_hold_avg": zb("out_hold_t")}.items():
+        out[k] = F.expr(_round_avg(v))
+    return out
 
 
-def _columns(all_tenants: bool, bu: Column | None) -> tuple[list[Column], list[str]]:
-    """Output columns in report order; ``all_tenants`` selects the R4/R5 variants.
+def _columns(all_tenants: bool, bu: str | None) -> tuple[list[str], list[str]]:
+    """Output columns in report order as SQL expressions, durations in whole seconds.
 
-    Returns the columns, durations still in whole seconds, and the names
-    of the duration columns that ``format_hms`` turns into text.
+    ``all_tenants`` selects the R4/R5 variants. Returns the expressions and
+    the names of the duration columns that ``format_hms`` turns into text.
     """
     durations: list[str] = []
+    cols: list[str] = []
 
-    def secs(expr: Column, name: str) -> Column:
+    def col(expr: str, name: str) -> None:
+        cols.append(f"{expr} AS {name}")
+
+    def secs(expr: str, name: str) -> None:
         durations.append(name)
-        return expr.cast("bigint").alias(name)
+        cols.append(f"cast({expr} AS bigint) AS {name}")
 
-    talk_in = zb("in_conn_t") - zb("in_hold_t")
-    talk_out = zb("out_conn_t") - zb("out_hold_t")
-    cols = [c("summary_date"), c("tenant").cast("int").alias("tenant"),
-            c("company").cast("int").alias("company")]
+    col("summary_date", "summary_date")
+    col("cast(tenant AS int)", "tenant")
+    col("cast(company AS int)", "company")
     if bu is not None:
-        cols.append(bu.alias("bu"))
-    cols += [
-        c("param1").cast("int").alias("agent"),
-        z("login_m").alias("login_max_time"), zb("login_n").alias("login_total_count"),
-        secs(zb("login_t"), "login_total_time"), c("login_time"),
-        z("inbound_m").alias("inbound_max_time"), zb("inbound_n").alias("inbound_total_count"),
-        secs(zb("inbound_t"), "inbound_total_time"),
-        z("outbound_m").alias("outbound_max_time"), zb("outbound_n").alias("outbound_total_count"),
-        secs(zb("outbound_t"), "outbound_total_time"),
-        (zb("inbound_n") + zb("outbound_n")).alias("total_call_count"),
-        (zb("inbound_t") + zb("outbound_t")).alias("total_call_time"),
-        avg_num("inbound_avg_n").alias("avg_inbound_call_count"),
-        avg_num("outbound_avg_n").alias("avg_outbound_call_count"),
-        avg_num("inbound_avg_t").alias("avg_inbound_call_time"),
-        avg_num("outbound_avg_t").alias("avg_outbound_call_time"),
-        (z("in_conn_m") - z("in_hold_m")).alias("inbound_talk_max_time"),
-        zb("in_conn_n").alias("inbound_connected_total_count"),
-        secs(talk_in, "inbound_talk_total_time"),
-        (z("out_conn_m") - z("out_hold_m")).alias("outbound_talk_max_time"),
-        zb("out_conn_n").alias("outbound_connected_total_count"),
-        secs(talk_out, "outbound_talk_total_time"),
-        (zb("in_conn_n") + zb("out_conn_n")).alias("connected_total_count"),
-        (talk_in + talk_out).alias("total_talk_total_time"),
-        secs(per_call(talk_in if all_tenants else zb("in_conn_t"), "in_conn_n"), "avg_inbound_talk_time"),
-        secs(per_call(talk_out if all_tenants else zb("out_conn_t"), "out_conn_n"), "avg_outbound_talk_time"),
-        secs(per_call(zb("in_conn_t") + zb("in_acw_t"), "in_conn_n"), "avg_inbound_handling_time"),
-        secs(per_call(zb("out_conn_t") + zb("out_acw_t"), "out_conn_n"), "avg_outbound_handling_time"),
-        z("in_hold_m").alias("inbound_hold_max_time"), zb("in_hold_n").alias("inbound_hold_total_count"),
-        secs(zb("in_hold_t"), "inbound_hold_total_time"),
-        z("out_hold_m").alias("outbound_hold_max_time"), zb("out_hold_n").alias("outbound_hold_total_count"),
-        secs(zb("out_hold_t"), "outbound_hold_total_time"),
-        (zb("in_hold_n") + zb("out_hold_n")).alias("total_hold_total_count"),
-        (zb("in_hold_t") + zb("out_hold_t")).alias("total_hold_total_time"),
-        avg_num("in_hold_avg_n").alias("avg_inbound_hold_count"),
-        avg_num("out_hold_avg_n").alias("avg_outbound_hold_count"),
-        secs(F.coalesce(F.floor(c("in_hold_avg_t")), F.lit(0)), "avg_inbound_hold_time"),
-        secs(F.coalesce(F.floor(c("out_hold_avg_t")), F.lit(0)), "avg_outbound_hold_time"),
-        z("in_acw_m").alias("inbound_acw_max_time"), zb("in_acw_n").alias("inbound_acw_total_count"),
-        secs(zb("in_acw_t"), "inbound_acw_total_time"),
-        z("out_acw_m").alias("outbound_acw_max_time"), zb("out_acw_n").alias("outbound_acw_total_count"),
-        secs(zb("out_acw_t"), "outbound_acw_total_time"),
-        (zb("in_acw_n") + zb("out_acw_n")).alias("total_acw_total_count"),
-        (zb("in_acw_t") + zb("out_acw_t")).alias("total_acw_total_time"),
-        avg_num("in_acw_avg_n").alias("avg_inbound_acw_count"),
-        avg_num("out_acw_avg_n").alias("avg_outbound_acw_count"),
-        avg_num("in_acw_avg_t").alias("avg_inbound_acw_time"),
-        avg_num("out_acw_avg_t").alias("avg_outbound_acw_time"),
-        secs(_idle_in(), "idle_time_inbound"),
-        secs(_idle_out() - zb("dialed_t") if all_tenants else _idle_out(), "idle_time_outbound"),
-        secs(zb("login_t") - (zb("inbound_t") + zb("outbound_t")) if all_tenants
-             else _idle_offline_base(), "idle_time_offline"),
-        secs(zb("brk_t"), "total_break_time"),
-        secs(c("g_login_t"), "full_total_login_time"),
-        secs(c("g_inbound_t"), "full_total_inbound_time"),
-        secs(c("g_outbound_t"), "full_total_outbound_time"),
-        secs(c("g_idle_in"), "full_total_inbound_idle_time"),
-        secs(c("g_idle_out"), "full_total_outbound_idle_time"),
-        secs(c("g_idle_off"), "full_total_offline_idle_time"),
-        secs(c("g_in_acw_t"), "full_total_inbound_acw_time"),
-        secs(c("g_out_acw_t"), "full_total_outbound_acw_time"),
-        secs(c("g_in_talk"), "full_total_inbound_talk_time"),
-        secs(c("g_out_talk"), "full_total_outbound_talk_time"),
-        secs(c("g_in_hold_t"), "full_total_inbound_hold_time"),
-        secs(c("g_out_hold_t"), "full_total_outbound_hold_time"),
-        c("g_in_hold_n").alias("full_total_inbound_hold_count"),
-        c("g_out_hold_n").alias("full_total_outbound_hold_count"),
-        secs(c("g_brk_t"), "full_total_break_time"),
-        (F.coalesce(c("day_in_conn_n"), F.lit(0)).cast("bigint") if all_tenants
-         else c("g_in_conn_n")).alias("full_total_connected_inbound_calls"),
-        (F.coalesce(c("day_out_conn_n"), F.lit(0)).cast("bigint") if all_tenants
-         else c("g_out_conn_n")).alias("full_total_connected_outbound_calls"),
-        c("g_inbound_n").alias("full_total_inbound_calls"),
-        c("g_outbound_n").alias("full_total_outbound_calls"),
-        secs(int_div(c("g_in_conn_t") + c("g_in_acw_t"),
-                     F.coalesce(F.nullif(c("g_in_conn_n1"), F.lit(0)), F.lit(1))),
-             "full_avg_inbound_handling_time"),
-        secs(int_div(c("g_out_conn_t") + c("g_out_acw_t"),
-                     F.coalesce(F.nullif(c("g_out_conn_n1"), F.lit(0)), F.lit(1))),
-             "full_avg_outbound_handling_time"),
-        secs(c("g_in_talk_avg"), "full_avg_inbound_talk_time"),
-        secs(c("g_out_talk_avg"), "full_avg_outbound_talk_time"),
-        secs(c("g_in_hold_avg"), "full_avg_inbound_hold_time"),
-        secs(c("g_out_hold_avg"), "full_avg_outbound_hold_time"),
-    ]
+        col(bu, "bu")
+    col("cast(param1 AS int)", "agent")
+    col(z("login_m"), "login_max_time")
+    col(zb("login_n"), "login_total_count")
+    secs(zb("login_t"), "login_total_time")
+    col("login_time", "login_time")
+    for w, name in (("inbound", "inbound"), ("outbound", "outbound")):
+        col(z(f"{w}_m"), f"{name}_max_time")
+        col(zb(f"{w}_n"), f"{name}_total_count")
+        secs(zb(f"{w}_t"), f"{name}_total_time")
+    col(f"{zb('inbound_n')} + {zb('outbound_n')}", "total_call_count")
+    col(f"{zb('inbound_t')} + {zb('outbound_t')}", "total_call_time")
+    col(avg_num("inbound_avg_n"), "avg_inbound_call_count")
+    col(avg_num("outbound_avg_n"), "avg_outbound_call_count")
+    col(avg_num("inbound_avg_t"), "avg_inbound_call_time")
+    col(avg_num("outbound_avg_t"), "avg_outbound_call_time")
+    for d, talk in (("in", TALK_IN), ("out", TALK_OUT)):
+        name = "inbound" if d == "in" else "outbound"
+        col(f"{z(d + '_conn_m')} - {z(d + '_hold_m')}", f"{name}_talk_max_time")
+        col(zb(f"{d}_conn_n"), f"{name}_connected_total_count")
+        secs(talk, f"{name}_talk_total_time")
+    col(f"{zb('in_conn_n')} + {zb('out_conn_n')}", "connected_total_count")
+    col(f"({TALK_IN}) + ({TALK_OUT})", "total_talk_total_time")
+    for d, talk in (("in", TALK_IN), ("out", TALK_OUT)):
+        name = "inbound" if d == "in" else "outbound"
+        secs(per_call(talk if all_tenants else zb(f"{d}_conn_t"), f"{d}_conn_n"),
+             f"avg_{name}_talk_time")
+    for d in ("in", "out"):
+        name = "inbound" if d == "in" else "outbound"
+        secs(per_call(f"{zb(d + '_conn_t')} + {zb(d + '_acw_t')}", f"{d}_conn_n"),
+             f"avg_{name}_handling_time")
+    for d in ("in", "out"):
+        name = "inbound" if d == "in" else "outbound"
+        col(z(f"{d}_hold_m"), f"{name}_hold_max_time")
+        col(zb(f"{d}_hold_n"), f"{name}_hold_total_count")
+        secs(zb(f"{d}_hold_t"), f"{name}_hold_total_time")
+    col(f"{zb('in_hold_n')} + {zb('out_hold_n')}", "total_hold_total_count")
+    col(f"{zb('in_hold_t')} + {zb('out_hold_t')}", "total_hold_total_time")
+    col(avg_num("in_hold_avg_n"), "avg_inbound_hold_count")
+    col(avg_num("out_hold_avg_n"), "avg_outbound_hold_count")
+    secs("coalesce(floor(in_hold_avg_t), 0L)", "avg_inbound_hold_time")
+    secs("coalesce(floor(out_hold_avg_t), 0L)", "avg_outbound_hold_time")
+    for d in ("in", "out"):
+        name = "inbound" if d == "in" else "outbound"
+        col(z(f"{d}_acw_m"), f"{name}_acw_max_time")
+        col(zb(f"{d}_acw_n"), f"{name}_acw_total_count")
+        secs(zb(f"{d}_acw_t"), f"{name}_acw_total_time")
+    col(f"{zb('in_acw_n')} + {zb('out_acw_n')}", "total_acw_total_count")
+    col(f"{zb('in_acw_t')} + {zb('out_acw_t')}", "total_acw_total_time")
+    col(avg_num("in_acw_avg_n"), "avg_inbound_acw_count")
+    col(avg_num("out_acw_avg_n"), "avg_outbound_acw_count")
+    col(avg_num("in_acw_avg_t"), "avg_inbound_acw_time")
+    col(avg_num("out_acw_avg_t"), "avg_outbound_acw_time")
+    secs(IDLE_IN, "idle_time_inbound")
+    secs(f"({IDLE_OUT}) - {zb('dialed_t')}" if all_tenants else IDLE_OUT, "idle_time_outbound")
+    secs(f"{zb('login_t')} - ({zb('inbound_t')} + {zb('outbound_t')})" if all_tenants
+         else IDLE_OFF, "idle_time_offline")
+    secs(zb("brk_t"), "total_break_time")
+    for g, name in (("g_login_t", "login"), ("g_inbound_t", "inbound"),
+                    ("g_outbound_t", "outbound"), ("g_idle_in", "inbound_idle"),
+                    ("g_idle_out", "outbound_idle"), ("g_idle_off", "offline_idle"),
+                    ("g_in_acw_t", "inbound_acw"), ("g_out_acw_t", "outbound_acw"),
+                    ("g_in_talk", "inbound_talk"), ("g_out_talk", "outbound_talk"),
+                    ("g_in_hold_t", "inbound_hold"), ("g_out_hold_t", "outbound_hold")):
+        secs(g, f"full_total_{name}_time")
+    col("g_in_hold_n", "full_total_inbound_hold_count")
+    col("g_out_hold_n", "full_total_outbound_hold_count")
+    secs("g_brk_t", "full_total_break_time")
+    if all_tenants:
+        col("coalesce(cast(day_in_conn_n AS bigint), 0L)", "full_total_connected_inbound_calls")
+        col("coalesce(cast(day_out_conn_n AS bigint), 0L)", "full_total_connected_outbound_calls")
+    else:
+        col("g_in_conn_n", "full_total_connected_inbound_calls")
+        col("g_out_conn_n", "full_total_connected_outbound_calls")
+    col("g_inbound_n", "full_total_inbound_calls")
+    col("g_outbound_n", "full_total_outbound_calls")
+    secs("(g_in_conn_t + g_in_acw_t) div coalesce(nullif(g_in_conn_n1, 0), 1)",
+         "full_avg_inbound_handling_time")
+    secs("(g_out_conn_t + g_out_acw_t) div coalesce(nullif(g_out_conn_n1, 0), 1)",
+         "full_avg_outbound_handling_time")
+    secs("g_in_talk_avg", "full_avg_inbound_talk_time")
+    secs("g_out_talk_avg", "full_avg_outbound_talk_time")
+    secs("g_in_hold_avg", "full_avg_inbound_hold_time")
+    secs("g_out_hold_avg", "full_avg_outbound_hold_time")
     if all_tenants:
-        cols += [
-            secs(zb("dialed_t"), "outbound_dialed_total_time"),
-            secs(per_call(zb("dialed_t"), "dialed_n"), "avg_outbound_dialed_time"),
-            zb("dialed_n").alias("outbound_dialed_total_count"),
-            c("logout_time"),
-        ]
+        secs(zb("dialed_t"), "outbound_dialed_total_time")
+        secs(per_call(zb("dialed_t"), "dialed_n"), "avg_outbound_dialed_time")
+        col(zb("dialed_n"), "outbound_dialed_total_count")
+        col("logout_time", "logout_time")
     return cols, durations
 
 
-def _finish(rows: DataFrame, all_tenants: bool, bu: Column | None) -> DataFrame:
+def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
     cols, durations = _columns(all_tenants, bu)
-    out = format_hms(rows.select(*cols), durations)
+    out = format_hms(rows.selectExpr(*cols), durations)
     return out.orderBy("summary_date", "tenant", "company", "agent")
 
 
@@ -268,9 +269,9 @@ def _attach_login(rows: DataFrame, same_day: DataFrame, fallback: DataFrame,
     j = rows.join(sd, on_all, "left")
     fb = fallback.select(c("resource_id").alias("fb_resource_id"), "fallback_at")
     j = j.join(fb, c("param1").cast("int") == c("fb_resource_id"), "left")
-    return (j.withColumn("login_time", F.coalesce(c("sd_first_at"), c("fallback_at")))
-            .withColumn("logout_time", F.coalesce(c("sd_last_at"), _default_logout(c("summary_date"))))
-            .drop(*sd.columns, "fb_resource_id", "fallback_at"))
+    return j.select(*[c(x) for x in rows.columns],
+                    F.coalesce(c("sd_first_at"), c("fallback_at")).alias("login_time"),
+                    F.coalesce(c("sd_last_at"), _default_logout(c("summary_date"))).alias("logout_time"))
 
 
 def _agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
@@ -289,8 +290,7 @@ def _agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
     fallback = last_before(status, "Register", from_ts, name="fallback_at")
     rows = _attach_login(rows, same_day, fallback, unit=by_unit)
     rows = with_grand_totals(rows, _grand_totals())
-    bu = c("business_unit") if by_unit else F.lit("ALL")
-    return _finish(rows, True, bu)
+    return _finish(rows, True, "business_unit" if by_unit else "'ALL'")
 
 
 def agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts) -> DataFrame:

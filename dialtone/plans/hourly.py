@@ -57,8 +57,9 @@ def _formatted_inbound() -> list:
     ]
 
 
-_TAIL = [c("s_date"), c("s_hour"), c("agent_skill").alias("agentskill"), c("company_id"),
-         c("tenant_id")]
+def _tail() -> list:
+    return [c("s_date"), c("s_hour"), c("agent_skill").alias("agentskill"), c("company_id"),
+            c("tenant_id")]
 
 
 def hourly_call_summary(spark: SparkSession, cdr: DataFrame, from_ts, to_ts, skills: str,
@@ -77,7 +78,7 @@ def hourly_call_summary(spark: SparkSession, cdr: DataFrame, from_ts, to_ts, ski
     agg = _inbound(cdr, from_ts, to_ts, skills, tz, b_unit, company, tenant, inclusive_end=False)
     agg = bounded_broadcast(agg, n_hours * len(ops.skill_list(skills)))
     joined = spine.join(agg, (spine.s_date == agg.c_date) & (spine.s_hour == agg.c_hour), "left")
-    return (joined.select(*_formatted_inbound(), *_TAIL)
+    return (joined.select(*_formatted_inbound(), *_tail())
             .orderBy("s_date", "s_hour", "agentskill"))
 
 
@@ -116,4 +117,4 @@ def hourly_call_summary_w_hour(spark: SparkSession, cdr: DataFrame, from_ts, to_
         hms(c("billsec_avg_outbound_s")).alias("billsec_avg_outbound"),
         inb[10], c("answered_count_outbound"), inb[11], inb[12], inb[13], inb[14],
     ]
-    return joined.select(*cols, *_TAIL).orderBy("s_date", "s_hour", "agentskill")
+    return joined.select(*cols, *_tail()).orderBy("s_date", "s_hour", "agentskill")

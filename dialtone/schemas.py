@@ -9,8 +9,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
+    "timestamp": T.TimestampType(), "double": T.DoubleType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name type, name type"`` -> StructType (built without a Spark session)."""
+    fields = []
+    for item in spec.split(","):
+        name, type_name = item.split()
+        fields.append(T.StructField(name, _TYPES[type_name], True))
+    return T.StructType(fields)
 
 
 # finished call legs (one row per leg)
