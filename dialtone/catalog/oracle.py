@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dialtone.catalog import params as P
 from dialtone.catalog.oracle_agent import agent_sql
+from dialtone.catalog.oracle_events import agent_events_sql
 from dialtone.catalog.oracle_hourly import hourly_sql
 from dialtone.catalog.oracle_perf import call_performance_sql
 
@@ -34,4 +35,8 @@ def oracle_sql() -> dict[str, str]:
         "agent_productivity_all_mid": agent_sql(P.MID_FROM_TS, P.MID_TO_TS, variant="all"),
         "agent_productivity_bu": agent_sql(P.FROM_TS, P.TO_TS, variant="bu"),
         "agent_productivity_bu_mid": agent_sql(P.MID_FROM_TS, P.MID_TO_TS, variant="bu"),
+        "agent_events_all": agent_events_sql(P.FROM_TS, P.TO_TS, by_unit=False),
+        "agent_events_all_mid": agent_events_sql(P.MID_FROM_TS, P.MID_TO_TS, by_unit=False),
+        "agent_events_bu": agent_events_sql(P.FROM_TS, P.TO_TS, by_unit=True),
+        "agent_events_bu_mid": agent_events_sql(P.MID_FROM_TS, P.MID_TO_TS, by_unit=True),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone.catalog import params as P
-from dialtone.plans import agent_daily
+from dialtone.plans import agent_daily, agent_events
 from dialtone.plans import call_performance as perf
 from dialtone.plans import hourly
 from dialtone.session import apply_conf
@@ -61,6 +61,15 @@ def _agent_all(from_ts, to_ts, by_unit):
     return run
 
 
+def _events(from_ts, to_ts, by_unit):
+    def run(spark, sf_dir):
+        apply_conf(spark)
+        t = tables(spark, sf_dir)
+        f = agent_events.agent_events_bu if by_unit else agent_events.agent_events_all
+        return f(t.status, t.cdr, t.resources, t.acw, t.breaks, from_ts, to_ts, P.TZ)
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "hourly_call_summary": _hourly(None),
@@ -76,4 +85,8 @@ def queries() -> dict[str, Query]:
         "agent_productivity_all_mid": _agent_all(P.MID_FROM_TS, P.MID_TO_TS, False),
         "agent_productivity_bu": _agent_all(P.FROM_TS, P.TO_TS, True),
         "agent_productivity_bu_mid": _agent_all(P.MID_FROM_TS, P.MID_TO_TS, True),
+        "agent_events_all": _events(P.FROM_TS, P.TO_TS, False),
+        "agent_events_all_mid": _events(P.MID_FROM_TS, P.MID_TO_TS, False),
+        "agent_events_bu": _events(P.FROM_TS, P.TO_TS, True),
+        "agent_events_bu_mid": _events(P.MID_FROM_TS, P.MID_TO_TS, True),
     }

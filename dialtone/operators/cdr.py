@@ -101,3 +101,74 @@ def outbound_measures() -> list[Column]:
         trunc_avg(c("bill_sec"), answered).alias("billsec_avg_outbound_s"),
         nonzero_count(answered).alias("answered_count_outbound"),
     ]
+
+
+def legs_per_agent(cdr: DataFrame, resources: DataFrame, from_ts, to_ts, tz: str,
+                   by_unit: bool) -> DataFrame:
+    """Per local date, tenant, company, (unit,) and agent: inbound and outbound leg measures.
+
+    An inbound leg belongs to the agent named in ``received_by``, an
+    outbound leg to the one in ``sip_from_user``; names resolve to agents
+    through ``resources`` (inner join). Each leg is emitted once per role,
+    pre-aggregated per agent *name* (map-side combine, one shuffle), and
+    only then joined to the agent table: the join sees one row per
+    name-day instead of one per leg. Sums are additive, so the result
+    equals aggregating after the join.
+    """
+    from dialtone.functions.timefx import local_date
+
+    keys = ["day", "tenant_id", "company_id"] + (["business_unit"] if by_unit else [])
+    legs = cdr.filter(in_range("created_time", from_ts, to_ts, inclusive_end=True))
+    inbound, outbound = c("direction") == "inbound", c("direction") == "outbound"
+    in_ans, out_ans = inbound & c("agent_answered"), outbound & c("is_answered")
+    out_dial = outbound & ~c("is_answered")
+    one = lambda cond: F.when(F.coalesce(cond, F.lit(False)), 1).otherwise(0)
+    val = lambda cond, v: F.when(cond, v).otherwise(0)
+    role = F.explode(F.array(
+        F.struct(F.lit("in").alias("role"), c("received_by").alias("agent_name"),
+                 one(inbound).alias("n_total"), one(in_ans).alias("n_conn"),
+                 val(in_ans, c("bill_sec")).alias("t_conn"), val(in_ans, c("hold_sec")).alias("t_hold"),
+                 one(in_ans & (c("hold_sec") > 0)).alias("n_hold"),
+                 F.lit(0).alias("n_dial"), F.lit(0).alias("t_dial")),
+        F.struct(F.lit("out").alias("role"), c("sip_from_user").alias("agent_name"),
+                 one(outbound).alias("n_total"), one(out_ans).alias("n_conn"),
+                 val(out_ans, c("bill_sec")).alias("t_conn"), val(out_ans, c("hold_sec")).alias("t_hold"),
+                 one(out_ans & (c("hold_sec") > 0)).alias("n_hold"), one(out_dial).alias("n_dial"),
+                 val(out_dial & (c("obj_type") != "PRIVATE_USER"), c("ivr_connect_sec")).alias("t_dial")),
+    )).alias("r")
+    per_name = (legs.select(local_date("created_time", tz).alias("day"), *keys[1:], role)
+                .select(*keys, "r.*")
+                .groupBy(*keys, "role", "agent_name")
+                .agg(*[F.sum(x).alias(x) for x in
+                       ("n_total", "n_conn", "t_conn", "t_hold", "n_hold", "n_dial", "t_dial")]))
+    agents = resources.select(c("resource_name").alias("agent_name"), "resource_id")
+    joined = per_name.join(agents, on="agent_name", how="inner")
+    s_in = lambda x: F.sum(F.when(c("role") == "in", c(x)))
+    s_out = lambda x: F.sum(F.when(c("role") == "out", c(x)))
+    return joined.groupBy(*keys, "resource_id").agg(
+        s_in("n_total").alias("in_total"), s_in("n_conn").alias("in_conn_n"),
+        s_in("t_conn").alias("in_conn_t"), s_in("t_hold").alias("in_hold_t"),
+        s_in("n_hold").alias("in_hold_n"),
+        s_out("n_total").alias("out_total"), s_out("n_conn").alias("out_conn_n"),
+        s_out("n_dial").alias("out_dial_n"), s_out("t_conn").alias("out_conn_t"),
+        s_out("t_hold").alias("out_hold_t"), s_out("n_hold").alias("out_hold_n"),
+        s_out("t_dial").alias("out_dial_t"))
+
+
+def acw_by_direction(acw: DataFrame, cdr: DataFrame, from_ts, to_ts) -> DataFrame:
+    """Per agent: after-call-work seconds of inbound and of outbound calls.
+
+    Work rows created in ``[from_ts, to_ts]`` join call legs on
+    ``session_id = uuid`` (legs of any time). A uuid with several legs
+    counts its work once per leg, as the original's inner join does;
+    legs are first reduced to per-uuid direction counts, so a hot uuid
+    is one row before the join shuffle.
+    """
+    work = acw.filter(in_range("created_at", from_ts, to_ts, inclusive_end=True)) \
+        .select("resource_id", "session_id", "duration")
+    per_uuid = cdr.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
+                                       count_where(c("direction") == "outbound").alias("n_out"))
+    j = work.join(per_uuid, work.session_id == per_uuid.uuid, "inner")
+    return j.groupBy("resource_id").agg(
+        F.sum(c("duration") * c("n_in")).alias("acw_in"),
+        F.sum(c("duration") * c("n_out")).alias("acw_out"))

@@ -99,3 +99,110 @@ def spans(status: DataFrame, start_reason: str, end_reason: str, from_ts, to_ts,
         "resource_id", "tenant_id", "company_id", "business_unit",
         c("created_at").alias("start_at"), c("next_at").alias("end_at"),
         micros_between(c("created_at"), c("next_at")).alias("span_us"))
+
+
+# --- skew-safe ordered operators -------------------------------------------
+# One agent may own a large share of all events. A window partitioned by the
+# agent alone sorts all of that agent's events in one task. The operators
+# below partition by (agent, time bucket) instead and stitch the buckets
+# together through a per-bucket table with one row per non-empty bucket.
+
+BUCKET = "1 hour"
+
+
+def _bucket(ts: Column, bucket: str = BUCKET) -> Column:
+    return F.date_trunc(_unit(bucket), ts)
+
+
+def _unit(bucket: str) -> str:
+    n, unit = bucket.split()
+    if n != "1" or unit not in ("minute", "hour", "day"):
+        raise ValueError("bucket must be '1 minute', '1 hour' or '1 day'")
+    return unit
+
+
+def lead_in_time(events: DataFrame, by: list[str], ts: str = "created_at",
+                 carry: str = "reason", bucket: str = BUCKET) -> DataFrame:
+    """Add ``next_at`` / ``next_{carry}``: the next event of the same ``by`` group in time.
+
+    Equals ``LEAD(ts)`` / ``LEAD(carry)`` over ``PARTITION BY by ORDER BY ts,
+    carry`` (the last event gets NULL), computed in two levels: within each
+    (group, bucket) by a window, and across buckets from each bucket's first
+    event, looked up through the bucket-level table.
+    """
+    b = "_bucket"
+    ev = events.withColumn(b, _bucket(F.col(ts), bucket))
+    w = Window.partitionBy(*by, b).orderBy(ts, carry)
+    ev = (ev.withColumn("next_at", F.lead(ts).over(w))
+          .withColumn(f"next_{carry}", F.lead(carry).over(w)))
+    heads = ev.groupBy(*by, b).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(carry).alias("v")))
+                                   .alias("_head"))
+    wb = Window.partitionBy(*by).orderBy(b)
+    heads = heads.select(*by, b, F.lead("_head").over(wb).alias("_next_head"))
+    out = ev.join(heads, on=[*by, b], how="left")
+    last = F.col("next_at").isNull()
+    return (out.withColumn(f"next_{carry}", F.when(last, F.col("_next_head.v"))
+                           .otherwise(F.col(f"next_{carry}")))
+            .withColumn("next_at", F.when(last, F.col("_next_head.t")).otherwise(F.col("next_at")))
+            .drop("_next_head", b))
+
+
+def running_count(events: DataFrame, by: list[str], cond: Column, name: str,
+                  ts: str = "created_at", tiebreak: str = "reason",
+                  bucket: str = BUCKET) -> DataFrame:
+    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END) OVER (PARTITION BY by ORDER BY ts ROWS
+    UNBOUNDED PRECEDING)``, in two levels: a running count within each (group,
+    bucket) plus the total of all earlier buckets of the group.
+    """
+    b = "_bucket"
+    flag = F.when(cond, 1).otherwise(0)
+    ev = events.withColumn(b, _bucket(F.col(ts), bucket)).withColumn("_flag", flag)
+    w = (Window.partitionBy(*by, b).orderBy(ts, tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ev = ev.withColumn("_in_bucket", F.sum("_flag").over(w))
+    totals = ev.groupBy(*by, b).agg(F.sum("_flag").alias("_bucket_total"))
+    wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, b, F.coalesce(F.sum("_bucket_total").over(wb), F.lit(0))
+                            .alias("_before"))
+    out = ev.join(offsets, on=[*by, b], how="left")
+    return (out.withColumn(name, (F.col("_before") + F.col("_in_bucket")).cast("bigint"))
+            .drop(b, "_flag", "_in_bucket", "_before"))
+
+
+# The state-change reasons that open and close each kind of span.
+SPAN_REASONS = {
+    "login": ("Register", "UnRegister"),
+    "inbound": ("Inbound", "endInbound"),
+    "outbound": ("Outbound", "endOutbound"),
+}
+
+
+def span_totals(status: DataFrame, from_ts, to_ts, bucket: str = BUCKET) -> DataFrame:
+    """Per agent: total login-session, inbound-mode and outbound-mode time (microseconds).
+
+    ``login_us``: each Register immediately followed (among Register and
+    UnRegister events) by an UnRegister, summed. ``inbound_us`` /
+    ``outbound_us``: each Inbound (Outbound) event to the agent's next
+    Inbound/endInbound (Outbound/endOutbound) event, summed; a last, open
+    span adds nothing. Events are those in ``[from_ts, to_ts]``. The three
+    event families share one two-level ``lead`` pass, keyed by family.
+    Totals are per agent (the original grouped them by tenant, company
+    and unit but joined on the agent only, multiplying rows).
+    """
+    family = F.lit(None).cast("string")
+    for fam, (opening, closing) in SPAN_REASONS.items():
+        family = F.when(F.col("reason").isin(opening, closing), F.lit(fam)).otherwise(family)
+    all_reasons = [r for pair in SPAN_REASONS.values() for r in pair]
+    ev = status.filter(F.col("reason").isin(all_reasons)
+                       & (F.col("created_at") >= ts_literal(from_ts))
+                       & (F.col("created_at") <= ts_literal(to_ts))) \
+        .select("resource_id", "created_at", "reason", family.alias("family"))
+    ev = lead_in_time(ev, ["resource_id", "family"], bucket=bucket)
+    span = micros_between(F.col("created_at"), F.col("next_at"))
+    opened = lambda fam: F.col("reason") == SPAN_REASONS[fam][0]
+    login = opened("login") & (F.col("next_reason") == SPAN_REASONS["login"][1])
+    return ev.groupBy("resource_id").agg(
+        F.sum(F.when(login, span)).alias("login_us"),
+        F.sum(F.when(opened("inbound"), span)).alias("inbound_us"),
+        F.sum(F.when(opened("outbound"), span)).alias("outbound_us"),
+    )
