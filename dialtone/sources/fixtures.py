@@ -10,7 +10,7 @@ an ``inline`` generator instead of joining a constant table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -132,15 +132,22 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @dataclass
 class Tables:
-    """The call-centre tables of one data directory, as lazy DataFrames."""
+    """The call-centre tables of one data directory, as lazy DataFrames.
+
+    Each table is defined once per ``Tables`` object and the same
+    DataFrame is reused wherever a report reads it (no re-parsing).
+    """
 
     spark: SparkSession
     sf_dir: str
+    _cache: dict = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in _SOURCES:
-            return fixture(self.spark, self.sf_dir, name)
-        raise AttributeError(name)
+        if name.startswith("_") or name not in _SOURCES:
+            raise AttributeError(name)
+        if name not in self._cache:
+            self._cache[name] = fixture(self.spark, self.sf_dir, name)
+        return self._cache[name]
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
