@@ -10,6 +10,11 @@ from dialtone.catalog.oracle_perf import call_performance_sql
 
 
 def oracle_sql() -> dict[str, str]:
+    from dialtone.catalog.op_queries import oracle_sql as op_sql
+    return {**_reports(), **op_sql()}
+
+
+def _reports() -> dict[str, str]:
     return {
         "hourly_call_summary": hourly_sql(P.FROM_TS, P.TO_TS, P.SKILLS, None, P.COMPANY,
                                           P.TENANT),

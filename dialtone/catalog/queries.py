@@ -71,6 +71,11 @@ def _events(from_ts, to_ts, by_unit):
 
 
 def queries() -> dict[str, Query]:
+    from dialtone.catalog.op_queries import spark_queries
+    return {**_reports(), **spark_queries()}
+
+
+def _reports() -> dict[str, Query]:
     return {
         "hourly_call_summary": _hourly(None),
         "hourly_call_summary_bu": _hourly(P.B_UNIT),

@@ -77,7 +77,7 @@ def micros_between(a: Column, b: Column) -> Column:
 
 
 def spans(status: DataFrame, start_reason: str, end_reason: str, from_ts, to_ts,
-          require_next: str | None = None) -> DataFrame:
+          require_next: str | None = None, bucket: str = "1 hour") -> DataFrame:
     """Each ``start_reason`` event with the time to the agent's next event.
 
     Only ``start_reason``/``end_reason`` events in ``[from_ts, to_ts]`` are
@@ -90,8 +90,9 @@ def spans(status: DataFrame, start_reason: str, end_reason: str, from_ts, to_ts,
     """
     cond = (c("reason").isin(start_reason, end_reason) & (c("created_at") >= ts_literal(from_ts))
             & (c("created_at") <= ts_literal(to_ts)))
-    ev = with_rank_and_lead(status.filter(cond).select(
-        "resource_id", "created_at", "reason", "tenant_id", "company_id", "business_unit"))
+    ev = lead_in_time(status.filter(cond).select(
+        "resource_id", "created_at", "reason", "tenant_id", "company_id", "business_unit"),
+        ["resource_id"], bucket=bucket)
     keep = c("reason") == start_reason
     if require_next is not None:
         keep &= c("next_reason") == require_next

@@ -62,7 +62,7 @@ TALK_IN = f"{zb('in_conn_t')} - {zb('in_hold_t')}"
 TALK_OUT = f"{zb('out_conn_t')} - {zb('out_hold_t')}"
 
 
-def _round_avg(expr: str) -> str:
+def round_avg_sql(expr: str) -> str:
     """``round(avg(expr))`` half away from zero, exact in integer arithmetic."""
     total, n = f"sum({expr})", "count(1)"
     return (f"CASE WHEN {n} <> 0 THEN (CASE WHEN {total} < 0 THEN -1L ELSE 1L END) * "
@@ -86,7 +86,7 @@ def _grand_totals() -> dict[str, Column]:
     out = {k: F.expr(f"sum({v})") for k, v in sums.items()}
     for k, v in {"g_in_talk_avg": TALK_IN, "g_out_talk_avg": TALK_OUT,
                  "g_in_hold_avg": zb("in_hold_t"), "g_out_hold_avg": zb("out_hold_t")}.items():
-        out[k] = F.expr(_round_avg(v))
+        out[k] = F.expr(round_avg_sql(v))
     return out
 
 
@@ -244,12 +244,12 @@ def agent_productivity(daily: DataFrame, status: DataFrame, from_ts, to_ts,
                                   extra=scope)
     fb_scope = scope & (c("business_unit") == b_unit) if unit_filter else scope
     fallback = last_before(status, "Register", from_ts, extra=fb_scope, name="fallback_at")
-    rows = _attach_login(rows, same_day, fallback, unit=False)
+    rows = attach_login(rows, same_day, fallback, unit=False)
     rows = with_grand_totals(rows, _grand_totals())
     return _finish(rows, False, None)
 
 
-def _attach_login(rows: DataFrame, same_day: DataFrame, fallback: DataFrame,
+def attach_login(rows: DataFrame, same_day: DataFrame, fallback: DataFrame,
                   unit: bool) -> DataFrame:
     """Left-join first login / last logout of the day, then the earlier-login fallback.
 
@@ -288,7 +288,7 @@ def _agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
     status_keys = ["tenant_id", "company_id"] + (["business_unit"] if by_unit else []) + ["resource_id"]
     same_day = first_last_per_day(status, status_keys, first, last)
     fallback = last_before(status, "Register", from_ts, name="fallback_at")
-    rows = _attach_login(rows, same_day, fallback, unit=by_unit)
+    rows = attach_login(rows, same_day, fallback, unit=by_unit)
     rows = with_grand_totals(rows, _grand_totals())
     return _finish(rows, True, "business_unit" if by_unit else "'ALL'")
 

@@ -15,7 +15,7 @@ c = F.col
 _KEYS = ["date", "tenant", "company", "bu"]
 
 
-def _round1_ratio(num: Column, den: Column) -> Column:
+def ratio_1dp(num: Column, den: Column) -> Column:
     """``round(num / den, 1)`` half away from zero, exact, for non-negative counts."""
     tenths = int_div(num.cast("bigint") * 20 + den, den.cast("bigint") * 2)
     return (tenths / F.lit(10.0)).cast("double")
@@ -103,8 +103,8 @@ def call_performance(cdr: DataFrame, daily: DataFrame, from_ts, to_ts,
         z("acw_time").alias("total_acw_time"),
         per_staff("acw_time").alias("average_acw_time"),
         z("break_time").alias("total_break_time"),
-        F.when(z("in_agents") != 0, _round1_ratio(z("in_answers"), c("in_agents"))).alias("average_inbound_call_per_agent"),
-        F.when(z("out_agents") != 0, _round1_ratio(z("out_answers"), c("out_agents"))).alias("average_outbound_call_per_agent"),
+        F.when(z("in_agents") != 0, ratio_1dp(z("in_answers"), c("in_agents"))).alias("average_inbound_call_per_agent"),
+        F.when(z("out_agents") != 0, ratio_1dp(z("out_answers"), c("out_agents"))).alias("average_outbound_call_per_agent"),
         (z("staff_time") - (z("acw_time") + z("talk_in") + z("talk_out") + z("break_time")
                             + z("hold_in") + z("hold_out"))).alias("total_idle_time"),
     )
