@@ -203,9 +203,18 @@ def _columns(all_tenants: bool, bu: str | None) -> tuple[list[str], list[str]]:
 
 
 def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
+    """Order, attach grand totals, project, format durations.
+
+    The sort runs before the projections that carry the grand-totals
+    subquery: a range shuffle samples its input in a separate pass, and
+    that pass should not include the wide projection. Projections after
+    the sort keep its order.
+    """
+    ordered = rows.orderBy("summary_date", F.expr("cast(tenant AS int)"),
+                           F.expr("cast(company AS int)"), F.expr("cast(param1 AS int)"))
+    ordered = with_grand_totals(ordered, _grand_totals())
     cols, durations = _columns(all_tenants, bu)
-    out = format_hms(rows.selectExpr(*cols), durations)
-    return out.orderBy("summary_date", "tenant", "company", "agent")
+    return format_hms(ordered.selectExpr(*cols), durations)
 
 
 def _default_logout(day: Column) -> Column:
@@ -245,7 +254,6 @@ def agent_productivity(daily: DataFrame, status: DataFrame, from_ts, to_ts,
     fb_scope = scope & (c("business_unit") == b_unit) if unit_filter else scope
     fallback = last_before(status, "Register", from_ts, extra=fb_scope, name="fallback_at")
     rows = attach_login(rows, same_day, fallback, unit=False)
-    rows = with_grand_totals(rows, _grand_totals())
     return _finish(rows, False, None)
 
 
@@ -289,7 +297,6 @@ def _agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
     same_day = first_last_per_day(status, status_keys, first, last)
     fallback = last_before(status, "Register", from_ts, name="fallback_at")
     rows = attach_login(rows, same_day, fallback, unit=by_unit)
-    rows = with_grand_totals(rows, _grand_totals())
     return _finish(rows, True, "business_unit" if by_unit else "'ALL'")
 
 
