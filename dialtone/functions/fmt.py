@@ -12,25 +12,31 @@ def int_div(a: Column, b: Column | int) -> Column:
     return F.when(b != 0, F.call_function("div", a.cast("bigint"), b.cast("bigint")))
 
 
-def _sign(x: Column) -> Column:
-    return F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-
-
 def hms(seconds: Column) -> Column:
     """Whole seconds -> ``HH:MM:SS`` text (NULL stays NULL).
 
     Hours are not wrapped at 24 (90000 -> ``25:00:00``); division and
     remainder truncate toward zero, so every non-zero negative field
     carries its own minus: -3661 -> ``-01:-01:-01``, -30 -> ``00:00:-30``.
+    Kept small on purpose (plain string functions, no repeated subtrees):
+    reports format dozens of columns in one projection, and the generated
+    code of that projection must stay within the JVM's method size limit.
     Pass a column reference: the input is used several times.
     """
     s = seconds.cast("bigint")
     h = F.call_function("div", s, F.lit(3600))
     m = F.call_function("div", s % 3600, F.lit(60))
     sec = s % 60
-    text = F.format_string("%s%02d:%s%02d:%s%02d", _sign(h), F.abs(h), _sign(m), F.abs(m),
-                           _sign(sec), F.abs(sec))
-    return F.when(s.isNotNull(), text)
+    hours = F.concat(F.when(h < 0, F.lit("-")).otherwise(F.lit("")),
+                     F.when(F.abs(h) < 10, F.lit("0")).otherwise(F.lit("")),
+                     F.abs(h).cast("string"))
+    return F.concat(hours, F.lit(":"), _field60(m), F.lit(":"), _field60(sec))
+
+
+def _field60(x: Column) -> Column:
+    # |x| < 60: two digits, a negative field keeps its own minus ("-01")
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")),
+                    F.lpad(F.abs(x).cast("string"), 2, "0"))
 
 
 def format_hms(df: DataFrame, names: list[str] | set[str]) -> DataFrame:

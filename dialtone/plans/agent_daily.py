@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtone.functions.fmt import format_hms
+from dialtone.functions.fmt import format_hms, hms
 from dialtone.functions.timefx import date_bounds
 from dialtone.operators.daily import group_totals, mask_null_keys, window_rollup
 from dialtone.operators.sessions import first_last_per_day, last_before
@@ -90,21 +90,40 @@ def _grand_totals() -> dict[str, Column]:
     return out
 
 
-def _columns(all_tenants: bool, bu: str | None) -> tuple[list[str], list[str]]:
-    """Output columns in report order as SQL expressions, durations in whole seconds.
+class _Out:
+    """Output columns in report order, split into per-row and grand-total columns."""
 
-    ``all_tenants`` selects the R4/R5 variants. Returns the expressions and
-    the names of the duration columns that ``format_hms`` turns into text.
+    def __init__(self) -> None:
+        self.order: list[str] = []
+        self.rows: list[str] = []          # SQL over the agent-day rows
+        self.durations: list[str] = []     # per-row columns formatted as HH:MM:SS
+        self.totals: list[tuple[str, str, bool]] = []  # (name, SQL over g_* sums, is duration)
+
+
+def _columns(all_tenants: bool, bu: str | None) -> _Out:
+    """Output columns as SQL expressions, durations in whole seconds.
+
+    ``all_tenants`` selects the R4/R5 variants. Columns built from the
+    grand totals (``g_*``) are evaluated once, inside the totals subquery.
     """
-    durations: list[str] = []
-    cols: list[str] = []
+    out = _Out()
 
     def col(expr: str, name: str) -> None:
-        cols.append(f"{expr} AS {name}")
+        out.order.append(name)
+        out.rows.append(f"{expr} AS {name}")
 
     def secs(expr: str, name: str) -> None:
-        durations.append(name)
-        cols.append(f"cast({expr} AS bigint) AS {name}")
+        out.order.append(name)
+        out.durations.append(name)
+        out.rows.append(f"cast({expr} AS bigint) AS {name}")
+
+    def total(expr: str, name: str) -> None:
+        out.order.append(name)
+        out.totals.append((name, expr, False))
+
+    def total_secs(expr: str, name: str) -> None:
+        out.order.append(name)
+        out.totals.append((name, expr, True))
 
     col("summary_date", "summary_date")
     col("cast(tenant AS int)", "tenant")
@@ -174,47 +193,48 @@ def _columns(all_tenants: bool, bu: str | None) -> tuple[list[str], list[str]]:
                     ("g_in_acw_t", "inbound_acw"), ("g_out_acw_t", "outbound_acw"),
                     ("g_in_talk", "inbound_talk"), ("g_out_talk", "outbound_talk"),
                     ("g_in_hold_t", "inbound_hold"), ("g_out_hold_t", "outbound_hold")):
-        secs(g, f"full_total_{name}_time")
-    col("g_in_hold_n", "full_total_inbound_hold_count")
-    col("g_out_hold_n", "full_total_outbound_hold_count")
-    secs("g_brk_t", "full_total_break_time")
+        total_secs(g, f"full_total_{name}_time")
+    total("g_in_hold_n", "full_total_inbound_hold_count")
+    total("g_out_hold_n", "full_total_outbound_hold_count")
+    total_secs("g_brk_t", "full_total_break_time")
     if all_tenants:
         col("coalesce(cast(day_in_conn_n AS bigint), 0L)", "full_total_connected_inbound_calls")
         col("coalesce(cast(day_out_conn_n AS bigint), 0L)", "full_total_connected_outbound_calls")
     else:
-        col("g_in_conn_n", "full_total_connected_inbound_calls")
-        col("g_out_conn_n", "full_total_connected_outbound_calls")
-    col("g_inbound_n", "full_total_inbound_calls")
-    col("g_outbound_n", "full_total_outbound_calls")
-    secs("(g_in_conn_t + g_in_acw_t) div coalesce(nullif(g_in_conn_n1, 0), 1)",
-         "full_avg_inbound_handling_time")
-    secs("(g_out_conn_t + g_out_acw_t) div coalesce(nullif(g_out_conn_n1, 0), 1)",
-         "full_avg_outbound_handling_time")
-    secs("g_in_talk_avg", "full_avg_inbound_talk_time")
-    secs("g_out_talk_avg", "full_avg_outbound_talk_time")
-    secs("g_in_hold_avg", "full_avg_inbound_hold_time")
-    secs("g_out_hold_avg", "full_avg_outbound_hold_time")
+        total("g_in_conn_n", "full_total_connected_inbound_calls")
+        total("g_out_conn_n", "full_total_connected_outbound_calls")
+    total("g_inbound_n", "full_total_inbound_calls")
+    total("g_outbound_n", "full_total_outbound_calls")
+    total_secs("(g_in_conn_t + g_in_acw_t) div coalesce(nullif(g_in_conn_n1, 0), 1)",
+               "full_avg_inbound_handling_time")
+    total_secs("(g_out_conn_t + g_out_acw_t) div coalesce(nullif(g_out_conn_n1, 0), 1)",
+               "full_avg_outbound_handling_time")
+    total_secs("g_in_talk_avg", "full_avg_inbound_talk_time")
+    total_secs("g_out_talk_avg", "full_avg_outbound_talk_time")
+    total_secs("g_in_hold_avg", "full_avg_inbound_hold_time")
+    total_secs("g_out_hold_avg", "full_avg_outbound_hold_time")
     if all_tenants:
         secs(zb("dialed_t"), "outbound_dialed_total_time")
         secs(per_call(zb("dialed_t"), "dialed_n"), "avg_outbound_dialed_time")
         col(zb("dialed_n"), "outbound_dialed_total_count")
         col("logout_time", "logout_time")
-    return cols, durations
+    return out
 
 
 def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
-    """Order, attach grand totals, project, format durations.
+    """Project and format the per-row columns, order, attach formatted grand totals.
 
-    The sort runs before the projections that carry the grand-totals
-    subquery: a range shuffle samples its input in a separate pass, and
-    that pass should not include the wide projection. Projections after
-    the sort keep its order.
+    Per-row durations are formatted before the sort, in the parallel stage
+    that produced the rows; the grand totals are computed and formatted
+    once in the totals subquery. Projections after the sort keep its order.
     """
-    ordered = rows.orderBy("summary_date", F.expr("cast(tenant AS int)"),
-                           F.expr("cast(company AS int)"), F.expr("cast(param1 AS int)"))
-    ordered = with_grand_totals(ordered, _grand_totals())
-    cols, durations = _columns(all_tenants, bu)
-    return format_hms(ordered.selectExpr(*cols), durations)
+    out = _columns(all_tenants, bu)
+    per_row = format_hms(rows.selectExpr(*out.rows), out.durations)
+    ordered = per_row.orderBy("summary_date", "tenant", "company", "agent")
+    totals = [hms(F.expr(e)).alias(n) if is_secs else F.expr(e).alias(n)
+              for n, e, is_secs in out.totals]
+    done = with_grand_totals(ordered, _grand_totals(), outputs=totals, source=rows)
+    return done.select(*out.order)
 
 
 def _default_logout(day: Column) -> Column:

@@ -15,6 +15,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # generated methods above the JIT limit (8000 bytes) would run interpreted;
+    # such stages fall back to split, compilable projections instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone import schemas
-from dialtone.sources.tables import conform, read_table
+from dialtone.sources.tables import conform, read_table, spread
 
 RAW_TABLES = ("events", "supplier", "nation", "region", "customer")
 
@@ -117,9 +117,14 @@ _SOURCES = {
 }
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def fixture(spark: SparkSession, sf_dir: str, name: str,
+            raw_tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """One derived table as a lazy DataFrame conforming to ``schemas.ALL[name]``."""
-    raw = {t: read_table(spark, sf_dir, t) for t in _SOURCES[name]}
+    raw_tables = raw_tables if raw_tables is not None else {}
+    for t in _SOURCES[name]:
+        if t not in raw_tables:
+            raw_tables[t] = spread(read_table(spark, sf_dir, t))
+    raw = {t: raw_tables[t] for t in _SOURCES[name]}
     if name == "daily":
         df = spark.sql(_DAILY_SPARK, events=raw["events"])
     else:
@@ -135,18 +140,21 @@ class Tables:
     """The call-centre tables of one data directory, as lazy DataFrames.
 
     Each table is defined once per ``Tables`` object and the same
-    DataFrame is reused wherever a report reads it (no re-parsing).
+    DataFrame is reused wherever a report reads it (no re-parsing); the
+    raw tables they derive from are read once, so every derived table of
+    one report shares a single scan of ``events``.
     """
 
     spark: SparkSession
     sf_dir: str
     _cache: dict = field(default_factory=dict)
+    _raw: dict = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in _SOURCES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = fixture(self.spark, self.sf_dir, name)
+            self._cache[name] = fixture(self.spark, self.sf_dir, name, self._raw)
         return self._cache[name]
 
 
