@@ -1,4 +1,5 @@
 import shutil
+import uuid
 
 from dialtone.catalog.queries import queries
 from dialtone.streaming.counters import start_counters
@@ -10,7 +11,7 @@ def test_stream_counters_equal_batch_counters(spark, tmp_path):
     src.mkdir()
     shutil.copy(f"{SMOKE_DIR}/events.parquet", src / "part-0.parquet")
     sink = str(tmp_path / "counters")
-    q = start_counters(spark, str(src), sink, name=f"counters-{tmp_path.name}")
+    q = start_counters(spark, str(src), sink, name=f"counters-{uuid.uuid4().hex}")
     q.awaitTermination(300)
     streamed = spark.read.parquet(sink)
     batch = queries()["event_counters_by_day"](spark, SMOKE_DIR)
