@@ -1,4 +1,4 @@
-"""SQL-text helpers for the DuckDB oracle (reference-shaped queries)."""
+"""SQL-text helpers for the DuckDB oracle (queries in the original join-chain shape)."""
 
 from __future__ import annotations
 

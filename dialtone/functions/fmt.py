@@ -39,16 +39,28 @@ def _field60(x: Column) -> Column:
                     F.lpad(F.abs(x).cast("string"), 2, "0"))
 
 
+def hms_sql(col: str) -> str:
+    """``hms`` as Spark SQL text over a column reference (one JVM call to build)."""
+    x = f"cast(`{col}` AS bigint)"
+    h, m, sec = f"({x} div 3600)", f"(({x} % 3600) div 60)", f"({x} % 60)"
+    return (f"concat(if({h} < 0, '-', ''), if(abs({h}) < 10, '0', ''), cast(abs({h}) AS string), ':', "
+            f"if({m} < 0, '-', ''), lpad(cast(abs({m}) AS string), 2, '0'), ':', "
+            f"if({sec} < 0, '-', ''), lpad(cast(abs({sec}) AS string), 2, '0'))")
+
+
 def format_hms(df: DataFrame, names: list[str] | set[str]) -> DataFrame:
     """Second projection turning the named whole-second columns into ``HH:MM:SS``.
 
     Durations are first computed as numbers in one projection and then
     formatted here from plain column references, which keeps each
     generated method small (a wide report would otherwise exceed the JVM
-    method size limit and lose whole-stage code generation).
+    method size limit and lose whole-stage code generation). The
+    expressions are SQL text, so building a wide projection costs one
+    JVM call per column.
     """
     names = set(names)
-    return df.select(*[hms(F.col(n)).alias(n) if n in names else F.col(n) for n in df.columns])
+    return df.selectExpr(*[f"{hms_sql(n)} AS `{n}`" if n in names else f"`{n}`"
+                           for n in df.columns])
 
 
 def pct_int(part: Column, whole: Column) -> Column:

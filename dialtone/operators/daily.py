@@ -94,15 +94,10 @@ def window_rollup(daily: DataFrame, keys: list[str], windows: list[str], *,
 def mask_null_keys(df: DataFrame, keys: list[str], windows: list[str], driver: str = "login",
                    suffixes=("m", "n", "t", "avg_n", "avg_t")) -> DataFrame:
     """NULL the non-driver window columns of groups that have a NULL key."""
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & c(k).isNotNull()
-    cols = []
-    for name in df.columns:
-        w = next((w for w in windows if w != driver and
-                  any(name == f"{w}_{s}" for s in suffixes)), None)
-        cols.append(F.when(ok, c(name)).alias(name) if w else c(name))
-    return df.select(*cols)
+    ok = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    masked = {f"{w}_{s}" for w in windows if w != driver for s in suffixes}
+    return df.selectExpr(*[f"CASE WHEN {ok} THEN `{n}` END AS `{n}`" if n in masked else f"`{n}`"
+                           for n in df.columns])
 
 
 def group_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialtone.functions.fmt import format_hms
+
 
 def with_grand_totals(df: DataFrame, totals: dict[str, Column],
                       outputs: list[Column] | None = None,
-                      source: DataFrame | None = None) -> DataFrame:
+                      source: DataFrame | None = None,
+                      durations: list[str] | None = None) -> DataFrame:
     """Add ``SUM(..) OVER ()``-style totals over all rows of ``source`` as columns of ``df``.
 
     ``OVER ()`` would pull every row into one task. Instead the totals are
@@ -16,7 +19,8 @@ def with_grand_totals(df: DataFrame, totals: dict[str, Column],
     evaluated as a single scalar subquery returning a struct; its value is
     then a constant in the projection of ``df``. ``outputs`` (expressions
     over the total columns, e.g. formatting) are evaluated once inside the
-    subquery rather than on every row. ``source`` defaults to ``df``.
+    subquery rather than on every row; ``durations`` names output columns
+    (whole seconds) to format as ``HH:MM:SS`` there. ``source`` defaults to ``df``.
     """
     if not totals:
         return df
@@ -24,6 +28,8 @@ def with_grand_totals(df: DataFrame, totals: dict[str, Column],
     agg = src.agg(*[e.alias(n) for n, e in totals.items()])
     if outputs is not None:
         agg = agg.select(*outputs)
+    if durations:
+        agg = format_hms(agg, durations)
     names = agg.columns
     packed = agg.select(F.struct(*names).alias("_t")).scalar()
     # one subquery expression, unpacked in a second projection (a getField per

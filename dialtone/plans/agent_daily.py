@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtone.functions.fmt import format_hms, hms
+from dialtone.functions.fmt import format_hms
 from dialtone.functions.timefx import date_bounds
 from dialtone.operators.daily import group_totals, mask_null_keys, window_rollup
 from dialtone.operators.sessions import first_last_per_day, last_before
@@ -231,9 +231,10 @@ def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
     out = _columns(all_tenants, bu)
     per_row = format_hms(rows.selectExpr(*out.rows), out.durations)
     ordered = per_row.orderBy("summary_date", "tenant", "company", "agent")
-    totals = [hms(F.expr(e)).alias(n) if is_secs else F.expr(e).alias(n)
+    totals = [F.expr(f"cast({e} AS bigint) AS {n}" if is_secs else f"{e} AS {n}")
               for n, e, is_secs in out.totals]
-    done = with_grand_totals(ordered, _grand_totals(), outputs=totals, source=rows)
+    done = with_grand_totals(ordered, _grand_totals(), outputs=totals, source=rows,
+                             durations=[n for n, _, is_secs in out.totals if is_secs])
     return done.select(*out.order)
 
 

@@ -27,7 +27,10 @@ def spread(df: DataFrame) -> DataFrame:
     default parallelism. A large table already has at least that many
     splits and is returned unchanged, so no shuffle is added at scale.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("dialtone.spreadSmallScans", "true") != "true":
+        return df
+    want = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
