@@ -22,3 +22,12 @@ def test_not_null(spark):
     assert not_null_violations(df, ["a", "b"]).count() == 2
     r = null_counts(df, ["a", "b"]).collect()[0]
     assert (r.rows, r.nulls_a, r.nulls_b) == (3, 1, 1)
+
+
+def test_hangup_cause_dimension(spark):
+    from dialtone.sources.dims import hangup_causes
+    df = hangup_causes(spark)
+    rows = {r.itut_q850_code: r for r in df.collect()}
+    assert len(rows) == 65 == df.count()
+    assert rows[17].sip_equiv == 486 and rows[17].enumeration == "USER_BUSY"
+    assert rows[0].sip_equiv is None and rows[609].enumeration == "GATEWAY_DOWN"
