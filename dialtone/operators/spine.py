@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from dialtone.functions.timefx import DEFAULT_TZ, parse_ts
 
-# rows per spine partition; a ten-year hourly spine is ~88k rows
-_ROWS_PER_PARTITION = 100_000
+# hours per spine partition. The spine is the streamed side of the report's
+# join, so its partitions carry the output: a ten-year range (~88k hours) x
+# dozens of skills is spread over ~9 tasks instead of one.
+_ROWS_PER_PARTITION = 10_000
 
 
 def local_wall_clock(value: str | dt.datetime, tz: str = DEFAULT_TZ) -> dt.datetime:
