@@ -25,14 +25,6 @@ WINDOWS: dict[str, tuple[str, str | None]] = {
 }
 
 
-def window_match(name: str) -> Column:
-    window_name, param2 = WINDOWS[name]
-    cond = c("window_name") == window_name
-    if param2 is not None:
-        cond &= c("param2") == param2
-    return cond
-
-
 def _match_sql(name: str) -> str:
     window_name, param2 = WINDOWS[name]
     cond = f"window_name = '{window_name}'"

@@ -51,26 +51,6 @@ def last_before(status: DataFrame, reason: str, before, by: str = "resource_id",
     return status.filter(cond).groupBy(by).agg(F.max("created_at").alias(name))
 
 
-# --- window operators over one agent's event sequence ----------------------
-def agent_order() -> Window:
-    """Events of one agent in time order; the event id-free tiebreak is the reason."""
-    return Window.partitionBy("resource_id").orderBy("created_at", "reason")
-
-
-def with_rank_and_lead(events: DataFrame) -> DataFrame:
-    """``rn`` = ROW_NUMBER, ``next_at`` / ``next_reason`` = LEAD over the agent's events."""
-    w = agent_order()
-    return (events.withColumn("rn", F.row_number().over(w))
-            .withColumn("next_at", F.lead("created_at").over(w))
-            .withColumn("next_reason", F.lead("reason").over(w)))
-
-
-def with_running_count(events: DataFrame, reason: str, name: str) -> DataFrame:
-    """Running count of ``reason`` events up to and including each row."""
-    w = agent_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn(name, F.sum(F.when(c("reason") == reason, 1).otherwise(0)).over(w))
-
-
 def micros_between(a: Column, b: Column) -> Column:
     """``b - a`` in microseconds (interval arithmetic kept exact as a long)."""
     return F.timestamp_diff("MICROSECOND", a, b)

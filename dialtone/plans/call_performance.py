@@ -12,7 +12,6 @@ from dialtone.operators.index import ordered_index
 
 c = F.col
 
-_KEYS = ["date", "tenant", "company", "bu"]
 
 
 def ratio_1dp(num: Column, den: Column) -> Column:

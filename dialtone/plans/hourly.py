@@ -19,7 +19,6 @@ from dialtone.operators.spine import hour_spine, spine_bounds
 
 c = F.col
 
-_KEYS = ["c_date", "c_hour"]
 
 
 def _with_local_hour(df: DataFrame, tz: str) -> DataFrame:
