@@ -1,0 +1,28 @@
+"""The hourly reports in the original join-chain shape, run by Spark SQL.
+
+Used by ``bench.py`` as the same-engine baseline for the one-pass plans:
+one subquery (one scan of the call legs) per measure, left-joined.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from dialtone.catalog import params as P
+from dialtone.catalog.oracle_hourly import hourly_sql
+from dialtone.sources.fixtures import RAW_TABLES
+from dialtone.sources.tables import read_table
+
+SQL = {
+    "hourly_call_summary": lambda: hourly_sql(P.FROM_TS, P.TO_TS, P.SKILLS, None, P.COMPANY,
+                                              P.TENANT, dialect="spark"),
+    "hourly_call_summary_w_hour": lambda: hourly_sql(
+        P.FROM_TS, P.TO_TS, P.SKILLS, None, P.COMPANY, P.TENANT, band=(P.FROM_HOUR, P.TO_HOUR),
+        with_outbound=True, dialect="spark"),
+}
+
+
+def join_chain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for t in RAW_TABLES:
+        read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.sql(SQL[name]())

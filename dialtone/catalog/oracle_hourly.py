@@ -37,16 +37,25 @@ def _sub(alias, measure, where, skill_key=True):
     return f"LEFT OUTER JOIN ({sel}) {alias} ON " + " AND ".join(x.format(alias) for x in on)
 
 
-def _series(from_ts, to_ts, band):
+def _series(from_ts, to_ts, band, dialect="duckdb"):
     start = f"date_trunc('hour', {q.local(q.ts(from_ts))})"
     stop = f"date_trunc('hour', {q.local(q.ts(to_ts))})"
     where = f" WHERE hour(dd) >= {band[0]} AND hour(dd) <= {band[1]}" if band else ""
+    if dialect == "spark":
+        gen = f"(SELECT explode(sequence({start}, {stop}, INTERVAL 1 HOUR)) AS dd) t"
+    else:
+        gen = f"generate_series({start}, {stop}, INTERVAL 1 HOUR) t(dd)"
     return (f"(SELECT CAST(dd AS DATE) AS s_date, CAST(hour(dd) AS INTEGER) AS s_hour "
-            f"FROM generate_series({start}, {stop}, INTERVAL 1 HOUR) t(dd){where}) series")
+            f"FROM {gen}{where}) series")
 
 
 def hourly_sql(from_ts, to_ts, skills, b_unit, company, tenant, *, band=None,
-               with_outbound=False) -> str:
+               with_outbound=False, dialect="duckdb") -> str:
+    """The hourly report in the original join-chain shape.
+
+    ``dialect="spark"`` emits the same query for Spark SQL; ``bench.py``
+    runs it there as the join-chain baseline on the same engine.
+    """
     inclusive_end = band is not None or with_outbound
     base = _base_filter(from_ts, to_ts, inclusive_end, company, tenant, b_unit, band)
     inbound = base + ["direction = 'inbound'", "obj_type = 'HTTAPI'",
@@ -81,13 +90,14 @@ def hourly_sql(from_ts, to_ts, skills, b_unit, company, tenant, *, band=None,
         "LEFT OUTER JOIN", "LEFT OUTER JOIN", 1)
     # ``a`` joins the series on date and hour only
     first = first.split(" ON ")[0] + " ON series.s_date = a.c_date AND series.s_hour = a.c_hour"
-    avg = lambda e: q.hms(q.trunc_secs(e))
+    avg = lambda e: q.hms(q.trunc_secs(e, dialect), dialect)
+    pct = lambda n: q.idiv(f"{n} * 100", "b.queuedcount", dialect)
     cols = ["a.ivrcount"]
     if with_outbound:
         cols.append("m.outboundcallcount")
     cols += ["b.queuedcount", "c.abandonedcount",
-             "c.abandonedcount * 100 // b.queuedcount AS abandonedpercent",
-             "j.droppedcount", "j.droppedcount * 100 // b.queuedcount AS droppedpercent",
+             f"{pct('c.abandonedcount')} AS abandonedpercent",
+             "j.droppedcount", f"{pct('j.droppedcount')} AS droppedpercent",
              f"{avg('d.holdsec_avg')} AS holdsec_avg"]
     if with_outbound:
         cols.append(f"{avg('n.holdsec_avg_outbound')} AS holdsec_avg_outbound")
@@ -100,11 +110,11 @@ def hourly_sql(from_ts, to_ts, skills, b_unit, company, tenant, *, band=None,
     if with_outbound:
         cols.append("p.answered_count_outbound")
     cols += [f"{avg('i.queuesec_avg')} AS queuesec_avg",
-             "h.answered_count * 100 // b.queuedcount AS answeredpercent",
+             f"{pct('h.answered_count')} AS answeredpercent",
              f"{avg('k.abandonedqueue_avg')} AS abandonedqueue_avg",
              f"{avg('l.answeredqueue_avg')} AS answeredqueue_avg",
              "series.s_date", "series.s_hour", "a.agent_skill AS agentskill", "a.company_id",
              "a.tenant_id"]
-    return (q.ctes("cdr") + "SELECT " + ",\n  ".join(cols) + "\nFROM " + _series(from_ts, to_ts, band)
+    return (q.ctes("cdr") + "SELECT " + ",\n  ".join(cols) + "\nFROM " + _series(from_ts, to_ts, band, dialect)
             + "\n" + first + "\n" + "\n".join(joins)
             + "\nORDER BY series.s_date, series.s_hour, a.agent_skill")
