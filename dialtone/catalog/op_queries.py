@@ -264,8 +264,8 @@ def _day_totals(spark, t):
 
 @op("acw_by_direction", q.ctes("acw", "cdr") + f"""
 SELECT acw.resource_id,
-  SUM(CASE WHEN cdr.direction = 'inbound' THEN acw.duration ELSE 0 END) AS acw_in,
-  SUM(CASE WHEN cdr.direction = 'outbound' THEN acw.duration ELSE 0 END) AS acw_out
+  CAST(SUM(CASE WHEN cdr.direction = 'inbound' THEN acw.duration ELSE 0 END) AS BIGINT) AS acw_in,
+  CAST(SUM(CASE WHEN cdr.direction = 'outbound' THEN acw.duration ELSE 0 END) AS BIGINT) AS acw_out
 FROM acw INNER JOIN cdr ON acw.session_id = cdr.uuid
 WHERE acw.created_at >= {FROM} AND acw.created_at <= {TO} GROUP BY acw.resource_id""")
 def _acw(spark, t):
@@ -316,10 +316,10 @@ def _filtered_counts(spark, t):
 
 @op("cdr_talk_totals", q.ctes("cdr") + f"""
 SELECT {_PERF_KEYS_SQL},
-  sum(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec ELSE 0 END) AS talk_in,
-  sum(CASE WHEN direction = 'inbound' AND agent_answered THEN hold_sec ELSE 0 END) AS hold_in,
-  sum(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec ELSE 0 END) AS talk_out,
-  sum(CASE WHEN direction = 'outbound' AND is_answered THEN hold_sec ELSE 0 END) AS hold_out
+  CAST(sum(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec ELSE 0 END) AS BIGINT) AS talk_in,
+  CAST(sum(CASE WHEN direction = 'inbound' AND agent_answered THEN hold_sec ELSE 0 END) AS BIGINT) AS hold_in,
+  CAST(sum(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec ELSE 0 END) AS BIGINT) AS talk_out,
+  CAST(sum(CASE WHEN direction = 'outbound' AND is_answered THEN hold_sec ELSE 0 END) AS BIGINT) AS hold_out
 {_PERF_FROM}""")
 def _talk_totals(spark, t):
     return _metrics(t, ["talk_in", "hold_in", "talk_out", "hold_out"])
@@ -350,8 +350,8 @@ def _rollup_sql(w: str) -> str:
     window_name, param2 = dy.WINDOWS[w]
     m = f"window_name = '{window_name}'" + (f" AND param2 = '{param2}'" if param2 else "")
     return (f"max(CASE WHEN {m} THEN max_time END) AS {w}_m, "
-            f"sum(CASE WHEN {m} THEN total_count END) AS {w}_n, "
-            f"sum(CASE WHEN {m} THEN total_time END) AS {w}_t, "
+            f"CAST(sum(CASE WHEN {m} THEN total_count END) AS BIGINT) AS {w}_n, "
+            f"CAST(sum(CASE WHEN {m} THEN total_time END) AS BIGINT) AS {w}_t, "
             f"round(avg(CASE WHEN {m} THEN total_time END), 4) AS {w}_avg_t")
 
 
@@ -374,7 +374,7 @@ def _rollup(spark, t):
 
 @op("weighted_avg_time", q.ctes("daily") + f"""
 SELECT summary_date, tenant, company, param1, window_name,
-  sum(total_time) // COALESCE(NULLIF(sum(total_count), 0), 1) AS avg_time
+  CAST(sum(total_time) // COALESCE(NULLIF(sum(total_count), 0), 1) AS BIGINT) AS avg_time
 FROM daily WHERE {_DAILY_RANGE} GROUP BY 1, 2, 3, 4, 5""")
 def _weighted(spark, t):
     d = t.daily.filter(c("summary_date").between(F.lit(FIRST_DAY), F.lit(LAST_DAY)))
@@ -408,7 +408,7 @@ _SPAN_US = "epoch_us(next_at) - epoch_us(created_at)"
 
 @op("session_totals", q.ctes("status") + f"""
 SELECT COALESCE(l.resource_id, i.resource_id, o.resource_id) AS resource_id,
-  l.us AS login_us, i.us AS inbound_us, o.us AS outbound_us,
+  CAST(l.us AS BIGINT) AS login_us, CAST(i.us AS BIGINT) AS inbound_us, CAST(o.us AS BIGINT) AS outbound_us,
   {q.hms('l.us // 1000000')} AS login_total_time
 FROM (SELECT resource_id, sum({_SPAN_US}) AS us FROM ({_ranked_sql(('Register', 'UnRegister'))}) r
       WHERE reason = 'Register' AND next_reason = 'UnRegister' GROUP BY 1) l
@@ -428,9 +428,9 @@ def _session_totals(spark, t):
 SELECT summary_date AS date, CAST(tenant AS INTEGER) AS tenant, CAST(company AS INTEGER) AS company,
   business_unit AS bu,
   count(*) FILTER (WHERE window_name = 'LOGIN') AS staff_count,
-  sum(CASE WHEN window_name = 'LOGIN' THEN total_time ELSE 0 END) AS staff_time,
-  sum(CASE WHEN window_name = 'AFTERWORK' THEN total_time ELSE 0 END) AS acw_time,
-  sum(CASE WHEN window_name = 'BREAK' THEN total_time ELSE 0 END) AS break_time
+  CAST(sum(CASE WHEN window_name = 'LOGIN' THEN total_time ELSE 0 END) AS BIGINT) AS staff_time,
+  CAST(sum(CASE WHEN window_name = 'AFTERWORK' THEN total_time ELSE 0 END) AS BIGINT) AS acw_time,
+  CAST(sum(CASE WHEN window_name = 'BREAK' THEN total_time ELSE 0 END) AS BIGINT) AS break_time
 FROM daily WHERE {_DAILY_RANGE} GROUP BY summary_date, tenant, company, business_unit""")
 def _staff(spark, t):
     return staff_metrics(t.daily, P.FROM_TS, P.TO_TS)
@@ -461,8 +461,8 @@ def _lead(spark, t):
 
 @op("running_close_count", q.ctes("status") + f"""
 SELECT resource_id, created_at, reason,
-  SUM(CASE WHEN reason = 'endInbound' THEN 1 ELSE 0 END) OVER (PARTITION BY resource_id ORDER BY created_at
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close_count
+  CAST(SUM(CASE WHEN reason = 'endInbound' THEN 1 ELSE 0 END) OVER (PARTITION BY resource_id ORDER BY created_at
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS close_count
 FROM status WHERE reason IN ('Inbound', 'endInbound') AND created_at >= {FROM} AND created_at <= {TO}""")
 def _running(spark, t):
     ev = t.status.filter(c("reason").isin("Inbound", "endInbound")
@@ -475,7 +475,7 @@ def _running(spark, t):
 SELECT summary_date, tenant, company, param1, login_t,
   CAST(SUM(login_t) OVER () AS BIGINT) AS full_login_t, CAST(COUNT(*) OVER () AS BIGINT) AS n_rows,
   CAST(round(AVG(login_t) OVER ()) AS BIGINT) AS avg_login_t
-FROM (SELECT summary_date, tenant, company, param1, sum(total_time) AS login_t FROM daily
+FROM (SELECT summary_date, tenant, company, param1, CAST(sum(total_time) AS BIGINT) AS login_t FROM daily
       WHERE window_name = 'LOGIN' AND {_DAILY_RANGE} GROUP BY 1, 2, 3, 4) x""")
 def _grand(spark, t):
     d = t.daily.filter((c("window_name") == "LOGIN")

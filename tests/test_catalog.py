@@ -21,3 +21,25 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, name):
     rep = compare(spark, SMOKE_DIR, [name], verbose=True)[name]
     assert rep["values_ok"], rep
+
+
+_KIND = {"integer": "int32", "int": "int32", "bigint": "int64", "double": "float64",
+         "string": "str", "varchar": "str", "date": "date", "timestamp_ntz": "ts",
+         "timestamp": "ts", "boolean": "bool"}
+
+
+def test_result_types_match_oracle(spark):
+    from dialtone.catalog.compare import duck_connection
+    con = duck_connection(SMOKE_DIR)
+    sqls = entry_mod.oracle_sql()
+    mismatched = {}
+    for name, build in entry_mod.queries().items():
+        df = build(spark, SMOKE_DIR)
+        spark_types = {f.name: _KIND.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in df.schema.fields}
+        rel = con.sql(sqls[name])
+        duck_types = {c: _KIND.get(str(t).lower(), str(t).lower())
+                      for c, t in zip(rel.columns, rel.types)}
+        if spark_types != duck_types:
+            mismatched[name] = (spark_types, duck_types)
+    assert not mismatched, mismatched
