@@ -166,8 +166,13 @@ def acw_by_direction(acw: DataFrame, cdr: DataFrame, from_ts, to_ts) -> DataFram
     """
     work = acw.filter(in_range("created_at", from_ts, to_ts, inclusive_end=True)) \
         .select("resource_id", "session_id", "duration")
-    per_uuid = cdr.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
-                                       count_where(c("direction") == "outbound").alias("n_out"))
+    # legs of any time, but only those of a session with work in the range: the
+    # semi-join runs before the per-uuid reduction (broadcast by AQE when the
+    # work side is small; otherwise the uuid partitioning serves both steps)
+    legs = cdr.select("uuid", "direction").join(
+        work.select(c("session_id").alias("uuid")), on="uuid", how="left_semi")
+    per_uuid = legs.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
+                                        count_where(c("direction") == "outbound").alias("n_out"))
     j = work.join(per_uuid, work.session_id == per_uuid.uuid, "inner")
     return j.groupBy("resource_id").agg(
         F.sum(c("duration") * c("n_in")).alias("acw_in"),
