@@ -30,8 +30,12 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("dialtone.spreadSmallScans", "true") != "true":
         return df
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as is
+        return df
+    if splits < want:
         return df.repartition(want)
     return df
 
