@@ -1,18 +1,7 @@
-"""The eight reports, each a function from DataFrames and parameters to a DataFrame."""
+"""The eight reports, each a function from DataFrames and parameters to a DataFrame.
 
-from dialtone.plans.agent_daily import (agent_productivity, agent_productivity_all,
-                                        agent_productivity_bu)
-from dialtone.plans.agent_events import agent_events_all, agent_events_bu
-from dialtone.plans.call_performance import call_performance
-from dialtone.plans.hourly import hourly_call_summary, hourly_call_summary_w_hour
-
-__all__ = [
-    "hourly_call_summary",          # R1
-    "hourly_call_summary_w_hour",   # R2
-    "agent_productivity",           # R3
-    "agent_productivity_all",       # R4
-    "agent_productivity_bu",        # R5
-    "agent_events_all",             # R6
-    "agent_events_bu",              # R7
-    "call_performance",             # R8
-]
+Modules: ``hourly`` (R1 ``hourly_call_summary``, R2 ``hourly_call_summary_w_hour``),
+``agent_daily`` (R3 ``agent_productivity``, R4 ``agent_productivity_all``, R5
+``agent_productivity_bu``), ``agent_events`` (R6 ``agent_events_all``, R7
+``agent_events_bu``), ``call_performance`` (R8 ``call_performance``).
+"""
