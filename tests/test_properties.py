@@ -47,3 +47,18 @@ def test_join_chain_equals_one_pass_in_spark(spark):
         b = queries()[name](spark, SMOKE_DIR)
         assert normalise(a.columns, [tuple(r) for r in a.collect()]) == \
             normalise(b.columns, [tuple(r) for r in b.collect()])
+
+
+def test_ordered_index_equals_global_row_number(spark):
+    import random
+    from pyspark.sql import Window
+    from dialtone.operators.index import ordered_index
+    rnd = random.Random(3)
+    rows = [(f"d{rnd.randrange(5)}", rnd.choice([None, 1, 2, 3]), rnd.choice([None, "a", "b"]), i)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "day string, t int, u string, k int")
+    order = [F.col("t").asc_nulls_last(), F.col("u").asc_nulls_last(), F.col("k")]
+    got = ordered_index(df, "day", order, "id", bucket_bound=5).select("k", "id")
+    expected = df.select("k", F.row_number().over(
+        Window.orderBy(F.col("day"), *order)).cast("int").alias("id"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
