@@ -119,40 +119,40 @@ def legs_per_agent(cdr: DataFrame, resources: DataFrame, from_ts, to_ts, tz: str
 
     keys = ["day", "tenant_id", "company_id"] + (["business_unit"] if by_unit else [])
     legs = cdr.filter(in_range("created_time", from_ts, to_ts, inclusive_end=True))
-    inbound, outbound = c("direction") == "inbound", c("direction") == "outbound"
-    in_ans, out_ans = inbound & c("agent_answered"), outbound & c("is_answered")
-    out_dial = outbound & ~c("is_answered")
-    one = lambda cond: F.when(F.coalesce(cond, F.lit(False)), 1).otherwise(0)
-    val = lambda cond, v: F.when(cond, v).otherwise(0)
-    role = F.explode(F.array(
-        F.struct(F.lit("in").alias("role"), c("received_by").alias("agent_name"),
-                 one(inbound).alias("n_total"), one(in_ans).alias("n_conn"),
-                 val(in_ans, c("bill_sec")).alias("t_conn"), val(in_ans, c("hold_sec")).alias("t_hold"),
-                 one(in_ans & (c("hold_sec") > 0)).alias("n_hold"),
-                 F.lit(0).alias("n_dial"), F.lit(0).alias("t_dial")),
-        F.struct(F.lit("out").alias("role"), c("sip_from_user").alias("agent_name"),
-                 one(outbound).alias("n_total"), one(out_ans).alias("n_conn"),
-                 val(out_ans, c("bill_sec")).alias("t_conn"), val(out_ans, c("hold_sec")).alias("t_hold"),
-                 one(out_ans & (c("hold_sec") > 0)).alias("n_hold"), one(out_dial).alias("n_dial"),
-                 val(out_dial & (c("obj_type") != "PRIVATE_USER"), c("ivr_connect_sec")).alias("t_dial")),
-    )).alias("r")
-    per_name = (legs.select(local_date("created_time", tz).alias("day"), *keys[1:], role)
-                .select(*keys, "r.*")
+    one = lambda cond: f"if(coalesce({cond}, false), 1, 0)"
+    val = lambda cond, v: f"if({cond}, {v}, 0)"
+    inb, outb = "direction = 'inbound'", "direction = 'outbound'"
+    in_ans, out_ans = f"({inb} AND agent_answered)", f"({outb} AND is_answered)"
+    out_dial = f"({outb} AND NOT is_answered)"
+    roles = (
+        "inline(array("
+        f"named_struct('role', 'in', 'agent_name', received_by, 'n_total', {one(inb)}, "
+        f"'n_conn', {one(in_ans)}, 't_conn', {val(in_ans, 'bill_sec')}, "
+        f"'t_hold', {val(in_ans, 'hold_sec')}, 'n_hold', {one(in_ans + ' AND hold_sec > 0')}, "
+        "'n_dial', 0, 't_dial', 0), "
+        f"named_struct('role', 'out', 'agent_name', sip_from_user, 'n_total', {one(outb)}, "
+        f"'n_conn', {one(out_ans)}, 't_conn', {val(out_ans, 'bill_sec')}, "
+        f"'t_hold', {val(out_ans, 'hold_sec')}, 'n_hold', {one(out_ans + ' AND hold_sec > 0')}, "
+        f"'n_dial', {one(out_dial)}, "
+        f"'t_dial', {val(out_dial + " AND obj_type != 'PRIVATE_USER'", 'ivr_connect_sec')})))")
+    measures = ("n_total", "n_conn", "t_conn", "t_hold", "n_hold", "n_dial", "t_dial")
+    local_day = local_date("created_time", tz).alias("day")
+    per_name = (legs.select(local_day, *keys[1:], "received_by", "sip_from_user", "direction",
+                            "agent_answered", "is_answered", "hold_sec", "bill_sec", "obj_type",
+                            "ivr_connect_sec")
+                .selectExpr(*keys, roles)
                 .groupBy(*keys, "role", "agent_name")
-                .agg(*[F.sum(x).alias(x) for x in
-                       ("n_total", "n_conn", "t_conn", "t_hold", "n_hold", "n_dial", "t_dial")]))
+                .agg(*[F.expr(f"sum({x}) AS {x}") for x in measures]))
     agents = resources.select(c("resource_name").alias("agent_name"), "resource_id")
     joined = per_name.join(agents, on="agent_name", how="inner")
-    s_in = lambda x: F.sum(F.when(c("role") == "in", c(x)))
-    s_out = lambda x: F.sum(F.when(c("role") == "out", c(x)))
-    return joined.groupBy(*keys, "resource_id").agg(
-        s_in("n_total").alias("in_total"), s_in("n_conn").alias("in_conn_n"),
-        s_in("t_conn").alias("in_conn_t"), s_in("t_hold").alias("in_hold_t"),
-        s_in("n_hold").alias("in_hold_n"),
-        s_out("n_total").alias("out_total"), s_out("n_conn").alias("out_conn_n"),
-        s_out("n_dial").alias("out_dial_n"), s_out("t_conn").alias("out_conn_t"),
-        s_out("t_hold").alias("out_hold_t"), s_out("n_hold").alias("out_hold_n"),
-        s_out("t_dial").alias("out_dial_t"))
+    out = {"in": [("n_total", "in_total"), ("n_conn", "in_conn_n"), ("t_conn", "in_conn_t"),
+                  ("t_hold", "in_hold_t"), ("n_hold", "in_hold_n")],
+           "out": [("n_total", "out_total"), ("n_conn", "out_conn_n"), ("n_dial", "out_dial_n"),
+                   ("t_conn", "out_conn_t"), ("t_hold", "out_hold_t"), ("n_hold", "out_hold_n"),
+                   ("t_dial", "out_dial_t")]}
+    return joined.groupBy(*keys, "resource_id").agg(*[
+        F.expr(f"sum(if(role = '{r}', {x}, NULL)) AS {name}")
+        for r, pairs in out.items() for x, name in pairs])
 
 
 def acw_by_direction(acw: DataFrame, cdr: DataFrame, from_ts, to_ts) -> DataFrame:
