@@ -31,6 +31,8 @@ def build_session(master: str | None = None, app_name: str = "dialtone",
     conf = dict(REQUIRED_CONF)
     conf.setdefault("spark.ui.enabled", "false")
     conf.setdefault("spark.ui.showConsoleProgress", "false")
+    # checkpoint files of reports (R3-R5) are removed once their DataFrames are gone
+    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
