@@ -1 +1,11 @@
-"""Operators for preparing large text corpora."""
+"""Operators for preparing large text corpora.
+
+Functions that run in Python workers travel with the job, so executors need
+numpy and pyarrow but no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

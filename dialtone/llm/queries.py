@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat
+from dialtone.llm import chat, licence_scan, secret_scan
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,37 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid", (F.col("learned") == F.col("marked")).alias("mask_agrees"))
 
 
+#: Ranks of a public byte-level BPE vocabulary; a path on the driver.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the base patterns, and random strings that touch none of them."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), VOCABULARY)
+    told = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter(
+        "spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("random"),
+                        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document: phrases, and covered spans of licence templates."""
+    found = licence_scan.scan_licences(table(spark, sf_dir, "documents"))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    base = F.transform("places", lambda x: x["label"])
+    starts = F.transform("places", lambda x: x["start"])
+    own = F.transform("spans", lambda x: x["label"])
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        joined(base).alias("base_labels"),
+                        joined(F.concat(base, own)).alias("labels"), "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op8_secret_scan": op8_secret_scan,
+    "op10_licence_scan": op10_licence_scan,
 }
