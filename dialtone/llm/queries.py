@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, licence_scan, secret_scan
+from dialtone.llm import chat, licence_scan, secret_scan, toxicity
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,15 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid", (F.col("learned") == F.col("marked")).alias("mask_agrees"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, learned from the labels of those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
+
+
 #: Ranks of a public byte-level BPE vocabulary; a path on the driver.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -70,6 +79,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op10_licence_scan": op10_licence_scan,
 }
