@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, licence_scan, secret_scan, toxicity
+from dialtone.llm import chat, licence_scan, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC archives, as the WARC archives tell it."""
+    back = warc.through_archives(table(spark, sf_dir, "pages"))
+    to = back.where("type = 'response'").select(
+        F.col("record_id").alias("refers_to_record"), F.col("key").cast("long").alias("refers_to"))
+    revisits = (back.where("type = 'revisit'").join(to, "refers_to_record", "left"))
+    done = back.where("type = 'response'").withColumn("refers_to", F.lit(None).cast("long")).unionByName(
+        revisits.select(*back.columns, "refers_to"))
+    return done.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                       F.col("type").alias("record_type"), "refers_to", "url", "intact")
+
+
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document: phrases, and covered spans of licence templates."""
     found = licence_scan.scan_licences(table(spark, sf_dir, "documents"))
@@ -81,5 +93,6 @@ QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
+    "op9_warc": op9_warc,
     "op10_licence_scan": op10_licence_scan,
 }

@@ -35,6 +35,20 @@ select conv_id, count(*)::bigint as n_turns,
 from sized group by conv_id
 """
 
+OP9 = """
+with p as (
+  select page_id, url, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+  from pages
+), m as (
+  select *, max(page_id) over (partition by payload_digest, payload_bytes) as best from p
+)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and best <> page_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and best <> page_id then best end as refers_to, url, true as intact
+from m
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1,
+    "op9_warc": OP9,
 }
