@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, licence_scan, secret_scan, toxicity, warc
+from dialtone.llm import chat, decontaminate, licence_scan, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid", (F.col("learned") == F.col("marked")).alias("mask_agrees"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of benchmark items, with the items."""
+    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document, learned from the labels of those that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,6 +96,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_decontamination": op3_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,

@@ -35,6 +35,37 @@ select conv_id, count(*)::bigint as n_turns,
 from sized group by conv_id
 """
 
+# The masks are written out: words 0 1 2 4 7 9 10 11 and 0 1 3 5 6 8 9 11 of twelve.
+OP3 = r"""
+with d as (
+  select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where doc_id is not null
+), b as (
+  select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark where item_id is not null
+), dw as (
+  select doc_id, w, unnest(range(1, len(w) - 10)) as p from d where len(w) >= 12
+), bw as (
+  select item_id, w, unnest(range(1, len(w) - 10)) as p from b where len(w) >= 12
+), ds as (
+  select doc_id, w, p, 1 as mask, [w[p], w[p+1], w[p+2], w[p+4], w[p+7], w[p+9], w[p+10], w[p+11]] as seed from dw
+  union all
+  select doc_id, w, p, 2, [w[p], w[p+1], w[p+3], w[p+5], w[p+6], w[p+8], w[p+9], w[p+11]] from dw
+), bs as (
+  select item_id, w, p, 1 as mask, [w[p], w[p+1], w[p+2], w[p+4], w[p+7], w[p+9], w[p+10], w[p+11]] as seed from bw
+  union all
+  select item_id, w, p, 2, [w[p], w[p+1], w[p+3], w[p+5], w[p+6], w[p+8], w[p+9], w[p+11]] from bw
+), hit as (
+  select distinct ds.doc_id, bs.item_id, ds.p, bs.p as q, ds.w as dw, bs.w as bw,
+    greatest(-4, 1 - ds.p, 1 - bs.p) as lo, least(16, len(ds.w) - ds.p + 1, len(bs.w) - bs.p + 1) as hi
+  from ds join bs on ds.mask = bs.mask and ds.seed = bs.seed
+), seen as (
+  select doc_id, item_id, p, q, hi - lo as looked,
+    len(list_filter(range(lo, hi), lambda k: dw[p + k] = bw[q + k])) as agree
+  from hit
+)
+select doc_id, item_id, count(distinct (p, q)) as n_hits, max(agree)::bigint as most_agree
+from seen where agree >= 12 and 100 * agree >= 75 * looked group by doc_id, item_id
+"""
+
 OP9 = """
 with p as (
   select page_id, url, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
@@ -50,5 +81,6 @@ from m
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1,
+    "op3_decontamination": OP3,
     "op9_warc": OP9,
 }
