@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, decontaminate, licence_scan, secret_scan, toxicity, warc
+from dialtone.llm import chat, decontaminate, licence_scan, mixing, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,24 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: The mixture of op5 and of the pipeline's last stage.
+MIX_WEIGHTS = mixing.Weights(domain={"web": 5, "reference": 3, "forum": 2, "other": 1},
+                             lang={"en": 6, "de": 2, "fr": 2, "es": 1})
+
+
+def mix_domain() -> Column:
+    """The domain of a source, by the number that its name ends with."""
+    number = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as int)") % 4
+    return (F.when(number == 0, "web").when(number == 1, "reference").when(number == 2, "forum")
+            .otherwise("other"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a mixture by domain, language and source, with their epochs."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, mix_domain(), MIX_WEIGHTS).select("doc_id", "mix.*")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document, learned from the labels of those that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +115,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_decontamination": op3_decontamination,
+    "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,

@@ -66,6 +66,63 @@ select doc_id, item_id, count(distinct (p, q)) as n_hits, max(agree)::bigint as
 from seen where agree >= 12 and 100 * agree >= 75 * looked group by doc_id, item_id
 """
 
+def _filled(nodes: str, parents: str) -> str:
+    """Weighted filling of siblings up to their capacity, as a chain of CTEs over ``nodes``."""
+    return f"""
+{nodes}_a as (
+  select *, capacity / weight as ratio from {nodes} where weight > 0 and capacity > 0
+), {nodes}_b as (
+  select *, (amount - coalesce(sum(capacity) over (w rows between unbounded preceding and 1 preceding), 0))
+      / sum(weight) over (w rows between current row and unbounded following) as lev
+  from {nodes}_a window w as (partition by {parents} order by ratio, name)
+), {nodes}_c as (
+  select *, min(case when ratio > lev then row(ratio, name, lev) end) over (partition by {parents}) as o
+  from {nodes}_b
+), {nodes}_done as (
+  select *, case when ratio <= lev then capacity else o[3] * weight end as given from {nodes}_c
+)"""
+
+
+OP5 = rf"""
+with d as (
+  select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    case try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4
+      when 0 then 'web' when 1 then 'reference' when 2 then 'forum' else 'other' end as domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as tokens
+  from documents
+), leaf as (
+  select domain, lang, source, sum(tokens)::bigint as tokens, (sum(tokens) * 3)::double as capacity
+  from d group by all
+), n1 as (
+  select domain as name, 1 as root, sum(capacity) as capacity,
+    (case domain when 'web' then 5 when 'reference' then 3 when 'forum' then 2 else 1 end)::double as weight,
+    (select floor(sum(tokens) * 0.8::double) from leaf)::double as amount
+  from leaf group by domain
+), {_filled("n1", "root")}, n2 as (
+  select l.domain, l.lang as name, sum(l.capacity) as capacity,
+    (case l.lang when 'en' then 6 when 'de' then 2 when 'fr' then 2 else 1 end)::double as weight,
+    any_value(u.given) as amount
+  from leaf l join n1_done u on u.name = l.domain group by l.domain, l.lang
+), {_filled("n2", "domain")}, n3 as (
+  select l.domain, l.lang, l.source as name, l.capacity, 1::double as weight, u.given as amount
+  from leaf l join n2_done u on u.domain = l.domain and u.name = l.lang
+), {_filled("n3", "domain, lang")}, plan as (
+  select l.domain, l.lang, l.source, l.tokens, floor(coalesce(u.given, 0))::bigint as target
+  from leaf l left join n3_done u on u.domain = l.domain and u.lang = l.lang and u.name = l.source
+), drawn as (
+  select d.*, p.target, case when p.tokens > 0 then p.target // p.tokens else 0 end as whole,
+    case when p.tokens > 0 then p.target % p.tokens else 0 end as rest
+  from d join plan p using (domain, lang, source)
+), placed as (
+  select *, sum(tokens) over (partition by domain, lang, source
+    order by md5('17:' || whole || ':' || coalesce(doc_id::varchar, '')), doc_id) as upto
+  from drawn
+)
+select doc_id, domain, lang, source, tokens, unnest(range(whole))::int as epoch from placed
+union all
+select doc_id, domain, lang, source, tokens, whole::int from placed where rest > 0 and upto <= rest
+"""
+
 OP9 = """
 with p as (
   select page_id, url, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
@@ -82,5 +139,6 @@ from m
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1,
     "op3_decontamination": OP3,
+    "op5_mixing": OP5,
     "op9_warc": OP9,
 }
