@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, decontaminate, licence_scan, mixing, secret_scan, toxicity, warc
+from dialtone.llm import chat, decontaminate, licence_scan, mixing, near_vectors, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mix_domain(), MIX_WEIGHTS).select("doc_id", "mix.*")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, compared within labels."""
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document, learned from the labels of those that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -116,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_decontamination": op3_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_near_vectors": op6_near_vectors,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,
