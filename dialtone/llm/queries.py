@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, decontaminate, licence_scan, mixing, near_vectors, secret_scan, toxicity, warc
+from dialtone.llm import chat, decontaminate, licence_scan, mixing, near_vectors, ngram_join, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid", (F.col("learned") == F.col("marked")).alias("mask_agrees"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle sets of all documents, their links and components."""
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of benchmark items, with the items."""
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -119,6 +124,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_ngram_join": op2_ngram_join,
     "op3_decontamination": op3_decontamination,
     "op5_mixing": op5_mixing,
     "op6_near_vectors": op6_near_vectors,
