@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,60 +41,68 @@ QUOTES = "\"“”„«»‹›"
 class Trie:
     """Lexicon terms by character; a node is [children, term or None]."""
 
-    def __init__(self, terms: Iterator[str]):
+    def __init__(self, terms: Iterable[str], step: int = 1):
+        """``step`` -1 stores the terms from their ends."""
         self.root: list = [{}, None]
         for term in terms:
             node = self.root
-            for c in term:
+            for c in term[::step]:
                 node = node[0].setdefault(c, [{}, None])
             node[1] = term
 
-    def within(self, word: str, edits: int = 1) -> str | None:
-        """A term at most ``edits`` insertions, deletions or substitutions from ``word``.
+    def within(self, word: str, exact: int, edits: int = 1) -> str | None:
+        """A term that begins with the first ``exact`` characters of ``word`` and is at most
+        ``edits`` insertions, deletions or substitutions from it.
 
-        Walks trie and automaton together: the automaton's state is the set of
-        (characters of ``word`` read, edits used), and a branch ends where it is empty.
+        Trie and automaton are walked together: the automaton's state is the
+        set of (characters of ``word`` read, edits used) with the fewest edits
+        for each, and a branch of the trie ends where that set is empty.
         """
-        n, best = len(word), None
-        stack = [(self.root, {i: i for i in range(min(edits, n) + 1)})]
+        n, node = len(word), self.root
+        for c in word[:exact]:
+            node = node[0].get(c)
+            if node is None:
+                return None
+        best, term = edits + 1, None
+        stack = [(node, [(i, i - exact) for i in range(exact, min(exact + edits, n) + 1)])]
         while stack:
             node, state = stack.pop()
-            if node[1] is not None and n in state and (best is None or state[n] < best[0]):
-                best = (state[n], node[1])
+            if node[1] is not None and state[-1][0] == n and state[-1][1] < best:
+                best, term = state[-1][1], node[1]
             for c, child in node[0].items():
                 after: dict[int, int] = {}
-                for i, e in state.items():
+                for i, e in state:  # by rising i
+                    if e < edits and e + 1 < after.get(i, best):  # the term has c more
+                        after[i] = e + 1
                     if i < n:
                         cost = e if word[i] == c else e + 1
-                        if cost <= edits and cost < after.get(i + 1, 9):
+                        if cost <= edits and cost < after.get(i + 1, best):
                             after[i + 1] = cost
-                    if e < edits and e + 1 < after.get(i, 9):
-                        after[i] = e + 1
-                for i in sorted(after):  # characters of the word that the term lacks
-                    e = after[i]
-                    if i < n and e < edits and e + 1 < after.get(i + 1, 9):
-                        after[i + 1] = e + 1
+                for i in list(after):  # the word has a character more
+                    if i < n and after[i] < edits and after[i] + 1 < after.get(i + 1, best):
+                        after[i + 1] = after[i] + 1
                 if after:
-                    stack.append((child, after))
-        return best[1] if best else None
+                    stack.append((child, sorted(after.items()) if len(after) > 1 else list(after.items())))
+        return term
 
 
 @dataclass
 class Lexicon:
-    """Weights of whole words and of stems (beginnings of words)."""
+    """Weights of whole words and of stems (beginnings of words); ``spelled``: words also met misspelled."""
 
     words: dict[str, float]
     stems: dict[str, float]
+    spelled: list[str] = field(default_factory=list)
     window: int = 6
     cache_size: int = 200_000
     cache: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
-        fuzzy = [w for w in self.words if len(w) >= 5]
-        self.trie = Trie(fuzzy)
-        self.heads = {w[:2] for w in fuzzy}
-        self.tails = {w[-2:] for w in fuzzy}
-        self.lengths = {len(w) + d for w in fuzzy for d in (-1, 0, 1)}
+        fuzzy = [w for w in self.spelled if len(w) >= 5]
+        self.forward, self.backward = Trie(fuzzy), Trie(fuzzy, -1)
+        # one edit leaves a term's first or its last half as it is
+        self.halves = {(len(w), w[:len(w) // 2]) for w in fuzzy} | {
+            (-len(w), w[len(w) // 2:]) for w in fuzzy}
         self.stem_lengths = sorted({len(s) for s in self.stems})
 
     def lookup(self, word: str) -> tuple[str, float, bool] | None:
@@ -104,9 +112,14 @@ class Lexicon:
         for k in self.stem_lengths:
             if word[:k] in self.stems:
                 return word[:k], self.stems[word[:k]], False
-        # one edit leaves the first or the last two characters of a term of five as they are
-        if len(word) in self.lengths and (word[:2] in self.heads or word[-2:] in self.tails):
-            term = self.trie.within(word)
+        n = len(word)
+        for size in (n - 1, n, n + 1):
+            half = size // 2
+            term = None
+            if (size, word[:half]) in self.halves:
+                term = self.forward.within(word, half)
+            if term is None and (-size, word[half - size:]) in self.halves:
+                term = self.backward.within(word[::-1], size - half)
             if term is not None:
                 return term, self.words[term], True
         return None
@@ -172,14 +185,15 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms: int = 2000,
+def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms: int = 2000, max_spelled: int = 200,
           min_docs: int = 4, min_share: float = 0.005, min_ratio: float = 20.0) -> Model:
     """Fit a model on labelled documents.
 
     ``max_sample`` bounds the labelled rows of each label (those with the
     smallest hash of their id), ``max_terms`` the words and the stems that reach the driver.
     A term stands in ``min_docs`` toxic documents and ``min_share`` of them at
-    least, and is ``min_ratio`` times as frequent there as in the others.
+    least, and is ``min_ratio`` times as frequent there as in the others. The
+    ``max_spelled`` words with the most evidence are also met misspelled.
     """
     usable = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
@@ -205,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms:
                      ranked.where(F.col("stem") == stem)
                      .orderBy(F.desc("toxic"), F.desc("ratio"), "feature").limit(max_terms).collect()}
                     for stem in (False, True))
-    lexicon = _lexicon(words, stems)
+    lexicon = _lexicon(words, stems, max_spelled)
     rows = sample.select("toxic", "text").mapInArrow(
         _feature_rows(lexicon), "toxic int, features array<double>").collect()
     remove(sample)
@@ -258,7 +272,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 names=["stem", "feature", "toxic", "clean"])
 
 
-def _lexicon(words: dict, stems: dict) -> Lexicon:
+def _lexicon(words: dict, stems: dict, max_spelled: int) -> Lexicon:
     """Stems that many words share, without their own longer ones; words that no stem covers."""
     kept: dict[str, float] = {}
     top = defaultdict(int)
@@ -273,7 +287,8 @@ def _lexicon(words: dict, stems: dict) -> Lexicon:
             kept[stem] = math.log(ratio)
     own = {w: math.log(ratio) for w, (_, ratio) in words.items()
            if not any(w[:k] in kept for k in STEMS)}
-    return Lexicon(own, kept)
+    spelled = sorted(own, key=lambda w: (-words[w][0] * own[w], w))[:max_spelled]
+    return Lexicon(own, kept, spelled)
 
 
 def _feature_rows(lexicon: Lexicon):
