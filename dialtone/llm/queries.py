@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, decontaminate, licence_scan, mixing, near_vectors, ngram_join, secret_scan, toxicity, warc
+from dialtone.llm import chat, decontaminate, licence_scan, line_dedup, mixing, near_vectors, ngram_join, secret_scan, toxicity, warc
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,16 @@ def mix_domain() -> Column:
             .otherwise("other"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document the number of its lines and those that go, as rising numbers from 0."""
+    docs = table(spark, sf_dir, "documents")
+    gone = line_dedup.dropped_lines(docs)
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    return (docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left")
+            .select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+                    F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of a mixture by domain, language and source, with their epochs."""
     docs = table(spark, sf_dir, "documents")
@@ -126,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_ngram_join": op2_ngram_join,
     "op3_decontamination": op3_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_near_vectors": op6_near_vectors,
     "op7_toxicity": op7_toxicity,
