@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialtone.llm.common import pieces, remove, stored
 
@@ -232,7 +233,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
           keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (the id alone unless named) and ``toxic_score`` of every row."""
     keep = [id_col] if keep is None else keep
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     at = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +245,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     narrow = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, at)],
                          F.col(f"`{text_col}`").alias("scored_text"))
-    schema = fields
-    for c, a in zip(keep, at):
-        schema = schema.replace(f"`{c}` ", f"{a} ", 1)
-    done = narrow.mapInArrow(run, f"{schema}, toxic_score double")
+    schema = T.StructType([T.StructField(a, docs.schema[c].dataType) for c, a in zip(keep, at)]
+                          + [T.StructField("toxic_score", T.DoubleType())])
+    done = narrow.mapInArrow(run, schema)
     return done.select(*[F.col(a).alias(c) for c, a in zip(keep, at)], "toxic_score")
 
 
