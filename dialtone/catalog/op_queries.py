@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialtone import schemas
 from dialtone.catalog import params as P
 from dialtone.catalog import sqlfx as q
 from dialtone.functions.fmt import format_hms, hms, int_div, pct_int
@@ -29,7 +30,7 @@ from dialtone.plans.call_performance import call_metrics, staff_metrics
 from dialtone.session import apply_conf
 from dialtone.sources import dims
 from dialtone.sources.fixtures import Tables, tables
-from dialtone.sources.tables import conform
+from dialtone.sources.tables import read_evolving
 
 c = F.col
 Builder = Callable[[SparkSession, Tables], DataFrame]
@@ -104,12 +105,20 @@ def _dim_cn(spark, t):
 
 
 @op("evolve_schema", q.ctes("cdr") + """
-SELECT uuid, created_time, direction, CAST(NULL AS INTEGER) AS queue_priority FROM cdr""")
+SELECT uuid, created_time, direction, CASE WHEN tenant_id = 2 THEN queue_sec % 3 END AS queue_priority FROM cdr""")
 def _evolve(spark, t):
+    """Files of tenant 2 have a column that the older files of the others lack."""
+    from uuid import uuid4
+
     from pyspark.sql import types as T
-    v2 = T.StructType([t.cdr.schema["uuid"], t.cdr.schema["created_time"],
-                       t.cdr.schema["direction"], T.StructField("queue_priority", T.IntegerType())])
-    return conform(t.cdr, v2)
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/evolve-{uuid4().hex}"
+    narrow = t.cdr.select("uuid", "created_time", "direction", "tenant_id", "queue_sec")
+    old = narrow.filter((c("tenant_id") != 2) | c("tenant_id").isNull())
+    old.select("uuid", "created_time", "direction").write.parquet(f"{folder}/v1")
+    new = narrow.filter(c("tenant_id") == 2).withColumn("queue_priority", c("queue_sec") % 3)
+    new.select("uuid", "created_time", "direction", "queue_priority").write.parquet(f"{folder}/v2")
+    wanted = T.StructType([schemas.CDR[x] for x in ("uuid", "created_time", "direction", "queue_priority")])
+    return read_evolving(spark, [f"{folder}/v1", f"{folder}/v2"], wanted)
 
 
 # --- filters ------------------------------------------------------------------
@@ -619,9 +628,28 @@ def _unique_contact(spark, t):
     return ck.duplicate_keys(t.contact_numbers, _CONTACT_KEY)
 
 
-@op("check_orphans", q.ctes("business_units", "attributes") + """
-SELECT * FROM business_units b WHERE b.attribute_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM attributes a WHERE a.attribute_id = b.attribute_id)""")
+_KEYS = (("business_units", "attribute_id", "attributes"), ("business_units", "attribute_group_id", "attribute_groups"),
+         ("user_groups", "attribute_id", "attributes"), ("user_groups", "attribute_group_id", "attribute_groups"),
+         ("contact_numbers", "campaign_id", "campaigns"))
+
+
+def _orphan_sql(child: str, key: str, parent: str) -> str:
+    return q.ctes(child, parent) + f"""
+SELECT k.* FROM {child} k WHERE k.{key} IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = k.{key})"""
+
+
+def _orphan_query(child: str, key: str, parent: str):
+    def run(spark, t):
+        return ck.orphans(getattr(t, child), getattr(t, parent), key, key)
+    return run
+
+
+for _child, _key, _parent in _KEYS:
+    op(f"check_orphans_{_child}_{_key}", _orphan_sql(_child, _key, _parent))(_orphan_query(_child, _key, _parent))
+
+
+@op("check_orphans", _orphan_sql(*_KEYS[0]))
 def _orphans(spark, t):
     return ck.orphans(t.business_units, t.attributes, "attribute_id", "attribute_id")
 
@@ -634,29 +662,54 @@ def _cascade(spark, t):
     return ck.apply_cascade(t.business_units, deleted, "attribute_id", "attribute_id")
 
 
-@op("apply_set_null", q.ctes("contact_numbers") + """
-SELECT contact_number_id, external_user_id,
-  CASE WHEN campaign_id IN (SELECT campaign_id FROM contact_numbers WHERE campaign_id = 3) THEN NULL ELSE campaign_id END AS campaign_id,
-  tenant_id, company_id, cam_schedule_id
-FROM contact_numbers""")
+@op("apply_set_null", q.ctes("contact_numbers", "campaigns") + """
+SELECT k.* REPLACE (CASE WHEN p.campaign_id IS NULL THEN k.campaign_id END AS campaign_id)
+FROM contact_numbers k LEFT JOIN (SELECT campaign_id FROM campaigns WHERE campaign_id >= 2) p USING (campaign_id)""")
 def _set_null(spark, t):
-    deleted = t.contact_numbers.filter(c("campaign_id") == 3).select("campaign_id")
+    deleted = t.campaigns.filter(c("campaign_id") >= 2)
     return ck.apply_set_null(t.contact_numbers, deleted, "campaign_id", "campaign_id")
 
 
-@op("check_not_null", q.ctes("contact_numbers") + f"""
-SELECT count(*) AS rows, {', '.join(f'count(*) FILTER (WHERE {k} IS NULL) AS nulls_{k}' for k in _CONTACT_KEY)}
-FROM contact_numbers""")
+_DECLARED = {"business_units": ("id", "created_at", "updated_at"), "user_groups": ("id", "created_at", "updated_at"),
+             "contact_numbers": ("contact_number_id", "created_at", "updated_at")}
+
+
+def _not_null_sql(name: str) -> str:
+    counted = ", ".join(f"count(*) - count({k}) AS nulls_{k}" for k in _DECLARED[name])
+    return q.ctes(name) + f"SELECT count(*) AS rows, {counted} FROM {name}"
+
+
+@op("check_not_null", _not_null_sql("contact_numbers"))
 def _not_null(spark, t):
-    return ck.null_counts(t.contact_numbers, _CONTACT_KEY)
+    return ck.null_counts(t.contact_numbers, list(schemas.NOT_NULL["contact_numbers"]))
+
+
+@op("check_not_null_units", _not_null_sql("business_units"))
+def _not_null_units(spark, t):
+    return ck.null_counts(t.business_units, list(schemas.NOT_NULL["business_units"]))
+
+
+@op("check_not_null_groups", _not_null_sql("user_groups"))
+def _not_null_groups(spark, t):
+    return ck.null_counts(t.user_groups, list(schemas.NOT_NULL["user_groups"]))
 
 
 # --- dashboard counters ---------------------------------------------------------
+# Fixed values, written out so that the oracle shares nothing with the code: rules and published counters.
+_RULES = """rules(event_class, event_type, event_category, window_name, count) AS (VALUES
+  ('DIALER', 'CAMPAIGN', 'DIALING', 'CAMPAIGNDIALING', 1),
+  ('DIALER', 'CAMPAIGN', 'DISCONNECTING', 'CAMPAIGNDIALING', -1),
+  ('DIALER', 'CAMPAIGN', 'DISCONNECTED', 'CAMPAIGNCONNECTED', -1),
+  ('DIALER', 'CAMPAIGN', 'CONNECTED', 'CAMPAIGNCONNECTED', 1),
+  ('DIALER', 'CAMPAIGN', 'NUMBERADDED', 'CAMPAIGNNUMBERSTAKEN', 1),
+  ('DIALER', 'CAMPAIGN', 'REJECTED', 'CAMPAIGNREJECTED', 1)
+), publish(window_name, event_name) AS (VALUES
+  ('CAMPAIGNCONNECTED', 'TotalCount'), ('CAMPAIGNDIALING', 'TotalCount'), ('CAMPAIGNNUMBERSTAKEN', 'TotalCount'),
+  ('CAMPAIGNCONNECTED', 'CurrentCount'), ('CAMPAIGNDIALING', 'CurrentCount'), ('CAMPAIGNREJECTED', 'TotalCount'))"""
+
+
 def _rules_sql() -> str:
-    rows = ", ".join(f"('{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}', {r[4]})" for r in dims.COUNTER_RULES)
-    pub = ", ".join(f"('{w}', '{e}')" for w, e in dims.PUBLISH_META)
-    return (f"rules AS (SELECT * FROM (VALUES {rows}) AS r(event_class, event_type, event_category, "
-            f"window_name, count)), publish AS (SELECT * FROM (VALUES {pub}) AS p(window_name, event_name))")
+    return _RULES
 
 
 @op("event_counters", q.ctes("counter_events").rstrip("\n") + ",\n" + _rules_sql() + """

@@ -1,221 +1,161 @@
-"""Oracle SQL for the agent productivity reports from daily summaries (R3-R5).
+"""Oracle SQL for the agent productivity reports from daily summaries (R3-R5), from their definition.
 
-Reference-shaped: one subquery of ``daily`` per summary window, each
-left-joined to the LOGIN subquery; grand totals as ``SUM(..) OVER ()``;
-the earlier-login fallback as a correlated ``ORDER BY .. LIMIT 1``.
+The summaries are unpivoted to (window, statistic) values of an agent-day with
+FILTER aggregates; the report is a projection of that one relation, its grand
+totals a second aggregate of it.
 """
 
 from __future__ import annotations
 
 from dialtone.catalog import sqlfx as q
-from dialtone.operators.daily import WINDOWS
 
-AVG_DIGITS = 4
-
-
-def _co(x: str) -> str:
-    return f"COALESCE({x}, 0)"
-
-
-def _win(alias: str, win: str, date_range: str, extra: str, unit: bool, weighted: bool,
-         agent: bool = True) -> str:
-    window_name, param2 = WINDOWS[win]
-    keys = "summary_date, tenant, company" + (", business_unit" if unit else "") + (
-        ", param1" if agent else "")
-    avg_t = ("CAST(sum(total_time) // COALESCE(NULLIF(sum(total_count), 0), 1) AS DOUBLE)"
-             if weighted else "avg(total_time)")
-    cond = f"window_name = '{window_name}'" + (f" AND param2 = '{param2}'" if param2 else "")
-    sel = ("SELECT summary_date, tenant, company" + (", business_unit" if unit else "")
-           + (", param1 AS agent" if agent else "")
-           + ", max(max_time) AS max_time, sum(total_count) AS total_count, "
-           f"sum(total_time) AS total_time, avg(total_count) AS avg_count, {avg_t} AS avg_time "
-           f"FROM daily WHERE {cond} AND {date_range}{extra} GROUP BY {keys}")
-    return f"({sel}) AS {alias}"
-
-
-def _on(alias: str, unit: bool, agent: bool = True) -> str:
-    on = [f"login.summary_date = {alias}.summary_date", f"login.tenant = {alias}.tenant",
-          f"login.company = {alias}.company"]
-    if unit:
-        on.append(f"login.business_unit = {alias}.business_unit")
-    if agent:
-        on.append(f"login.agent = {alias}.agent")
-    return " AND ".join(on)
+# Written out here on purpose, not imported: which summary rows make up each window.
+_WINDOWS = {
+    "li": "window_name = 'LOGIN'",
+    "ib": "window_name = 'INBOUND'",
+    "ob": "window_name = 'OUTBOUND'",
+    "ci": "(window_name, param2) = ('CONNECTED', 'CALLinbound')",
+    "co": "(window_name, param2) = ('CONNECTED', 'CALLoutbound')",
+    "hi": "(window_name, param2) = ('AGENTHOLD', 'inbound')",
+    "ho": "(window_name, param2) = ('AGENTHOLD', 'outbound')",
+    "ai": "(window_name, param2) = ('AFTERWORK', 'AfterWorkCALLinbound')",
+    "ao": "(window_name, param2) = ('AFTERWORK', 'AfterWorkCALLoutbound')",
+    "br": "window_name = 'BREAK'",
+    "di": "(window_name, param2) = ('DIALED', 'DialedOutbound')",
+}
+
+
+def _statistics(all_tenants: bool, whole_key: str) -> str:
+    """max, count, time, mean count and mean time of every window, NULL where a key is."""
+    out = []
+    for w, rows in _WINDOWS.items():
+        f = f"FILTER (WHERE {rows})"
+        mean = (f"CAST(sum(total_time) {f} // coalesce(nullif(sum(total_count) {f}, 0), 1) AS DOUBLE)"
+                if all_tenants else f"avg(total_time) {f}")
+        for name, e in (("m", f"max(max_time) {f}"), ("n", f"sum(total_count) {f}"), ("t", f"sum(total_time) {f}"),
+                        ("an", f"avg(total_count) {f}"), ("at", mean)):
+            out.append(f"{e} AS {w}_{name}" if w == "li" else f"CASE WHEN {whole_key} THEN {e} END AS {w}_{name}")
+    return ",\n    ".join(out)
+
+
+def _columns(all_tenants: bool, unit: bool) -> dict[str, str]:
+    n = lambda w: f"coalesce({w}_n, 0)"
+    t = lambda w: f"coalesce({w}_t, 0)"
+    m = lambda w: f"coalesce({w}_m, 0)"
+    whole = lambda e: f"CAST({e} AS BIGINT)"
+    mean = lambda e: f"round(CAST(coalesce({e}, 0) AS DOUBLE), 4)"
+    each = lambda e, w: q.hms(f"(({e}) // coalesce(nullif({w}_n, 0), 1))")
+    out = {"summary_date": "agent_day.summary_date", "tenant": "CAST(agent_day.tenant AS INTEGER)", "company": "CAST(agent_day.company AS INTEGER)",
+           "agent": "CAST(param1 AS INTEGER)", "login_time": "coalesce(first_in, earlier_in)"}
+    if all_tenants:
+        out["bu"] = "agent_day.business_unit" if unit else "'ALL'"
+        out["logout_time"] = "coalesce(last_out, agent_day.summary_date + INTERVAL '18 hours 29 minutes 59 seconds')"
+        out["outbound_dialed_total_time"] = q.hms(t("di"))
+        out["avg_outbound_dialed_time"] = each(t("di"), "di")
+        out["outbound_dialed_total_count"] = whole(n("di"))
+    for w, name in (("li", "login"), ("ib", "inbound"), ("ob", "outbound"), ("hi", "inbound_hold"), ("ho", "outbound_hold"),
+                    ("ai", "inbound_acw"), ("ao", "outbound_acw")):
+        out[f"{name}_max_time"] = m(w)
+        out[f"{name}_total_count"] = whole(n(w))
+        out[f"{name}_total_time"] = q.hms(t(w))
+    for a, b, name in (("ib", "ob", "total_call"), ("hi", "ho", "total_hold_total"), ("ai", "ao", "total_acw_total")):
+        out[f"{name}_count"] = whole(f"{n(a)} + {n(b)}")
+        out[f"{name}_time"] = whole(f"{t(a)} + {t(b)}")
+    for way, total, talk, hold, acw in (("inbound", "ib", "ci", "hi", "ai"), ("outbound", "ob", "co", "ho", "ao")):
+        out[f"avg_{way}_call_count"] = mean(f"{total}_an")
+        out[f"avg_{way}_call_time"] = mean(f"{total}_at")
+        out[f"{way}_talk_max_time"] = f"{m(talk)} - {m(hold)}"
+        out[f"{way}_connected_total_count"] = whole(n(talk))
+        out[f"{way}_talk_total_time"] = q.hms(f"({t(talk)} - {t(hold)})")
+        out[f"avg_{way}_talk_time"] = each(f"{t(talk)} - {t(hold)}" if all_tenants else t(talk), talk)
+        out[f"avg_{way}_handling_time"] = each(f"{t(talk)} + {t(acw)}", talk)
+        out[f"avg_{way}_hold_count"] = mean(f"{hold}_an")
+        out[f"avg_{way}_hold_time"] = q.hms(q.trunc_secs(f"coalesce({hold}_at, 0)"))
+        out[f"avg_{way}_acw_count"] = mean(f"{acw}_an")
+        out[f"avg_{way}_acw_time"] = mean(f"{acw}_at")
+    out["connected_total_count"] = whole(f"{n('ci')} + {n('co')}")
+    out["total_talk_total_time"] = whole(f"{t('ci')} - {t('hi')} + {t('co')} - {t('ho')}")
+    out["idle_time_inbound"] = q.hms("idle_i")
+    out["idle_time_outbound"] = q.hms(f"(idle_o - {t('di')})" if all_tenants else "idle_o")
+    out["idle_time_offline"] = q.hms(f"({t('li')} - {t('ib')} - {t('ob')})" if all_tenants else "idle_x")
+    out["total_break_time"] = q.hms(t("br"))
+    for name in ("login", "inbound", "outbound", "inbound_idle", "outbound_idle", "offline_idle", "inbound_acw", "outbound_acw",
+                 "inbound_talk", "outbound_talk", "inbound_hold", "outbound_hold", "break"):
+        out[f"full_total_{name}_time"] = q.hms(f"g_{name}")
+    for name in ("inbound_hold_count", "outbound_hold_count", "inbound_calls", "outbound_calls"):
+        out[f"full_total_{name}"] = whole(f"g_{name}")
+    for way in ("inbound", "outbound"):
+        out[f"full_total_connected_{way}_calls"] = whole(
+            f"coalesce(day_{way}, 0)" if all_tenants else f"g_connected_{way}")
+        out[f"full_avg_{way}_handling_time"] = q.hms(f"(g_handled_{way} // coalesce(nullif(g_one_{way}, 0), 1))")
+        out[f"full_avg_{way}_talk_time"] = q.hms(f"CAST(round(g_mean_talk_{way}) AS BIGINT)")
+        out[f"full_avg_{way}_hold_time"] = q.hms(f"CAST(round(g_mean_hold_{way}) AS BIGINT)")
+    return out
+
+
+def _grand() -> str:
+    z = lambda x: f"coalesce({x}, 0)"
+    sums = {"login": z("li_t"), "inbound": z("ib_t"), "outbound": z("ob_t"), "inbound_idle": "idle_i", "outbound_idle": "idle_o",
+            "offline_idle": "idle_x", "inbound_acw": z("ai_t"), "outbound_acw": z("ao_t"),
+            "inbound_talk": f"{z('ci_t')} - {z('hi_t')}", "outbound_talk": f"{z('co_t')} - {z('ho_t')}",
+            "inbound_hold": z("hi_t"), "outbound_hold": z("ho_t"), "break": z("br_t"),
+            "inbound_hold_count": z("hi_n"), "outbound_hold_count": z("ho_n"), "inbound_calls": z("ib_n"),
+            "outbound_calls": z("ob_n"), "connected_inbound": z("ci_n"), "connected_outbound": z("co_n"),
+            "handled_inbound": f"{z('ci_t')} + {z('ai_t')}", "handled_outbound": f"{z('co_t')} + {z('ao_t')}",
+            "one_inbound": "coalesce(ci_n, 1)", "one_outbound": "coalesce(co_n, 1)"}
+    means = {"talk_inbound": f"{z('ci_t')} - {z('hi_t')}", "talk_outbound": f"{z('co_t')} - {z('ho_t')}",
+             "hold_inbound": z("hi_t"), "hold_outbound": z("ho_t")}
+    return ",\n    ".join([f"CAST(sum({e}) AS BIGINT) AS g_{k}" for k, e in sums.items()]
+                          + [f"avg({e}) AS g_mean_{k}" for k, e in means.items()])
 
 
 def agent_sql(from_ts: str, to_ts: str, *, variant: str, resource_id=None, b_unit=None,
               company: int = 1, tenant: int = 1) -> str:
     """variant: 'base' (R3), 'all' (R4) or 'bu' (R5)."""
-    all_t = variant in ("all", "bu")
-    unit = variant == "bu"
-    date_range = (f"summary_date >= CAST({q.ts(from_ts)} AS DATE) AND "
-                  f"summary_date <= CAST({q.ts(to_ts)} AS DATE)")
-    extra = ""
-    if not all_t:
-        extra = f" AND company = '{company}' AND tenant = '{tenant}'"
-        if resource_id is not None:
-            extra += f" AND param1 = '{resource_id}'"
-        if b_unit is not None and b_unit != "ALL":
-            extra += f" AND business_unit = '{b_unit}'"
-    names = {"login": "login", "inbound": "inbound", "outbound": "outbound",
-             "in_conn": "inbound_connected", "out_conn": "outbound_connected",
-             "in_hold": "inbound_hold", "out_hold": "outbound_hold", "in_acw": "inbound_acw",
-             "out_acw": "outbound_acw", "brk": "brk", "dialed": "outbound_dialed"}
-    wins = list(names) if all_t else [w for w in names if w != "dialed"]
-
-    def t(a):  # total_time of window alias a, 0 if absent
-        return _co(f"{a}.total_time")
-
-    L, I, O = "login", "inbound", "outbound"
-    CI, CO, HI, HO = "inbound_connected", "outbound_connected", "inbound_hold", "outbound_hold"
-    AI, AO, B, D = "inbound_acw", "outbound_acw", "brk", "outbound_dialed"
-    big = lambda e: f"CAST({e} AS BIGINT)"
-    num = lambda e: f"round(CAST({e} AS DOUBLE), {AVG_DIGITS})"
-    per = lambda tot, a: f"({tot}) // COALESCE(NULLIF({a}.total_count, 0), 1)"
-    idle_in = f"{t(I)} - ({t(AI)} + {t(CI)})"
-    idle_out = f"{t(O)} - ({t(AO)} + {t(CO)})"
-    idle_off = f"{t(L)} - ({idle_in} + {idle_out})"
-    talk_in = f"{t(CI)} - {t(HI)}"
-    talk_out = f"{t(CO)} - {t(HO)}"
-    over = lambda e: f"CAST(SUM({e}) OVER () AS BIGINT)"
-
-    if all_t:
-        fb = (f"(SELECT created_at FROM status WHERE reason = 'Register' AND created_at < {q.ts(from_ts)}"
-              " AND resource_id = CAST(login.agent AS INTEGER) ORDER BY created_at DESC LIMIT 1)")
-    else:
-        unit_cond = (f" AND business_unit = '{b_unit}'" if b_unit is not None and b_unit != "ALL"
-                     else "")
-        fb = (f"(SELECT created_at FROM status WHERE reason = 'Register' AND company_id = {company}"
-              f" AND tenant_id = {tenant} AND created_at < {q.ts(from_ts)}"
-              f" AND resource_id = CAST(login.agent AS INTEGER){unit_cond}"
-              " ORDER BY created_at DESC LIMIT 1)")
-
-    cols = ["login.summary_date AS summary_date", "CAST(login.tenant AS INTEGER) AS tenant",
-            "CAST(login.company AS INTEGER) AS company"]
-    if variant == "all":
-        cols.append("'ALL' AS bu")
-    elif unit:
-        cols.append("login.business_unit AS bu")
-    cols += [
-        "CAST(login.agent AS INTEGER) AS agent",
-        f"{_co('login.max_time')} AS login_max_time",
-        f"{big(_co('login.total_count'))} AS login_total_count",
-        f"{q.hms(t(L))} AS login_total_time",
-        f"COALESCE(rlsd.login_time, {fb}) AS login_time",
-        f"{_co('inbound.max_time')} AS inbound_max_time",
-        f"{big(_co('inbound.total_count'))} AS inbound_total_count",
-        f"{q.hms(t(I))} AS inbound_total_time",
-        f"{_co('outbound.max_time')} AS outbound_max_time",
-        f"{big(_co('outbound.total_count'))} AS outbound_total_count",
-        f"{q.hms(t(O))} AS outbound_total_time",
-        f"{big(_co('inbound.total_count') + ' + ' + _co('outbound.total_count'))} AS total_call_count",
-        f"{big(t(I) + ' + ' + t(O))} AS total_call_time",
-        f"{num(_co('inbound.avg_count'))} AS avg_inbound_call_count",
-        f"{num(_co('outbound.avg_count'))} AS avg_outbound_call_count",
-        f"{num(_co('inbound.avg_time'))} AS avg_inbound_call_time",
-        f"{num(_co('outbound.avg_time'))} AS avg_outbound_call_time",
-        f"{_co(CI + '.max_time')} - {_co(HI + '.max_time')} AS inbound_talk_max_time",
-        f"{big(_co(CI + '.total_count'))} AS inbound_connected_total_count",
-        f"{q.hms(talk_in)} AS inbound_talk_total_time",
-        f"{_co(CO + '.max_time')} - {_co(HO + '.max_time')} AS outbound_talk_max_time",
-        f"{big(_co(CO + '.total_count'))} AS outbound_connected_total_count",
-        f"{q.hms(talk_out)} AS outbound_talk_total_time",
-        f"{big(_co(CI + '.total_count') + ' + ' + _co(CO + '.total_count'))} AS connected_total_count",
-        f"{big(talk_in + ' + ' + talk_out)} AS total_talk_total_time",
-        f"{q.hms(per(talk_in if all_t else t(CI), CI))} AS avg_inbound_talk_time",
-        f"{q.hms(per(talk_out if all_t else t(CO), CO))} AS avg_outbound_talk_time",
-        f"{q.hms(per(t(CI) + ' + ' + t(AI), CI))} AS avg_inbound_handling_time",
-        f"{q.hms(per(t(CO) + ' + ' + t(AO), CO))} AS avg_outbound_handling_time",
-        f"{_co(HI + '.max_time')} AS inbound_hold_max_time",
-        f"{big(_co(HI + '.total_count'))} AS inbound_hold_total_count",
-        f"{q.hms(t(HI))} AS inbound_hold_total_time",
-        f"{_co(HO + '.max_time')} AS outbound_hold_max_time",
-        f"{big(_co(HO + '.total_count'))} AS outbound_hold_total_count",
-        f"{q.hms(t(HO))} AS outbound_hold_total_time",
-        f"{big(_co(HI + '.total_count') + ' + ' + _co(HO + '.total_count'))} AS total_hold_total_count",
-        f"{big(t(HI) + ' + ' + t(HO))} AS total_hold_total_time",
-        f"{num(_co(HI + '.avg_count'))} AS avg_inbound_hold_count",
-        f"{num(_co(HO + '.avg_count'))} AS avg_outbound_hold_count",
-        f"{q.hms(q.trunc_secs(_co(HI + '.avg_time')))} AS avg_inbound_hold_time",
-        f"{q.hms(q.trunc_secs(_co(HO + '.avg_time')))} AS avg_outbound_hold_time",
-        f"{_co(AI + '.max_time')} AS inbound_acw_max_time",
-        f"{big(_co(AI + '.total_count'))} AS inbound_acw_total_count",
-        f"{q.hms(t(AI))} AS inbound_acw_total_time",
-        f"{_co(AO + '.max_time')} AS outbound_acw_max_time",
-        f"{big(_co(AO + '.total_count'))} AS outbound_acw_total_count",
-        f"{q.hms(t(AO))} AS outbound_acw_total_time",
-        f"{big(_co(AI + '.total_count') + ' + ' + _co(AO + '.total_count'))} AS total_acw_total_count",
-        f"{big(t(AI) + ' + ' + t(AO))} AS total_acw_total_time",
-        f"{num(_co(AI + '.avg_count'))} AS avg_inbound_acw_count",
-        f"{num(_co(AO + '.avg_count'))} AS avg_outbound_acw_count",
-        f"{num(_co(AI + '.avg_time'))} AS avg_inbound_acw_time",
-        f"{num(_co(AO + '.avg_time'))} AS avg_outbound_acw_time",
-        f"{q.hms(idle_in)} AS idle_time_inbound",
-        f"{q.hms(idle_out + (' - ' + t(D) if all_t else ''))} AS idle_time_outbound",
-        f"{q.hms(t(L) + ' - (' + t(I) + ' + ' + t(O) + ')' if all_t else idle_off)} AS idle_time_offline",
-        f"{q.hms(t(B))} AS total_break_time",
-        f"{q.hms(over(t(L)))} AS full_total_login_time",
-        f"{q.hms(over(t(I)))} AS full_total_inbound_time",
-        f"{q.hms(over(t(O)))} AS full_total_outbound_time",
-        f"{q.hms(over(idle_in))} AS full_total_inbound_idle_time",
-        f"{q.hms(over(idle_out))} AS full_total_outbound_idle_time",
-        f"{q.hms(over(idle_off))} AS full_total_offline_idle_time",
-        f"{q.hms(over(t(AI)))} AS full_total_inbound_acw_time",
-        f"{q.hms(over(t(AO)))} AS full_total_outbound_acw_time",
-        f"{q.hms(over(talk_in))} AS full_total_inbound_talk_time",
-        f"{q.hms(over(talk_out))} AS full_total_outbound_talk_time",
-        f"{q.hms(over(t(HI)))} AS full_total_inbound_hold_time",
-        f"{q.hms(over(t(HO)))} AS full_total_outbound_hold_time",
-        f"{over(_co(HI + '.total_count'))} AS full_total_inbound_hold_count",
-        f"{over(_co(HO + '.total_count'))} AS full_total_outbound_hold_count",
-        f"{q.hms(over(t(B)))} AS full_total_break_time",
-    ]
-    if all_t:
-        cols += [f"{big(_co('inbound_connected_full.total_count'))} AS full_total_connected_inbound_calls",
-                 f"{big(_co('outbound_connected_full.total_count'))} AS full_total_connected_outbound_calls"]
-    else:
-        cols += [f"{over(_co(CI + '.total_count'))} AS full_total_connected_inbound_calls",
-                 f"{over(_co(CO + '.total_count'))} AS full_total_connected_outbound_calls"]
-    cols += [
-        f"{over(_co('inbound.total_count'))} AS full_total_inbound_calls",
-        f"{over(_co('outbound.total_count'))} AS full_total_outbound_calls",
-        f"{q.hms('(' + over(t(CI)) + ' + ' + over(t(AI)) + ') // COALESCE(NULLIF(' + over('COALESCE(' + CI + '.total_count, 1)') + ', 0), 1)')} AS full_avg_inbound_handling_time",
-        f"{q.hms('(' + over(t(CO)) + ' + ' + over(t(AO)) + ') // COALESCE(NULLIF(' + over('COALESCE(' + CO + '.total_count, 1)') + ', 0), 1)')} AS full_avg_outbound_handling_time",
-        f"{q.hms('CAST(round(AVG(' + talk_in + ') OVER ()) AS BIGINT)')} AS full_avg_inbound_talk_time",
-        f"{q.hms('CAST(round(AVG(' + talk_out + ') OVER ()) AS BIGINT)')} AS full_avg_outbound_talk_time",
-        f"{q.hms('CAST(round(AVG(' + t(HI) + ') OVER ()) AS BIGINT)')} AS full_avg_inbound_hold_time",
-        f"{q.hms('CAST(round(AVG(' + t(HO) + ') OVER ()) AS BIGINT)')} AS full_avg_outbound_hold_time",
-    ]
-    if all_t:
-        cols += [
-            f"{q.hms(t(D))} AS outbound_dialed_total_time",
-            f"{q.hms(per(t(D), D))} AS avg_outbound_dialed_time",
-            f"{big(_co(D + '.total_count'))} AS outbound_dialed_total_count",
-            ("COALESCE(rlosd.logout_time, CAST(strftime(login.summary_date, '%Y-%m-%d') || "
-             "' 18:29:59' AS TIMESTAMP)) AS logout_time"),
-        ]
-
-    weighted = all_t
-    frm = [_win("login", "login", date_range, extra, unit, weighted)]
-    skey = "tenant_id, company_id" + (", business_unit" if unit else "") + ", resource_id"
-    scope = "" if all_t else f" AND company_id = {company} AND tenant_id = {tenant}"
-    sd_on = ("login.summary_date = {a}.d AND CAST(login.tenant AS INTEGER) = {a}.tenant_id AND "
-             "CAST(login.company AS INTEGER) = {a}.company_id AND "
-             "CAST(login.agent AS INTEGER) = {a}.resource_id"
-             + (" AND login.business_unit = {a}.business_unit" if unit else ""))
-    frm.append(f"LEFT OUTER JOIN (SELECT CAST(created_at AS DATE) AS d, {skey}, min(created_at) AS "
-               f"login_time FROM status WHERE reason = 'Register'{scope} GROUP BY "
-               f"CAST(created_at AS DATE), {skey}) AS rlsd ON " + sd_on.format(a="rlsd"))
-    if all_t:
-        frm.append(f"LEFT OUTER JOIN (SELECT CAST(created_at AS DATE) AS d, {skey}, max(created_at) AS "
-                   f"logout_time FROM status WHERE reason = 'UnRegister' GROUP BY "
-                   f"CAST(created_at AS DATE), {skey}) AS rlosd ON " + sd_on.format(a="rlosd"))
-    for w in wins[1:]:
-        a = names[w]
-        frm.append(f"LEFT OUTER JOIN {_win(a, w, date_range, extra, unit, weighted)} ON {_on(a, unit)}")
-        if all_t and w in ("in_conn", "out_conn"):
-            fa = a + "_full"
-            frm.append(f"LEFT OUTER JOIN {_win(fa, w, date_range, extra, unit, weighted, agent=False)}"
-                       f" ON {_on(fa, unit, agent=False)}")
-    return (q.ctes("daily", "status") + "SELECT " + ",\n  ".join(cols) + "\nFROM " + "\n".join(frm)
-            + "\nORDER BY summary_date, tenant, company, agent")
+    every, unit = variant != "base", variant == "bu"
+    where = [f"summary_date BETWEEN CAST({q.ts(from_ts)} AS DATE) AND CAST({q.ts(to_ts)} AS DATE)"]
+    scope, earlier = "true", "true"
+    if not every:
+        where += [f"company = '{company}'", f"tenant = '{tenant}'"]
+        where += [f"param1 = '{resource_id}'"] if resource_id is not None else []
+        scope = earlier = f"company_id = {company} AND tenant_id = {tenant}"
+        if b_unit not in (None, "ALL"):
+            where.append(f"business_unit = '{b_unit}'")
+            earlier += f" AND business_unit = '{b_unit}'"
+    day = ["summary_date", "tenant", "company"] + (["business_unit"] if unit else [])
+    key = ", ".join([*day, "param1"])
+    not_null = " AND ".join(f"{k} IS NOT NULL" for k in [*day, "param1"])
+    day_not_null = " AND ".join(f"{k} IS NOT NULL" for k in day)
+    s_unit = ", business_unit" if unit else ""
+    p_unit = " AND p.business_unit = agent_day.business_unit" if unit else ""
+    z = lambda x: f"coalesce({x}, 0)"
+    shown = ",\n  ".join(f"{e} AS {name}" for name, e in _columns(every, unit).items())
+    return q.ctes("daily", "status").rstrip("\n") + f""",
+every_agent AS (
+  SELECT {key}, count(*) FILTER (WHERE {_WINDOWS['li']}) AS logins,
+    {_statistics(every, not_null)},
+    sum(total_count) FILTER (WHERE {_WINDOWS['ci']}) AS raw_ci, sum(total_count) FILTER (WHERE {_WINDOWS['co']}) AS raw_co
+  FROM daily WHERE {' AND '.join(where)} GROUP BY {key}
+), agent_day AS (
+  SELECT *, {z('ib_t')} - {z('ai_t')} - {z('ci_t')} AS idle_i, {z('ob_t')} - {z('ao_t')} - {z('co_t')} AS idle_o,
+    {z('li_t')} - ({z('ib_t')} - {z('ai_t')} - {z('ci_t')}) - ({z('ob_t')} - {z('ao_t')} - {z('co_t')}) AS idle_x
+  FROM every_agent WHERE logins > 0
+), day_calls AS (
+  SELECT {', '.join(day)}, sum(raw_ci) AS day_inbound, sum(raw_co) AS day_outbound
+  FROM every_agent WHERE {day_not_null} GROUP BY {', '.join(day)}
+), grand AS (
+  SELECT {_grand()}
+  FROM agent_day
+), presence AS (
+  SELECT CAST(created_at AS DATE) AS summary_date, tenant_id, company_id{s_unit}, resource_id,
+    min(created_at) FILTER (WHERE reason = 'Register') AS first_in, max(created_at) FILTER (WHERE reason = 'UnRegister') AS last_out
+  FROM status WHERE {scope} GROUP BY ALL
+), before AS (
+  SELECT resource_id, max(created_at) AS earlier_in FROM status
+  WHERE reason = 'Register' AND created_at < {q.ts(from_ts)} AND {earlier} GROUP BY ALL
+)
+SELECT {shown}
+FROM agent_day CROSS JOIN grand LEFT JOIN day_calls USING ({', '.join(day)})
+LEFT JOIN presence p ON p.summary_date = agent_day.summary_date AND p.tenant_id = CAST(agent_day.tenant AS INTEGER)
+  AND p.company_id = CAST(agent_day.company AS INTEGER) AND p.resource_id = CAST(param1 AS INTEGER){p_unit}
+LEFT JOIN before b ON b.resource_id = CAST(param1 AS INTEGER)"""

@@ -1,120 +1,76 @@
-"""Oracle SQL for the hourly reports, in the original's shape.
+"""Oracle SQL for the hourly reports, from their definitions.
 
-One subquery per measure, each re-filtering ``cdr``, left-joined to the
-inbound count ``a``, which is left-joined to an hour series. The Spark
-plans compute the same in one conditional aggregate, so each comparison
-also tests that rewrite.
+Legs are labelled once (inbound or outbound, local day and hour), each label
+is aggregated with FILTER, and the hours of the range are joined to the result.
+Nothing is shared with the plans: skills are split here.
 """
 
 from __future__ import annotations
 
 from dialtone.catalog import sqlfx as q
-from dialtone.operators.cdr import skill_list
 
+# value, condition: averages are cut to whole seconds; no matching leg gives NULL
+_IN_AVERAGES = {
+    "holdsec_avg": ("hold_sec", "agent_answered AND hold_sec > 0"),
+    "ivrconnect_avg": ("ivr_connect_sec", "true"),
+    "answersec_avg": ("answer_sec", "agent_answered"),
+    "billsec_avg": ("bill_sec", "agent_answered"),
+    "queuesec_avg": ("queue_sec", "is_queued"),
+    "abandonedqueue_avg": ("queue_sec", "waiting AND queue_sec > 5"),
+    "answeredqueue_avg": ("queue_sec", "agent_answered"),
+}
+_IN_COUNTS = {
+    "queuedcount": "is_queued",
+    "abandonedcount": "waiting AND queue_sec > 5",
+    "droppedcount": "waiting AND queue_sec <= 5",
+    "answered_count": "agent_answered",
+}
+_OUT_AVERAGES = {
+    "holdsec_avg_outbound": ("hold_sec", "is_answered AND hold_sec > 0"),
+    "billsec_avg_outbound": ("bill_sec", "is_answered"),
+}
 
-def _base_filter(from_ts, to_ts, inclusive_end, company, tenant, b_unit, band):
-    upper = "<=" if inclusive_end else "<"
-    w = [f"created_time >= {q.ts(from_ts)}", f"created_time {upper} {q.ts(to_ts)}",
-         f"company_id = {company}", f"tenant_id = {tenant}"]
-    if b_unit is not None:
-        w.append(f"business_unit = '{b_unit}'")
-    if band is not None:
-        w.append(f"{q.local_hour('created_time')} >= {band[0]}")
-        w.append(f"{q.local_hour('created_time')} <= {band[1]}")
-    return w
 
+def _averages(spec: dict) -> list[str]:
+    return [f"avg({v}) FILTER (WHERE {cond}) AS {name}" for name, (v, cond) in spec.items()]
 
-def _sub(alias, measure, where, skill_key=True):
-    keys = "c_date, c_hour, " + ("agent_skill, " if skill_key else "") + "company_id, tenant_id"
-    sel = (f"SELECT {measure}, {q.local_date('created_time')} AS c_date, "
-           f"{q.local_hour('created_time')} AS c_hour, "
-           + ("agent_skill, " if skill_key else "") + "company_id, tenant_id FROM cdr WHERE "
-           + " AND ".join(where) + f" GROUP BY {keys}")
-    on = ["a.company_id = {0}.company_id", "a.tenant_id = {0}.tenant_id",
-          "a.c_date = {0}.c_date", "a.c_hour = {0}.c_hour"]
-    if skill_key:
-        on.insert(2, "a.agent_skill = {0}.agent_skill")
-    return f"LEFT OUTER JOIN ({sel}) {alias} ON " + " AND ".join(x.format(alias) for x in on)
 
-
-def _series(from_ts, to_ts, band, dialect="duckdb"):
-    start = f"date_trunc('hour', {q.local(q.ts(from_ts))})"
-    stop = f"date_trunc('hour', {q.local(q.ts(to_ts))})"
-    where = f" WHERE hour(dd) >= {band[0]} AND hour(dd) <= {band[1]}" if band else ""
-    if dialect == "spark":
-        gen = f"(SELECT explode(sequence({start}, {stop}, INTERVAL 1 HOUR)) AS dd) t"
-    else:
-        gen = f"generate_series({start}, {stop}, INTERVAL 1 HOUR) t(dd)"
-    return (f"(SELECT CAST(dd AS DATE) AS s_date, CAST(hour(dd) AS INTEGER) AS s_hour "
-            f"FROM {gen}{where}) series")
-
-
-def hourly_sql(from_ts, to_ts, skills, b_unit, company, tenant, *, band=None,
-               with_outbound=False, dialect="duckdb") -> str:
-    """The hourly report in the original join-chain shape.
-
-    ``dialect="spark"`` emits the same query for Spark SQL; ``bench.py``
-    runs it there as the join-chain baseline on the same engine.
-    """
-    inclusive_end = band is not None or with_outbound
-    base = _base_filter(from_ts, to_ts, inclusive_end, company, tenant, b_unit, band)
-    inbound = base + ["direction = 'inbound'", "obj_type = 'HTTAPI'",
-                      f"agent_skill IN {q.in_list(skill_list(skills))}"]
-    outbound = base + ["direction = 'outbound'", "obj_type = 'GATEWAY'"]
-    abandoned = ["is_queued = true", "queue_sec > 5", "agent_answered = false"]
-    dropped = ["is_queued = true", "queue_sec <= 5", "agent_answered = false"]
-    ans = ["agent_answered = true"]
-    joins = [
-        _sub("b", "count(*) AS queuedcount", inbound + ["is_queued = true"]),
-        _sub("c", "count(*) AS abandonedcount", inbound + abandoned),
-        _sub("d", "avg(hold_sec) AS holdsec_avg", inbound + ["hold_sec > 0"] + ans),
-        _sub("e", "avg(ivr_connect_sec) AS ivrconnect_avg", inbound),
-        _sub("f", "avg(answer_sec) AS answersec_avg", inbound + ans),
-        _sub("g", "avg(bill_sec) AS billsec_avg", inbound + ans),
-        _sub("h", "count(*) AS answered_count", inbound + ans),
-        _sub("i", "avg(queue_sec) AS queuesec_avg", inbound + ["is_queued = true"]),
-        _sub("j", "count(*) AS droppedcount", inbound + dropped),
-        _sub("k", "avg(queue_sec) AS abandonedqueue_avg", inbound + abandoned),
-        _sub("l", "avg(queue_sec) AS answeredqueue_avg", inbound + ans),
-    ]
-    if with_outbound:
-        oans = ["is_answered = true"]
-        joins += [
-            _sub("m", "count(*) AS outboundcallcount", outbound, skill_key=False),
-            _sub("n", "avg(hold_sec) AS holdsec_avg_outbound", outbound + ["hold_sec > 0"] + oans,
-                 skill_key=False),
-            _sub("o", "avg(bill_sec) AS billsec_avg_outbound", outbound + oans, skill_key=False),
-            _sub("p", "count(*) AS answered_count_outbound", outbound + oans, skill_key=False),
-        ]
-    first = _sub("a", "count(*) AS ivrcount", inbound).replace(
-        "LEFT OUTER JOIN", "LEFT OUTER JOIN", 1)
-    # ``a`` joins the series on date and hour only
-    first = first.split(" ON ")[0] + " ON series.s_date = a.c_date AND series.s_hour = a.c_hour"
-    avg = lambda e: q.hms(q.trunc_secs(e, dialect), dialect)
-    pct = lambda n: q.idiv(f"{n} * 100", "b.queuedcount", dialect)
-    cols = ["a.ivrcount"]
-    if with_outbound:
-        cols.append("m.outboundcallcount")
-    cols += ["b.queuedcount", "c.abandonedcount",
-             f"{pct('c.abandonedcount')} AS abandonedpercent",
-             "j.droppedcount", f"{pct('j.droppedcount')} AS droppedpercent",
-             f"{avg('d.holdsec_avg')} AS holdsec_avg"]
-    if with_outbound:
-        cols.append(f"{avg('n.holdsec_avg_outbound')} AS holdsec_avg_outbound")
-    cols += [f"{avg('e.ivrconnect_avg')} AS ivrconnect_avg",
-             f"{avg('f.answersec_avg')} AS answersec_avg",
-             f"{avg('g.billsec_avg')} AS billsec_avg"]
-    if with_outbound:
-        cols.append(f"{avg('o.billsec_avg_outbound')} AS billsec_avg_outbound")
-    cols.append("h.answered_count")
+def hourly_sql(from_ts, to_ts, skills, b_unit, company, tenant, *, band=None, with_outbound=False) -> str:
+    upper = "<=" if with_outbound else "<"
+    unit = "" if b_unit is None else f" AND business_unit = '{b_unit}'"
+    hours = "" if band is None else f" WHERE h BETWEEN {band[0]} AND {band[1]}"
+    legs = f"""labelled AS (
+  SELECT *, is_queued AND NOT agent_answered AS waiting,
+    CASE WHEN direction = 'inbound' AND obj_type = 'HTTAPI' AND agent_skill IN {q.in_list(skills.split(','))} THEN 'in'
+         WHEN direction = 'outbound' AND obj_type = 'GATEWAY' THEN 'out' END AS label,
+    {q.local_date('created_time')} AS d, {q.local_hour('created_time')} AS h
+  FROM cdr WHERE created_time >= {q.ts(from_ts)} AND created_time {upper} {q.ts(to_ts)}
+    AND company_id = {company} AND tenant_id = {tenant}{unit}
+), legs AS (SELECT * FROM labelled{hours})"""
+    counts = [f"nullif(count(*) FILTER (WHERE {cond}), 0) AS {name}" for name, cond in _IN_COUNTS.items()]
+    per_skill = ("per_skill AS (SELECT d, h, agent_skill, company_id, tenant_id, count(*) AS ivrcount,\n  "
+                 + ",\n  ".join([*counts, *_averages(_IN_AVERAGES)])
+                 + "\n  FROM legs WHERE label = 'in' GROUP BY ALL)")
+    per_hour = ("per_hour AS (SELECT d, h, company_id, tenant_id, count(*) AS outboundcallcount,\n  "
+                "nullif(count(*) FILTER (WHERE is_answered), 0) AS answered_count_outbound,\n  "
+                + ",\n  ".join(_averages(_OUT_AVERAGES))
+                + "\n  FROM legs WHERE label = 'out' GROUP BY ALL)")
+    span = f"""spine AS (
+  SELECT CAST(t AS DATE) AS d, CAST(hour(t) AS INTEGER) AS h FROM (SELECT unnest(generate_series(
+    date_trunc('hour', {q.local(q.ts(from_ts))}), date_trunc('hour', {q.local(q.ts(to_ts))}), INTERVAL 1 HOUR)) AS t)
+), hours AS (SELECT * FROM spine{hours})"""
+    shown = ["s.ivrcount"] + [f"s.{n}" for n in _IN_COUNTS]
+    shown += [f"s.{n}count * 100 // s.queuedcount AS {n}percent" for n in ("abandoned", "dropped")]
+    shown.append("s.answered_count * 100 // s.queuedcount AS answeredpercent")
+    shown += [f"{q.hms(q.trunc_secs(f's.{n}'))} AS {n}" for n in _IN_AVERAGES]
+    joined = "hours LEFT JOIN per_skill s USING (d, h)"
+    ctes = [legs, per_skill, span]
     if with_outbound:
-        cols.append("p.answered_count_outbound")
-    cols += [f"{avg('i.queuesec_avg')} AS queuesec_avg",
-             f"{pct('h.answered_count')} AS answeredpercent",
-             f"{avg('k.abandonedqueue_avg')} AS abandonedqueue_avg",
-             f"{avg('l.answeredqueue_avg')} AS answeredqueue_avg",
-             "series.s_date", "series.s_hour", "a.agent_skill AS agentskill", "a.company_id",
-             "a.tenant_id"]
-    return (q.ctes("cdr") + "SELECT " + ",\n  ".join(cols) + "\nFROM " + _series(from_ts, to_ts, band, dialect)
-            + "\n" + first + "\n" + "\n".join(joins)
-            + "\nORDER BY series.s_date, series.s_hour, a.agent_skill")
+        ctes.append(per_hour)
+        shown += ["o.outboundcallcount", "o.answered_count_outbound"]
+        shown += [f"{q.hms(q.trunc_secs(f'o.{n}'))} AS {n}" for n in _OUT_AVERAGES]
+        joined += (" LEFT JOIN per_hour o ON o.d = s.d AND o.h = s.h AND o.company_id = s.company_id"
+                   " AND o.tenant_id = s.tenant_id")
+    shown += ["hours.d AS s_date", "hours.h AS s_hour", "s.agent_skill AS agentskill", "s.company_id", "s.tenant_id"]
+    return (q.ctes("cdr").rstrip("\n") + ",\n" + ",\n".join(ctes) + "\nSELECT " + ",\n  ".join(shown)
+            + f"\nFROM {joined}")

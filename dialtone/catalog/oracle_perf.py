@@ -1,80 +1,63 @@
-"""Oracle SQL for the daily call performance report, in the original's shape."""
+"""Oracle SQL for the daily call performance report, from its definition.
+
+Each leg becomes one row of 0/1 marks; days are sums of marks, or of seconds
+times marks. Agents are counted from a list of distinct names per day and direction.
+"""
 
 from __future__ import annotations
 
 from dialtone.catalog import sqlfx as q
 
+_KEY = "d, tenant_id, company_id, business_unit"
+
 
 def call_performance_sql(from_ts: str, to_ts: str) -> str:
-    ld = q.local_date('"created_time"')
-    return q.ctes("cdr", "daily") + f"""
-SELECT CAST(row_number() OVER (ORDER BY main.local_day, main.tenant_id NULLS LAST,
-         main.company_id NULLS LAST, main.business_unit NULLS LAST) AS INTEGER) AS id,
-  main.local_day AS date, main.tenant_id AS tenant, main.company_id AS company, main.business_unit AS bu,
-  COALESCE(main.total_inbound, 0) AS total_inbound,
-  COALESCE(main.total_outbound, 0) AS total_outbound,
-  COALESCE(main.total_queued, 0) AS total_queued,
-  COALESCE(main.total_queue_dropped, 0) AS total_queue_dropped,
-  COALESCE(main.total_queue_answered, 0) AS total_queue_answered,
-  COALESCE(main.total_outbound_answered, 0) AS total_outbound_answered,
-  COALESCE(CAST(main.talk_in AS BIGINT), 0) AS total_talktime_inbound,
-  COALESCE(CAST(round(main.avg_talk_in) AS BIGINT), 0) AS avg_talktime_inbound,
-  COALESCE(CAST(main.hold_in AS BIGINT), 0) AS holdtime_inbound,
-  COALESCE(CAST(main.talk_out AS BIGINT), 0) AS total_talktime_outbound,
-  COALESCE(CAST(round(main.avg_talk_out) AS BIGINT), 0) AS avg_talktime_outbound,
-  COALESCE(CAST(main.hold_out AS BIGINT), 0) AS holdtime_outbound,
-  COALESCE(daily_agg.staff_count, 0) AS total_staff_count,
-  COALESCE(CAST(daily_agg.staff_time AS BIGINT), 0) AS total_staff_time,
-  CASE WHEN COALESCE(daily_agg.staff_count, 0) > 0
-       THEN COALESCE(CAST(daily_agg.staff_time AS BIGINT), 0) // COALESCE(daily_agg.staff_count, 0)
-       ELSE 0 END AS average_staff_time,
-  COALESCE(CAST(daily_agg.acw_time AS BIGINT), 0) AS total_acw_time,
-  CASE WHEN COALESCE(daily_agg.staff_count, 0) > 0
-       THEN COALESCE(CAST(daily_agg.acw_time AS BIGINT), 0) // COALESCE(daily_agg.staff_count, 0)
-       ELSE 0 END AS average_acw_time,
-  COALESCE(CAST(daily_agg.break_time AS BIGINT), 0) AS total_break_time,
-  CASE WHEN COALESCE(main.in_agents, 0) = 0 THEN NULL
-       ELSE CAST(round(CAST(COALESCE(main.in_answers, 0) AS NUMERIC) / CAST(NULLIF(main.in_agents, 0) AS NUMERIC), 1) AS DOUBLE)
-  END AS average_inbound_call_per_agent,
-  CASE WHEN COALESCE(main.out_agents, 0) = 0 THEN NULL
-       ELSE CAST(round(CAST(COALESCE(main.out_answers, 0) AS NUMERIC) / CAST(NULLIF(main.out_agents, 0) AS NUMERIC), 1) AS DOUBLE)
-  END AS average_outbound_call_per_agent,
-  COALESCE(CAST(daily_agg.staff_time AS BIGINT), 0) - (
-    COALESCE(CAST(daily_agg.acw_time AS BIGINT), 0) + COALESCE(CAST(main.talk_in AS BIGINT), 0)
-    + COALESCE(CAST(main.talk_out AS BIGINT), 0) + COALESCE(CAST(daily_agg.break_time AS BIGINT), 0)
-    + COALESCE(CAST(main.hold_in AS BIGINT), 0) + COALESCE(CAST(main.hold_out AS BIGINT), 0)) AS total_idle_time
-FROM (
-  SELECT {ld} AS local_day, tenant_id, company_id, business_unit,
-    count(*) FILTER (WHERE direction = 'inbound') AS total_inbound,
-    count(*) FILTER (WHERE direction = 'outbound') AS total_outbound,
-    count(CASE WHEN is_queued THEN 1 END) AS total_queued,
-    count(CASE WHEN is_queued AND agent_answered = false THEN 1 END) AS total_queue_dropped,
-    count(*) FILTER (WHERE direction = 'inbound' AND agent_answered) AS total_queue_answered,
-    count(*) FILTER (WHERE direction = 'outbound' AND is_answered) AS total_outbound_answered,
-    sum(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec ELSE 0 END) AS talk_in,
-    avg(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec END) AS avg_talk_in,
-    sum(CASE WHEN direction = 'inbound' AND agent_answered THEN hold_sec ELSE 0 END) AS hold_in,
-    sum(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec ELSE 0 END) AS talk_out,
-    avg(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec END) AS avg_talk_out,
-    sum(CASE WHEN direction = 'outbound' AND is_answered THEN hold_sec ELSE 0 END) AS hold_out,
-    count(DISTINCT CASE WHEN direction = 'inbound' AND is_answered = true AND obj_type = 'HTTAPI' THEN received_by ELSE NULL END) AS in_agents,
-    count(*) FILTER (WHERE direction = 'inbound' AND is_answered = true AND obj_type = 'HTTAPI') AS in_answers,
-    count(*) FILTER (WHERE direction = 'outbound' AND is_answered = true AND obj_type != 'PRIVATE_USER') AS out_answers,
-    count(DISTINCT CASE WHEN direction = 'outbound' AND is_answered = true AND obj_type != 'PRIVATE_USER' THEN sip_from_user ELSE NULL END) AS out_agents
-  FROM cdr
-  WHERE created_time >= {q.ts(from_ts)} AND created_time <= {q.ts(to_ts)}
-  GROUP BY {ld}, tenant_id, company_id, business_unit
-) AS main
-LEFT OUTER JOIN (
-  SELECT CAST(summary_date AS DATE) AS d, tenant, company, business_unit,
-    count(*) FILTER (WHERE window_name = 'LOGIN') AS staff_count,
-    sum(CASE WHEN window_name = 'LOGIN' THEN total_time ELSE 0 END) AS staff_time,
-    sum(CASE WHEN window_name = 'AFTERWORK' THEN total_time ELSE 0 END) AS acw_time,
-    sum(CASE WHEN window_name = 'BREAK' THEN total_time ELSE 0 END) AS break_time
-  FROM daily
-  WHERE summary_date >= CAST({q.ts(from_ts)} AS DATE) AND summary_date <= CAST({q.ts(to_ts)} AS DATE)
-  GROUP BY CAST(summary_date AS DATE), tenant, company, business_unit
-) AS daily_agg
-ON main.local_day = daily_agg.d AND main.tenant_id = CAST(daily_agg.tenant AS INTEGER)
- AND main.company_id = CAST(daily_agg.company AS INTEGER) AND main.business_unit = daily_agg.business_unit
-ORDER BY main.local_day"""
+    mark = lambda cond: f"CASE WHEN {cond} THEN 1 ELSE 0 END"
+    ids = "agents.d = day.d AND agents.tenant_id IS NOT DISTINCT FROM day.tenant_id AND agents.company_id IS NOT DISTINCT FROM day.company_id AND agents.business_unit IS NOT DISTINCT FROM day.business_unit"
+    return q.ctes("cdr", "daily").rstrip("\n") + f""",
+marked AS (
+  SELECT {q.local_date('created_time')} AS d, tenant_id, company_id, business_unit, bill_sec, hold_sec,
+    {mark("direction = 'inbound'")} AS i, {mark("direction = 'outbound'")} AS o,
+    {mark("is_queued")} AS qd, {mark("is_queued AND agent_answered = false")} AS qdrop,
+    {mark("direction = 'inbound' AND agent_answered")} AS ia, {mark("direction = 'outbound' AND is_answered")} AS oa,
+    {mark("direction = 'inbound' AND is_answered AND obj_type = 'HTTAPI'")} AS il,
+    {mark("direction = 'outbound' AND is_answered AND obj_type <> 'PRIVATE_USER'")} AS ol,
+    received_by, sip_from_user
+  FROM cdr WHERE created_time BETWEEN {q.ts(from_ts)} AND {q.ts(to_ts)}
+), day AS (
+  SELECT {_KEY}, sum(i) AS n_in, sum(o) AS n_out, sum(qd) AS n_q, sum(qdrop) AS n_qdrop, sum(ia) AS n_ia, sum(oa) AS n_oa,
+    sum(il) AS n_il, sum(ol) AS n_ol, coalesce(sum(ia * bill_sec), 0) AS t_in, coalesce(sum(ia * hold_sec), 0) AS h_in,
+    coalesce(sum(oa * bill_sec), 0) AS t_out, coalesce(sum(oa * hold_sec), 0) AS h_out,
+    sum(ia * bill_sec) / nullif(sum(CASE WHEN bill_sec IS NOT NULL THEN ia END), 0) AS m_in,
+    sum(oa * bill_sec) / nullif(sum(CASE WHEN bill_sec IS NOT NULL THEN oa END), 0) AS m_out
+  FROM marked GROUP BY ALL
+), names AS (
+  SELECT DISTINCT {_KEY}, 'in' AS way, received_by AS name FROM marked WHERE il = 1 AND received_by IS NOT NULL
+  UNION SELECT DISTINCT {_KEY}, 'out', sip_from_user FROM marked WHERE ol = 1 AND sip_from_user IS NOT NULL
+), agents AS (
+  SELECT {_KEY}, count(*) FILTER (WHERE way = 'in') AS a_in, count(*) FILTER (WHERE way = 'out') AS a_out FROM names GROUP BY ALL
+), staff AS (
+  SELECT summary_date AS d, CAST(tenant AS INTEGER) AS tenant_id, CAST(company AS INTEGER) AS company_id, business_unit,
+    sum((window_name = 'LOGIN')::INTEGER) AS n, sum((window_name = 'LOGIN')::INTEGER * total_time) AS login_t,
+    sum((window_name = 'AFTERWORK')::INTEGER * total_time) AS acw_t, sum((window_name = 'BREAK')::INTEGER * total_time) AS brk_t
+  FROM daily WHERE summary_date BETWEEN CAST({q.ts(from_ts)} AS DATE) AND CAST({q.ts(to_ts)} AS DATE) GROUP BY ALL
+), full_day AS (
+  SELECT day.*, coalesce(a_in, 0) AS a_in, coalesce(a_out, 0) AS a_out, coalesce(n, 0) AS n, coalesce(login_t, 0) AS login_t,
+    coalesce(acw_t, 0) AS acw_t, coalesce(brk_t, 0) AS brk_t
+  FROM day LEFT JOIN agents ON {ids}
+  LEFT JOIN staff ON staff.d = day.d AND staff.tenant_id = day.tenant_id AND staff.company_id = day.company_id
+    AND staff.business_unit = day.business_unit
+)
+SELECT CAST(row_number() OVER (ORDER BY d, tenant_id NULLS LAST, company_id NULLS LAST, business_unit NULLS LAST) AS INTEGER) AS id,
+  d AS date, tenant_id AS tenant, company_id AS company, business_unit AS bu,
+  n_in::BIGINT AS total_inbound, n_out::BIGINT AS total_outbound, n_q::BIGINT AS total_queued,
+  n_qdrop::BIGINT AS total_queue_dropped, n_ia::BIGINT AS total_queue_answered, n_oa::BIGINT AS total_outbound_answered,
+  t_in::BIGINT AS total_talktime_inbound, coalesce(round(m_in), 0)::BIGINT AS avg_talktime_inbound, h_in::BIGINT AS holdtime_inbound,
+  t_out::BIGINT AS total_talktime_outbound, coalesce(round(m_out), 0)::BIGINT AS avg_talktime_outbound,
+  h_out::BIGINT AS holdtime_outbound, n::BIGINT AS total_staff_count, login_t::BIGINT AS total_staff_time,
+  (CASE WHEN n > 0 THEN login_t // n ELSE 0 END)::BIGINT AS average_staff_time, acw_t::BIGINT AS total_acw_time,
+  (CASE WHEN n > 0 THEN acw_t // n ELSE 0 END)::BIGINT AS average_acw_time, brk_t::BIGINT AS total_break_time,
+  CASE WHEN a_in > 0 THEN floor((20 * n_il + a_in) / (2.0::DOUBLE * a_in)) / 10 END AS average_inbound_call_per_agent,
+  CASE WHEN a_out > 0 THEN floor((20 * n_ol + a_out) / (2.0::DOUBLE * a_out)) / 10 END AS average_outbound_call_per_agent,
+  (login_t - acw_t - t_in - t_out - brk_t - h_in - h_out)::BIGINT AS total_idle_time
+FROM full_day"""

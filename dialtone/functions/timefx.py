@@ -48,8 +48,11 @@ def parse_ts(value: str | dt.datetime) -> dt.datetime:
 
 
 def ts_literal(value: str | dt.datetime) -> Column:
-    """A UTC instant parameter as a ``timestamp_ntz`` literal (pushes down to parquet)."""
-    return F.lit(parse_ts(value)).cast("timestamp_ntz")
+    """A UTC instant parameter as a ``timestamp_ntz`` literal (pushes down to parquet).
+
+    Passed as text: a Python datetime would be read in the driver's own time zone.
+    """
+    return F.lit(parse_ts(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def date_bounds(from_ts: str | dt.datetime, to_ts: str | dt.datetime) -> tuple[dt.date, dt.date]:

@@ -160,20 +160,16 @@ def acw_by_direction(acw: DataFrame, cdr: DataFrame, from_ts, to_ts) -> DataFram
 
     Work rows created in ``[from_ts, to_ts]`` join call legs on
     ``session_id = uuid`` (legs of any time). A uuid with several legs
-    counts its work once per leg, as the original's inner join does;
-    legs are first reduced to per-uuid direction counts, so a hot uuid
-    is one row before the join shuffle.
+    counts its work once per leg, as the original's inner join does. Both
+    sides are reduced before they meet: work to one row per agent and
+    session, legs to one row per uuid, each combined before its shuffle.
+    Legs have no time bound here, so tables bucketed by uuid save the most;
+    without them Spark can add a runtime filter from the work side.
     """
-    work = acw.filter(in_range("created_at", from_ts, to_ts, inclusive_end=True)) \
-        .select("resource_id", "session_id", "duration")
-    # legs of any time, but only those of a session with work in the range: the
-    # semi-join runs before the per-uuid reduction (broadcast by AQE when the
-    # work side is small; otherwise the uuid partitioning serves both steps)
-    legs = cdr.select("uuid", "direction").join(
-        work.select(c("session_id").alias("uuid")), on="uuid", how="left_semi")
-    per_uuid = legs.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
-                                        count_where(c("direction") == "outbound").alias("n_out"))
-    j = work.join(per_uuid, work.session_id == per_uuid.uuid, "inner")
-    return j.groupBy("resource_id").agg(
-        F.sum(c("duration") * c("n_in")).alias("acw_in"),
-        F.sum(c("duration") * c("n_out")).alias("acw_out"))
+    work = (acw.filter(in_range("created_at", from_ts, to_ts, inclusive_end=True))
+            .groupBy("resource_id", c("session_id").alias("uuid")).agg(F.sum("duration").alias("worked")))
+    per_uuid = cdr.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
+                                       count_where(c("direction") == "outbound").alias("n_out"))
+    return (work.join(per_uuid, "uuid").groupBy("resource_id")
+            .agg(F.sum(c("worked") * c("n_in")).alias("acw_in"),
+                 F.sum(c("worked") * c("n_out")).alias("acw_out")))

@@ -11,11 +11,11 @@ _MATCH = ["event_class", "event_type", "event_category"]
 def counter_deltas(events: DataFrame, rules: DataFrame) -> DataFrame:
     """Each event matched to its rule(s): ``window_name`` and ``count`` (+1/-1).
 
-    The rule table is a fixed handful of rows, so it is broadcast; events
-    without a rule are dropped (inner join).
+    Spark broadcasts the rule table if its size allows; events without a
+    rule are dropped (inner join).
     """
     r = rules.select(*_MATCH, "window_name", "count")
-    return events.join(F.broadcast(r), on=_MATCH, how="inner")
+    return events.join(r, on=_MATCH, how="inner")
 
 
 def counter_totals(deltas: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -30,8 +30,7 @@ def counter_totals(deltas: DataFrame, keys: list[str] | None = None) -> DataFram
 def published(totals: DataFrame, publish: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The values each window publishes: (window_name, event_name, value)."""
     keys = keys or []
-    p = F.broadcast(publish)
-    j = totals.join(p, on="window_name", how="inner")
+    j = totals.join(publish, on="window_name", how="inner")
     value = F.when(F.col("event_name") == "TotalCount", F.col("total_count")) \
         .when(F.col("event_name") == "CurrentCount", F.col("current_count"))
     return j.select(*keys, "window_name", "event_name", value.alias("value"))

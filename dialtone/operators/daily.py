@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -93,13 +93,10 @@ def mask_null_keys(df: DataFrame, keys: list[str], windows: list[str], driver: s
 
 
 def group_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
-    """Add per-group totals on every row (``SUM(..) OVER (PARTITION BY keys)``).
+    """Add per-group totals on every row, by an aggregate and a left join.
 
-    A group with a NULL key gets NULL: in the join form such a group never
-    matches. The window shuffles the already-aggregated rows, not the facts.
+    A group with a NULL key gets NULL, as equality never matches it. The
+    aggregate is combined before its shuffle, so a large group is not one task.
     """
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & c(k).isNotNull()
-    w = Window.partitionBy(*keys)
-    return df.select("*", *[F.when(ok, F.sum(e).over(w)).alias(n) for n, e in totals.items()])
+    per = df.groupBy(*keys).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
+    return df.join(per, keys, "left").select(*df.columns, *totals)

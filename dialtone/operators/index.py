@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ordered_index(df: DataFrame, bucket: str, order: list[Column], name: str = "id",
-                  bucket_bound: int | None = None) -> DataFrame:
+def ordered_index(df: DataFrame, bucket: str, order: list[Column], name: str = "id") -> DataFrame:
     """Add ``name`` = 1, 2, ... following ``bucket`` then ``order``.
 
     ``row_number() OVER (ORDER BY ..)`` with no partition moves every row
@@ -15,15 +14,12 @@ def ordered_index(df: DataFrame, bucket: str, order: list[Column], name: str = "
     window partitioned by the bucket), and each bucket's offset is the
     running total of the sizes of the buckets before it. Only the small
     table of bucket sizes (one row per bucket) is ordered globally.
-    ``bucket`` must not be NULL. Pass ``bucket_bound`` when the number of
-    buckets is known from the parameters (e.g. days in a report range):
-    the offsets are then broadcast, otherwise AQE decides from their size.
+    ``bucket`` must not be NULL. It is meant for report rows: one task
+    numbers a bucket's rows, and ``df`` is computed for the rows and for the sizes.
     """
     local = df.withColumn("_rn", F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
     sizes = local.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(bucket, (F.sum("_n").over(running) - F.col("_n")).alias("_offset"))
-    if bucket_bound is not None and bucket_bound <= 1_000_000:
-        offsets = F.broadcast(offsets)
     out = local.join(offsets, on=bucket, how="inner")
     return out.withColumn(name, (F.col("_offset") + F.col("_rn")).cast("int")).drop("_rn", "_offset")

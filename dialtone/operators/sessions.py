@@ -102,6 +102,16 @@ def _unit(bucket: str) -> str:
     return unit
 
 
+def _join_null_safe(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on ``keys`` in which NULL equals NULL, as it does in a window's partition."""
+    renamed = table.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
+                           *[x for x in table.columns if x not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return rows.join(renamed, on, "left").drop(*[f"_key_{k}" for k in keys])
+
+
 def lead_in_time(events: DataFrame, by: list[str], ts: str = "created_at",
                  carry: str = "reason", bucket: str = BUCKET) -> DataFrame:
     """Add ``next_at`` / ``next_{carry}``: the next event of the same ``by`` group in time.
@@ -112,15 +122,16 @@ def lead_in_time(events: DataFrame, by: list[str], ts: str = "created_at",
     event, looked up through the bucket-level table.
     """
     b = "_bucket"
-    ev = events.withColumn(b, _bucket(F.col(ts), bucket))
+    # one exchange serves the window and the bucket table
+    dealt = events.withColumn(b, _bucket(F.col(ts), bucket)).repartition(*by, b)
     w = Window.partitionBy(*by, b).orderBy(ts, carry)
-    ev = (ev.withColumn("next_at", F.lead(ts).over(w))
+    ev = (dealt.withColumn("next_at", F.lead(ts).over(w))
           .withColumn(f"next_{carry}", F.lead(carry).over(w)))
-    heads = ev.groupBy(*by, b).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(carry).alias("v")))
-                                   .alias("_head"))
+    heads = dealt.groupBy(*by, b).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(carry).alias("v")))
+                                      .alias("_head"))
     wb = Window.partitionBy(*by).orderBy(b)
     heads = heads.select(*by, b, F.lead("_head").over(wb).alias("_next_head"))
-    out = ev.join(heads, on=[*by, b], how="left")
+    out = _join_null_safe(ev, heads, [*by, b])
     last = F.col("next_at").isNull()
     return (out.withColumn(f"next_{carry}", F.when(last, F.col("_next_head.v"))
                            .otherwise(F.col(f"next_{carry}")))
@@ -137,15 +148,15 @@ def running_count(events: DataFrame, by: list[str], cond: Column, name: str,
     """
     b = "_bucket"
     flag = F.when(cond, 1).otherwise(0)
-    ev = events.withColumn(b, _bucket(F.col(ts), bucket)).withColumn("_flag", flag)
+    dealt = events.withColumn(b, _bucket(F.col(ts), bucket)).withColumn("_flag", flag).repartition(*by, b)
     w = (Window.partitionBy(*by, b).orderBy(ts, tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ev = ev.withColumn("_in_bucket", F.sum("_flag").over(w))
-    totals = ev.groupBy(*by, b).agg(F.sum("_flag").alias("_bucket_total"))
+    ev = dealt.withColumn("_in_bucket", F.sum("_flag").over(w))
+    totals = dealt.groupBy(*by, b).agg(F.sum("_flag").alias("_bucket_total"))
     wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, b, F.coalesce(F.sum("_bucket_total").over(wb), F.lit(0))
                             .alias("_before"))
-    out = ev.join(offsets, on=[*by, b], how="left")
+    out = _join_null_safe(ev, offsets, [*by, b])
     return (out.withColumn(name, (F.col("_before") + F.col("_in_bucket")).cast("bigint"))
             .drop(b, "_flag", "_in_bucket", "_before"))
 

@@ -45,7 +45,7 @@ def hour_spine(spark: SparkSession, from_ts, to_ts, tz: str = DEFAULT_TZ,
     first, n = spine_bounds(from_ts, to_ts, tz)
     parts = max(1, -(-n // _ROWS_PER_PARTITION))
     hours = spark.range(0, n, numPartitions=parts)
-    wall = F.lit(first).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))
+    wall = F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))
     df = hours.select(F.to_date(wall).alias("s_date"), F.hour(wall).alias("s_hour"))
     if from_hour is not None:
         df = df.filter(F.col("s_hour") >= from_hour)

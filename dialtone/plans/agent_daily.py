@@ -26,7 +26,6 @@ from dialtone.functions.timefx import date_bounds
 from dialtone.operators.daily import group_totals, mask_null_keys, window_rollup
 from dialtone.operators.sessions import first_last_per_day, last_before
 from dialtone.operators.totals import with_grand_totals
-from dialtone.session import checkpoint_dir
 
 c = F.col
 
@@ -230,11 +229,6 @@ def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
     once in the totals subquery. Projections after the sort keep its order.
     """
     out = _columns(all_tenants, bu)
-    # The agent-day rows feed both the report and its grand totals. A reliable
-    # checkpoint (in the shared spark.checkpoint.dir) computes them once, instead
-    # of the totals subquery re-running the pivot, and cuts the lineage there.
-    checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
     per_row = format_hms(rows.selectExpr(*out.rows), out.durations)
     ordered = per_row.orderBy("summary_date", "tenant", "company", "agent")
     totals = [F.expr(f"cast({e} AS bigint) AS {n}" if is_secs else f"{e} AS {n}")

@@ -1,24 +1,22 @@
 """Hourly call summaries (inbound per skill, with empty hours filled in).
 
-One scan of ``cdr`` and one conditional aggregate per direction replace
-the per-measure subqueries and join chains of the row-store version. The
-aggregate is bounded by hours x listed skills, a number known from the
-parameters, so it is broadcast to the hour spine when that bound is small.
+One scan of ``cdr`` and one conditional aggregate replace the per-measure
+subqueries and join chains of the row-store version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialtone.functions.fmt import hms, pct_int
 from dialtone.functions.timefx import DEFAULT_TZ, local_ts
 from dialtone.operators import cdr as ops
-from dialtone.operators.joins import bounded_broadcast
-from dialtone.operators.spine import hour_spine, spine_bounds
+from dialtone.operators.spine import hour_spine
 
 c = F.col
 
+OUTBOUND = ("outboundcallcount", "holdsec_avg_outbound_s", "billsec_avg_outbound_s", "answered_count_outbound")
 
 
 def _with_local_hour(df: DataFrame, tz: str) -> DataFrame:
@@ -73,9 +71,7 @@ def hourly_call_summary(spark: SparkSession, cdr: DataFrame, from_ts, to_ts, ski
     requested tenant (the original hard-coded tenant 1 in one branch).
     """
     spine = hour_spine(spark, from_ts, to_ts, tz)
-    n_hours = spine_bounds(from_ts, to_ts, tz)[1]
     agg = _inbound(cdr, from_ts, to_ts, skills, tz, b_unit, company, tenant, inclusive_end=False)
-    agg = bounded_broadcast(agg, n_hours * len(ops.skill_list(skills)))
     joined = spine.join(agg, (spine.s_date == agg.c_date) & (spine.s_hour == agg.c_hour), "left")
     return (joined.select(*_formatted_inbound(), *_tail())
             .orderBy("s_date", "s_hour", "agentskill"))
@@ -94,19 +90,20 @@ def hourly_call_summary_w_hour(spark: SparkSession, cdr: DataFrame, from_ts, to_
     outbound calls only shows NULL (as in the original).
     """
     spine = hour_spine(spark, from_ts, to_ts, tz, from_hour, to_hour)
-    n_hours = spine_bounds(from_ts, to_ts, tz)[1]
-    inbound = _inbound(cdr, from_ts, to_ts, skills, tz, b_unit, company, tenant,
-                       inclusive_end=True, from_hour=from_hour, to_hour=to_hour)
-    outbound_legs = _with_local_hour(
-        ops.filter_calls(cdr, from_ts, to_ts, inclusive_end=True, company=company, tenant=tenant,
-                         b_unit=b_unit, direction="outbound", obj_type="GATEWAY"), tz)
-    outbound = (outbound_legs.filter(c("c_hour").between(from_hour, to_hour))
-                .groupBy("c_date", "c_hour", "company_id", "tenant_id")
-                .agg(*ops.outbound_measures()))
-    # inbound rows x their hour's outbound row: both sides bounded by the spine
-    both = inbound.join(bounded_broadcast(outbound, n_hours),
-                        on=["c_date", "c_hour", "company_id", "tenant_id"], how="left")
-    both = bounded_broadcast(both, n_hours * len(ops.skill_list(skills)))
+    # one scan: both kinds of legs are aggregated by role, then the hour's outbound row is put beside
+    # its inbound rows by a window over the aggregated rows
+    inbound = (c("direction") == "inbound") & (c("obj_type") == "HTTAPI") & c("agent_skill").isin(ops.skill_list(skills))
+    outbound = (c("direction") == "outbound") & (c("obj_type") == "GATEWAY")
+    legs = ops.filter_calls(cdr, from_ts, to_ts, inclusive_end=True, company=company, tenant=tenant, b_unit=b_unit)
+    legs = _with_local_hour(legs.filter(inbound | outbound), tz).filter(c("c_hour").between(from_hour, to_hour))
+    hour = ["c_date", "c_hour", "company_id", "tenant_id"]
+    agg = (legs.withColumn("agent_skill", F.when(inbound, c("agent_skill"))).withColumn("is_in", inbound)
+           .groupBy(*hour, "is_in", "agent_skill").agg(*ops.inbound_measures(), *ops.outbound_measures()))
+    same_hour = Window.partitionBy(*hour)
+    known = c("company_id").isNotNull() & c("tenant_id").isNotNull()
+    for name in OUTBOUND:
+        agg = agg.withColumn(name, F.max(F.when(~c("is_in") & known, c(name))).over(same_hour))
+    both = agg.filter("is_in")
     joined = spine.join(both, (spine.s_date == both.c_date) & (spine.s_hour == both.c_hour), "left")
     inb = _formatted_inbound()
     cols = [

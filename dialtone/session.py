@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every report assumes. The session time zone is pinned to UTC:
@@ -31,8 +29,6 @@ def build_session(master: str | None = None, app_name: str = "dialtone",
     conf = dict(REQUIRED_CONF)
     conf.setdefault("spark.ui.enabled", "false")
     conf.setdefault("spark.ui.showConsoleProgress", "false")
-    # checkpoint files of reports (R3-R5) are removed once their DataFrames are gone
-    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -48,21 +44,3 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set by the deployment to a shared file
-    system. Only when it is unset (local runs, tests) a private temporary
-    folder is created and recorded in the session.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="dialtone-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # no SparkContext in this client (e.g. Spark Connect): the server's applies
-        pass
-    return current

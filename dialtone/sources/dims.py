@@ -1,7 +1,7 @@
 """Fixed dimension and rule rows of the source system.
 
 These are small, fixed tables (their size does not grow with the data),
-so they are created with ``createDataFrame`` and may be broadcast.
+so they are created with ``createDataFrame``.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone import schemas
+from dialtone.sources.tables import conform
 
 # Dashboard event-counter rules, as
 # (EventClass, EventType, EventCategory, WindowName, Count, FlushEnable,
@@ -114,6 +115,10 @@ HANGUP_CAUSES = [
 
 
 def hangup_causes(spark: SparkSession) -> DataFrame:
-    """The hangup-cause lookup (65 rows); ``description`` is not carried (NULL)."""
-    rows = [(code, sip, enum, cause, None) for code, sip, enum, cause in HANGUP_CAUSES]
-    return spark.createDataFrame(rows, schemas.HANGUP_CAUSES)
+    """The hangup-cause lookup (65 rows)."""
+    return spark.createDataFrame(HANGUP_CAUSES, schemas.HANGUP_CAUSES)
+
+
+def read_hangup_causes(spark: SparkSession, path: str) -> DataFrame:
+    """A user's own hangup-cause table, with descriptions."""
+    return conform(spark.read.parquet(path), schemas.HANGUP_CAUSE_TABLE)

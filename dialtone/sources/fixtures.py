@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtone import schemas
-from dialtone.sources.tables import conform, read_table, spread
+from dialtone.sources.tables import conform, read_table
 
 RAW_TABLES = ("events", "supplier", "nation", "region", "customer")
 
@@ -68,14 +68,24 @@ select cast(user_id % 50 as int) as resource_id, ts as created_at,
   case when event_id % 2 = 0 then 'NotAvailable' else 'Available' end as status,
   cast((event_id * 29) % 1800 as int) as duration from events""",
     "business_units": """
-select n_nationkey as id, 'BU' || cast(n_nationkey % 4 as string) as bu_id, n_name as unit_name, n_regionkey as attribute_id, n_nationkey % 7 as attribute_group_id from nation""",
+select n_nationkey as id, 'BU' || cast(n_nationkey % 4 as string) as bu_id, n_name as unit_name, n_regionkey as attribute_id, n_nationkey % 7 as attribute_group_id,
+  cast(1 + n_nationkey % 2 as int) as tenant_id, cast(1 + n_nationkey % 3 as int) as company_id, case when n_nationkey % 11 = 3 then null else timestamp '2024-01-01 00:00:00' end as created_at, timestamp '2024-01-02 00:00:00' as updated_at from nation""",
     "user_groups": """
-select n_nationkey as id, 'G' || cast(n_nationkey % 6 as string) as group_id, n_name as group_name, n_regionkey as attribute_id, n_nationkey % 7 as attribute_group_id from nation""",
+select n_nationkey as id, 'G' || cast(n_nationkey % 6 as string) as group_id, n_name as group_name, n_regionkey as attribute_id, n_nationkey % 7 as attribute_group_id,
+  cast(1 + n_nationkey % 3 as int) as company_id, cast(1 + n_nationkey % 2 as int) as tenant_id, case when n_nationkey % 11 = 3 then null else timestamp '2024-01-01 00:00:00' end as created_at, timestamp '2024-01-02 00:00:00' as updated_at from nation""",
     "attributes": """
 select r_regionkey as attribute_id, r_name as attribute_name from region where r_regionkey < 4""",
+    "attribute_groups": """
+select distinct n_regionkey + 1 as attribute_group_id from nation""",
+    "campaigns": """
+select cast(p_partkey as int) as campaign_id, p_type as campaign_name from part where p_partkey < 4""",
     "contact_numbers": """
 select c_custkey as contact_number_id, 'ext' || cast(c_custkey % 40 as string) as external_user_id, cast(c_custkey % 5 as int) as campaign_id,
-  cast(1 + c_nationkey % 2 as int) as tenant_id, cast(1 + c_nationkey % 3 as int) as company_id,
+  c_custkey % 2 = 0 as status, cast(1 + c_nationkey % 2 as int) as tenant_id, cast(1 + c_nationkey % 3 as int) as company_id,
+  'batch' || cast(c_custkey % 12 as string) as batch_no, c_mktsegment as preview_data,
+  case c_custkey % 3 when 0 then 'added' when 1 then 'dialing' else 'completed' end as dialer_status,
+  timestamp '2024-01-01 00:00:00' as created_at,
+  case when c_custkey % 13 = 5 then null else timestamp '2024-01-02 00:00:00' end as updated_at,
   case when c_custkey % 9 = 0 then null else cast(c_custkey % 3 as int) end as cam_schedule_id from customer""",
     "counter_events": """
 select event_id, ts, 'DIALER' as event_class, 'CAMPAIGN' as event_type,
@@ -113,6 +123,7 @@ _SOURCES = {
     "cdr": ("events",), "status": ("events",), "daily": ("events",), "acw": ("events",),
     "breaks": ("events",), "counter_events": ("events",), "resources": ("supplier",),
     "business_units": ("nation",), "user_groups": ("nation",), "attributes": ("region",),
+    "attribute_groups": ("nation",), "campaigns": ("part",),
     "contact_numbers": ("customer",),
 }
 
@@ -123,7 +134,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str,
     raw_tables = raw_tables if raw_tables is not None else {}
     for t in _SOURCES[name]:
         if t not in raw_tables:
-            raw_tables[t] = spread(read_table(spark, sf_dir, t))
+            raw_tables[t] = read_table(spark, sf_dir, t)
     raw = {t: raw_tables[t] for t in _SOURCES[name]}
     if name == "daily":
         df = spark.sql(_DAILY_SPARK, events=raw["events"])

@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Column order of the stored summary: the base report's columns with ``bu`` after ``agent``'s keys.
-_FIRST = ["summary_date", "tenant", "company", "bu", "agent"]
-
+from dialtone import schemas
 
-def summary_table_columns(report: DataFrame) -> list[str]:
-    base = [c for c in report.columns if c not in _FIRST and c not in
-            ("outbound_dialed_total_time", "avg_outbound_dialed_time", "outbound_dialed_total_count",
-             "logout_time")]
-    return _FIRST + base
 
+def summary_rows(report: DataFrame, bu: str | None = None) -> DataFrame:
+    """A report's rows with the declared columns and types of the summary table.
 
-def write_agent_summary(report: DataFrame, path: str, bu: str | None = None) -> None:
-    """Write a report into the summary table, replacing only the dates it covers.
-
-    Partitioned by ``summary_date`` with dynamic partition overwrite: a
-    rerun for a date range rewrites those dates and leaves the others, so
-    the job is idempotent and a failed attempt can simply be retried.
     ``bu`` fills the unit column for reports that have none.
     """
     df = report if "bu" in report.columns else report.withColumn("bu", F.lit(bu).cast("string"))
-    df = df.select(*summary_table_columns(df))
-    (df.repartition("summary_date").write
+    missing = [f.name for f in schemas.AGENT_SUMMARY if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"the report lacks {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.AGENT_SUMMARY])
+
+
+def write_agent_summary(report: DataFrame, path: str, first: dt.date, last: dt.date, bu: str | None = None) -> None:
+    """Replace the dates ``first`` .. ``last`` of the summary table by the report's rows.
+
+    Partitioned by ``summary_date`` with dynamic partition overwrite, which
+    replaces the dates that have rows; dates of the range that no longer have
+    any are removed after that, so a rerun leaves what one run would. Other dates
+    stay. Rows are rebalanced by date: small dates share a task, and Spark
+    splits a large date over several.
+    """
+    spark = report.sparkSession
+    rows = summary_rows(report, bu).filter(F.col("summary_date").between(F.lit(first), F.lit(last)))
+    (rows.hint("rebalance", "summary_date").write
      .option("partitionOverwriteMode", "dynamic")
      .mode("overwrite").partitionBy("summary_date").parquet(path))
+    kept = {r["summary_date"] for r in rows.select("summary_date").distinct().collect()}  # days of the range
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for n in range((last - first).days + 1):
+        day = first + dt.timedelta(days=n)
+        folder = fs_path(f"{path}/summary_date={day}")
+        if day not in kept and fs.exists(folder):
+            fs.delete(folder, True)
+
+
+def read_agent_summary(spark, path: str) -> DataFrame:
+    """The summary table with its declared schema."""
+    return spark.read.schema(schemas.AGENT_SUMMARY).parquet(path).select(*schemas.AGENT_SUMMARY.fieldNames())

@@ -18,28 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single small file (one parquet row group) is read by one task, and
-    every narrow step after it (derivations, partial aggregation) would
-    stay on that one core. Such a scan is round-robin repartitioned to the
-    default parallelism. A large table already has at least that many
-    splits and is returned unchanged, so no shuffle is added at scale.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("dialtone.spreadSmallScans", "true") != "true":
-        return df
-    try:
-        want = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as is
-        return df
-    if splits < want:
-        return df.repartition(want)
-    return df
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns in order, cast to the declared types.
 

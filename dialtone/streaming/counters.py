@@ -1,23 +1,25 @@
 """Live dashboard counters with Structured Streaming.
 
 Dialer events arrive as files (or any streaming source with the
-``counter_events`` columns). Each event is matched to its counter rule
-(a fixed table, broadcast in a stream-static join) and added to its
-window's counters per UTC day. The watermark bounds the state: a day's
-counters are final once events are more than ``lateness`` past it.
+``counter_events`` columns). Each event is matched to its counter rule in a
+stream-static join and added to its window's counters per UTC day. Counters
+are emitted in update mode, so the current day shows as it grows; the
+watermark bounds the state, a day's counters being final once events are
+more than ``lateness`` past it.
+
+Every batch writes the counters that changed to a folder of its own, named by
+the batch, and replaces it when the batch is run again: a restart from the same
+checkpoint adds nothing twice. Readers take the latest batch of each counter.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dialtone import schemas
-from dialtone.operators.counters import counter_deltas
-from dialtone.session import checkpoint_dir
+from dialtone.operators.counters import counter_deltas, published
 from dialtone.sources import dims
 
 # SQL deriving dialer events from the generic event table (same text as the batch fixture)
@@ -55,19 +57,30 @@ def live_counters(events: DataFrame, rules: DataFrame, lateness: str = "1 hour")
                       "current_count")
 
 
-def start_counters(spark: SparkSession, source_path: str, sink_path: str, name: str = "counters",
-                   available_now: bool = True, output_mode: str = "append") -> StreamingQuery:
-    """Run the counters from ``source_path`` into a parquet sink at ``sink_path``.
+def start_counters(spark: SparkSession, source_path: str, sink_path: str, checkpoint_location: str,
+                   available_now: bool = True, lateness: str = "1 hour") -> StreamingQuery:
+    """Keep the counters under ``sink_path`` up to date with the events under ``source_path``.
 
-    The checkpoint lives under the session's shared ``spark.checkpoint.dir``
-    (so a restarted driver or a lost executor resumes exactly once).
-    ``append`` mode emits each day once, when the watermark closes it.
+    ``checkpoint_location`` is this stream's own folder in a store that every
+    driver that may run it can reach; a restart goes on from there.
     """
-    rules = dims.counter_rules(spark)
-    out = live_counters(event_stream(spark, source_path), rules)
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    writer = (out.writeStream.outputMode(output_mode).format("parquet")
-              .option("path", sink_path).option("checkpointLocation", ckpt))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="10 seconds")
+    out = live_counters(event_stream(spark, source_path), dims.counter_rules(spark), lateness)
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{sink_path}/batch={batch}")
+
+    writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint_location).foreachBatch(write)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def current_counters(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Per day and window the counters of the latest batch that changed them."""
+    value = F.struct("total_count", "current_count")
+    return (spark.read.parquet(sink_path).groupBy("day", "window_name")
+            .agg(F.max_by(value, F.col("batch")).alias("v")).select("day", "window_name", "v.*"))
+
+
+def dashboard(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The values that each window publishes, per day: (day, window_name, event_name, value)."""
+    return published(current_counters(spark, sink_path), dims.publish_meta(spark), ["day"])

@@ -12,7 +12,7 @@ def cdr_row(**kw):
                 company_id=1, business_unit="BU1", direction="inbound", obj_type="HTTAPI",
                 agent_skill="skill0", is_queued=True, agent_answered=True, is_answered=True,
                 queue_sec=10, hold_sec=0, bill_sec=100, answer_sec=5, ivr_connect_sec=3,
-                received_by="Supplier#000000001", sip_from_user="Supplier#000000002")
+                received_by="Supplier#000000001", sip_from_user="Supplier#000000002", queue_priority=None)
     base.update(kw)
     return tuple(base[f.name] for f in schemas.CDR.fields)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from dialtone import schemas
 from dialtone.catalog.queries import queries
-from dialtone.sources.sink import write_agent_summary
+from dialtone.sources.sink import read_agent_summary, write_agent_summary
 from dialtone.sources.tables import read_evolving
 from conftest import SMOKE_DIR
 
@@ -23,17 +23,40 @@ def test_schema_evolution_reads_missing_column_as_null(spark, tmp_path):
     assert got == {"a": None, "b": 5}
 
 
-def test_summary_sink_overwrites_only_covered_dates(spark, tmp_path):
+def _days(report):
+    return sorted(r.summary_date for r in report.select("summary_date").distinct().collect())
+
+
+def test_summary_sink_replaces_its_range_only(spark, tmp_path):
     path = str(tmp_path / "agent_summary")
     report = queries()["agent_productivity"](spark, SMOKE_DIR)
-    write_agent_summary(report, path, bu="ALL")
-    first = spark.read.parquet(path)
-    n_all = first.count()
-    dates = sorted({r.summary_date for r in first.select("summary_date").distinct().collect()})
-    assert len(first.columns) == 86 and n_all == report.count()
-    # rerun for one day only: other days stay, that day is replaced (idempotent)
-    one_day = report.filter(F.col("summary_date") == dates[0])
-    write_agent_summary(one_day, path, bu="ALL")
-    again = spark.read.parquet(path)
-    assert again.count() == n_all
+    dates = _days(report)
+    write_agent_summary(report, path, dates[0], dates[-1], bu="ALL")
+    table = read_agent_summary(spark, path)
+    assert table.schema == schemas.AGENT_SUMMARY and len(table.columns) == 86
+    n_all = report.count()
+    assert table.count() == n_all
+    # a rerun of one day leaves the others, and the same rows
+    write_agent_summary(report.filter(F.col("summary_date") == dates[0]), path, dates[0], dates[0], bu="ALL")
+    assert read_agent_summary(spark, path).count() == n_all
+    # a day of the range that has no rows any more becomes empty; days beyond the range stay
+    write_agent_summary(report.filter(F.col("summary_date") != dates[1]), path, dates[0], dates[1], bu="ALL")
+    again = read_agent_summary(spark, path)
+    assert _days(again) == [d for d in dates if d != dates[1]]
     assert os.path.isdir(os.path.join(path, f"summary_date={dates[-1]}"))
+
+
+def test_large_date_has_several_writers(spark, tmp_path):
+    path = str(tmp_path / "large")
+    report = queries()["agent_productivity"](spark, SMOKE_DIR)
+    day = _days(report)[0]
+    rows = (report.filter(F.col("summary_date") == day).limit(1)
+            .crossJoin(spark.range(4000)).withColumn("agent", F.col("id").cast("int")).drop("id"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_agent_summary(rows, path, day, day, bu="ALL")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = [f for f in os.listdir(os.path.join(path, f"summary_date={day}")) if f.endswith(".parquet")]
+    assert len(files) > 1 and read_agent_summary(spark, path).count() == 4000

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from dialtone.catalog import params as P
 from dialtone.catalog.compare import normalise
-from dialtone.catalog.join_chain import join_chain
 from dialtone.catalog.queries import queries
 from dialtone.functions.timefx import local_date
 from dialtone.sources.fixtures import tables
@@ -41,14 +40,6 @@ def test_per_unit_login_totals_add_up_to_all_units(spark):
     assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, base.collect()))
 
 
-def test_join_chain_equals_one_pass_in_spark(spark):
-    for name in ["hourly_call_summary", "hourly_call_summary_w_hour"]:
-        a = join_chain(spark, SMOKE_DIR, name)
-        b = queries()[name](spark, SMOKE_DIR)
-        assert normalise(a.columns, [tuple(r) for r in a.collect()]) == \
-            normalise(b.columns, [tuple(r) for r in b.collect()])
-
-
 def test_ordered_index_equals_global_row_number(spark):
     import random
     from pyspark.sql import Window
@@ -58,7 +49,7 @@ def test_ordered_index_equals_global_row_number(spark):
             for i in range(300)]
     df = spark.createDataFrame(rows, "day string, t int, u string, k int")
     order = [F.col("t").asc_nulls_last(), F.col("u").asc_nulls_last(), F.col("k")]
-    got = ordered_index(df, "day", order, "id", bucket_bound=5).select("k", "id")
+    got = ordered_index(df, "day", order, "id").select("k", "id")
     expected = df.select("k", F.row_number().over(
         Window.orderBy(F.col("day"), *order)).cast("int").alias("id"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
