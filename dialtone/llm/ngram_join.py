@@ -403,7 +403,8 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 75, tile: int = TI
                     names=["cls", "n", "copies", "shingles"])
 
     sets = stored(
-        texts.join(alive.withColumnRenamed("cls", "id"), "id").select(
+        # sorted and merged at every size: these classes grow with the documents
+        texts.join(alive.withColumnRenamed("cls", "id").hint("merge"), "id").select(
             F.col("id").alias("cls"), "n", "copies", "d1", "d2", "text")
         .mapInArrow(tokens, f"cls {kind}, n bigint, copies bigint, shingles array<bigint>")
         .dropDuplicates(["cls"]), "ngram-shingles")
