@@ -7,8 +7,8 @@
 5. mixing: epochs and token-prefixes of the rest, by domain, language and source.
 
 Stages 1 to 4 return the columns of documents (``n_chars`` counted anew where
-lines went), stage 5 adds domain, epoch and tokens. Columns beyond those of
-documents are passed on. Documents with a null id have no duplicates and no
+lines went), stage 5 adds domain, epoch and tokens, in place of columns with
+these names. Other columns beyond those of documents are passed on. Documents with a null id have no duplicates and no
 overlaps: they stay in stages 2 to 4. Documents that share an id stay or go together.
 """
 
@@ -44,8 +44,9 @@ def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, mix_domain(), MIX_WEIGHTS)
-    return mixed.select(*docs.columns, "mix.domain", "mix.epoch", "mix.tokens")
+    added = ("domain", "epoch", "tokens")
+    mixed = mixing.mix(docs, mix_domain(), MIX_WEIGHTS, name="__mix")
+    return mixed.select(*[c for c in docs.columns if c not in added], *[f"__mix.{c}" for c in added])
 
 
 STAGES = [

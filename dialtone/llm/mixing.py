@@ -107,8 +107,8 @@ def _draw(seed: int, epoch: Column, doc_id: Column) -> Column:
 
 def mix(docs: DataFrame, domain: Column, weights: Weights, budget_share: float = 0.8, max_epochs: int = 3,
         seed: int = 17, tokens: Column | None = None, id_col: str = "doc_id", lang: str = "lang",
-        source: str = "source", text_col: str = "text") -> DataFrame:
-    """The chosen rows with all their columns and a struct ``mix``: (domain, lang, source, epoch, tokens).
+        source: str = "source", text_col: str = "text", name: str = "mix") -> DataFrame:
+    """The chosen rows with all their columns and a struct ``name``: (domain, lang, source, epoch, tokens).
 
     A row appears once for each epoch in which it is chosen. Text is read, never
     shuffled: rows are compared with their leaf's last chosen hash and id.
@@ -156,4 +156,4 @@ def mix(docs: DataFrame, domain: Column, weights: Weights, budget_share: float =
                       .otherwise(F.array().cast("array<int>")),
                       F.when(last, F.array(F.col("full"))).otherwise(F.array().cast("array<int>")))
     return (rows.withColumn("epoch", F.explode(epochs))
-            .select("row.*", F.struct("own.domain", "own.lang", "own.source", "epoch", "own.tokens").alias("mix")))
+            .select("row.*", F.struct("own.domain", "own.lang", "own.source", "epoch", "own.tokens").alias(name)))

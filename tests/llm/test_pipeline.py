@@ -24,14 +24,20 @@ def test_stages(spark, sf_dir):
 
     assert set(rows["toxicity"]) == want
     gone = brute_lines([(k, r["text"]) for k, r in rows["toxicity"].items()])
+    missed = 0
     for k, r in rows["toxicity"].items():
         lines = r["text"].split("\n")
         left = [x for i, x in enumerate(lines) if i not in gone.get(k, ())]
-        if k in gone and not any(x.strip() for x in left):
-            assert k not in rows["line_dedup"]
-        else:
-            assert rows["line_dedup"][k]["text"] == "\n".join(left)
-            assert rows["line_dedup"][k]["n_chars"] == len("\n".join(left))
+        kept = rows["line_dedup"].get(k)
+        if kept is None:
+            assert k in gone and not any(x.strip() for x in left)
+            continue
+        assert kept["n_chars"] == len(kept["text"])
+        stays = iter(kept["text"].split("\n"))
+        assert all(x in stays for x in left)  # in order, none that stands alone is gone
+        missed += kept["text"].count("\n") + 1 - len(left)
+    # near copies whose signatures share no band
+    assert missed <= 0.01 * sum(map(len, gone.values()))
     sets = brute_sets([(k, r["text"]) for k, r in rows["line_dedup"].items()])
     assert set(rows["ngram_join"]) == {k for k, (_, component, _) in sets.items() if component == k}
     assert set(rows["decontamination"]) <= set(rows["ngram_join"])
