@@ -1,4 +1,4 @@
-"""SQL-text helpers for the DuckDB oracle (queries in the original join-chain shape)."""
+"""SQL-text helpers for the DuckDB oracles."""
 
 from __future__ import annotations
 
@@ -28,28 +28,24 @@ def local_hour(expr: str) -> str:
     return f"CAST(hour({local(expr)}) AS INTEGER)"
 
 
-def _part(e: str, dialect: str = "duckdb") -> str:
-    fmt = "printf" if dialect == "duckdb" else "format_string"
-    return f"(CASE WHEN ({e}) < 0 THEN '-' ELSE '' END || {fmt}('%02d', abs({e})))"
+def _part(e: str) -> str:
+    return f"(CASE WHEN ({e}) < 0 THEN '-' ELSE '' END || printf('%02d', abs({e})))"
 
 
-def idiv(a: str, b: str, dialect: str = "duckdb") -> str:
+def idiv(a: str, b: str) -> str:
     """Integer division truncating toward zero."""
-    return f"(({a}) // ({b}))" if dialect == "duckdb" else f"(({a}) div ({b}))"
+    return f"(({a}) // ({b}))"
 
 
-def hms(expr: str, dialect: str = "duckdb") -> str:
+def hms(expr: str) -> str:
     e = f"CAST({expr} AS BIGINT)"
-    return (f"(CASE WHEN {e} IS NULL THEN NULL ELSE {_part(idiv(e, '3600', dialect), dialect)} || ':' || "
-            f"{_part(idiv(f'{e} % 3600', '60', dialect), dialect)} || ':' || "
-            f"{_part(f'{e} % 60', dialect)} END)")
+    return (f"(CASE WHEN {e} IS NULL THEN NULL ELSE {_part(idiv(e, '3600'))} || ':' || "
+            f"{_part(idiv(f'{e} % 3600', '60'))} || ':' || {_part(f'{e} % 60')} END)")
 
 
-def trunc_secs(expr: str, dialect: str = "duckdb") -> str:
+def trunc_secs(expr: str) -> str:
     """numeric seconds -> whole seconds toward zero (what HH24:MI:SS shows)."""
-    if dialect == "duckdb":
-        return f"CAST(trunc({expr}) AS BIGINT)"
-    return f"CAST({expr} AS BIGINT)"  # Spark's double -> bigint cast truncates
+    return f"CAST(trunc({expr}) AS BIGINT)"
 
 
 def in_list(values: list[str]) -> str:
