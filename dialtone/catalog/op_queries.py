@@ -27,7 +27,7 @@ from dialtone.operators.spine import hour_spine
 from dialtone.operators.totals import with_grand_totals
 from dialtone.plans import agent_daily
 from dialtone.plans.call_performance import call_metrics, staff_metrics
-from dialtone.session import apply_conf
+from dialtone.session import apply_conf, shared_folder
 from dialtone.sources import dims
 from dialtone.sources.fixtures import Tables, tables
 from dialtone.sources.tables import read_evolving
@@ -111,7 +111,7 @@ def _evolve(spark, t):
     from uuid import uuid4
 
     from pyspark.sql import types as T
-    folder = f"{spark.conf.get('spark.checkpoint.dir')}/evolve-{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/evolve-{uuid4().hex}"
     narrow = t.cdr.select("uuid", "created_time", "direction", "tenant_id", "queue_sec")
     old = narrow.filter((c("tenant_id") != 2) | c("tenant_id").isNull())
     old.select("uuid", "created_time", "direction").write.parquet(f"{folder}/v1")

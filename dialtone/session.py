@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every report assumes. The session time zone is pinned to UTC:
@@ -44,3 +47,23 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a folder of its own for this
+    application; on a cluster that is an error, as no local folder is shared.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    context = spark.sparkContext
+    if not re.match(r"local(\[[^]]*\])?$", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="dialtone-")
+    return _OWN_FOLDERS[context.applicationId]

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from dialtone.session import build_session
     s = build_session("local[*]", app_name="dialtone-tests", shuffle_partitions=8)
-    # a private folder for tests; on a cluster the deployment names a shared one
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="dialtone-test-ckpt-"))
     yield s
     s.stop()
 
