@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialtone.session import shared_folder
+
 #: Arrow batches are cut into pieces of about so many bytes of text before numpy sees them.
 PIECE_BYTES = 4 << 20
 
@@ -18,16 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return path.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/corpus/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/corpus/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -47,7 +40,7 @@ def remove(df: DataFrame) -> None:
     """Delete the files under a table made by :func:`stored` that nothing reads any more."""
     spark = df.sparkSession
     jvm = spark._jvm
-    root = shared_dir(spark)
+    root = shared_folder(spark)
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
     for folder in folders:
         if "/corpus/" not in folder:
@@ -104,7 +97,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _fingerprint(links: DataFrame) -> tuple:
     row = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v", "m")).alias("x")).first()
     return row["n"], row["x"]
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtone.llm.common import connected_components, stored, union_all
+from dialtone.llm.common import connected_components, stored
 
 SHINGLE = 6
 BANDS, ROWS = 6, 4
@@ -47,7 +47,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, at, line, h1, h2) of every line that isn't blank."""
     return (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)).alias("at", "line"))
-            .withColumn("line", F.trim(F.regexp_replace("line", r"^[\x09-\x0D]+|[\x09-\x0D]+$", "")))
+            .withColumn("line", F.btrim("line", F.lit(" \t\n\v\f\r")))
             .where("line <> ''")
             .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
@@ -67,33 +67,52 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int, all_below: int)
             .withColumn("s", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * k))))
             .where((F.col("m") < all_below) | (F.col("s").bitwiseAND(3) == 0)))
     lowest = [F.min(F.col("s").bitwiseXOR(F.lit(_constant(j)))).alias(f"s{j}") for j in range(bands * rows)]
-    # distributed as the lines are, so nothing is shuffled again
-    signed = each.groupBy("h1", "h2", "doc", "n", "m", "line").agg(*lowest)
+    # all columns of the lines are used on both sides, so their one shuffle serves both
+    signed = each.groupBy("h1", "h2", "doc", "n", "m").agg(*lowest)
     keys = [F.xxhash64(F.lit(b), *[f"s{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    return signed.select("doc", "n", "m", "line", "h1", "h2", F.array(*keys).alias("bands"))
+    return one.join(signed.select("h1", "h2", F.array(*keys).alias("bands")).hint("merge"), ["h1", "h2"]).select(
+        "doc", "n", "m", "line", "h1", "h2", "bands")
 
 
-def _jaccard_links(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of line ids whose shingles have the wanted similarity."""
-    text = lines.select("line_id", "line", "m")
-    left = text.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"))
-    right = text.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"))
+def _shingles(line: Column, m: Column, k: int) -> Column:
+    return _once(F.encode(line, "UTF-32"), lambda wide: F.array_distinct(F.transform(
+        F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * k))))))
 
-    def shingles(line: Column, m: Column) -> Column:
-        wide = F.encode(line, "UTF-32")
-        return F.array_distinct(F.transform(
-            F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * k)))))
 
-    both = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", shingles(F.col("la"), F.col("ma")).alias("x"), shingles(F.col("lb"), F.col("mb")).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (both.where(100 * F.least(F.size("x"), F.size("y")) >= percent * F.greatest(F.size("x"), F.size("y")))
-            .select("a", "b", common.alias("common"), (F.size("x") + F.size("y") - common).alias("either"))
-            .where(100 * F.col("common") >= percent * F.col("either")).select("a", "b"))
+def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of line ids whose shingles have the wanted similarity.
+
+    ``texts`` has (line_id, line, m, x), x the number of different shingles.
+    """
+    left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"), F.col("x").alias("xa"))
+    right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"), F.col("x").alias("xb"))
+    enough = 100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb")
+    similar = _once(F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k))),
+                    lambda n: 100 * n >= percent * (F.col("xa") + F.col("xb") - n))
+    return pairs.join(left, "a").join(right, "b").where(enough & similar).select("a", "b")
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, though ``use`` names it several times."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
+    """``component`` (line_id, component) after more links (a, b), which join whole components."""
+    def of(end: str) -> DataFrame:
+        return component.select(F.col("line_id").alias(end), F.col("component").alias(f"c{end}"))
+
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    merged = connected_components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    alone = merged.join(component.select(F.col("component").alias("node")).distinct(), "node", "left_anti")
+    return (component.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")),
+                           "component", "left")
+            .select("line_id", F.coalesce("to", "component").alias("component"))
+            .unionByName(alone.select(F.col("node").alias("line_id"), "component")))
 
 
 def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, bands: int = BANDS,
-                    rows: int = ROWS, all_below: int = 32, rounds: int = 2, id_col: str = "doc_id",
+                    rows: int = ROWS, all_below: int = 64, rounds: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one."""
     lines = stored(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows, all_below)
@@ -101,11 +120,14 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     placed = lines.select("line_id", F.posexplode("bands").alias("band", "bucket"))
     several = placed.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
     crowded = stored(placed.join(several.select("band", "bucket"), ["band", "bucket"]), "line-buckets")
+    # the texts of the lines that share a bucket with another, the only ones that are compared
+    texts = stored(lines.select("line_id", "line", "m").join(
+        crowded.select("line_id").distinct(), "line_id", "left_semi")
+        .withColumn("x", F.size(_shingles(F.col("line"), F.col("m"), shingle))), "line-texts")
 
-    links, component = [], None
+    component = None
     for turn in range(rounds):
         # XOR with a constant of the band and turn: another order of the ids, from which they can be read back
-        order = F.col("line_id")
         key = F.lit(_constant(1000 + 100 * turn))
         for b in range(1, bands):
             key = F.when(F.col("band") == b, F.lit(_constant(1000 + 100 * turn + b))).otherwise(key)
@@ -115,7 +137,7 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
             split = here.groupBy("band", "bucket").agg(
                 F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
             here = here.join(split.select("band", "bucket"), ["band", "bucket"])
-        here = here.withColumn("order", order.bitwiseXOR(key))
+        here = here.withColumn("order", F.col("line_id").bitwiseXOR(key))
         leader = here.groupBy("band", "bucket").agg(F.min("order").alias("first"))
         pairs = (here.join(leader, ["band", "bucket"])
                  .select(F.col("line_id").alias("a"), F.col("first").bitwiseXOR(key).alias("b"),
@@ -125,9 +147,12 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
             pairs = pairs.join(component.select(F.col("line_id").alias("b"), F.col("component").alias("other")),
                                "b", "left").where("component <> coalesce(other, b)")
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        links.append(stored(_jaccard_links(pairs, lines, shingle, percent), "line-links"))
-        component = stored(connected_components(union_all(links)).select(
-            F.col("node").alias("line_id"), "component"), "line-components")
+        links = stored(_jaccard_links(pairs, texts, shingle, percent), "line-links")
+        if component is None:
+            component = stored(connected_components(links).select(
+                F.col("node").alias("line_id"), "component"), "line-components")
+        else:
+            component = stored(_joined(component, links), "line-components")
 
     known = (lines.select("h1", "h2", "doc", "n", "line_id").join(component, "line_id", "left")
              .where("component is not null or n > 1")
@@ -156,5 +181,5 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.filter(F.split(F.col(text_col), "\n", -1),
                     lambda x, i: ~F.array_contains("__lines_gone", i))
     text = F.when(F.col("__lines_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    left = F.col("__lines_gone").isNull() | F.exists(kept, lambda x: F.regexp_replace(x, r"[\x09-\x0D\x20]+", "") != "")
+    left = F.col("__lines_gone").isNull() | F.exists(kept, lambda x: F.btrim(x, F.lit(" \t\n\v\f\r")) != "")
     return both.where(left).withColumn(text_col, text).select(*docs.columns)
