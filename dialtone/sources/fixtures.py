@@ -1,7 +1,7 @@
 """Call-centre tables derived from the generic test tables.
 
 The test data has no call tables, so each one is derived from ``events``,
-``supplier``, ``nation``, ``region`` and ``customer`` with integer
+``supplier``, ``nation``, ``region``, ``customer`` and ``part`` with integer
 arithmetic. The SQL text below is shared verbatim with the DuckDB oracle
 (``catalog.oracle``), so both engines see identical inputs. Only
 ``daily`` differs in form: Spark expands the eleven summary windows with
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dialtone import schemas
 from dialtone.sources.tables import conform, read_table
 
-RAW_TABLES = ("events", "supplier", "nation", "region", "customer")
+RAW_TABLES = ("events", "supplier", "nation", "region", "customer", "part")
 
 FIXTURE_SQL: dict[str, str] = {
     "cdr": """
@@ -42,7 +42,7 @@ from events""",
 select cast(s_suppkey as int) as resource_id, s_name as resource_name, 1 as tenant_id,
   cast(1 + s_suppkey % 2 as int) as company_id from supplier""",
     "status": """
-select cast(user_id % 50 as int) as resource_id, ts as created_at,
+select case when event_id % 97 <> 13 then cast(user_id % 50 as int) end as resource_id, ts as created_at,
   case event_type when 'signup' then 'Register' when 'error' then 'UnRegister' when 'click' then 'Inbound' when 'view' then 'endInbound'
     else case when event_id % 2 = 0 then 'Outbound' else 'endOutbound' end end as reason,
   cast(1 + user_id % 2 as int) as tenant_id, cast(1 + (user_id % 50) % 3 as int) as company_id,
