@@ -424,7 +424,8 @@ FROM (SELECT resource_id, sum({_SPAN_US}) AS us FROM ({_ranked_sql(('Register',
 FULL OUTER JOIN (SELECT resource_id, sum({_SPAN_US}) AS us FROM ({_ranked_sql(('Inbound', 'endInbound'))}) r
       WHERE reason = 'Inbound' GROUP BY 1) i ON l.resource_id IS NOT DISTINCT FROM i.resource_id
 FULL OUTER JOIN (SELECT resource_id, sum({_SPAN_US}) AS us FROM ({_ranked_sql(('Outbound', 'endOutbound'))}) r
-      WHERE reason = 'Outbound' GROUP BY 1) o ON COALESCE(l.resource_id, i.resource_id) IS NOT DISTINCT FROM o.resource_id""")
+      WHERE reason = 'Outbound' GROUP BY 1) o ON COALESCE(l.resource_id, i.resource_id) IS NOT DISTINCT FROM o.resource_id
+WHERE COALESCE(l.us, i.us, o.us) IS NOT NULL""")
 def _session_totals(spark, t):
     s = ss.span_totals(t.status, P.FROM_TS, P.TO_TS)
     s = s.filter(c("login_us").isNotNull() | c("inbound_us").isNotNull() | c("outbound_us").isNotNull())
