@@ -70,7 +70,8 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int, all_below: int)
     # all columns of the lines are used on both sides, so their one shuffle serves both
     signed = each.groupBy("h1", "h2", "doc", "n", "m").agg(*lowest)
     keys = [F.xxhash64(F.lit(b), *[f"s{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    return one.join(signed.select("h1", "h2", F.array(*keys).alias("bands")).hint("merge"), ["h1", "h2"]).select(
+    # every line stays, whatever its signature: equal lines are one by their number of occurrences alone
+    return one.join(signed.select("h1", "h2", F.array(*keys).alias("bands")).hint("merge"), ["h1", "h2"], "left").select(
         "doc", "n", "m", "line", "h1", "h2", "bands")
 
 

@@ -87,6 +87,14 @@ def test_odd_rows(spark):
     assert L.drop_lines(df.where("false")).count() == 0
 
 
+def test_repeated_rule_lines(spark):
+    rules = [x * (80 // len(x)) for x in ("-", "*", "_", "~", "=", "#", ".", "- ", "* ", "+-")] + ["ha " * 30]
+    rows = [(doc, "\n".join(rules)) for doc in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = answer(L.dropped_lines(df))
+    assert all(gone[doc] == set(range(len(rules))) for doc in (1, 2))
+
+
 def test_main_path_is_native(spark, sf_dir):
     plan = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
