@@ -8,10 +8,9 @@ their shingles; links join lines to components by distributed union-find. Of a
 component the first line stays (smallest document id, then smallest line
 number); the others go, wherever they are.
 
-Signatures of lines with ``all_below`` shingles or more are taken over the
-quarter of the shingles whose hash ends with 00, the same ones in every line.
-With the defaults a pair of similarity 0.8, 0.85, 0.9 shares a bucket with
-probability 0.96, 0.988, 0.998.
+Signatures are taken over all shingles of every line, whatever its length, so
+that those of any two lines can be compared. With the defaults a pair of
+similarity 0.8, 0.85, 0.9 shares a bucket with probability 0.96, 0.988, 0.998.
 
 Within a bucket every line is verified against a leader, in linear work; the
 leader differs from band to band. Buckets that still hold several components
@@ -56,7 +55,7 @@ def _n_shingles(line: Column, k: int) -> Column:
     return F.greatest(F.lit(1), F.char_length(line) - (k - 1))
 
 
-def _signatures(lines: DataFrame, k: int, bands: int, rows: int, all_below: int) -> DataFrame:
+def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """Distinct lines with their first document, number of occurrences and one hash for each band."""
     one = lines.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.count("*").alias("n"), F.min("line").alias("line"))
@@ -64,8 +63,7 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int, all_below: int)
     # UTF-32 gives every character four bytes, so that a shingle is cut out in constant time
     each = (one.withColumn("wide", F.encode("line", "UTF-32"))
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-            .withColumn("s", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * k))))
-            .where((F.col("m") < all_below) | (F.col("s").bitwiseAND(3) == 0)))
+            .withColumn("s", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * k)))))
     lowest = [F.min(F.col("s").bitwiseXOR(F.lit(_constant(j)))).alias(f"s{j}") for j in range(bands * rows)]
     # all columns of the lines are used on both sides, so their one shuffle serves both
     signed = each.groupBy("h1", "h2", "doc", "n", "m").agg(*lowest)
@@ -113,10 +111,13 @@ def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, bands: int = BANDS,
-                    rows: int = ROWS, all_below: int = 64, rounds: int = 2, id_col: str = "doc_id",
+                    rows: int = ROWS, all_below: int | None = None, rounds: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one."""
-    lines = stored(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows, all_below)
+    """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one.
+
+    ``all_below`` is accepted from older callers and changes nothing: no line is sampled.
+    """
+    lines = stored(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows)
                    .withColumn("line_id", F.monotonically_increasing_id()), "lines")
     placed = lines.select("line_id", F.posexplode("bands").alias("band", "bucket"))
     several = placed.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")

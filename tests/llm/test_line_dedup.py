@@ -95,6 +95,19 @@ def test_repeated_rule_lines(spark):
     assert all(gone[doc] == set(range(len(rules))) for doc in (1, 2))
 
 
+def test_pairs_across_lengths_with_the_defaults(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(200):  # 68 characters beside 69: 63 shingles beside 64
+        line = "".join(r.choice("abcdefghijklmnop ") for _ in range(66))
+        near = line[:r.randrange(1, 65)] + "#"
+        rows += [(2 * i, f"<{line}>"), (2 * i + 1, f"<{near}{line[len(near) - 1:]}>")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want, got = brute(rows), answer(L.dropped_lines(df))
+    assert len(want) > 150 and set(got) <= set(want)
+    assert len(got) >= 0.9 * len(want)
+
+
 def test_main_path_is_native(spark, sf_dir):
     plan = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
