@@ -14,8 +14,11 @@ similarity 0.8, 0.85, 0.9 shares a bucket with probability 0.96, 0.988, 0.998.
 
 Within a bucket every line is verified against a leader, in linear work; the
 leader differs from band to band. Buckets that still hold several components
-get other leaders in the next of ``rounds``. No pairs of a bucket are emitted,
-and none of its lines is dropped or capped.
+get other leaders in the next of ``rounds``. Those that hold several after the
+last round, and more lines than leaders have met, are cut into tiles, and for every pair of tiles all lines of
+different components are verified, so that every pair of a bucket is decided.
+This last work grows with the square of such a bucket; its join returns links
+alone, and none of its lines is dropped or capped.
 
 Defined cases: blank lines always stay; null and empty texts have no lines to
 drop; lines with fewer characters than a shingle are one shingle; documents
@@ -32,6 +35,7 @@ from dialtone.llm.common import connected_components, stored
 
 SHINGLE = 6
 BANDS, ROWS = 6, 4
+TILE = 512
 
 
 def _constant(k: int) -> int:
@@ -85,10 +89,70 @@ def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     """
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"), F.col("x").alias("xa"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"), F.col("x").alias("xb"))
-    enough = 100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb")
-    similar = _once(F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k))),
-                    lambda n: 100 * n >= percent * (F.col("xa") + F.col("xb") - n))
-    return pairs.join(left, "a").join(right, "b").where(enough & similar).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(_enough(percent) & _similar(k, percent)).select("a", "b")
+
+
+def _enough(percent: int) -> Column:
+    """Whether the numbers of shingles ``xa``, ``xb`` allow the wanted similarity."""
+    return 100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb")
+
+
+def _similar(k: int, percent: int) -> Column:
+    """Whether the lines ``la``, ``lb`` have the wanted similarity."""
+    return _once(F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k))),
+                 lambda n: 100 * n >= percent * (F.col("xa") + F.col("xb") - n))
+
+
+def _bits(shingles: Column, word: int) -> Column:
+    """A quarter of the 256 bits that the shingles' hashes set."""
+    return F.aggregate(shingles, F.lit(0).cast("long"), lambda bits, s: F.when(
+        F.shiftright(s, 6).bitwiseAND(3) == word,
+        bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), s.bitwiseAND(63).cast("int"))))
+        .otherwise(bits))
+
+
+def _split(crowded: DataFrame, component: DataFrame, leaders: int) -> DataFrame:
+    """The rows of buckets that hold several components, with the component.
+
+    Buckets of at most one line more than the different ``leaders`` they had are decided.
+    """
+    here = crowded.join(component, "line_id", "left").withColumn("component", F.coalesce("component", "line_id"))
+    several = here.groupBy("band", "bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where(
+        (F.col("x") != F.col("y")) & (F.col("size") > leaders + 1))
+    return here.join(several.select("band", "bucket", "size"), ["band", "bucket"])
+
+
+def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: int) -> DataFrame:
+    """The links (a, b) among all lines of a bucket that are of different components.
+
+    ``here`` has (band, bucket, line_id, component, size). The conditions are in
+    the join, which returns links only. A bit that two lines don't share stands
+    for a shingle that they don't share, so a pair with too many can't link.
+    """
+    known = stored(texts.join(here.select("line_id").distinct(), "line_id", "left_semi").withColumn(
+        "all", _shingles(F.col("line"), F.col("m"), k)).select(
+        "line_id", "line", "m", "x", *[_bits(F.col("all"), w).alias(f"bits{w}") for w in range(4)]), "line-bits")
+    rows = (here.withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64("line_id"), F.col("tiles")).cast("int"))
+            .join(known, "line_id"))
+
+    def side(end: str, own: str, other: str, others: Column) -> DataFrame:
+        return rows.select("band", "bucket", F.col("own").alias(own), F.explode(others).alias(other),
+                           F.col("line_id").alias(end), F.col("component").alias(f"c{end}"),
+                           F.col("line").alias(f"l{end}"), F.col("m").alias(f"m{end}"), F.col("x").alias(f"x{end}"),
+                           *[F.col(f"bits{w}").alias(f"{end}{w}") for w in range(4)])
+
+    left = side("a", "i", "j", F.sequence(F.col("own"), F.col("tiles") - 1))
+    right = side("b", "j", "i", F.sequence(F.lit(0), F.col("own")))
+    unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(4)), F.lit(0))
+    near = unlike * (100 + percent) <= (F.col("xa") + F.col("xb")) * (100 - percent)
+    left, right = left.alias("l"), right.alias("r")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "bucket", "i", "j")]
+    once = (F.col("l.i") < F.col("l.j")) | (F.col("a") < F.col("b"))
+    return (left.hint("merge").join(right, same[0] & same[1] & same[2] & same[3] & (F.col("ca") != F.col("cb")) & once
+                                    & _enough(percent) & near & _similar(k, percent))
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
 def _once(value: Column, use) -> Column:
@@ -112,7 +176,7 @@ def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
 
 def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, bands: int = BANDS,
                     rows: int = ROWS, all_below: int | None = None, rounds: int = 2, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one.
 
     ``all_below`` is accepted from older callers and changes nothing: no line is sampled.
@@ -129,18 +193,17 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
 
     component = None
     for turn in range(rounds):
-        # XOR with a constant of the band and turn: another order of the ids, from which they can be read back
-        key = F.lit(_constant(1000 + 100 * turn))
+        # XOR with a constant of the band and turn: another order of the ids, from which they can be read back;
+        # two turns have the same order, of which they take the first and the last, so that their leaders differ
+        start = 1000 + 100 * (turn // 2)
+        key = F.lit(_constant(start))
         for b in range(1, bands):
-            key = F.when(F.col("band") == b, F.lit(_constant(1000 + 100 * turn + b))).otherwise(key)
+            key = F.when(F.col("band") == b, F.lit(_constant(start + b))).otherwise(key)
         here = crowded
         if component is not None:
-            here = here.join(component, "line_id", "left").withColumn("component", F.coalesce("component", "line_id"))
-            split = here.groupBy("band", "bucket").agg(
-                F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-            here = here.join(split.select("band", "bucket"), ["band", "bucket"])
+            here = _split(crowded, component, min(turn, 2))
         here = here.withColumn("order", F.col("line_id").bitwiseXOR(key))
-        leader = here.groupBy("band", "bucket").agg(F.min("order").alias("first"))
+        leader = here.groupBy("band", "bucket").agg((F.max if turn % 2 else F.min)("order").alias("first"))
         pairs = (here.join(leader, ["band", "bucket"])
                  .select(F.col("line_id").alias("a"), F.col("first").bitwiseXOR(key).alias("b"),
                          *([] if component is None else ["component"]))
@@ -155,6 +218,11 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
                 F.col("node").alias("line_id"), "component"), "line-components")
         else:
             component = stored(_joined(component, links), "line-components")
+    if component is None:
+        component = lines.select("line_id", F.col("line_id").alias("component")).where("false")
+    rest = stored(_split(crowded, component, min(rounds, 2)), "line-rest")
+    links = stored(_tile_links(rest, texts, shingle, percent, tile), "line-links")
+    component = stored(_joined(component, links), "line-components")
 
     known = (lines.select("h1", "h2", "doc", "n", "line_id").join(component, "line_id", "left")
              .where("component is not null or n > 1")

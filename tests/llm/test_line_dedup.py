@@ -108,6 +108,22 @@ def test_pairs_across_lengths_with_the_defaults(spark):
     assert len(got) >= 0.9 * len(want)
 
 
+def test_every_pair_of_crowded_buckets(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(150):  # pairs with a common template, alike within a pair alone
+        line = "the quick brown fox jumps over the lazy dog " + "".join(r.choice("abcdefghijklmnop") for _ in range(22))
+        at = r.randrange(46, 62)
+        rows += [(2 * i, line), (2 * i + 1, f"{line[:at]}#{line[at + 1:]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = L._signatures(L._lines(df, "doc_id", "text"), 6, 1, 1).collect()
+    bucket = {x["doc"]: x["bands"][0] for x in signed}
+    # of one band, those pairs that share its bucket
+    want = {d for d in brute(rows) if bucket[d] == bucket[d - 1]}
+    assert len(want) > 90
+    assert set(answer(L.dropped_lines(df, bands=1, rows=1, tile=32))) == want
+
+
 def test_main_path_is_native(spark, sf_dir):
     plan = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
