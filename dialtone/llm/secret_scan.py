@@ -4,7 +4,10 @@ Random strings need many tokens for their characters; words and code need few.
 Runs of base64-like characters whose characters-per-token ratio under a byte
 BPE vocabulary is low are reported as ``random``, after known digests (hex of
 usual digest lengths) and identifiers (words joined by ``_ - . /``, UUIDs,
-numbers, hosts, paths) are excluded.
+numbers, hosts, paths) are excluded. What base spans leave of a run is tested as
+a whole, then by its parts between ``/ = .``, so that words joined to a random
+string don't hide it. Words of one case are identifiers only where the
+vocabulary shortens them.
 
 Defined cases: a null text is empty; an empty text has no spans; a null id is
 returned as it is; repeated rows are scanned each. Texts are scanned whole.
@@ -42,6 +45,8 @@ _DIGEST = re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(rb"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 #: Words (one case, or a capital first) and numbers joined by separators.
 _NAMES = re.compile(rb"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[._/=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*\Z")
+_ONE_CASE = re.compile(rb"[a-z]{16,}|[A-Z]{16,}")
+_PART = re.compile(rb"[^/=.]+")
 _CAMEL = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z]))+[0-9]{0,4}\Z")
 
 
@@ -51,10 +56,22 @@ def _encoding(vocabulary: bytes):
     return tiktoken.Encoding("own", pat_str=TOKEN_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def excluded(run: bytes) -> bool:
-    """Known digests and identifiers."""
-    return bool((len(run) in DIGEST_LENGTHS and _DIGEST.match(run)) or _UUID.match(run)
-                or _NAMES.match(run) or _CAMEL.match(run))
+def excluded(run: bytes, dense) -> bool:
+    """Known digests and identifiers; ``dense`` tells strings that the vocabulary doesn't shorten."""
+    if (len(run) in DIGEST_LENGTHS and _DIGEST.match(run)) or _UUID.match(run):
+        return True
+    return bool(_NAMES.match(run) or _CAMEL.match(run)) and not any(map(dense, _ONE_CASE.findall(run)))
+
+
+def _pieces_outside(a: int, b: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The stretches of (a, b) that none of the ordered ``spans`` touches."""
+    for s, e in spans:
+        if s < b and e > a:
+            if a < s:
+                yield a, s
+            a = max(a, e)
+    if a < b:
+        yield a, b
 
 
 def _spans(text: bytes, hexes: list, opaque: list, ratio: float, encoding) -> list[tuple]:
@@ -62,15 +79,28 @@ def _spans(text: bytes, hexes: list, opaque: list, ratio: float, encoding) -> li
     found = [(0, *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(1, *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(2, a, b) for a, b in hexes]
-    base = len(found)
-    for a, b in opaque:
+    base = sorted((s, e) for _, s, e in found)
+
+    def dense(run: bytes) -> bool:
+        return len(run) < ratio * len(encoding.encode_ordinary(run.decode()))
+
+    def random(a: int, b: int) -> tuple | None:
         run = text[a:b].strip(b".=-_/+")
-        a += text[a:b].index(run) if run else 0
-        b = a + len(run)
-        if len(run) < 16 or any(a < e and s < b for _, s, e in found[:base]) or excluded(run):
-            continue
-        if len(run) < ratio * len(encoding.encode_ordinary(run.decode())):
-            found.append((3, a, b))
+        if len(run) < 16 or excluded(run, dense) or not dense(run):
+            return None
+        a += text[a:b].index(run)
+        return 3, a, a + len(run)
+
+    for start, end in opaque:
+        for a, b in _pieces_outside(start, end, base) if base else ((start, end),):
+            if b - a < 16:
+                continue
+            whole = random(a, b)
+            if whole:
+                found.append(whole)
+            else:
+                parts = (random(a + m.start(), a + m.end()) for m in _PART.finditer(text[a:b]))
+                found += [x for x in parts if x]
     return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
 
