@@ -3,15 +3,14 @@
 The lexicon (words and word stems that stand in toxic documents and hardly in
 others) and the weights of a small logistic regression are learned from a
 bounded sample of labelled rows (``max_sample`` of each label); everything else
-covers all documents and whole texts. Each word of a text is looked up in the
-trie: as it is, by a stem, or through the automaton of all strings within one
-edit. A hit counts as abuse, or as quotation where its window holds quotation
+covers all documents and whole texts. Each word of a text is looked up as
+it is, by a stem, or in the trie of the lexicon's words through the automaton of
+all strings within one edit. A hit counts as abuse, or as quotation where its window holds quotation
 marks around it or a word of reported speech.
 
 Defined cases: a null or empty text scores as a text without hits; rows of
 ``labels`` with a null id or label are left out, of repeated ids the largest
-label counts; without labelled rows of both labels every score is 0.0; a null
-id is returned as it is; repeated rows are scored each.
+label counts; without labelled rows of both labels every score is 0.0; a null id is returned as it is; repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -186,15 +185,15 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms: int = 2000, max_spelled: int = 200,
+def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms: int = 2000,
           min_docs: int = 4, min_share: float = 0.005, min_ratio: float = 20.0) -> Model:
     """Fit a model on labelled documents.
 
     ``max_sample`` bounds the labelled rows of each label (those with the
     smallest hash of their id), ``max_terms`` the words and the stems that reach the driver.
     A term stands in ``min_docs`` toxic documents and ``min_share`` of them at
-    least, and is ``min_ratio`` times as frequent there as in the others. The
-    ``max_spelled`` words with the most evidence are also met misspelled.
+    least, and is ``min_ratio`` times as frequent there as in the others.
+    All words of five letters or more are also met misspelled, stems are not.
     """
     usable = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
@@ -220,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms:
                      ranked.where(F.col("stem") == stem)
                      .orderBy(F.desc("toxic"), F.desc("ratio"), "feature").limit(max_terms).collect()}
                     for stem in (False, True))
-    lexicon = _lexicon(words, stems, max_spelled)
+    lexicon = _lexicon(words, stems)
     rows = sample.select("toxic", "text").mapInArrow(
         _feature_rows(lexicon), "toxic int, features array<double>").collect()
     remove(sample)
@@ -271,7 +270,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 names=["stem", "feature", "toxic", "clean"])
 
 
-def _lexicon(words: dict, stems: dict, max_spelled: int) -> Lexicon:
+def _lexicon(words: dict, stems: dict) -> Lexicon:
     """Stems that many words share, without their own longer ones; words that no stem covers."""
     kept: dict[str, float] = {}
     top = defaultdict(int)
@@ -286,8 +285,7 @@ def _lexicon(words: dict, stems: dict, max_spelled: int) -> Lexicon:
             kept[stem] = math.log(ratio)
     own = {w: math.log(ratio) for w, (_, ratio) in words.items()
            if not any(w[:k] in kept for k in STEMS)}
-    spelled = sorted(own, key=lambda w: (-words[w][0] * own[w], w))[:max_spelled]
-    return Lexicon(own, kept, spelled)
+    return Lexicon(own, kept, sorted(own))
 
 
 def _feature_rows(lexicon: Lexicon):

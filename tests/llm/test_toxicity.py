@@ -91,3 +91,11 @@ def test_odd_rows(spark, corpus):
     untrained = T.learn(docs, labels)
     assert {r["toxic_score"] for r in T.score(docs, untrained).collect()} == {0.0}
     assert T.score(docs.where("false"), model).count() == 0
+
+
+def test_every_word_is_met_misspelled():
+    r = random.Random(6)
+    words = sorted({"".join(r.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(400)})
+    lexicon = T._lexicon({w: (4 + k, 30.0) for k, w in enumerate(words)}, {})
+    for w in words:
+        assert lexicon.lookup(w[:4] + "#" + w[5:]) is not None
