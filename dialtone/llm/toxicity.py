@@ -10,7 +10,8 @@ marks around it or a word of reported speech.
 
 Defined cases: a null or empty text scores as a text without hits; rows of
 ``labels`` with a null id or label are left out, of repeated ids the largest
-label counts; without labelled rows of both labels every score is 0.0; a null id is returned as it is; repeated rows are scored each.
+label counts; without labelled rows of both labels, or without any term that
+tells them apart, every score is 0.0; a null id is returned as it is; repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -220,6 +221,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms:
                      .orderBy(F.desc("toxic"), F.desc("ratio"), "feature").limit(max_terms).collect()}
                     for stem in (False, True))
     lexicon = _lexicon(words, stems)
+    if not lexicon.words and not lexicon.stems:
+        remove(sample)
+        return Model(lexicon, [0.0] * (len(FEATURES) + 1), trained=False)
     rows = sample.select("toxic", "text").mapInArrow(
         _feature_rows(lexicon), "toxic int, features array<double>").collect()
     remove(sample)

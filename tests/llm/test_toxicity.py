@@ -99,3 +99,12 @@ def test_every_word_is_met_misspelled():
     lexicon = T._lexicon({w: (4 + k, 30.0) for k, w in enumerate(words)}, {})
     for w in words:
         assert lexicon.lookup(w[:4] + "#" + w[5:]) is not None
+
+
+def test_empty_lexicon_scores_zero(spark):
+    rows = [(k, f"plain text number {k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    model = T.learn(docs, labels)
+    assert not model.lexicon.words and not model.lexicon.stems and not model.trained
+    assert {x["toxic_score"] for x in T.score(docs, model).collect()} == {0.0}
