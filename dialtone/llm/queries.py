@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtone.llm import chat, decontaminate, licence_scan, line_dedup, mixing, near_vectors, ngram_join, secret_scan, toxicity, warc
+from dialtone.llm import (chat, decontaminate, fill_middle, licence_scan, line_dedup, mixing, near_vectors, ngram_join,
+                          quality_rules, secret_scan, toxicity, warc, whitening)
 from dialtone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,34 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.concat(base, own)).alias("labels"), "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 whitened components of the distinct integer vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, k=16)
+    explained = F.array(*[F.lit(e) for e in model.explained]).cast("array<double>")
+    done = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return done.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation as bigint)").alias("deviation"), "whitened", F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged, and rebuilt from that."""
+    done = fill_middle.fill_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("fim.text"), F.col("fim.form"))
+    return done.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2("fim.text", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged by a list that is learned from the labels of those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    rules = quality_rules.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    return quality_rules.judge(docs, rules).select("doc_id", "quality.*")
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_ngram_join": op2_ngram_join,
@@ -143,4 +172,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,
     "op10_licence_scan": op10_licence_scan,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_quality_rules": op13_quality_rules,
 }

@@ -136,9 +136,35 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
 from m
 """
 
+# Form and cuts from the digest; the output is put together from list slices, the restored text is the text.
+OP12 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents
+), u as (
+  select doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as units,
+    ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+  from d
+), c as (
+  select *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) as a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) as b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100 then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form
+  from u
+), s as (
+  select doc_id, t, len(units) as n, form, array_to_string(units[1:a], '') as p, array_to_string(units[a + 1:b], '') as m,
+    array_to_string(units[b + 1:len(units)], '') as s
+  from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from s
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1,
     "op3_decontamination": OP3,
     "op5_mixing": OP5,
     "op9_warc": OP9,
+    "op12_fill_middle": OP12,
 }

@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, sf_dir, run_sql, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
