@@ -14,6 +14,7 @@ From labelled rows a decision list is learned by sequential covering:
 The list ends with the commoner label of the rows that no rule covers. It is
 emitted as one ordered conditional expression over the statistics. The driver
 sees thresholds, and counts by threshold bin, never rows; all labelled rows count.
+Texts are read once, for their statistics, and never shuffled.
 
 Repeated words are found within a row by sorting its window hashes (64 bits, so
 two different windows of one text are taken for equal with a probability under
@@ -23,8 +24,8 @@ Defined cases: a null text is empty and fails the base rules; rows without a
 label, or with several different ones, teach nothing; with one label only every
 text gets that verdict, without labels every text is kept; repeated rows are
 returned each; an empty table gives an empty result. Other columns are passed
-on; the struct that is added has a name of the caller's choice, and takes the
-place of a column with that name.
+on; the structs that are added have names of the caller's choice, and take the
+place of columns with these names.
 """
 
 from __future__ import annotations
@@ -68,7 +69,9 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def statistics(docs: DataFrame, text_col: str = "text", name: str = "stats") -> DataFrame:
     """``docs`` with a struct ``name``: the counts n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, and ``rules``, a struct of FEATURES.
+    n_repeat_words, ``rules``, a struct of FEATURES, and ``prune``, whether the text is of the last third.
+
+    This is the expensive step: store what it gives (without the texts) and both learn and judge from that.
     """
     own = _free(docs, "__quality")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -104,6 +107,7 @@ def statistics(docs: DataFrame, text_col: str = "text", name: str = "stats") ->
         F.lit(3), F.coalesce(F.get(get("hits"), j + 1) - i, F.lit(3)))), F.lit(0), lambda a, x: a + x)
     step = step.withColumn(own, F.struct(
         *[get(x).alias(x) for x in ("n_lines", "n_dup_lines", "n_words", "different")],
+        (F.pmod(F.xxhash64(get("text")), F.lit(3)) == 0).alias("prune"),  # copies of a text are of one part
         F.char_length(get("text")).alias("chars"),
         F.coalesce(covered, F.lit(0)).alias("n_repeat_words"),
         F.char_length(F.translate(get("text"), BLANKS, "")).alias("word_chars"),
@@ -123,7 +127,7 @@ def statistics(docs: DataFrame, text_col: str = "text", name: str = "stats") ->
         F.when(get("n_lines") > 0, F.floor(get("chars") / get("n_lines"))).otherwise(0).cast("long").alias("line_length"))
     counts = [get(x).cast("long").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return step.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != name.lower()],
-                       F.struct(*counts, rules.alias("rules")).alias(name))
+                       F.struct(*counts, rules.alias("rules"), get("prune").alias("prune")).alias(name))
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -267,18 +271,17 @@ def _prune(rows: DataFrame, conditions: list[Condition], target: int) -> tuple[l
     return conditions[:k + 1], found[f"p{k}"], found[f"n{k}"]
 
 
-def learn(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_rules: int = MAX_RULES, min_rows: int = 5,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DecisionList:
-    """A decision list from all rows of ``docs`` that ``labels`` calls good (1) or bad (0).
+def learn(rows: DataFrame, labels: DataFrame, bins: int = BINS, max_rules: int = MAX_RULES, min_rows: int = 5,
+          id_col: str = "doc_id", stats: str = "stats", label_col: str = "quality") -> DecisionList:
+    """A decision list from all rows with :func:`statistics` that ``labels`` calls good (1) or bad (0).
 
     A rule covers ``min_rows`` of the target rows that it grows on, at least.
     """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
              .groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("__y"))
              .where("y = __y").select("__id", "y"))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known, "__id")
-    rows = stored(statistics(texts).select(
-        "y", F.col("stats.rules").alias("x"), (F.pmod(F.xxhash64("text"), F.lit(3)) == 0).alias("prune")), "quality-rows")
+    given = rows.select(F.col(id_col).alias("__id"), F.col(f"{stats}.rules").alias("x"), F.col(f"{stats}.prune").alias("prune"))
+    rows = stored(given.join(known, "__id").select("y", "x", "prune"), "quality-rows")
     shares = rows.groupBy("y").count().collect()  # two rows
     if len(shares) < 2:
         remove(rows)
@@ -311,11 +314,10 @@ def learn(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_rules: int =
     return DecisionList(tuple(rules), default)
 
 
-def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text", name: str = "quality") -> DataFrame:
-    """``docs`` with a struct ``name``: the counts, ``base_failed`` and ``kept``."""
-    own = _free(docs, "__stats")
-    failed = base_failed(own)
-    counts = [F.col(f"{own}.{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    verdict = F.struct(*counts, failed.alias("base_failed"), (~failed & rules.column(f"{own}.rules")).alias("kept"))
-    return statistics(docs, text_col, own).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c.lower() != name.lower()], verdict.alias(name))
+def judge(rows: DataFrame, rules: DecisionList, stats: str = "stats", name: str = "quality") -> DataFrame:
+    """``rows`` with a struct ``name`` in place of their ``stats``: the counts, ``base_failed`` and ``kept``."""
+    failed = base_failed(stats)
+    counts = [F.col(f"{stats}.{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    verdict = F.struct(*counts, failed.alias("base_failed"), (~failed & rules.column(f"{stats}.rules")).alias("kept"))
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() not in (name.lower(), stats.lower())],
+                       verdict.alias(name))

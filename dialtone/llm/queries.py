@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dialtone.llm import (chat, decontaminate, fill_middle, licence_scan, line_dedup, mixing, near_vectors, ngram_join,
                           quality_rules, secret_scan, toxicity, warc, whitening)
-from dialtone.llm.common import table
+from dialtone.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,9 +156,9 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document judged by a list that is learned from the labels of those that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels")
-    rules = quality_rules.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
-    return quality_rules.judge(docs, rules).select("doc_id", "quality.*")
+    stats = stored(quality_rules.statistics(docs).drop("text"), "quality-stats")
+    learned = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return quality_rules.judge(stats, quality_rules.learn(stats, learned)).select("doc_id", "quality.*")
 
 
 QUERIES: dict[str, Query] = {

@@ -23,8 +23,8 @@ def plain_code(text):
 
 
 def judged(spark, texts, rules=Q.DecisionList((), True)):
-    df = spark.createDataFrame([(k, t, 1, "x") for k, t in enumerate(texts)], "doc_id long, text string, stats int, quality string")
-    return {r["doc_id"]: r["quality"] for r in Q.judge(df, rules).collect()}
+    df = spark.createDataFrame([(k, t, 1, "x") for k, t in enumerate(texts)], "doc_id long, text string, extra int, quality string")
+    return {r["doc_id"]: r["quality"] for r in Q.judge(Q.statistics(df), rules).collect()}
 
 
 def test_statistics_equal_plain_code(spark):
@@ -44,11 +44,11 @@ def test_statistics_equal_plain_code(spark):
 def test_clashing_names_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b", 1, 2, 3, 4)], "doc_id long, text string, Quality int, __stats int, stats int, __quality int")
     rules = Q.DecisionList((Q.Rule((Q.Condition("n_words", True, 1),), True),), False)
-    out = Q.judge(df, rules)
+    out = Q.judge(Q.statistics(df, name="own"), rules, stats="own")
     assert out.columns == ["doc_id", "text", "__stats", "stats", "__quality", "quality"]
     row = out.first()
     assert (row["__stats"], row["stats"], row["__quality"], row["quality"]["n_words"]) == (2, 3, 4, 2)
-    assert Q.judge(df.where("false"), rules).count() == 0
+    assert Q.judge(Q.statistics(df.where("false")), rules).count() == 0
 
 
 def test_query_equals_plain_code(spark, sf_dir):
@@ -94,7 +94,7 @@ def test_learner_finds_planted_rules(spark):
     rows.append((None, "x"))
     labels += [(None, 1), (5000, 1), (0, None), (1, 0), (1, 1)]  # no id, no text, no label, two labels
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    rules = Q.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    rules = Q.learn(Q.statistics(docs), spark.createDataFrame(labels, "doc_id long, quality int"))
     told = [set(c.feature for c in x.conditions) for x in rules.rules]
     assert {"symbols"} in told and len(rules.rules) <= 6, list(map(str, rules.rules))
     stats = Q.statistics(docs.where("doc_id is not null"))
@@ -106,12 +106,12 @@ def test_learner_finds_planted_rules(spark):
 def test_few_labels(spark):
     docs = spark.createDataFrame([(k, f"text {k} " * 60) for k in range(8)], "doc_id long, text string")
     schema = "doc_id long, quality int"
-    learn = lambda rows: Q.learn(docs, spark.createDataFrame(rows, schema))
+    learn = lambda rows: Q.learn(Q.statistics(docs), spark.createDataFrame(rows, schema))
     assert learn([]) == Q.DecisionList((), True)
     assert learn([(1, 1), (2, 1)]) == Q.DecisionList((), True)
     assert learn([(1, 0), (2, 0)]) == Q.DecisionList((), False)
     assert learn([(1, 0), (2, 1), (3, 1)]) == Q.DecisionList((), True)  # too few for a rule
-    assert Q.learn(docs.where("false"), spark.createDataFrame([(1, 0)], schema)) == Q.DecisionList((), True)
+    assert Q.learn(Q.statistics(docs.where("false")), spark.createDataFrame([(1, 0)], schema)) == Q.DecisionList((), True)
 
 
 def test_main_path_is_native(spark, sf_dir):
@@ -128,3 +128,8 @@ def test_emitted_expression_is_ordered(spark):
     got = df.select(Q.DecisionList((a, b), False).column("s").alias("k"), F.col("s.symbols")).collect()
     assert [r["k"] for r in got] == [False, True, False]
     assert str(b) == "n_words < 3 and digits >= 1 -> keep"
+
+
+def test_statistics_are_native(spark):
+    df = Q.statistics(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert not re.search("Python|Arrow|Pandas|MapPartitions", df._jdf.queryExecution().executedPlan().toString())
