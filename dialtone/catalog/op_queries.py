@@ -9,6 +9,8 @@ windows, sessionisation, scalar functions, data checks, counters).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from dialtone.catalog import params as P
 from dialtone.catalog import sqlfx as q
 from dialtone.functions.fmt import format_hms, hms, int_div, pct_int
 from dialtone.functions.timefx import date_bounds, local_date, local_hour, utc_date
+from dialtone.operators import bitmaps as bm
 from dialtone.operators import cdr as co
 from dialtone.operators import checks as ck
 from dialtone.operators import counters as cn
@@ -28,8 +31,10 @@ from dialtone.operators.totals import with_grand_totals
 from dialtone.plans import agent_daily
 from dialtone.plans.call_performance import call_metrics, staff_metrics
 from dialtone.session import apply_conf, shared_folder
-from dialtone.sources import dims
+from dialtone.sources import dims, facts
+from dialtone.sources.facts import write_legs_by_uuid
 from dialtone.sources.fixtures import Tables, tables
+from dialtone.sources.snapshots import LastEvents
 from dialtone.sources.tables import read_evolving
 
 c = F.col
@@ -52,7 +57,7 @@ def op(name: str, sql: str | None):
 FROM, TO = q.ts(P.FROM_TS), q.ts(P.TO_TS)
 FIRST_DAY, LAST_DAY = date_bounds(P.FROM_TS, P.TO_TS)
 LD, LH = q.local_date("created_time"), q.local_hour("created_time")
-SKILLS_IN = q.in_list(co.skill_list(P.SKILLS))
+SKILLS_IN = "('skill0', 'skill1', 'skill2')"
 INBOUND_SCOPE = (f"direction = 'inbound' AND obj_type = 'HTTAPI' AND company_id = {P.COMPANY} "
                  f"AND tenant_id = {P.TENANT}")
 
@@ -104,19 +109,22 @@ def _dim_cn(spark, t):
     return t.contact_numbers
 
 
+def _folder(spark, t: Tables, name: str) -> str:
+    """Where a query that writes tables keeps them: one folder for its input, taken again at every call."""
+    return f"{shared_folder(spark)}/dialtone/{name}-{crc32(t.sf_dir.encode()):08x}"
+
+
 @op("evolve_schema", q.ctes("cdr") + """
 SELECT uuid, created_time, direction, CASE WHEN tenant_id = 2 THEN queue_sec % 3 END AS queue_priority FROM cdr""")
 def _evolve(spark, t):
     """Files of tenant 2 have a column that the older files of the others lack."""
-    from uuid import uuid4
-
     from pyspark.sql import types as T
-    folder = f"{shared_folder(spark)}/evolve-{uuid4().hex}"
+    folder = _folder(spark, t, "evolve")
     narrow = t.cdr.select("uuid", "created_time", "direction", "tenant_id", "queue_sec")
     old = narrow.filter((c("tenant_id") != 2) | c("tenant_id").isNull())
-    old.select("uuid", "created_time", "direction").write.parquet(f"{folder}/v1")
+    old.select("uuid", "created_time", "direction").write.mode("overwrite").parquet(f"{folder}/v1")
     new = narrow.filter(c("tenant_id") == 2).withColumn("queue_priority", c("queue_sec") % 3)
-    new.select("uuid", "created_time", "direction", "queue_priority").write.parquet(f"{folder}/v2")
+    new.select("uuid", "created_time", "direction", "queue_priority").write.mode("overwrite").parquet(f"{folder}/v2")
     wanted = T.StructType([schemas.CDR[x] for x in ("uuid", "created_time", "direction", "queue_priority")])
     return read_evolving(spark, [f"{folder}/v1", f"{folder}/v2"], wanted)
 
@@ -133,7 +141,7 @@ _SPACED = "skill0,skill1, skill2"  # the item ' skill2' keeps its space: no matc
 
 
 @op("filter_skills", q.ctes("cdr") + f"""
-SELECT uuid, agent_skill FROM cdr WHERE agent_skill IN {q.in_list(_SPACED.split(','))}""")
+SELECT uuid, agent_skill FROM cdr WHERE agent_skill IN {"('skill0', 'skill1', ' skill2')"}""")
 def _filter_skills(spark, t):
     return t.cdr.filter(c("agent_skill").isin(co.skill_list(_SPACED))).select("uuid", "agent_skill")
 
@@ -186,21 +194,21 @@ def _breaks(spark, t):
 
 
 # --- joins --------------------------------------------------------------------
-def _legs_sql(name_col: str, measures: str) -> str:
-    return f"""SELECT {q.local_date('cdr.created_time')} AS day, cdr.tenant_id, cdr.company_id, res.resource_id,
-    {measures}
-  FROM cdr LEFT JOIN resources res ON cdr.{name_col} = res.resource_name
-  WHERE cdr.created_time >= {FROM} AND cdr.created_time <= {TO} AND res.resource_id IS NOT NULL
-  GROUP BY 1, cdr.tenant_id, cdr.company_id, res.resource_id"""
-
-
-@op("cdr_agent_join", q.ctes("cdr", "resources") + f"""
-SELECT COALESCE(i.day, o.day) AS day, COALESCE(i.tenant_id, o.tenant_id) AS tenant_id,
-  COALESCE(i.company_id, o.company_id) AS company_id, COALESCE(i.resource_id, o.resource_id) AS resource_id,
-  i.in_total, i.in_conn_n, o.out_total, o.out_conn_n, o.out_dial_n
-FROM ({_legs_sql('received_by', "count(*) FILTER (WHERE cdr.direction = 'inbound') AS in_total, count(*) FILTER (WHERE cdr.direction = 'inbound' AND cdr.agent_answered) AS in_conn_n")}) i
-FULL OUTER JOIN ({_legs_sql('sip_from_user', "count(*) FILTER (WHERE cdr.direction = 'outbound') AS out_total, count(*) FILTER (WHERE cdr.direction = 'outbound' AND cdr.is_answered) AS out_conn_n, count(*) FILTER (WHERE cdr.direction = 'outbound' AND cdr.is_answered = false) AS out_dial_n")}) o
-ON i.day = o.day AND i.tenant_id = o.tenant_id AND i.company_id = o.company_id AND i.resource_id = o.resource_id""")
+# A leg plays two parts, for the agent that received it and for the one that dialled; the parts of an agent's day are counted.
+@op("cdr_agent_join", q.ctes("cdr", "resources").rstrip("\n") + f""",
+part AS (
+  SELECT {q.local_date('created_time')} AS day, tenant_id, company_id, 'in' AS way, received_by AS agent,
+    direction = 'inbound' AS counts, agent_answered AS spoken, false AS missed
+  FROM cdr WHERE created_time BETWEEN {FROM} AND {TO}
+  UNION ALL
+  SELECT {q.local_date('created_time')}, tenant_id, company_id, 'out', sip_from_user, direction = 'outbound', is_answered, NOT is_answered
+  FROM cdr WHERE created_time BETWEEN {FROM} AND {TO}
+)
+SELECT part.day, part.tenant_id, part.company_id, resources.resource_id,
+  {', '.join(f"CASE WHEN count(*) FILTER (WHERE way = '{w}') > 0 THEN count(*) FILTER (WHERE way = '{w}' AND counts{extra}) END AS {name}"
+             for w, extra, name in (('in', '', 'in_total'), ('in', ' AND spoken', 'in_conn_n'), ('out', '', 'out_total'),
+                                    ('out', ' AND spoken', 'out_conn_n'), ('out', ' AND missed', 'out_dial_n')))}
+FROM part JOIN resources ON resources.resource_name = part.agent GROUP BY ALL""")
 def _cdr_agent(spark, t):
     legs = co.legs_per_agent(t.cdr, t.resources, P.FROM_TS, P.TO_TS, P.TZ, by_unit=False)
     return legs.select("day", "tenant_id", "company_id", "resource_id", "in_total", "in_conn_n",
@@ -250,17 +258,15 @@ def _fanout(spark, t):
 _DAILY_RANGE = f"summary_date >= DATE '{FIRST_DAY}' AND summary_date <= DATE '{LAST_DAY}'"
 
 
-@op("day_totals_join", q.ctes("daily") + f"""
-SELECT login.summary_date, login.tenant, login.company, login.param1,
-  CAST(ic.total_count AS BIGINT) AS in_conn_n, CAST(COALESCE(icf.total_count, 0) AS BIGINT) AS day_in_conn_n
-FROM (SELECT summary_date, tenant, company, param1 FROM daily WHERE window_name = 'LOGIN' AND {_DAILY_RANGE}
-      GROUP BY 1, 2, 3, 4) login
-LEFT JOIN (SELECT summary_date, tenant, company, param1, sum(total_count) AS total_count FROM daily
-      WHERE window_name = 'CONNECTED' AND param2 = 'CALLinbound' AND {_DAILY_RANGE} GROUP BY 1, 2, 3, 4) ic
-  ON login.summary_date = ic.summary_date AND login.tenant = ic.tenant AND login.company = ic.company AND login.param1 = ic.param1
-LEFT JOIN (SELECT summary_date, tenant, company, sum(total_count) AS total_count FROM daily
-      WHERE window_name = 'CONNECTED' AND param2 = 'CALLinbound' AND {_DAILY_RANGE} GROUP BY 1, 2, 3) icf
-  ON login.summary_date = icf.summary_date AND login.tenant = icf.tenant AND login.company = icf.company""")
+@op("day_totals_join", q.ctes("daily").rstrip("\n") + f""",
+agent_day AS (
+  SELECT summary_date, tenant, company, param1, bool_or(window_name = 'LOGIN') AS logged_in,
+    sum(total_count) FILTER (WHERE window_name = 'CONNECTED' AND param2 = 'CALLinbound') AS n
+  FROM daily WHERE {_DAILY_RANGE} GROUP BY ALL
+)
+SELECT summary_date, tenant, company, param1, CAST(CASE WHEN param1 IS NOT NULL THEN n END AS BIGINT) AS in_conn_n,
+  CAST(coalesce(sum(n) OVER (PARTITION BY summary_date, tenant, company), 0) AS BIGINT) AS day_in_conn_n
+FROM agent_day QUALIFY logged_in""")
 def _day_totals(spark, t):
     keys = ["summary_date", "tenant", "company", "param1"]
     d = t.daily.filter(c("summary_date").between(F.lit(FIRST_DAY), F.lit(LAST_DAY)))
@@ -281,15 +287,42 @@ def _acw(spark, t):
     return co.acw_by_direction(t.acw, t.cdr, P.FROM_TS, P.TO_TS)
 
 
-@op("last_login_before", q.ctes("status") + f"""
-SELECT DISTINCT s.resource_id,
-  (SELECT created_at FROM status x WHERE x.reason = 'Register' AND x.created_at < {q.ts(P.MID_FROM_TS)}
-     AND x.resource_id = s.resource_id ORDER BY created_at DESC LIMIT 1) AS last_at
-FROM status s WHERE s.reason = 'Register' AND s.created_at < {q.ts(P.MID_FROM_TS)}""")
+_LAST_LOGIN_SQL = q.ctes("status") + f"""
+SELECT resource_id, created_at AS last_at FROM status
+WHERE reason = 'Register' AND resource_id IS NOT NULL AND created_at < {q.ts(P.MID_FROM_TS)}
+QUALIFY row_number() OVER (PARTITION BY resource_id ORDER BY created_at DESC) = 1"""
+
+
+@op("last_login_before", _LAST_LOGIN_SQL)
 def _last_login(spark, t):
     return ss.last_before(t.status, "Register", P.MID_FROM_TS)
 
 
+@op("last_login_from_boundary", _LAST_LOGIN_SQL)
+def _last_login_boundary(spark, t):
+    """The same from day boundaries, each made from the one before it and the days in between."""
+    stored = LastEvents(spark, _folder(spark, t, "logins"))
+    for day in (date(2024, 1, 4), date(2024, 1, 8)):
+        stored.advance(t.status, day)
+    stored.clean(keep=1)
+    return stored.last_before(t.status, P.MID_FROM_TS)
+
+
+@op("acw_from_bucketed_legs", q.ctes("acw", "cdr").rstrip("\n") + f""",
+legs AS (SELECT uuid, count(*) FILTER (WHERE direction = 'inbound') AS i, count(*) FILTER (WHERE direction = 'outbound') AS o
+  FROM cdr GROUP BY uuid)
+SELECT acw.resource_id, CAST(sum(acw.duration * legs.i) AS BIGINT) AS acw_in, CAST(sum(acw.duration * legs.o) AS BIGINT) AS acw_out
+FROM acw JOIN legs ON legs.uuid = acw.session_id
+WHERE acw.created_at BETWEEN {FROM} AND {TO} GROUP BY acw.resource_id""")
+def _acw_bucketed(spark, t):
+    """After-call work with legs that lie in buckets by uuid: they are not shuffled."""
+    folder = _folder(spark, t, "legs")
+    name = "dialtone_" + folder.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_legs_by_uuid(t.cdr, name, folder, buckets=8, mode="overwrite")
+    return co.acw_by_direction(t.acw, spark.table(name), P.FROM_TS, P.TO_TS)
+
+
 # --- aggregates -----------------------------------------------------------------
 _HOURLY_SCOPE = f"created_time >= {FROM} AND created_time < {TO} AND {INBOUND_SCOPE} AND agent_skill IN {SKILLS_IN}"
 
@@ -313,32 +346,35 @@ def _metrics(t, cols):
 
 
 @op("cdr_filtered_counts", q.ctes("cdr") + f"""
-SELECT {_PERF_KEYS_SQL},
-  count(*) FILTER (WHERE direction = 'inbound') AS total_inbound,
-  count(*) FILTER (WHERE direction = 'outbound') AS total_outbound,
-  count(CASE WHEN is_queued THEN 1 END) AS total_queued,
-  count(CASE WHEN is_queued AND agent_answered = false THEN 1 END) AS total_queue_dropped
+SELECT {_PERF_KEYS_SQL}, CAST(sum(CASE direction WHEN 'inbound' THEN 1 ELSE 0 END) AS BIGINT) AS total_inbound,
+  CAST(sum(CASE direction WHEN 'outbound' THEN 1 ELSE 0 END) AS BIGINT) AS total_outbound,
+  CAST(coalesce(sum(is_queued::INTEGER), 0) AS BIGINT) AS total_queued,
+  CAST(coalesce(sum(is_queued::INTEGER * (1 - agent_answered::INTEGER)), 0) AS BIGINT) AS total_queue_dropped
 {_PERF_FROM}""")
 def _filtered_counts(spark, t):
     return _metrics(t, ["total_inbound", "total_outbound", "total_queued", "total_queue_dropped"])
 
 
-@op("cdr_talk_totals", q.ctes("cdr") + f"""
-SELECT {_PERF_KEYS_SQL},
-  CAST(sum(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec ELSE 0 END) AS BIGINT) AS talk_in,
-  CAST(sum(CASE WHEN direction = 'inbound' AND agent_answered THEN hold_sec ELSE 0 END) AS BIGINT) AS hold_in,
-  CAST(sum(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec ELSE 0 END) AS BIGINT) AS talk_out,
-  CAST(sum(CASE WHEN direction = 'outbound' AND is_answered THEN hold_sec ELSE 0 END) AS BIGINT) AS hold_out
-{_PERF_FROM}""")
+# spoken legs by way; a day without any stays
+_SPOKEN_SQL = q.ctes("cdr").rstrip("\n") + f""",
+spoken AS (
+  SELECT {_PERF_KEYS_SQL}, bill_sec, hold_sec,
+    CASE WHEN direction = 'inbound' AND agent_answered THEN 'in' WHEN direction = 'outbound' AND is_answered THEN 'out' END AS way
+  FROM cdr WHERE created_time BETWEEN {FROM} AND {TO}
+)"""
+
+
+@op("cdr_talk_totals", _SPOKEN_SQL + """
+SELECT date, tenant, company, bu, """ + ", ".join(
+    f"CAST(coalesce(sum({v}_sec) FILTER (WHERE way = '{w}'), 0) AS BIGINT) AS {name}_{w}"
+    for w in ("in", "out") for v, name in (("bill", "talk"), ("hold", "hold"))) + " FROM spoken GROUP BY ALL")
 def _talk_totals(spark, t):
     return _metrics(t, ["talk_in", "hold_in", "talk_out", "hold_out"])
 
 
-@op("cdr_talk_avgs", q.ctes("cdr") + f"""
-SELECT {_PERF_KEYS_SQL},
-  round(avg(CASE WHEN direction = 'inbound' AND agent_answered THEN bill_sec END), 4) AS avg_talk_in,
-  round(avg(CASE WHEN direction = 'outbound' AND is_answered THEN bill_sec END), 4) AS avg_talk_out
-{_PERF_FROM}""")
+@op("cdr_talk_avgs", _SPOKEN_SQL + """
+SELECT date, tenant, company, bu, """ + ", ".join(
+    f"round(avg(bill_sec) FILTER (WHERE way = '{w}'), 4) AS avg_talk_{w}" for w in ("in", "out")) + " FROM spoken GROUP BY ALL")
 def _talk_avgs(spark, t):
     m = _metrics(t, ["talk_in_sum", "talk_in_n", "talk_out_sum", "talk_out_n"])
     return m.select("date", "tenant", "company", "bu",
@@ -346,25 +382,46 @@ def _talk_avgs(spark, t):
                     F.round(c("talk_out_sum") / F.nullif(c("talk_out_n"), F.lit(0)), 4).alias("avg_talk_out"))
 
 
-@op("active_agents", q.ctes("cdr") + f"""
-SELECT {_PERF_KEYS_SQL},
-  count(DISTINCT CASE WHEN direction = 'inbound' AND is_answered = true AND obj_type = 'HTTAPI' THEN received_by ELSE NULL END) AS in_agents,
-  count(DISTINCT CASE WHEN direction = 'outbound' AND is_answered = true AND obj_type != 'PRIVATE_USER' THEN sip_from_user ELSE NULL END) AS out_agents
-{_PERF_FROM}""")
+# each answering agent once a day and way, beside a row without agent that keeps every day
+_ANSWERING = f"""answering AS (
+  SELECT DISTINCT {_PERF_KEYS_SQL}, direction AS way, CASE direction WHEN 'inbound' THEN received_by ELSE sip_from_user END AS agent
+  FROM cdr WHERE created_time BETWEEN {FROM} AND {TO} AND is_answered
+    AND (direction = 'inbound' AND obj_type = 'HTTAPI' OR direction = 'outbound' AND obj_type <> 'PRIVATE_USER')
+)"""
+
+
+@op("active_agents", q.ctes("cdr").rstrip("\n") + f""", {_ANSWERING},
+seen AS (FROM answering UNION ALL SELECT DISTINCT {_PERF_KEYS_SQL}, NULL, NULL FROM cdr WHERE created_time BETWEEN {FROM} AND {TO})
+SELECT date, tenant, company, bu, count(agent) FILTER (WHERE way = 'inbound') AS in_agents,
+  count(agent) FILTER (WHERE way = 'outbound') AS out_agents
+FROM seen GROUP BY ALL""")
 def _active_agents(spark, t):
     return _metrics(t, ["in_agents", "out_agents"])
 
 
+@op("active_agents_by_week", q.ctes("cdr").rstrip("\n") + f""", {_ANSWERING}
+SELECT CAST(date_trunc('week', date) AS DATE) AS week, tenant, CAST(count(DISTINCT agent) FILTER (WHERE way = 'inbound') AS BIGINT) AS in_agents,
+  CAST(count(DISTINCT agent) FILTER (WHERE way = 'outbound') AS BIGINT) AS out_agents
+FROM answering WHERE agent IS NOT NULL GROUP BY ALL""")
+def _active_by_week(spark, t):
+    """Distinct agents of weeks over all companies and units, from the bitmaps of their days."""
+    roles = bm.agent_roles(t.cdr, P.FROM_TS, P.TO_TS, P.TZ)
+    days = bm.agent_bitmaps(roles, bm.agent_numbers(roles))
+    week = F.to_date(F.date_trunc("week", c("date"))).alias("week")
+    return bm.count_agents(days, [week, "tenant"])
+
+
+_ROLLUP_WINDOWS = {"login": "window_name = 'LOGIN'", "in_conn": "window_name = 'CONNECTED' AND param2 = 'CALLinbound'",
+                   "in_hold": "window_name = 'AGENTHOLD' AND param2 = 'inbound'", "brk": "window_name = 'BREAK'"}
+
+
 def _rollup_sql(w: str) -> str:
-    window_name, param2 = dy.WINDOWS[w]
-    m = f"window_name = '{window_name}'" + (f" AND param2 = '{param2}'" if param2 else "")
-    return (f"max(CASE WHEN {m} THEN max_time END) AS {w}_m, "
-            f"CAST(sum(CASE WHEN {m} THEN total_count END) AS BIGINT) AS {w}_n, "
-            f"CAST(sum(CASE WHEN {m} THEN total_time END) AS BIGINT) AS {w}_t, "
-            f"round(avg(CASE WHEN {m} THEN total_time END), 4) AS {w}_avg_t")
+    rows = f"FILTER (WHERE {_ROLLUP_WINDOWS[w]})"
+    return (f"max(max_time) {rows} AS {w}_m, CAST(sum(total_count) {rows} AS BIGINT) AS {w}_n, "
+            f"CAST(sum(total_time) {rows} AS BIGINT) AS {w}_t, round(avg(total_time) {rows}, 4) AS {w}_avg_t")
 
 
-_ROLLUP_W = ["login", "in_conn", "in_hold", "brk"]
+_ROLLUP_W = list(_ROLLUP_WINDOWS)
 
 
 @op("daily_window_rollup", q.ctes("daily") + f"""
@@ -434,14 +491,16 @@ def _session_totals(spark, t):
     return format_hms(out, ["login_total_time"])
 
 
-@op("staff_rollup", q.ctes("daily") + f"""
-SELECT summary_date AS date, CAST(tenant AS INTEGER) AS tenant, CAST(company AS INTEGER) AS company,
-  business_unit AS bu,
-  count(*) FILTER (WHERE window_name = 'LOGIN') AS staff_count,
-  CAST(sum(CASE WHEN window_name = 'LOGIN' THEN total_time ELSE 0 END) AS BIGINT) AS staff_time,
-  CAST(sum(CASE WHEN window_name = 'AFTERWORK' THEN total_time ELSE 0 END) AS BIGINT) AS acw_time,
-  CAST(sum(CASE WHEN window_name = 'BREAK' THEN total_time ELSE 0 END) AS BIGINT) AS break_time
-FROM daily WHERE {_DAILY_RANGE} GROUP BY summary_date, tenant, company, business_unit""")
+@op("staff_rollup", q.ctes("daily").rstrip("\n") + f""",
+part AS (
+  SELECT summary_date, tenant, company, business_unit, window_name, count(*) AS n, sum(total_time) AS t
+  FROM daily WHERE {_DAILY_RANGE} GROUP BY ALL
+)
+SELECT summary_date AS date, tenant::INTEGER AS tenant, company::INTEGER AS company, business_unit AS bu,
+  coalesce(any_value(n) FILTER (WHERE window_name = 'LOGIN'), 0)::BIGINT AS staff_count,
+  {', '.join(f"coalesce(any_value(t) FILTER (WHERE window_name = '{w}'), 0)::BIGINT AS {name}"
+             for w, name in (('LOGIN', 'staff_time'), ('AFTERWORK', 'acw_time'), ('BREAK', 'break_time')))}
+FROM part GROUP BY ALL""")
 def _staff(spark, t):
     return staff_metrics(t.daily, P.FROM_TS, P.TO_TS)
 
@@ -495,7 +554,7 @@ def _grand(spark, t):
     totals = {"full_login_t": F.sum("login_t").cast("bigint"),
               "n_rows": F.count(F.lit(1)).cast("bigint"),
               "avg_login_t": F.expr(agent_daily.round_avg_sql("login_t"))}
-    return with_grand_totals(rows, totals)
+    return with_grand_totals(rows, totals, by=["summary_date", "tenant", "company", "param1"])
 
 
 def _spans_sql(reasons: tuple[str, str], require_next: bool) -> str:
@@ -566,13 +625,16 @@ def _pct(spark, t):
                       pct_int(c("an"), c("q")).alias("answeredpercent"))
 
 
-@op("calls_per_agent", q.ctes("cdr") + f"""
-SELECT {LD} AS date,
-  CASE WHEN count(DISTINCT CASE WHEN direction = 'inbound' AND is_answered AND obj_type = 'HTTAPI' THEN received_by END) = 0 THEN NULL
-    ELSE CAST(round(CAST(count(*) FILTER (WHERE direction = 'inbound' AND is_answered AND obj_type = 'HTTAPI') AS NUMERIC)
-      / CAST(count(DISTINCT CASE WHEN direction = 'inbound' AND is_answered AND obj_type = 'HTTAPI' THEN received_by END) AS NUMERIC), 1) AS DOUBLE) END
-    AS average_inbound_call_per_agent
-FROM cdr WHERE created_time >= {FROM} AND created_time <= {TO} GROUP BY 1""")
+# tenths rounded half up in whole numbers: floor((20 calls + agents) / 2 agents)
+@op("calls_per_agent", q.ctes("cdr").rstrip("\n") + f""",
+by_agent AS (
+  SELECT {LD} AS date, received_by AS agent, count(*) FILTER (WHERE direction = 'inbound' AND is_answered AND obj_type = 'HTTAPI') AS n
+  FROM cdr WHERE created_time BETWEEN {FROM} AND {TO} GROUP BY ALL
+), by_day AS (
+  SELECT date, sum(n) AS calls, count(agent) FILTER (WHERE n > 0) AS agents FROM by_agent GROUP BY date
+)
+SELECT date, CASE WHEN agents > 0 THEN ((20 * calls + agents) // (2 * agents))::DOUBLE / 10 END AS average_inbound_call_per_agent
+FROM by_day""")
 def _calls_per_agent(spark, t):
     from dialtone.plans.call_performance import ratio_1dp
     leg = (c("direction") == "inbound") & c("is_answered") & (c("obj_type") == "HTTAPI")
@@ -584,18 +646,21 @@ def _calls_per_agent(spark, t):
                       .alias("average_inbound_call_per_agent"))
 
 
-@op("default_logout", q.ctes("daily", "status") + f"""
-SELECT login.summary_date, login.tenant, login.company, login.param1,
-  COALESCE(lo.logout_at, CAST(strftime(login.summary_date, '%Y-%m-%d') || ' 18:29:59' AS TIMESTAMP)) AS logout_time
-FROM (SELECT DISTINCT summary_date, tenant, company, param1 FROM daily WHERE window_name = 'LOGIN' AND {_DAILY_RANGE}) login
-LEFT JOIN (SELECT CAST(created_at AS DATE) AS d, tenant_id, company_id, resource_id, max(created_at) AS logout_at
-           FROM status WHERE reason = 'UnRegister' GROUP BY 1, 2, 3, 4) lo
-  ON login.summary_date = lo.d AND CAST(login.tenant AS INTEGER) = lo.tenant_id
- AND CAST(login.company AS INTEGER) = lo.company_id AND CAST(login.param1 AS INTEGER) = lo.resource_id""")
+@op("default_logout", q.ctes("daily", "status").rstrip("\n") + f""",
+worked AS (SELECT DISTINCT summary_date, tenant, company, param1 FROM daily WHERE window_name = 'LOGIN' AND {_DAILY_RANGE}),
+marks AS (
+  SELECT summary_date, tenant, company, param1, summary_date + TIME '18:29:59' AS moment, 0 AS grade FROM worked
+  UNION ALL
+  SELECT w.summary_date, w.tenant, w.company, w.param1, s.created_at, 1 FROM worked w JOIN status s
+    ON s.reason = 'UnRegister' AND s.created_at::DATE = w.summary_date AND s.resource_id = w.param1::INTEGER
+   AND s.tenant_id = w.tenant::INTEGER AND s.company_id = w.company::INTEGER
+)
+SELECT summary_date, tenant, company, param1, max_by(moment, row(grade, moment)) AS logout_time FROM marks GROUP BY ALL""")
 def _default_logout(spark, t):
     d = t.daily.filter((c("window_name") == "LOGIN")
                        & c("summary_date").between(F.lit(FIRST_DAY), F.lit(LAST_DAY)))
-    rows = d.select("summary_date", "tenant", "company", "param1").distinct()
+    rows = d.select("summary_date", "tenant", "company", "param1").distinct().select(
+        "*", *[c(x).cast("int").alias(f"_{x}") for x in ("tenant", "company", "param1")])
     sd = ss.first_last_per_day(t.status, ["tenant_id", "company_id", "resource_id"],
                                FIRST_DAY, LAST_DAY)
     j = agent_daily.attach_login(rows, sd, ss.last_before(t.status, "Register", P.FROM_TS,
@@ -671,6 +736,45 @@ def _set_null(spark, t):
     return ck.apply_set_null(t.contact_numbers, deleted, "campaign_id", "campaign_id")
 
 
+_KEY_TABLES = ("business_units", "user_groups", "contact_numbers")
+
+
+@op("check_primary_keys", q.ctes(*_KEY_TABLES) + " UNION ALL ".join(f"""
+SELECT '{name}' AS table_name, count(*) AS rows, count(*) - count(k) AS nulls,
+  count(k) FILTER (WHERE n > 1) AS repeated
+FROM (SELECT {key} AS k, count(*) OVER (PARTITION BY {key}) AS n FROM {name}) t""" for name, key in zip(
+    _KEY_TABLES, ("id", "id", "contact_number_id"))))
+def _primary_keys(spark, t):
+    rows = [ck.primary_key_faults(getattr(t, n), schemas.PRIMARY_KEYS[n]).select(F.lit(n).alias("table_name"), "*")
+            for n in _KEY_TABLES]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+# what becomes of the three tables that refer to others: AMERICA and campaign 2 vanish, some keys change
+@op("propagate_keys", q.ctes(*_KEY_TABLES, "attributes", "campaigns") + " UNION ALL ".join([f"""
+SELECT '{name}' AS table_name, id::BIGINT AS id, CASE attribute_id WHEN 2 THEN 102 ELSE attribute_id END::INTEGER AS key1,
+  CASE attribute_group_id WHEN 1 THEN 11 WHEN 4 THEN 14 ELSE attribute_group_id END::INTEGER AS key2
+FROM {name} WHERE attribute_id IS DISTINCT FROM (SELECT attribute_id FROM attributes WHERE attribute_name = 'AMERICA')"""
+    for name in ("business_units", "user_groups")]) + """ UNION ALL
+SELECT 'contact_numbers', contact_number_id, CASE WHEN campaign_id = 1 THEN 31 WHEN campaign_id = 2 THEN NULL ELSE campaign_id END::INTEGER, NULL::INTEGER
+FROM contact_numbers""")
+def _propagate(spark, t):
+    """Deletions and changed keys of the parents, carried along every foreign key at once."""
+    tables_ = {n: getattr(t, n) for n in (*_KEY_TABLES, "attributes", "attribute_groups", "campaigns")}
+    deleted = {"attributes": t.attributes.filter(c("attribute_name") == "AMERICA").select("attribute_id"),
+               "campaigns": t.campaigns.filter(c("campaign_id") == 2).select("campaign_id")}
+    renamed = lambda df, key, by: df.select(key, (c(key) + by).alias("new"))
+    changed = {"attributes": renamed(t.attributes.filter(c("attribute_id") == 2), "attribute_id", 100),
+               "attribute_groups": renamed(t.attribute_groups.filter(c("attribute_group_id").isin(1, 4)), "attribute_group_id", 10),
+               "campaigns": renamed(t.campaigns.filter(c("campaign_id").isin(1, 2)), "campaign_id", 30)}
+    done = ck.propagate(tables_, schemas.FOREIGN_KEYS, schemas.PRIMARY_KEYS, deleted, changed)
+    units = [done[n].select(F.lit(n).alias("table_name"), c("id").cast("bigint").alias("id"), c("attribute_id").alias("key1"),
+                            c("attribute_group_id").alias("key2")) for n in ("business_units", "user_groups")]
+    numbers = done["contact_numbers"].select(F.lit("contact_numbers").alias("table_name"), c("contact_number_id").alias("id"),
+                                             c("campaign_id").alias("key1"), F.lit(None).cast("int").alias("key2"))
+    return units[0].unionByName(units[1]).unionByName(numbers)
+
+
 _DECLARED = {"business_units": ("id", "created_at", "updated_at"), "user_groups": ("id", "created_at", "updated_at"),
              "contact_numbers": ("contact_number_id", "created_at", "updated_at")}
 
@@ -737,6 +841,26 @@ def _counters_day(spark, t):
     return cn.counter_totals(deltas, ["day"])
 
 
+# --- reports over tables stored by day ------------------------------------------
+_WEEK = ("2024-01-08 00:00:00", "2024-01-14 12:00:00")
+
+
+def _week_sql() -> str:
+    from dialtone.catalog.oracle_perf import call_performance_sql
+    return call_performance_sql(*_WEEK)
+
+
+@op("call_performance_week_by_day", _week_sql())
+def _week_by_day(spark, t):
+    """One week's report over legs and summaries that are stored by day: the other days' files aren't opened."""
+    from dialtone.plans.call_performance import call_performance
+    folder = _folder(spark, t, "facts")
+    for name in ("cdr", "daily"):
+        facts.write_fact(getattr(t, name), folder, name, FIRST_DAY, LAST_DAY)
+        facts.fact_table(spark, folder, name).clean(keep=1)
+    return call_performance(facts.read_fact(spark, folder, "cdr"), facts.read_fact(spark, folder, "daily"), *_WEEK, P.TZ)
+
+
 # --- report variants that exercise optional filters ------------------------------
 def _optional_filters_sql() -> str:
     from dialtone.catalog.oracle_agent import agent_sql

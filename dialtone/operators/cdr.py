@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtone.functions.fmt import int_div
-from dialtone.functions.timefx import ts_literal
+from dialtone.functions.timefx import date_bounds, ts_literal
 
 c = F.col
 
@@ -22,12 +22,25 @@ def in_range(ts_col: str, from_ts, to_ts, inclusive_end: bool) -> Column:
     return (c(ts_col) >= lo) & upper
 
 
+def day_column(ts_col: str) -> str:
+    """The partition column of a fact table stored by the UTC day of ``ts_col`` (``sources.facts``)."""
+    return f"{ts_col}_day"
+
+
+def within(df: DataFrame, ts_col: str, from_ts, to_ts, inclusive_end: bool) -> DataFrame:
+    """The rows of a time range; of a table stored by day only the days of the range are read."""
+    if day_column(ts_col) in df.columns:
+        first, last = date_bounds(from_ts, to_ts)
+        df = df.filter(c(day_column(ts_col)).between(F.lit(first), F.lit(last)))
+    return df.filter(in_range(ts_col, from_ts, to_ts, inclusive_end))
+
+
 def filter_calls(cdr: DataFrame, from_ts, to_ts, *, inclusive_end: bool,
                  company: int | None = None, tenant: int | None = None,
                  b_unit: str | None = None, direction: str | None = None,
                  obj_type: str | None = None, skills: str | None = None) -> DataFrame:
     """Range + equality + skill-membership filters; all reach the parquet scan."""
-    cond = in_range("created_time", from_ts, to_ts, inclusive_end)
+    cond = F.lit(True)
     if company is not None:
         cond &= c("company_id") == company
     if tenant is not None:
@@ -40,7 +53,7 @@ def filter_calls(cdr: DataFrame, from_ts, to_ts, *, inclusive_end: bool,
         cond &= c("obj_type") == obj_type
     if skills is not None:
         cond &= c("agent_skill").isin(skill_list(skills))
-    return cdr.filter(cond)
+    return within(cdr, "created_time", from_ts, to_ts, inclusive_end).filter(cond)
 
 
 # --- inbound leg predicates (three-valued: a NULL flag never matches) -------
@@ -118,7 +131,7 @@ def legs_per_agent(cdr: DataFrame, resources: DataFrame, from_ts, to_ts, tz: str
     from dialtone.functions.timefx import local_date
 
     keys = ["day", "tenant_id", "company_id"] + (["business_unit"] if by_unit else [])
-    legs = cdr.filter(in_range("created_time", from_ts, to_ts, inclusive_end=True))
+    legs = within(cdr, "created_time", from_ts, to_ts, inclusive_end=True)
     one = lambda cond: f"if(coalesce({cond}, false), 1, 0)"
     val = lambda cond, v: f"if({cond}, {v}, 0)"
     inb, outb = "direction = 'inbound'", "direction = 'outbound'"
@@ -166,7 +179,7 @@ def acw_by_direction(acw: DataFrame, cdr: DataFrame, from_ts, to_ts) -> DataFram
     Legs have no time bound here, so tables bucketed by uuid save the most;
     without them Spark can add a runtime filter from the work side.
     """
-    work = (acw.filter(in_range("created_at", from_ts, to_ts, inclusive_end=True))
+    work = (within(acw, "created_at", from_ts, to_ts, inclusive_end=True)
             .groupBy("resource_id", c("session_id").alias("uuid")).agg(F.sum("duration").alias("worked")))
     per_uuid = cdr.groupBy("uuid").agg(count_where(c("direction") == "inbound").alias("n_in"),
                                        count_where(c("direction") == "outbound").alias("n_out"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialtone.functions.timefx import ts_literal, utc_date
+from dialtone.operators.cdr import day_column, within
+from dialtone.operators.shared import one_exchange
 
 c = F.col
 
@@ -31,6 +33,8 @@ def first_last_per_day(status: DataFrame, keys: list[str], first: dt.date, last:
     cond = c("reason").isin(first_reason, last_reason) & day_window(first, last)
     if extra is not None:
         cond &= extra
+    if day_column("created_at") in status.columns:
+        cond &= c(day_column("created_at")).between(F.lit(first), F.lit(last))
     return (status.filter(cond)
             .groupBy(utc_date("created_at").alias("day"), *keys)
             .agg(F.min(F.when(c("reason") == first_reason, c("created_at"))).alias("first_at"),
@@ -43,9 +47,11 @@ def last_before(status: DataFrame, reason: str, before, by: str = "resource_id",
 
     The as-of lookup ``ORDER BY createdAt DESC LIMIT 1`` per agent, as a
     filtered ``max`` aggregate: partial maxima are combined map-side, so
-    the shuffle carries at most one row per agent and partition.
+    the shuffle carries at most one row per agent and partition. The lookup is
+    by equality, so a NULL ``by`` has no event. Without a snapshot
+    (``operators.snapshots``) the whole history before ``before`` is read.
     """
-    cond = (c("reason") == reason) & (c("created_at") < ts_literal(before))
+    cond = (c("reason") == reason) & (c("created_at") < ts_literal(before)) & c(by).isNotNull()
     if extra is not None:
         cond &= extra
     return status.filter(cond).groupBy(by).agg(F.max("created_at").alias(name))
@@ -68,9 +74,8 @@ def spans(status: DataFrame, start_reason: str, end_reason: str, from_ts, to_ts,
     Columns: resource_id, tenant_id, company_id, business_unit,
     start_at, end_at, span_us.
     """
-    cond = (c("reason").isin(start_reason, end_reason) & (c("created_at") >= ts_literal(from_ts))
-            & (c("created_at") <= ts_literal(to_ts)))
-    ev = lead_in_time(status.filter(cond).select(
+    ev = lead_in_time(within(status, "created_at", from_ts, to_ts, inclusive_end=True).filter(
+        c("reason").isin(start_reason, end_reason)).select(
         "resource_id", "created_at", "reason", "tenant_id", "company_id", "business_unit"),
         ["resource_id"], bucket=bucket)
     keep = c("reason") == start_reason
@@ -102,14 +107,14 @@ def _unit(bucket: str) -> str:
     return unit
 
 
-def _join_null_safe(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys`` in which NULL equals NULL, as it does in a window's partition."""
-    renamed = table.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
-                           *[x for x in table.columns if x not in keys])
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return rows.join(renamed, on, "left").drop(*[f"_key_{k}" for k in keys])
+def _dealt(events: DataFrame, by: list[str], ts: str, bucket: str) -> DataFrame:
+    """``events`` with ``_key``, a struct of the group and the time bucket, dealt by it once for all readers.
+
+    A struct is never NULL itself, and two structs with NULL in the same place are
+    equal: NULL groups are found again by a plain join on ``_key``.
+    """
+    key = F.struct(*by, _bucket(F.col(ts), bucket).alias("_bucket"))
+    return one_exchange(events.withColumn("_key", key), ["_key"])
 
 
 def lead_in_time(events: DataFrame, by: list[str], ts: str = "created_at",
@@ -119,24 +124,21 @@ def lead_in_time(events: DataFrame, by: list[str], ts: str = "created_at",
     Equals ``LEAD(ts)`` / ``LEAD(carry)`` over ``PARTITION BY by ORDER BY ts,
     carry`` (the last event gets NULL), computed in two levels: within each
     (group, bucket) by a window, and across buckets from each bucket's first
-    event, looked up through the bucket-level table.
+    event, looked up through the bucket-level table. One exchange of the events
+    serves the window, the bucket table and the join of the two.
     """
-    b = "_bucket"
-    # one exchange serves the window and the bucket table
-    dealt = events.withColumn(b, _bucket(F.col(ts), bucket)).repartition(*by, b)
-    w = Window.partitionBy(*by, b).orderBy(ts, carry)
+    dealt = _dealt(events, by, ts, bucket)
+    w = Window.partitionBy("_key").orderBy(ts, carry)
     ev = (dealt.withColumn("next_at", F.lead(ts).over(w))
           .withColumn(f"next_{carry}", F.lead(carry).over(w)))
-    heads = dealt.groupBy(*by, b).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(carry).alias("v")))
-                                      .alias("_head"))
-    wb = Window.partitionBy(*by).orderBy(b)
-    heads = heads.select(*by, b, F.lead("_head").over(wb).alias("_next_head"))
-    out = _join_null_safe(ev, heads, [*by, b])
+    heads = dealt.groupBy("_key").agg(F.min(F.struct(F.col(ts).alias("t"), F.col(carry).alias("v"))).alias("_head"))
+    wb = Window.partitionBy(*[F.col("_key")[x] for x in by]).orderBy(F.col("_key._bucket"))
+    out = ev.join(heads.select("_key", F.lead("_head").over(wb).alias("_next_head")), "_key", "left")
     last = F.col("next_at").isNull()
     return (out.withColumn(f"next_{carry}", F.when(last, F.col("_next_head.v"))
                            .otherwise(F.col(f"next_{carry}")))
             .withColumn("next_at", F.when(last, F.col("_next_head.t")).otherwise(F.col("next_at")))
-            .drop("_next_head", b))
+            .drop("_next_head", "_key"))
 
 
 def running_count(events: DataFrame, by: list[str], cond: Column, name: str,
@@ -146,19 +148,17 @@ def running_count(events: DataFrame, by: list[str], cond: Column, name: str,
     UNBOUNDED PRECEDING)``, in two levels: a running count within each (group,
     bucket) plus the total of all earlier buckets of the group.
     """
-    b = "_bucket"
-    flag = F.when(cond, 1).otherwise(0)
-    dealt = events.withColumn(b, _bucket(F.col(ts), bucket)).withColumn("_flag", flag).repartition(*by, b)
-    w = (Window.partitionBy(*by, b).orderBy(ts, tiebreak)
+    dealt = _dealt(events.withColumn("_flag", F.when(cond, 1).otherwise(0)), by, ts, bucket)
+    w = (Window.partitionBy("_key").orderBy(ts, tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ev = dealt.withColumn("_in_bucket", F.sum("_flag").over(w))
-    totals = dealt.groupBy(*by, b).agg(F.sum("_flag").alias("_bucket_total"))
-    wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, b, F.coalesce(F.sum("_bucket_total").over(wb), F.lit(0))
-                            .alias("_before"))
-    out = _join_null_safe(ev, offsets, [*by, b])
-    return (out.withColumn(name, (F.col("_before") + F.col("_in_bucket")).cast("bigint"))
-            .drop(b, "_flag", "_in_bucket", "_before"))
+    totals = dealt.groupBy("_key").agg(F.sum("_flag").alias("_bucket_total"))
+    wb = (Window.partitionBy(*[F.col("_key")[x] for x in by]).orderBy(F.col("_key._bucket"))
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("_key", F.coalesce(F.sum("_bucket_total").over(wb), F.lit(0)).alias("_before"))
+    return (ev.join(offsets, "_key", "left")
+            .withColumn(name, (F.col("_before") + F.col("_in_bucket")).cast("bigint"))
+            .drop("_key", "_flag", "_in_bucket", "_before"))
 
 
 # The state-change reasons that open and close each kind of span.
@@ -185,10 +185,8 @@ def span_totals(status: DataFrame, from_ts, to_ts, bucket: str = BUCKET) -> Data
     for fam, (opening, closing) in SPAN_REASONS.items():
         family = F.when(F.col("reason").isin(opening, closing), F.lit(fam)).otherwise(family)
     all_reasons = [r for pair in SPAN_REASONS.values() for r in pair]
-    ev = status.filter(F.col("reason").isin(all_reasons)
-                       & (F.col("created_at") >= ts_literal(from_ts))
-                       & (F.col("created_at") <= ts_literal(to_ts))) \
-        .select("resource_id", "created_at", "reason", family.alias("family"))
+    ev = (within(status, "created_at", from_ts, to_ts, inclusive_end=True).filter(F.col("reason").isin(all_reasons))
+          .select("resource_id", "created_at", "reason", family.alias("family")))
     ev = lead_in_time(ev, ["resource_id", "family"], bucket=bucket)
     span = micros_between(F.col("created_at"), F.col("next_at"))
     opened = lambda fam: F.col("reason") == SPAN_REASONS[fam][0]

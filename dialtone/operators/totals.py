@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtone.functions.fmt import format_hms
+from dialtone.operators.shared import one_exchange
 
 
 def with_grand_totals(df: DataFrame, totals: dict[str, Column],
                       outputs: list[Column] | None = None,
                       source: DataFrame | None = None,
-                      durations: list[str] | None = None) -> DataFrame:
+                      durations: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
     """Add ``SUM(..) OVER ()``-style totals over all rows of ``source`` as columns of ``df``.
 
     ``OVER ()`` would pull every row into one task. Instead the totals are
@@ -21,9 +22,15 @@ def with_grand_totals(df: DataFrame, totals: dict[str, Column],
     over the total columns, e.g. formatting) are evaluated once inside the
     subquery rather than on every row; ``durations`` names output columns
     (whole seconds) to format as ``HH:MM:SS`` there. ``source`` defaults to ``df``.
+
+    So that rows and totals come from one run of their input, either both ``df`` and
+    ``source`` read rows of one :func:`~dialtone.operators.shared.one_exchange`, or
+    ``by`` names columns by which ``df`` is dealt here.
     """
     if not totals:
         return df
+    if by is not None:
+        df = one_exchange(df, by)
     src = source if source is not None else df
     agg = src.agg(*[e.alias(n) for n, e in totals.items()])
     if outputs is not None:

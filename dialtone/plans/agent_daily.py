@@ -4,8 +4,8 @@ The original joins ten to fifteen per-window subqueries of ``daily`` to
 the LOGIN rows. Here ``daily`` is read once: one ``groupBy`` pivots all
 windows into columns (``operators.daily.window_rollup``), the LOGIN rows
 drive the report, first-login / last-logout times come from one
-aggregate over ``status``, day totals from a window over the aggregated
-rows and grand totals from one scalar subquery.
+aggregate over ``status``, day totals from an aggregate and a join,
+grand totals from one scalar subquery; all read the pivot's rows from one exchange.
 
 Decisions on the original's defects (documented in README):
 ``total_hold_total_time`` is inbound + outbound hold (the original adds
@@ -25,7 +25,9 @@ from dialtone.functions.fmt import format_hms
 from dialtone.functions.timefx import date_bounds
 from dialtone.operators.daily import group_totals, mask_null_keys, window_rollup
 from dialtone.operators.sessions import first_last_per_day, last_before
+from dialtone.operators.shared import one_exchange
 from dialtone.operators.totals import with_grand_totals
+from dialtone.sources.snapshots import LastEvents
 
 c = F.col
 
@@ -221,8 +223,8 @@ def _columns(all_tenants: bool, bu: str | None) -> _Out:
     return out
 
 
-def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
-    """Project and format the per-row columns, order, attach formatted grand totals.
+def _finish(rows: DataFrame, totalled: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
+    """Project and format the per-row columns, order, attach formatted grand totals of ``totalled``.
 
     Per-row durations are formatted before the sort, in the parallel stage
     that produced the rows; the grand totals are computed and formatted
@@ -233,7 +235,7 @@ def _finish(rows: DataFrame, all_tenants: bool, bu: str | None) -> DataFrame:
     ordered = per_row.orderBy("summary_date", "tenant", "company", "agent")
     totals = [F.expr(f"cast({e} AS bigint) AS {n}" if is_secs else f"{e} AS {n}")
               for n, e, is_secs in out.totals]
-    done = with_grand_totals(ordered, _grand_totals(), outputs=totals, source=rows,
+    done = with_grand_totals(ordered, _grand_totals(), outputs=totals, source=totalled,
                              durations=[n for n, _, is_secs in out.totals if is_secs])
     return done.select(*out.order)
 
@@ -247,14 +249,15 @@ def _default_logout(day: Column) -> Column:
 def agent_productivity(daily: DataFrame, status: DataFrame, from_ts, to_ts,
                        resource_id: str | None = None, tz: str | None = None,
                        b_unit: str | None = None, company: int = 1,
-                       tenant: int = 1) -> DataFrame:
+                       tenant: int = 1, logins: LastEvents | None = None) -> DataFrame:
     """R3: per summary date and agent of one company and tenant, 85 columns.
 
     ``resource_id`` limits to one agent, ``b_unit`` (unless NULL or
     ``'ALL'``) to one business unit. ``login_time`` is the agent's first
     Register of that UTC day, else the latest Register before ``from_ts``
     (in the unit, when one is given). ``full_*`` columns are totals over
-    all output rows. ``tz`` is accepted for signature compatibility; the
+    all output rows. ``logins`` are stored boundaries of earlier logins, without
+    which all older status rows are read. ``tz`` is accepted for signature compatibility; the
     summaries are already per day.
     """
     first, last = date_bounds(from_ts, to_ts)
@@ -266,30 +269,41 @@ def agent_productivity(daily: DataFrame, status: DataFrame, from_ts, to_ts,
     if unit_filter:
         cond &= c("business_unit") == b_unit
     keys = ["summary_date", "tenant", "company", "param1"]
-    agg = window_rollup(daily.filter(cond), keys, BASE_WINDOWS, weighted_avg_time=False)
+    agg = _shared(window_rollup(daily.filter(cond), keys, BASE_WINDOWS, weighted_avg_time=False), unit=False)
     rows = mask_null_keys(agg, keys, BASE_WINDOWS).filter(c("_driver_rows") > 0)
 
     scope = (c("company_id") == company) & (c("tenant_id") == tenant)
     same_day = first_last_per_day(status, ["tenant_id", "company_id", "resource_id"], first, last,
                                   extra=scope)
     fb_scope = scope & (c("business_unit") == b_unit) if unit_filter else scope
-    fallback = last_before(status, "Register", from_ts, extra=fb_scope, name="fallback_at")
-    rows = attach_login(rows, same_day, fallback, unit=False)
-    return _finish(rows, False, None)
+    fallback = earlier_logins(status, from_ts, logins, fb_scope)
+    return _finish(attach_login(rows, same_day, fallback, unit=False), rows, False, None)
+
+
+def earlier_logins(status: DataFrame, from_ts, logins: LastEvents | None, extra: Column | None = None) -> DataFrame:
+    """(resource_id, fallback_at): each agent's latest Register before the report's range."""
+    if logins is None:
+        return last_before(status, "Register", from_ts, extra=extra, name="fallback_at")
+    return logins.last_before(status, from_ts, extra=extra, name="fallback_at")
+
+
+def _shared(agg: DataFrame, unit: bool) -> DataFrame:
+    """Agent-day rows that report, day totals and grand totals read from one exchange, dealt for the login join."""
+    numbered = agg.select("*", *[F.expr(f"cast({x} AS int)").alias(f"_{x}") for x in ("tenant", "company", "param1")])
+    return one_exchange(numbered, ["summary_date", "_tenant", "_company", "_param1"] + (["business_unit"] if unit else []))
 
 
 def attach_login(rows: DataFrame, same_day: DataFrame, fallback: DataFrame,
                   unit: bool) -> DataFrame:
     """Left-join first login / last logout of the day, then the earlier-login fallback.
 
-    The report's text keys are cast to integers for the join, as the
-    original does. Both lookups are aggregates keyed like the rows (one
+    The report's text keys are integers in the join, as in the original:
+    ``_tenant``, ``_company``, ``_param1``. Both lookups are aggregates keyed like the rows (one
     row per agent-day, one per agent), so neither join multiplies rows.
     """
     sd = same_day.select(*[c(x).alias("sd_" + x) for x in same_day.columns])
-    on = [c("summary_date") == c("sd_day"), c("tenant").cast("int") == c("sd_tenant_id"),
-          c("company").cast("int") == c("sd_company_id"),
-          c("param1").cast("int") == c("sd_resource_id")]
+    on = [c("summary_date") == c("sd_day"), c("_tenant") == c("sd_tenant_id"),
+          c("_company") == c("sd_company_id"), c("_param1") == c("sd_resource_id")]
     if unit:
         on.append(c("business_unit") == c("sd_business_unit"))
     on_all = on[0]
@@ -297,31 +311,32 @@ def attach_login(rows: DataFrame, same_day: DataFrame, fallback: DataFrame,
         on_all = on_all & cond
     j = rows.join(sd, on_all, "left")
     fb = fallback.select(c("resource_id").alias("fb_resource_id"), "fallback_at")
-    j = j.join(fb, c("param1").cast("int") == c("fb_resource_id"), "left")
+    j = j.join(fb, c("_param1") == c("fb_resource_id"), "left")
     return j.select(*[c(x) for x in rows.columns],
                     F.coalesce(c("sd_first_at"), c("fallback_at")).alias("login_time"),
                     F.coalesce(c("sd_last_at"), _default_logout(c("summary_date"))).alias("logout_time"))
 
 
 def _agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
-                            by_unit: bool) -> DataFrame:
+                            by_unit: bool, logins: LastEvents | None) -> DataFrame:
     first, last = date_bounds(from_ts, to_ts)
     keys = ["summary_date", "tenant", "company"] + (["business_unit"] if by_unit else []) + ["param1"]
     day_keys = keys[:-1]
-    agg = window_rollup(daily.filter(c("summary_date").between(F.lit(first), F.lit(last))),
-                        keys, ALL_WINDOWS, weighted_avg_time=True)
+    agg = _shared(window_rollup(daily.filter(c("summary_date").between(F.lit(first), F.lit(last))),
+                                keys, ALL_WINDOWS, weighted_avg_time=True), by_unit)
     # day totals of connected calls count every agent row of the day, NULL agent included
     agg = group_totals(agg, day_keys, {"day_in_conn_n": c("in_conn_n"),
                                        "day_out_conn_n": c("out_conn_n")})
     rows = mask_null_keys(agg, keys, ALL_WINDOWS).filter(c("_driver_rows") > 0)
     status_keys = ["tenant_id", "company_id"] + (["business_unit"] if by_unit else []) + ["resource_id"]
     same_day = first_last_per_day(status, status_keys, first, last)
-    fallback = last_before(status, "Register", from_ts, name="fallback_at")
-    rows = attach_login(rows, same_day, fallback, unit=by_unit)
-    return _finish(rows, True, "business_unit" if by_unit else "'ALL'")
+    fallback = earlier_logins(status, from_ts, logins)
+    return _finish(attach_login(rows, same_day, fallback, unit=by_unit), rows, True,
+                   "business_unit" if by_unit else "'ALL'")
 
 
-def agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts) -> DataFrame:
+def agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts,
+                           logins: LastEvents | None = None) -> DataFrame:
     """R4: R3 for every tenant and company (``bu = 'ALL'``) plus dialed calls and logout.
 
     Window time averages are weighted (``sum(time) div sum(count)``); idle
@@ -330,12 +345,13 @@ def agent_productivity_all(daily: DataFrame, status: DataFrame, from_ts, to_ts)
     day's totals for the tenant and company; ``logout_time`` is the last
     UnRegister of the UTC day, else 18:29:59 UTC of the summary date.
     """
-    return _agent_productivity_all(daily, status, from_ts, to_ts, by_unit=False)
+    return _agent_productivity_all(daily, status, from_ts, to_ts, by_unit=False, logins=logins)
 
 
-def agent_productivity_bu(daily: DataFrame, status: DataFrame, from_ts, to_ts) -> DataFrame:
+def agent_productivity_bu(daily: DataFrame, status: DataFrame, from_ts, to_ts,
+                          logins: LastEvents | None = None) -> DataFrame:
     """R5: R4 with the business unit as part of every key (first login/logout per unit)."""
-    return _agent_productivity_all(daily, status, from_ts, to_ts, by_unit=True)
+    return _agent_productivity_all(daily, status, from_ts, to_ts, by_unit=True, logins=logins)
 
 
 __all__ = ["agent_productivity", "agent_productivity_all", "agent_productivity_bu"]

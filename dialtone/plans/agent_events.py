@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialtone.functions.fmt import format_hms
-from dialtone.functions.timefx import DEFAULT_TZ, ts_literal, utc_date
+from dialtone.functions.timefx import DEFAULT_TZ, utc_date
 from dialtone.operators import cdr as cdr_ops
-from dialtone.operators.sessions import BUCKET, last_before, span_totals
+from dialtone.operators.sessions import BUCKET, span_totals
+from dialtone.plans.agent_daily import earlier_logins
+from dialtone.sources.snapshots import LastEvents
 
 c = F.col
 
@@ -96,21 +98,20 @@ def _columns(by_unit: bool) -> tuple[list[str], list[str]]:
 
 def _agent_events(status: DataFrame, cdr: DataFrame, resources: DataFrame, acw: DataFrame,
                   breaks: DataFrame, from_ts, to_ts, tz: str, by_unit: bool,
-                  bucket: str) -> DataFrame:
+                  bucket: str, legs_by_uuid: DataFrame | None, logins: LastEvents | None) -> DataFrame:
     keys = ["day", "tenant_id", "company_id"] + (["business_unit"] if by_unit else [])
-    in_range = (c("created_at") >= ts_literal(from_ts)) & (c("created_at") <= ts_literal(to_ts))
-    main = (status.filter(in_range)
+    main = (cdr_ops.within(status, "created_at", from_ts, to_ts, inclusive_end=True)
             .groupBy(utc_date("created_at").alias("day"), *keys[1:], "resource_id")
             .agg(F.min(F.when(c("reason") == "Register", c("created_at"))).alias("first_at"),
                  F.max(F.when(c("reason") == "UnRegister", c("created_at"))).alias("last_at")))
     legs = cdr_ops.legs_per_agent(cdr, resources, from_ts, to_ts, tz, by_unit)
-    work = cdr_ops.acw_by_direction(acw, cdr, from_ts, to_ts)
-    brk = (breaks.filter((c("status_type") == "ResourceStatus") & (c("status") == "NotAvailable")
-                         & in_range)
+    work = cdr_ops.acw_by_direction(acw, cdr if legs_by_uuid is None else legs_by_uuid, from_ts, to_ts)
+    brk = (cdr_ops.within(breaks, "created_at", from_ts, to_ts, inclusive_end=True)
+           .filter((c("status_type") == "ResourceStatus") & (c("status") == "NotAvailable"))
            .groupBy("resource_id", utc_date("created_at").alias("day"))
            .agg(F.sum("duration").alias("break_secs")))
     spans = span_totals(status, from_ts, to_ts, bucket)
-    fallback = last_before(status, "Register", from_ts, name="fallback_at")
+    fallback = earlier_logins(status, from_ts, logins)
     j = (main.join(legs, on=keys + ["resource_id"], how="left")
          .join(work, on="resource_id", how="left")
          .join(brk, on=["resource_id", "day"], how="left")
@@ -122,12 +123,19 @@ def _agent_events(status: DataFrame, cdr: DataFrame, resources: DataFrame, acw:
 
 
 def agent_events_all(status, cdr, resources, acw, breaks, from_ts, to_ts,
-                     tz: str = DEFAULT_TZ, bucket: str = BUCKET) -> DataFrame:
-    """R6: per UTC day, tenant, company and agent (``bu = 'ALL'``), 34 columns."""
-    return _agent_events(status, cdr, resources, acw, breaks, from_ts, to_ts, tz, False, bucket)
+                     tz: str = DEFAULT_TZ, bucket: str = BUCKET, legs_by_uuid: DataFrame | None = None,
+                     logins: LastEvents | None = None) -> DataFrame:
+    """R6: per UTC day, tenant, company and agent (``bu = 'ALL'``), 34 columns.
+
+    After-call work meets legs of all time: ``legs_by_uuid``, the legs bucketed by
+    uuid (``sources.facts``), saves their shuffle. ``logins``, stored boundaries
+    of earlier logins, save reading the status rows before them.
+    """
+    return _agent_events(status, cdr, resources, acw, breaks, from_ts, to_ts, tz, False, bucket, legs_by_uuid, logins)
 
 
 def agent_events_bu(status, cdr, resources, acw, breaks, from_ts, to_ts,
-                    tz: str = DEFAULT_TZ, bucket: str = BUCKET) -> DataFrame:
+                    tz: str = DEFAULT_TZ, bucket: str = BUCKET, legs_by_uuid: DataFrame | None = None,
+                    logins: LastEvents | None = None) -> DataFrame:
     """R7: R6 with the business unit in the day key and the call-leg key."""
-    return _agent_events(status, cdr, resources, acw, breaks, from_ts, to_ts, tz, True, bucket)
+    return _agent_events(status, cdr, resources, acw, breaks, from_ts, to_ts, tz, True, bucket, legs_by_uuid, logins)

@@ -13,7 +13,6 @@ from dialtone.operators.index import ordered_index
 c = F.col
 
 
-
 def ratio_1dp(num: Column, den: Column) -> Column:
     """``round(num / den, 1)`` half away from zero, exact, for non-negative counts."""
     tenths = int_div(num.cast("bigint") * 20 + den, den.cast("bigint") * 2)
@@ -28,36 +27,36 @@ def call_metrics(cdr: DataFrame, from_ts, to_ts, tz: str = DEFAULT_TZ) -> DataFr
     out_ans = outbound & c("is_answered")
     in_agent_leg = inbound & c("is_answered") & (c("obj_type") == "HTTAPI")
     out_agent_leg = outbound & c("is_answered") & (c("obj_type") != "PRIVATE_USER")
-    legs = cdr.filter(ops.in_range("created_time", from_ts, to_ts, inclusive_end=True))
-    return (legs.groupBy(local_date("created_time", tz).alias("date"), c("tenant_id").alias("tenant"),
-                         c("company_id").alias("company"), c("business_unit").alias("bu"))
-            .agg(ops.count_where(inbound).alias("total_inbound"),
-                 ops.count_where(outbound).alias("total_outbound"),
-                 ops.count_where(c("is_queued")).alias("total_queued"),
-                 ops.count_where(c("is_queued") & ~c("agent_answered")).alias("total_queue_dropped"),
-                 ops.count_where(in_ans).alias("total_queue_answered"),
-                 ops.count_where(out_ans).alias("total_outbound_answered"),
-                 F.sum(F.when(in_ans, c("bill_sec")).otherwise(0)).alias("talk_in"),
-                 F.sum(F.when(in_ans, c("bill_sec"))).alias("talk_in_sum"),
-                 F.count(F.when(in_ans, c("bill_sec"))).alias("talk_in_n"),
-                 F.sum(F.when(in_ans, c("hold_sec")).otherwise(0)).alias("hold_in"),
-                 F.sum(F.when(out_ans, c("bill_sec")).otherwise(0)).alias("talk_out"),
-                 F.sum(F.when(out_ans, c("bill_sec"))).alias("talk_out_sum"),
-                 F.count(F.when(out_ans, c("bill_sec"))).alias("talk_out_n"),
-                 F.sum(F.when(out_ans, c("hold_sec")).otherwise(0)).alias("hold_out"),
-                 _distinct(F.when(in_agent_leg, c("received_by"))).alias("in_agents"),
-                 ops.count_where(in_agent_leg).alias("in_answers"),
-                 ops.count_where(out_agent_leg).alias("out_answers"),
-                 _distinct(F.when(out_agent_leg, c("sip_from_user"))).alias("out_agents")))
-
-
-def _distinct(value: Column) -> Column:
-    """Distinct agents of a group, as the size of a set.
-
-    Two ``count(DISTINCT ..)`` would emit every leg three times. The sets are
-    combined before the shuffle and hold a unit's agents of a day at most.
-    """
-    return F.size(F.collect_set(value)).cast("bigint")
+    legs = ops.within(cdr, "created_time", from_ts, to_ts, inclusive_end=True)
+    # A leg counts for one agent at most, as it has one direction. Sums are taken by agent first, then over
+    # the agents: every distinct agent is one row there, and a unit's busy day is spread over its agents.
+    keys = ["date", "tenant", "company", "bu"]
+    agent = F.when(in_agent_leg, c("received_by")).when(out_agent_leg, c("sip_from_user"))
+    by_agent = legs.groupBy(
+        local_date("created_time", tz).alias("date"), c("tenant_id").alias("tenant"), c("company_id").alias("company"),
+        c("business_unit").alias("bu"), agent.alias("agent")).agg(
+        ops.count_where(inbound).alias("total_inbound"),
+        ops.count_where(outbound).alias("total_outbound"),
+        ops.count_where(c("is_queued")).alias("total_queued"),
+        ops.count_where(c("is_queued") & ~c("agent_answered")).alias("total_queue_dropped"),
+        ops.count_where(in_ans).alias("total_queue_answered"),
+        ops.count_where(out_ans).alias("total_outbound_answered"),
+        F.sum(F.when(in_ans, c("bill_sec")).otherwise(0)).alias("talk_in"),
+        F.sum(F.when(in_ans, c("bill_sec"))).alias("talk_in_sum"),
+        F.count(F.when(in_ans, c("bill_sec"))).alias("talk_in_n"),
+        F.sum(F.when(in_ans, c("hold_sec")).otherwise(0)).alias("hold_in"),
+        F.sum(F.when(out_ans, c("bill_sec")).otherwise(0)).alias("talk_out"),
+        F.sum(F.when(out_ans, c("bill_sec"))).alias("talk_out_sum"),
+        F.count(F.when(out_ans, c("bill_sec"))).alias("talk_out_n"),
+        F.sum(F.when(out_ans, c("hold_sec")).otherwise(0)).alias("hold_out"),
+        ops.count_where(in_agent_leg).alias("in_answers"),
+        ops.count_where(out_agent_leg).alias("out_answers"))
+    measures = [x for x in by_agent.columns if x not in (*keys, "agent")]
+    named = c("agent").isNotNull()
+    return by_agent.groupBy(*keys).agg(
+        *[F.sum(x).alias(x) for x in measures],
+        F.count_if(named & (c("in_answers") > 0)).alias("in_agents"),
+        F.count_if(named & (c("out_answers") > 0)).alias("out_agents"))
 
 
 def staff_metrics(daily: DataFrame, from_ts, to_ts) -> DataFrame:
@@ -83,7 +82,7 @@ def call_performance(cdr: DataFrame, daily: DataFrame, from_ts, to_ts,
     Calls are taken from ``[from_ts, to_ts]`` and bucketed by local date;
     summaries by ``summary_date`` within the same range. A NULL unit never
     matches a staff row. ``id`` numbers the rows in (date, tenant, company,
-    unit) order. Averages round half away from zero; calls per agent is
+    unit) order, in which they are returned. Averages round half away from zero; calls per agent is
     NULL when no agent answered and has one decimal.
     """
     main = call_metrics(cdr, from_ts, to_ts, tz)
@@ -117,7 +116,4 @@ def call_performance(cdr: DataFrame, daily: DataFrame, from_ts, to_ts,
         (z("staff_time") - (z("acw_time") + z("talk_in") + z("talk_out") + z("break_time")
                             + z("hold_in") + z("hold_out"))).alias("total_idle_time"),
     )
-    order = [c("tenant").asc_nulls_last(), c("company").asc_nulls_last(), c("bu").asc_nulls_last()]
-    out = ordered_index(out, "date", order, "id")
-    cols = ["id"] + [x for x in out.columns if x != "id"]
-    return out.select(*cols).orderBy(c("date"), *order)
+    return ordered_index(out, ["date", "tenant", "company", "bu"], "id")

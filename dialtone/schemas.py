@@ -79,7 +79,28 @@ FOREIGN_KEYS = (
     ("contact_numbers", "campaign_id", "campaigns", "campaign_id", "set null"),
 )
 
-# stored agent productivity summary (fixed values: the column names and their order)
+# primary keys, which are never NULL and never repeat
+PRIMARY_KEYS = {
+    "business_units": "id", "user_groups": "id", "contact_numbers": "contact_number_id",
+    "attributes": "attribute_id", "attribute_groups": "attribute_group_id", "campaigns": "campaign_id",
+}
+
+# columns that tables got after their first files were written
+ADDED_COLUMNS = {
+    "cdr": _schema("queue_priority int"),
+    "contact_numbers": _schema("cam_schedule_id int"),
+    "campaign_configurations": _schema("number_loading_method string, duplicate_num_timeout int"),
+}
+
+# the last event of an agent before a day boundary (sources.snapshots)
+LAST_EVENTS = _schema(
+    "resource_id int, tenant_id int, company_id int, business_unit string, last_at timestamp_ntz, as_of date")
+
+# live dashboard counters (streaming.counters)
+COUNTERS = _schema("day date, window_name string, total_count bigint, current_count bigint")
+
+# stored agent productivity summary (fixed values: the column names and their order). The original stores averages
+# as numeric and the login time with a zone; here averages are doubles of 4 decimals and times are UTC wall-clock
 AGENT_SUMMARY = _schema(
     "summary_date date, tenant int, company int, bu string, agent int, login_max_time int, "
     "login_total_count bigint, login_total_time string, login_time timestamp_ntz, inbound_max_time int, "

@@ -146,6 +146,16 @@ def fixture(spark: SparkSession, sf_dir: str, name: str,
     return conform(df, schemas.ALL[name])
 
 
+def dialer_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of ``counter_events`` derived from parquet files of ``events`` that arrive under ``path``."""
+    reader = spark.readStream.schema(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    text = FIXTURE_SQL["counter_events"].replace("from events", "from {events}")
+    return conform(spark.sql(text, events=reader.load(path)), schemas.COUNTER_EVENTS)
+
+
 @dataclass
 class Tables:
     """The call-centre tables of one data directory, as lazy DataFrames.

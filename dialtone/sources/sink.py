@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialtone import schemas
+from dialtone.sources.days import DayTable
 
 
 def summary_rows(report: DataFrame, bu: str | None = None) -> DataFrame:
@@ -22,30 +23,20 @@ def summary_rows(report: DataFrame, bu: str | None = None) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.AGENT_SUMMARY])
 
 
-def write_agent_summary(report: DataFrame, path: str, first: dt.date, last: dt.date, bu: str | None = None) -> None:
-    """Replace the dates ``first`` .. ``last`` of the summary table by the report's rows.
+def agent_summary(spark: SparkSession, path: str) -> DayTable:
+    """The summary table, stored by ``summary_date``."""
+    return DayTable(spark, path, schemas.AGENT_SUMMARY, "summary_date")
 
-    Partitioned by ``summary_date`` with dynamic partition overwrite, which
-    replaces the dates that have rows; dates of the range that no longer have
-    any are removed after that, so a rerun leaves what one run would. Other dates
-    stay. Rows are rebalanced by date: small dates share a task, and Spark
-    splits a large date over several.
+
+def write_agent_summary(report: DataFrame, path: str, first: dt.date, last: dt.date, bu: str | None = None) -> list[dt.date]:
+    """Replace the dates ``first`` .. ``last`` of the summary table by the report's rows, all at once.
+
+    The report runs once. Readers see the old range until all rows are written;
+    a run that fails leaves it, and is simply repeated. Returns the dates that have rows.
     """
-    spark = report.sparkSession
-    rows = summary_rows(report, bu).filter(F.col("summary_date").between(F.lit(first), F.lit(last)))
-    (rows.hint("rebalance", "summary_date").write
-     .option("partitionOverwriteMode", "dynamic")
-     .mode("overwrite").partitionBy("summary_date").parquet(path))
-    kept = {r["summary_date"] for r in rows.select("summary_date").distinct().collect()}  # days of the range
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for n in range((last - first).days + 1):
-        day = first + dt.timedelta(days=n)
-        folder = fs_path(f"{path}/summary_date={day}")
-        if day not in kept and fs.exists(folder):
-            fs.delete(folder, True)
-
-
-def read_agent_summary(spark, path: str) -> DataFrame:
-    """The summary table with its declared schema."""
-    return spark.read.schema(schemas.AGENT_SUMMARY).parquet(path).select(*schemas.AGENT_SUMMARY.fieldNames())
+    return agent_summary(report.sparkSession, path).replace(summary_rows(report, bu), first, last)
+
+
+def read_agent_summary(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """The summary table with its declared schema, or a range of its dates."""
+    return agent_summary(spark, path).read(first, last)

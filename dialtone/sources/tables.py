@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dialtone import schemas
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -38,6 +40,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def with_added_columns(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the columns that ``table`` got later, as typed NULLs where it lacks them."""
+    added = schemas.ADDED_COLUMNS[table]
+    kept = [f for f in df.schema.fields if f.name not in added.fieldNames()]
+    return conform(df, T.StructType([*kept, *added.fields]))
+
+
 def read_evolving(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Read files written under older and newer versions of one table.
 

@@ -1,43 +1,34 @@
 """Live dashboard counters with Structured Streaming.
 
-Dialer events arrive as files (or any streaming source with the
-``counter_events`` columns). Each event is matched to its counter rule in a
-stream-static join and added to its window's counters per UTC day. Counters
-are emitted in update mode, so the current day shows as it grows; the
-watermark bounds the state, a day's counters being final once events are
-more than ``lateness`` past it.
-
-Every batch writes the counters that changed to a folder of its own, named by
-the batch, and replaces it when the batch is run again: a restart from the same
-checkpoint adds nothing twice. Readers take the latest batch of each counter.
+Dialer events come from any streaming source with the ``counter_events``
+columns. Each event is matched to its counter rule in a stream-static join and
+added to its window's counters per UTC day. Counters are emitted in update mode,
+so the current day shows as it grows; the watermark bounds the state, a day's
+counters being final once events are more than ``lateness`` past it.
+
+The counters are kept in a table stored by day (``sources.days``). Every batch
+merges the counters that changed into their days and commits these days at once,
+with its number and the stream's identity:
+
+* a batch that runs again is known by its number and changes nothing;
+* a stream with a new checkpoint counts from its source's beginning. It has an
+  identity of its own, whatever its batch numbers are; its counters replace the
+  older ones as they come, and a stream that has been replaced can't write any more;
+* replaced folders are deleted every ``clean_every`` batches.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dialtone import schemas
 from dialtone.operators.counters import counter_deltas, published
-from dialtone.sources import dims
-
-# SQL deriving dialer events from the generic event table (same text as the batch fixture)
-_DERIVE = """
-select event_id, ts, 'DIALER' as event_class, 'CAMPAIGN' as event_type,
-  case event_type when 'view' then 'DIALING' when 'click' then 'DISCONNECTING' when 'signup' then 'CONNECTED' when 'error' then 'DISCONNECTED'
-    else case when event_id % 2 = 0 then 'NUMBERADDED' else 'REJECTED' end end as event_category from {events}"""
-
-
-def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of dialer events derived from parquet ``events`` files under ``path``."""
-    raw_schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    reader = spark.readStream.schema(raw_schema).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(path)
-    return spark.sql(_DERIVE, events=raw).select(*[F.col(f.name).cast(f.dataType) for f in
-                                                   schemas.COUNTER_EVENTS.fields])
+from dialtone.sources import dims, files
+from dialtone.sources.days import DayTable
 
 
 def live_counters(events: DataFrame, rules: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -57,30 +48,67 @@ def live_counters(events: DataFrame, rules: DataFrame, lateness: str = "1 hour")
                       "current_count")
 
 
-def start_counters(spark: SparkSession, source_path: str, sink_path: str, checkpoint_location: str,
-                   available_now: bool = True, lateness: str = "1 hour") -> StreamingQuery:
-    """Keep the counters under ``sink_path`` up to date with the events under ``source_path``.
+def counter_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, schemas.COUNTERS, "day")
+
+
+def stream_identity(spark: SparkSession, checkpoint_location: str) -> str:
+    """The identity of the stream that this checkpoint belongs to, made when it is first asked for."""
+    marker = f"{checkpoint_location}/counters-identity"
+    if not files.matches(spark, marker):
+        files.create_text(spark, marker, uuid4().hex)
+    return files.read_text(spark, marker)
+
+
+def merge_counters(table: DayTable, changed: DataFrame, stream: str, batch: int) -> bool:
+    """Put the changed counters in the place of older ones; False if this batch was merged before.
+
+    ``changed`` has a row for each day and window at most. Days that it doesn't
+    name aren't read or written.
+    """
+    note = table.note()
+    streams = note.get("streams", [])
+    if stream in streams[:-1]:
+        raise RuntimeError("a stream with a newer checkpoint keeps these counters")
+    if streams[-1:] == [stream] and batch <= note["batch"]:
+        return False
+    days = sorted(r["day"] for r in changed.select("day").distinct().collect())  # days of one batch
+    note = {"streams": streams if streams[-1:] == [stream] else [*streams, stream], "batch": batch}
+    if days:
+        kept = table.read_days(days).join(changed.select("day", "window_name"), ["day", "window_name"], "left_anti")
+        table.replace_days(kept.unionByName(changed.select(*kept.columns)), days, note)
+    return True
+
+
+def start_counters(events: DataFrame, path: str, checkpoint_location: str, available_now: bool = True,
+                   lateness: str = "1 hour", clean_every: int = 50) -> StreamingQuery:
+    """Keep the counter table at ``path`` up to date with the stream ``events``.
 
     ``checkpoint_location`` is this stream's own folder in a store that every
     driver that may run it can reach; a restart goes on from there.
     """
-    out = live_counters(event_stream(spark, source_path), dims.counter_rules(spark), lateness)
+    spark = events.sparkSession
+    out = live_counters(events, dims.counter_rules(spark), lateness)
+    table, stream = counter_table(spark, path), stream_identity(spark, checkpoint_location)
 
     def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{sink_path}/batch={batch}")
+        changed = changed.persist()
+        try:
+            if merge_counters(table, changed, stream, batch) and batch % clean_every == clean_every - 1:
+                table.clean()
+        finally:
+            changed.unpersist()
 
     writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint_location).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
 
-def current_counters(spark: SparkSession, sink_path: str) -> DataFrame:
-    """Per day and window the counters of the latest batch that changed them."""
-    value = F.struct("total_count", "current_count")
-    return (spark.read.parquet(sink_path).groupBy("day", "window_name")
-            .agg(F.max_by(value, F.col("batch")).alias("v")).select("day", "window_name", "v.*"))
+def current_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The counters of each day and window."""
+    return counter_table(spark, path).read()
 
 
-def dashboard(spark: SparkSession, sink_path: str) -> DataFrame:
+def dashboard(spark: SparkSession, path: str) -> DataFrame:
     """The values that each window publishes, per day: (day, window_name, event_name, value)."""
-    return published(current_counters(spark, sink_path), dims.publish_meta(spark), ["day"])
+    return published(current_counters(spark, path), dims.publish_meta(spark), ["day"])

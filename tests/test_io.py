@@ -1,3 +1,4 @@
+import glob
 import os
 
 from pyspark.sql import functions as F
@@ -43,7 +44,22 @@ def test_summary_sink_replaces_its_range_only(spark, tmp_path):
     write_agent_summary(report.filter(F.col("summary_date") != dates[1]), path, dates[0], dates[1], bu="ALL")
     again = read_agent_summary(spark, path)
     assert _days(again) == [d for d in dates if d != dates[1]]
-    assert os.path.isdir(os.path.join(path, f"summary_date={dates[-1]}"))
+    assert _days(read_agent_summary(spark, path, dates[2], dates[3])) == dates[2:4]
+
+
+def test_summary_sink_runs_the_report_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        runs.add(1)
+        return rows
+
+    report = queries()["agent_productivity"](spark, SMOKE_DIR)
+    rows = spark.createDataFrame(report.collect()[:4], report.schema).coalesce(1)
+    once = rows.mapInArrow(lambda batches: counted(batches), rows.schema)
+    first, last = min(_days(rows)), max(_days(rows))
+    written = write_agent_summary(once, str(tmp_path / "once"), first, last, bu="ALL")
+    assert written == _days(rows) and runs.value == 1
 
 
 def test_large_date_has_several_writers(spark, tmp_path):
@@ -58,5 +74,5 @@ def test_large_date_has_several_writers(spark, tmp_path):
         write_agent_summary(rows, path, day, day, bu="ALL")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = [f for f in os.listdir(os.path.join(path, f"summary_date={day}")) if f.endswith(".parquet")]
+    files = [f for f in glob.glob(os.path.join(path, "data", f"summary_date={day}", "write=*", "*.parquet"))]
     assert len(files) > 1 and read_agent_summary(spark, path).count() == 4000

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dialtone.operators.sessions import lead_in_time, running_count, span_totals, spans
+from dialtone.operators.sessions import last_before, lead_in_time, running_count, span_totals, spans
 from helpers import status, status_row
 
 BASE = dt.datetime(2024, 1, 5)
@@ -19,6 +19,37 @@ def _random_events(spark, n=400, agents=4, seed=7):
     return status(spark, rows)
 
 
+def _skewed_events(spark, n=2500, seed=3):
+    """A hot agent owns most events, many at one instant; other agents, one of them NULL, are spread over days."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        hot = rnd.random() < 0.7
+        seconds = rnd.randrange(0, 5400) if hot else rnd.randrange(0, 20 * 86400)
+        at = BASE + dt.timedelta(seconds=seconds // 60 * 60 if rnd.random() < 0.3 else seconds)
+        rows.append(status_row(7 if hot else rnd.choice([None, 1, 2]), at, f"r{rnd.randrange(10 ** 6)}"))
+    return status(spark, rows)
+
+
+def test_two_level_operators_with_a_hot_agent_and_ties(spark):
+    ev = _skewed_events(spark)
+    w = Window.partitionBy("resource_id").orderBy("created_at", "reason")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    keys = ["resource_id", "created_at", "reason"]
+    for bucket in ("1 minute", "1 hour", "1 day"):
+        want = ev.select(*keys, F.lead("created_at").over(w).alias("next_at"), F.lead("reason").over(w).alias("next_reason"))
+        got = lead_in_time(ev, ["resource_id"], bucket=bucket).select(*keys, "next_at", "next_reason")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        want = ev.select(*keys, F.count(F.lit(1)).over(upto).alias("n"))
+        got = running_count(ev, ["resource_id"], F.lit(True), "n", bucket=bucket).select(*keys, "n")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_last_before_has_no_row_for_a_null_agent(spark):
+    ev = status(spark, [status_row(None, BASE, "Register"), status_row(1, BASE, "Register"), status_row(1, BASE + dt.timedelta(1), "Register")])
+    assert [tuple(r) for r in last_before(ev, "Register", BASE + dt.timedelta(1)).collect()] == [(1, BASE)]
+
+
 def test_two_level_lead_equals_window_lead(spark):
     ev = _random_events(spark)
     w = Window.partitionBy("resource_id").orderBy("created_at", "reason")
