@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,30 +24,68 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/corpus/{name}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage there.
 
     A lost executor then costs only the tasks that were running on it, and a
-    table that is used twice is computed once.
+    table that is used twice is computed once. Inside :func:`scratch` the table goes when that ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    # shuffle files of plans that nothing refers to any more go when the driver's JVM collects these
+    spark._jvm.System.gc()
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def remove(df: DataFrame) -> None:
     """Delete the files under a table made by :func:`stored` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    root = shared_folder(spark)
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        if "/corpus/" not in folder:
-            raise ValueError(f"{folder} is not an intermediate table under {root}")
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.stored_at)
+    for scope in _SCOPES:
+        if df.stored_at in scope:
+            scope.remove(df.stored_at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope whose :func:`stored` tables are deleted at its end, but for those given to the function it yields.
+
+    These belong to the scope around it, if there is one. What a result still
+    reads must be kept; the shuffles of the others are left to Spark's cleaner.
+    """
+    made: list[str] = []
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.stored_at)
+        return df
+
+    _SCOPES.append(made)
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _SCOPES.pop()
+        for path in made:
+            if path not in kept:
+                _delete(spark, path)
+        if _SCOPES:
+            _SCOPES[-1].extend(kept)
 
 
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
@@ -65,7 +104,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     and small-star steps, each an aggregation (combined before the shuffle) and
     an equi-join, until the edges are stars around the smallest id. Every round
     is written to the shared folder; nothing is collected but a count and a
-    checksum of each round. Returns (node, component).
+    checksum of each round. Returns (node, component), which reads the last round's table.
     """
     links = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m"))
@@ -91,7 +130,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = links.select(F.col("m").alias("node"), F.col("m").alias("component")).distinct()
-    return links.select(F.col("v").alias("node"), F.col("m").alias("component")).unionByName(roots)
+    out = links.select(F.col("v").alias("node"), F.col("m").alias("component")).unionByName(roots)
+    out.stored_at = links.stored_at
+    return out
 
 
 def _fingerprint(links: DataFrame) -> tuple:

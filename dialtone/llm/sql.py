@@ -35,35 +35,42 @@ select conv_id, count(*)::bigint as n_turns,
 from sized group by conv_id
 """
 
-# The masks are written out: words 0 1 2 4 7 9 10 11 and 0 1 3 5 6 8 9 11 of twelve.
+# The masks are written out: words 0 2 3 5 8 9, words 0 1 2 5 7 9 and words 0 2 6 7 8 9 of ten. Every stretch
+# around a hit, of up to ten words more on either side, is tried.
 OP3 = r"""
 with d as (
   select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where doc_id is not null
 ), b as (
   select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark where item_id is not null
 ), dw as (
-  select doc_id, w, unnest(range(1, len(w) - 10)) as p from d where len(w) >= 12
+  select doc_id, w, unnest(range(1, len(w) - 8)) as p from d where len(w) >= 10
 ), bw as (
-  select item_id, w, unnest(range(1, len(w) - 10)) as p from b where len(w) >= 12
+  select item_id, w, unnest(range(1, len(w) - 8)) as p from b where len(w) >= 10
 ), ds as (
-  select doc_id, w, p, 1 as mask, [w[p], w[p+1], w[p+2], w[p+4], w[p+7], w[p+9], w[p+10], w[p+11]] as seed from dw
-  union all
-  select doc_id, w, p, 2, [w[p], w[p+1], w[p+3], w[p+5], w[p+6], w[p+8], w[p+9], w[p+11]] from dw
+  select doc_id, p, 1 as mask, [w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]] as seed from dw
+  union all select doc_id, p, 2, [w[p], w[p+1], w[p+2], w[p+5], w[p+7], w[p+9]] from dw
+  union all select doc_id, p, 3, [w[p], w[p+2], w[p+6], w[p+7], w[p+8], w[p+9]] from dw
 ), bs as (
-  select item_id, w, p, 1 as mask, [w[p], w[p+1], w[p+2], w[p+4], w[p+7], w[p+9], w[p+10], w[p+11]] as seed from bw
-  union all
-  select item_id, w, p, 2, [w[p], w[p+1], w[p+3], w[p+5], w[p+6], w[p+8], w[p+9], w[p+11]] from bw
+  select item_id, p, 1 as mask, [w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]] as seed from bw
+  union all select item_id, p, 2, [w[p], w[p+1], w[p+2], w[p+5], w[p+7], w[p+9]] from bw
+  union all select item_id, p, 3, [w[p], w[p+2], w[p+6], w[p+7], w[p+8], w[p+9]] from bw
 ), hit as (
-  select distinct ds.doc_id, bs.item_id, ds.p, bs.p as q, ds.w as dw, bs.w as bw,
-    greatest(-4, 1 - ds.p, 1 - bs.p) as lo, least(16, len(ds.w) - ds.p + 1, len(bs.w) - bs.p + 1) as hi
-  from ds join bs on ds.mask = bs.mask and ds.seed = bs.seed
-), seen as (
-  select doc_id, item_id, p, q, hi - lo as looked,
-    len(list_filter(range(lo, hi), lambda k: dw[p + k] = bw[q + k])) as agree
-  from hit
+  select distinct ds.doc_id, bs.item_id, ds.p, bs.p as q from ds join bs on ds.mask = bs.mask and ds.seed = bs.seed
+), words as (
+  select hit.doc_id, hit.item_id, hit.p, hit.q, unnest(range(p - 10, p + 20)) as spot, d.w as dw, b.w as bw
+  from hit join d using (doc_id) join b using (item_id)
+), flag as (
+  select doc_id, item_id, p, q, spot - p as k, coalesce(dw[spot] = bw[spot - p + q], false)::int as same
+  from words where spot between 1 and len(dw) and spot - p + q between 1 and len(bw)
+), upto as (
+  select *, sum(same) over (partition by doc_id, item_id, p, q order by k) as n from flag
+), best as (
+  select x.doc_id, x.item_id, x.p, x.q, max(y.n - x.n + x.same) as agree
+  from upto x join upto y using (doc_id, item_id, p, q)
+  where x.k <= 0 and y.k >= 9 and y.n - x.n + x.same >= 12 and 100 * (y.n - x.n + x.same) >= 75 * (y.k - x.k + 1)
+  group by all
 )
-select doc_id, item_id, count(distinct (p, q)) as n_hits, max(agree)::bigint as most_agree
-from seen where agree >= 12 and 100 * agree >= 75 * looked group by doc_id, item_id
+select doc_id, item_id, count(*) as n_hits, max(agree)::bigint as most_agree from best group by doc_id, item_id
 """
 
 def _filled(nodes: str, parents: str) -> str:

@@ -30,12 +30,63 @@ def test_exact_and_substituted_passages(spark):
     assert found(D.find_overlaps(docs, items)) == {(1, 0), (2, 0), (6, 0), (7, 0)}
 
 
-def test_shuffled_path_equals_broadcast_path(spark, sf_dir):
+def test_joins_of_either_kind_give_the_same(spark, sf_dir):
     docs, items = frames(spark, *case(2))
-    rows = lambda **o: sorted(map(tuple, D.find_overlaps(docs, items, **o).collect()))
-    assert rows() == rows(max_broadcast_seeds=0)
-    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    assert rows() == rows(max_broadcast_seeds=0) != []
+    key, rows = "spark.sql.autoBroadcastJoinThreshold", lambda: sorted(map(tuple, D.find_overlaps(docs, items).collect()))
+    before = spark.conf.get(key)
+    want = rows()
+    spark.conf.set(key, "-1")
+    try:
+        assert rows() == want != []
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_any_twelve_words_of_an_item_are_found(spark):
+    r = random.Random(3)
+    items = {k: [f"i{k}x{j}" for j in range(30)] for k in range(8)}
+    docs, want = [], set()
+    for n in (12, 13, 14):
+        for k, item in items.items():
+            at = r.randrange(1, 30 - n)
+            docs.append((100 * n + k, " ".join([f"n{r.randrange(999)}" for _ in range(40)] + item[at:at + n] + ["end"] * 3), "x", "y"))
+            want.add((100 * n + k, k))
+            docs.append((100 * n + 50 + k, " ".join(["start"] * 20 + item[at:at + 11] + [f"n{r.randrange(999)}" for _ in range(20)]), "x", "y"))
+    got = found(D.find_overlaps(*frames(spark, docs, [(k, " ".join(w)) for k, w in items.items()])))
+    assert got == want  # eleven words are too few
+
+
+def brute(text, item, flank=10, span=10):
+    """Whether any stretch of an alignment has 12 words that agree, at least 75 of a hundred, around any window of it."""
+    for shift in range(-len(item) + 12, len(text) - 11):
+        flags = [0 <= k + shift < len(text) and text[k + shift] == w for k, w in enumerate(item)]
+        inside = [0 <= k + shift < len(text) for k in range(len(item))]
+        for a in range(len(item)):
+            for b in range(a + 12, min(len(item), a + span + 2 * flank) + 1):
+                if inside[a] and inside[b - 1] and sum(flags[a:b]) >= 12 and 100 * sum(flags[a:b]) >= 75 * (b - a):
+                    return True
+    return False
+
+
+def test_recall_of_substituted_items(spark):
+    r = random.Random(6)
+    docs, items, cases = [], [], {}
+    for n, subs in ((15, 2), (15, 3), (18, 3), (18, 4), (20, 4), (25, 6)):
+        for k in range(60):
+            key = len(items)
+            item = [f"w{r.randrange(5000)}" for _ in range(n)]
+            items.append((key, " ".join(item)))
+            changed = list(item)
+            for at in r.sample(range(n), subs):
+                changed[at] = "changed"
+            words = [f"n{r.randrange(999)}" for _ in range(15)] + changed + [f"n{r.randrange(999)}" for _ in range(15)]
+            docs.append((key, " ".join(words), "x", "y"))
+            if brute(words, item):
+                cases.setdefault((n, subs), []).append(key)
+    got = {d for d, i in found(D.find_overlaps(*frames(spark, docs, items))) if d == i}
+    assert got <= {k for v in cases.values() for k in v}
+    for case_, keys in cases.items():
+        assert len(got & set(keys)) >= 0.93 * len(keys), (case_, len(got & set(keys)), len(keys))
 
 
 def test_odd_rows(spark):
