@@ -18,7 +18,8 @@ get other leaders in the next of ``rounds``. Those that hold several after the
 last round, and more lines than leaders have met, are cut into tiles, and for every pair of tiles all lines of
 different components are verified, so that every pair of a bucket is decided.
 This last work grows with the square of such a bucket; its join returns links
-alone, and none of its lines is dropped or capped.
+alone, and none of its lines is dropped or capped. Intermediate tables go as
+soon as nothing reads them.
 
 Defined cases: blank lines always stay; null and empty texts have no lines to
 drop; lines with fewer characters than a shingle are one shingle; documents
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtone.llm.common import connected_components, stored
+from dialtone.llm.common import connected_components, remove, scratch, stored
 
 SHINGLE = 6
 BANDS, ROWS = 6, 4
@@ -175,12 +176,9 @@ def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, bands: int = BANDS,
-                    rows: int = ROWS, all_below: int | None = None, rounds: int = 2, id_col: str = "doc_id",
+                    rows: int = ROWS, rounds: int = 2, id_col: str = "doc_id",
                     text_col: str = "text", tile: int = TILE) -> DataFrame:
-    """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one.
-
-    ``all_below`` is accepted from older callers and changes nothing: no line is sampled.
-    """
+    """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one."""
     lines = stored(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows)
                    .withColumn("line_id", F.monotonically_increasing_id()), "lines")
     placed = lines.select("line_id", F.posexplode("bands").alias("band", "bucket"))
@@ -213,16 +211,22 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
                                "b", "left").where("component <> coalesce(other, b)")
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         links = stored(_jaccard_links(pairs, texts, shingle, percent), "line-links")
-        if component is None:
-            component = stored(connected_components(links).select(
-                F.col("node").alias("line_id"), "component"), "line-components")
-        else:
-            component = stored(_joined(component, links), "line-components")
+        with scratch(docs.sparkSession) as keep:
+            joined = (connected_components(links).select(F.col("node").alias("line_id"), "component") if component is None
+                      else _joined(component, links))
+            joined = keep(stored(joined, "line-components"))
+        if component is not None:
+            remove(component)
+        remove(links)
+        component = joined
     if component is None:
         component = lines.select("line_id", F.col("line_id").alias("component")).where("false")
-    rest = stored(_split(crowded, component, min(rounds, 2)), "line-rest")
-    links = stored(_tile_links(rest, texts, shingle, percent, tile), "line-links")
-    component = stored(_joined(component, links), "line-components")
+    with scratch(docs.sparkSession) as keep:
+        rest = stored(_split(crowded, component, min(rounds, 2)), "line-rest")
+        links = stored(_tile_links(rest, texts, shingle, percent, tile), "line-links")
+        component = keep(stored(_joined(component, links), "line-components"))
+    remove(texts)
+    remove(crowded)
 
     known = (lines.select("h1", "h2", "doc", "n", "line_id").join(component, "line_id", "left")
              .where("component is not null or n > 1")
@@ -233,7 +237,8 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, dropped): the numbers, from 0 and rising, of the lines that go, of documents that lose any."""
-    again = stored(line_components(docs, id_col=id_col, text_col=text_col, **options), "line-decisions")
+    with scratch(docs.sparkSession) as keep:
+        again = keep(stored(line_components(docs, id_col=id_col, text_col=text_col, **options), "line-decisions"))
     seen = _lines(docs, id_col, text_col).select("doc", "at", "h1", "h2").join(again, ["h1", "h2"])
     per = (seen.groupBy("doc", "component", "keeper")
            .agg(F.sort_array(F.collect_set("at")).alias("places"))
@@ -245,8 +250,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the lines that stay; documents that lose their last line go."""
-    gone = stored(dropped_lines(docs, id_col, text_col, **options)
-                  .select(F.col(id_col).alias("__lines_id"), F.col("dropped").alias("__lines_gone")), "lines-dropped")
+    with scratch(docs.sparkSession) as keep:
+        gone = keep(stored(dropped_lines(docs, id_col, text_col, **options).select(
+            F.col(id_col).alias("__lines_id"), F.col("dropped").alias("__lines_gone")), "lines-dropped"))
     both = docs.join(gone, F.col(id_col) == F.col("__lines_id"), "left")
     kept = F.filter(F.split(F.col(text_col), "\n", -1),
                     lambda x, i: ~F.array_contains("__lines_gone", i))

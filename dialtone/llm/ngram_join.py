@@ -31,7 +31,7 @@ result. Texts are read whole. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtone.llm.bytescan import SPACE, mix, utf8, word_hashes
-from dialtone.llm.common import connected_components, pieces, stored
+from dialtone.llm.common import connected_components, pieces, remove, scratch, stored
 
 TILE = 512
 EDGE = 64  # longest edge of a tree, so that long tails can be left early
@@ -362,6 +362,12 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 75, tile: int = TI
 
     ``n_links`` counts the other documents linked directly.
     """
+    with scratch(docs.sparkSession) as keep:
+        return _ngram_join(docs, size, percent, tile, id_col, text_col, keep)
+
+
+def _ngram_join(docs: DataFrame, size: int, percent: int, tile: int, id_col: str, text_col: str,
+                keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     texts = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = dict(texts.dtypes)["id"]
@@ -374,10 +380,10 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 75, tile: int = TI
                  pa.array([d[0] for d in digests], type=pa.int64()),
                  pa.array([d[1] for d in digests], type=pa.int64())], names=["id", "n", "d1", "d2"])
 
-    described = stored(
+    described = keep(stored(
         texts.mapInArrow(describe, f"id {kind}, n bigint, d1 bigint, d2 bigint")
         .groupBy("id").agg(F.min(F.struct("d1", "d2", "n")).alias("one"))
-        .select("id", "one.n", "one.d1", "one.d2"), "ngram-sets")
+        .select("id", "one.n", "one.d1", "one.d2"), "ngram-sets"))
     classes = (described.where("n > 0").groupBy("d1", "d2")
                .agg(F.min("id").alias("cls"), F.count("*").alias("copies"), F.min("n").alias("n")))
 
@@ -417,13 +423,15 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 75, tile: int = TI
         # the shingles of one class only are the rarest, so they come first
         .withColumn("open", (beginning - (F.col("n") - F.size("ranked"))).cast("int")).where("open > 0"),
         "ngram-ranked")
+    remove(sets)
     first = ranked.select("cls", F.explode(F.slice("ranked", F.lit(1), F.col("open"))).alias("x")).select(
         "cls", F.col("x.shingle").alias("shingle"))
     lowest = first.groupBy("shingle").agg(F.min("cls").alias("low"), F.count("*").alias("n")).where("n > 1")
     near = first.join(lowest, "shingle").where("cls <> low").select(
         F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
-    blocks = stored(connected_components(near).select(F.col("node").alias("cls"), F.col("component").alias("block")),
-                    "ngram-blocks")
+    with scratch(docs.sparkSession) as keep_blocks:
+        blocks = keep_blocks(stored(connected_components(near).select(
+            F.col("node").alias("cls"), F.col("component").alias("block")), "ngram-blocks"))
 
     # step 4
     tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
@@ -434,10 +442,11 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 75, tile: int = TI
     keys = ["block", "a", "b"]
     groups = (placed.join(ranked.select("cls", "n", "copies", "ranked"), "cls")
               .select(*keys, "own", "cls", "n", "copies", "ranked").repartition(*keys).sortWithinPartitions(*keys, "cls"))
-    found = stored(groups.mapInArrow(_join_tiles(percent), f"cls {kind}, links bigint, root {kind}"), "ngram-links")
+    found = keep(stored(groups.mapInArrow(_join_tiles(percent), f"cls {kind}, links bigint, root {kind}"), "ngram-links"))
 
     # step 5
-    component = connected_components(found.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
+    component = keep(connected_components(
+        found.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b"))))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     member = described.join(classes.select("d1", "d2", "cls", "copies"), ["d1", "d2"], "left")
     return (member.join(links, "cls", "left").join(component.withColumnRenamed("node", "cls"), "cls", "left")

@@ -61,7 +61,7 @@ def test_exact_and_fuzzy_lines(spark):
         rows.append((doc, "\n".join([own, "".join(line), "", "  " + own + "\t", r.choice(base)])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     # enough bands that no pair is missed
-    assert answer(L.dropped_lines(df, bands=24, all_below=1000)) == brute(rows)
+    assert answer(L.dropped_lines(df, bands=24)) == brute(rows)
 
 
 def test_table_against_all_pairs(spark, sf_dir):
@@ -127,3 +127,17 @@ def test_every_pair_of_crowded_buckets(spark):
 def test_main_path_is_native(spark, sf_dir):
     plan = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_intermediate_tables_go(spark, sf_dir):
+    import os
+
+    from dialtone.session import shared_folder
+    folder = f"{shared_folder(spark)}/corpus"
+    left = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = left()
+    gone = L.dropped_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert {x.rsplit("-", 1)[0] for x in left() - before} == {"line-decisions"} and gone.count() > 0
+    before = left()
+    kept = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert {x.rsplit("-", 1)[0] for x in left() - before} == {"lines-dropped"} and kept.count() > 0
