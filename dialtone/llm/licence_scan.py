@@ -3,13 +3,17 @@
 Texts stream through the automaton, which gives, for every word, the longest
 stretch ending there that occurs in a template (the matching statistics). Long
 maximal matches are chained, per template, along rising text and template
-positions; the template's words that a chain covers are its coverage.
+positions; the template's words that a chain covers are its coverage. Every chain
+that covers enough is reported, several of a template where they don't overlap,
+and a match counts at all its places in a template. Matches have ``min_words``
+words at least: a template in which every fourth word is changed has none.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 
 Defined cases: a null or empty text has no words, no places and score 0; a
-null id is returned as it is; repeated rows are scanned each. Texts are
-scanned whole; a chain may span any part of a text.
+null id is returned as it is; repeated rows are scanned each; an empty table gives
+an empty result. Texts are scanned whole; a chain may span any part of a text.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,21 +40,22 @@ def words_of(text: str) -> list[str]:
 
 
 class SuffixAutomaton:
-    """All substrings of several word sequences, with where each ends in each sequence first."""
+    """All substrings of several word sequences, with all places where each ends in each sequence."""
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[dict[int, list[int]]] = [{}]
         for k, sequence in enumerate(sequences):
             last = 0
             for at, word in enumerate(sequence):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(k, at)
+                self.ends[last].setdefault(k, []).append(at)
         for s in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
-            up = self.ends[self.link[s]]
-            for k, at in self.ends[s].items():
-                up[k] = min(at, up.get(k, at))
+            if self.link[s]:  # the empty stretch ends everywhere
+                up = self.ends[self.link[s]]
+                for k, places in self.ends[s].items():
+                    up[k] = sorted({*places, *up.get(k, ())})
 
     def _state(self, length: int, link: int, moves: dict[int, int]) -> int:
         self.next.append(moves)
@@ -130,33 +135,55 @@ class Index:
         return np.where(self.hashes[at] == hashes, self.numbers[at], -1)
 
 
-def chain(index: Index, found: list[tuple[int, int, int]], gap: int) -> list[tuple]:
-    """(template, start, end, covered words) of the best chain of each template.
+def _best_chain(segments: list[tuple], gap: int) -> tuple[int, int, int]:
+    """(covered words, start, end) of the best chain of ``segments``, which come by rising end in the text.
 
-    Matches follow each other when they rise in the text and in the template
-    and neither gap is beyond ``gap`` words; overlaps count once.
+    A segment is (start, end) in the text and in the template. Segments follow
+    each other when starts and ends rise in both and neither gap is beyond ``gap``
+    words; overlaps in the template count once. Of equal chains the first, then the shortest.
     """
+    best: list[tuple[int, int]] = []  # covered words, minus the first word of the chain
+    for i, (s, e, ts, te) in enumerate(segments):
+        value = (te - ts, s)
+        for j in range(i - 1, -1, -1):
+            ps, pe, pts, pte = segments[j]
+            if s - pe > gap:
+                break  # so are all before it
+            if ps < s and pe < e and pts < ts and pte < te and ts - pte <= gap:
+                covered = best[j][0] + te - max(ts, pte)
+                if (covered, best[j][1]) > value:
+                    value = (covered, best[j][1])
+        best.append(value)
+    top = max(range(len(segments)), key=lambda i: (best[i][0], -segments[i][1], best[i][1]))
+    return best[top][0], best[top][1], segments[top][1]
+
+
+def chains(segments: list[tuple], gap: int, least: float) -> tuple[int, list[tuple[int, int, int]]]:
+    """Covered words of the best chain, and all chains that cover ``least`` words and overlap no better one.
+
+    The best chain of all is taken, then the best ones of what lies before and behind it.
+    """
+    out, most = [], 0
+    waiting = [segments]
+    while waiting:
+        part = waiting.pop()
+        if not part:
+            continue
+        covered, start, end = _best_chain(part, gap)
+        most = max(most, covered)
+        if covered >= least:
+            out.append((covered, start, end))
+            waiting += [[x for x in part if x[1] <= start], [x for x in part if x[0] >= end]]
+    return most, sorted(out, key=lambda x: x[1])
+
+
+def segments_by_template(index: Index, found: list[tuple[int, int, int]]) -> dict[int, list[tuple]]:
+    """Matches at all their places in each template, as (start, end, template start, template end)."""
     by = defaultdict(list)
     for start, end, state in found:
-        for k, last in index.automaton.ends[state].items():
-            by[k].append((start, end, last + 1 - (end - start), last + 1))
-    out = []
-    for k, segments in by.items():
-        best: list[tuple[int, int]] = []  # covered words, first word of the chain
-        for i, (s, e, ts, te) in enumerate(segments):
-            value = (te - ts, s)
-            for j in range(i - 1, max(-1, i - 64), -1):
-                ps, pe, pts, pte = segments[j]
-                if s - pe > gap:
-                    break
-                if ps < s and pte < te and pts < ts and ts - pte <= gap:
-                    new = te - max(ts, pte)
-                    if best[j][0] + new > value[0]:
-                        value = (best[j][0] + new, best[j][1])
-            best.append(value)
-        top = max(range(len(segments)), key=lambda i: best[i][0])
-        out.append((k, best[top][1], segments[top][1], best[top][0]))
-    return out
+        for k, places in index.automaton.ends[state].items():
+            by[k] += [(start, end, last + 1 - (end - start), last + 1) for last in places]
+    return by
 
 
 def scan_licences(docs: DataFrame, templates: dict | None = None, phrases: dict | None = None,
@@ -228,12 +255,12 @@ def _scan_piece(index: Index, piece: pa.RecordBatch, min_words: int, gap: int,
             for s, e, state in index.automaton.matches(number[a:b].tolist(), min_words):
                 found[r].append((base + s, base + e, state))
     for r, matches in found.items():
-        for k, s, e, covered in chain(index, matches, gap):
-            coverage = covered / index.sizes[k]
-            score[r] = max(score[r], coverage)
-            if coverage >= min_coverage:
-                spans[r].append({"template": index.names[k], "label": index.labels[k], "start": s,
-                                 "end": e, "covered": covered, "coverage": coverage})
+        for k, segments in segments_by_template(index, matches).items():
+            size = index.sizes[k]
+            most, done = chains(segments, gap, min_coverage * size)
+            score[r] = max(score[r], most / size)
+            spans[r] += [{"template": index.names[k], "label": index.labels[k], "start": s,
+                          "end": e, "covered": covered, "coverage": covered / size} for covered, s, e in done]
     return pa.RecordBatch.from_arrays(
         [piece.column(0), pa.array(n_words), pa.array(places, type=_PLACES),
          pa.array(spans, type=_CHAINS), pa.array(np.minimum(score, 1.0))],

@@ -5,13 +5,14 @@ Runs of base64-like characters whose characters-per-token ratio under a byte
 BPE vocabulary is low are reported as ``random``, after known digests (hex of
 usual digest lengths) and identifiers (words joined by ``_ - . /``, UUIDs,
 numbers, hosts, paths) are excluded. What base spans leave of a run is tested as
-a whole, then by its parts between ``/ = .``, so that words joined to a random
-string don't hide it. Words of one case are identifiers only where the
+a whole, then by its parts between ``/ = .``, then by theirs between ``_ -``, so
+that words joined to a random string don't hide it. Strings and parts of fewer
+than ``min_run`` characters are not tested. Words of one case are identifiers only where the
 vocabulary shortens them.
 
 Defined cases: a null text is empty; an empty text has no spans; a null id is
-returned as it is; repeated rows are scanned each. Texts are scanned whole.
-Offsets are code points, ends exclusive.
+returned as it is; repeated rows are scanned each; an empty table gives an empty
+result. Texts are scanned whole. Other columns are ignored, whatever their names. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ _UUID = re.compile(rb"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 #: Words (one case, or a capital first) and numbers joined by separators.
 _NAMES = re.compile(rb"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[._/=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*\Z")
 _ONE_CASE = re.compile(rb"[a-z]{16,}|[A-Z]{16,}")
-_PART = re.compile(rb"[^/=.]+")
+_PART, _SMALL_PART = re.compile(rb"[^/=.]+"), re.compile(rb"[^/=._-]+")
 _CAMEL = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z]))+[0-9]{0,4}\Z")
 
 
@@ -99,8 +100,11 @@ def _spans(text: bytes, hexes: list, opaque: list, ratio: float, encoding) -> li
             if whole:
                 found.append(whole)
             else:
-                parts = (random(a + m.start(), a + m.end()) for m in _PART.finditer(text[a:b]))
-                found += [x for x in parts if x]
+                for m in _PART.finditer(text[a:b]):
+                    part = random(a + m.start(), a + m.end())
+                    small = [part] if part else [random(a + m.start() + x.start(), a + m.start() + x.end())
+                                                 for x in _SMALL_PART.finditer(m[0])]
+                    found += [x for x in small if x]
     return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
 

@@ -1,6 +1,7 @@
 """Secret and licence scans against plain code."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -68,7 +69,15 @@ def test_random_strings_joined_to_words_and_base_spans(spark):
         found = [(a, b) for kind, a, b in got[k] if kind == "random"]
         at = text.index(secret)
         assert any(a <= at and at + len(secret) <= b for a, b in found), text
-    clean = ["src/config/settings/production/internationalization.py", "https://www.example.com/services/documentation/index.html"]
+    r, alphabet = random.Random(8), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for before in ("customer_account_identifier_", "user-session-key-for-backend-", "//hooks.example.com/services/", ""):
+        for n in (20, 24, 32, 40):
+            keys = ["".join(r.choices(alphabet, k=n)) for _ in range(100)]
+            got_ = spans(S.scan_secrets(frame(spark, [(k, before + key) for k, key in enumerate(keys)]), VOCABULARY))
+            found = sum(any(kind == "random" and b - a >= n for kind, a, b in got_[k]) for k in range(100))
+            assert found >= 90, (before, n, found)
+    clean = ["some-long-identifier_of-many.parts/and_more-words", "client_side_internationalization_of_measurements",
+             "src/config/settings/production/internationalization.py", "https://www.example.com/services/documentation/index.html"]
     got = spans(S.scan_secrets(frame(spark, list(enumerate(clean))), VOCABULARY))
     assert not any(got.values())
 
@@ -123,5 +132,61 @@ def test_automaton_matches_are_longest():
         got = [(s, e) for s, e, _ in automaton.matches(words, 3)]
         assert got == want
         for s, e, state in automaton.matches(words, 3):
-            for k, at in automaton.ends[state].items():
-                assert texts[k][at + 1 - (e - s):at + 1] == words[s:e]
+            n = e - s
+            places = {k: [at + n - 1 for at in range(41 - n) if t[at:at + n] == words[s:e]] for k, t in enumerate(texts)}
+            assert automaton.ends[state] == {k: v for k, v in places.items() if v}
+
+
+def _all_chains(segments, gap):
+    """(covered, start, end) of every chain there is."""
+    out, waiting = [], [([x], x[3] - x[2]) for x in segments]
+    while waiting:
+        so_far, covered = waiting.pop()
+        ps, pe, pts, pte = so_far[-1]
+        out.append((covered, so_far[0][0], pe))
+        for s, e, ts, te in segments:
+            if ps < s and pe < e and pts < ts and pte < te and s - pe <= gap and ts - pte <= gap:
+                waiting.append((so_far + [(s, e, ts, te)], covered + te - max(ts, pte)))
+    return out
+
+
+def test_chains_equal_brute_force():
+    import random
+    r = random.Random(11)
+    for turn in range(120):
+        template = [r.randrange(3) for _ in range(14)]
+        index = C.Index({"t": ("t", " ".join("abc"[w] for w in template))}, {"a b": "x"})
+        words = [r.randrange(4) for _ in range(26)]
+        automaton = C.SuffixAutomaton([template])
+        index.automaton = automaton
+        segments = sorted(C.segments_by_template(index, list(automaton.matches(words, 2))).get(0, []), key=lambda x: x[1])
+        if not segments:
+            continue
+        gap = r.randrange(0, 5)
+        every = _all_chains(segments, gap)
+        most, done = C.chains(segments, gap, 5)
+        assert most == max(c for c, _, _ in every)
+        # the best first, then all others that overlap none of those taken and lie beside them
+        want = []
+        rest = [segments]
+        while rest:
+            part = rest.pop()
+            if part:
+                best = max(_all_chains(part, gap), key=lambda x: (x[0], -x[2], x[1]))
+                if best[0] >= 5:
+                    want.append(best)
+                    rest += [[x for x in part if x[1] <= best[1]], [x for x in part if x[0] >= best[2]]]
+        assert done == sorted(want, key=lambda x: x[1])
+        assert all(a[2] <= b[1] for a, b in zip(done, done[1:]))
+
+
+def test_every_copy_of_a_licence_is_a_span(spark):
+    text = dict(C.TEMPLATES)["bsd"][1]
+    n = len(C.words_of(text))
+    filler = " ".join(f"filler{k}" for k in range(200))
+    rows = [(0, f"{text} {filler} {text}"), (1, f"{text} {text} {text}"), (2, "word " * 5000 + text)]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["label"] == "bsd" and s["coverage"] == 1.0]
+           for r in C.scan_licences(frame(spark, rows)).collect()}
+    assert got[0] == [(0, n), (n + 200, 2 * n + 200)]
+    assert got[1] == [(0, n), (n, 2 * n), (2 * n, 3 * n)]
+    assert got[2] == [(5000, 5000 + n)]
