@@ -3,15 +3,16 @@
 The lexicon (words and word stems that stand in toxic documents and hardly in
 others) and the weights of a small logistic regression are learned from a
 bounded sample of labelled rows (``max_sample`` of each label); everything else
-covers all documents and whole texts. Each word of a text is looked up as
-it is, by a stem, or in the trie of the lexicon's words through the automaton of
-all strings within one edit. A hit counts as abuse, or as quotation where its window holds quotation
+covers all documents and whole texts. Words and stems lie in tries: each word of a text is
+walked as it is, then through the automaton of all strings within one edit, which
+has to read a lexicon word to its end and a stem to any place in the word. A hit counts as abuse, or as quotation where its window holds quotation
 marks around it or a word of reported speech.
 
 Defined cases: a null or empty text scores as a text without hits; rows of
 ``labels`` with a null id or label are left out, of repeated ids the largest
 label counts; without labelled rows of both labels, or without any term that
-tells them apart, every score is 0.0; a null id is returned as it is; repeated rows are scored each.
+tells them apart, every score is 0.0; a null id is returned as it is; repeated rows are scored each; an
+empty table gives an empty result. Other columns are ignored, whatever their names, but for those kept.
 """
 
 from __future__ import annotations
@@ -40,20 +41,32 @@ QUOTES = "\"“”„«»‹›"
 
 
 class Trie:
-    """Lexicon terms by character; a node is [children, term or None]."""
+    """Lexicon terms by character; a node is [children, word or None, stem or None]."""
 
-    def __init__(self, terms: Iterable[str], step: int = 1):
+    def __init__(self, words: Iterable[str], stems: Iterable[str] = (), step: int = 1):
         """``step`` -1 stores the terms from their ends."""
-        self.root: list = [{}, None]
-        for term in terms:
-            node = self.root
-            for c in term[::step]:
-                node = node[0].setdefault(c, [{}, None])
-            node[1] = term
-
-    def within(self, word: str, exact: int, edits: int = 1) -> str | None:
+        self.root: list = [{}, None, None]
+        for place, terms in ((1, words), (2, stems)):
+            for term in terms:
+                node = self.root
+                for c in term[::step]:
+                    node = node[0].setdefault(c, [{}, None, None])
+                node[place] = term
+
+    def exact(self, word: str) -> tuple[str | None, str | None]:
+        """(the word itself if it is a term, the shortest stem that it begins with)."""
+        node, stem = self.root, None
+        for c in word:
+            node = node[0].get(c)
+            if node is None:
+                return None, stem
+            stem = stem or node[2]
+        return node[1], stem
+
+    def within(self, word: str, exact: int, edits: int = 1, place: int = 1) -> str | None:
         """A term that begins with the first ``exact`` characters of ``word`` and is at most
-        ``edits`` insertions, deletions or substitutions from it.
+        ``edits`` insertions, deletions or substitutions from it; with ``place`` 2 a stem
+        that is so near to a beginning of ``word``.
 
         Trie and automaton are walked together: the automaton's state is the
         set of (characters of ``word`` read, edits used) with the fewest edits
@@ -68,8 +81,11 @@ class Trie:
         stack = [(node, [(i, i - exact) for i in range(exact, min(exact + edits, n) + 1)])]
         while stack:
             node, state = stack.pop()
-            if node[1] is not None and state[-1][0] == n and state[-1][1] < best:
-                best, term = state[-1][1], node[1]
+            if node[place] is not None:
+                # a word must be read to its end, a stem may be followed by anything
+                cost = min((e for i, e in state if place == 2 or i == n), default=best)
+                if cost < best:
+                    best, term = cost, node[place]
             for c, child in node[0].items():
                 after: dict[int, int] = {}
                 for i, e in state:  # by rising i
@@ -89,30 +105,38 @@ class Trie:
 
 @dataclass
 class Lexicon:
-    """Weights of whole words and of stems (beginnings of words); ``spelled``: words also met misspelled."""
+    """Weights of whole words and of stems (beginnings of words).
+
+    ``spelled`` are the words that are also met misspelled; so are stems of
+    ``fuzzy_stem`` letters or more.
+    """
 
     words: dict[str, float]
     stems: dict[str, float]
     spelled: list[str] = field(default_factory=list)
     window: int = 6
+    fuzzy_stem: int = 5
     cache_size: int = 200_000
     cache: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         fuzzy = [w for w in self.spelled if len(w) >= 5]
-        self.forward, self.backward = Trie(fuzzy), Trie(fuzzy, -1)
+        stems = [x for x in self.stems if len(x) >= self.fuzzy_stem]
+        self.all = Trie(self.words, self.stems)
+        self.forward, self.backward = Trie(fuzzy, stems), Trie(fuzzy, step=-1)
         # one edit leaves a term's first or its last half as it is
         self.halves = {(len(w), w[:len(w) // 2]) for w in fuzzy} | {
             (-len(w), w[len(w) // 2:]) for w in fuzzy}
-        self.stem_lengths = sorted({len(s) for s in self.stems})
+        self.stem_sizes = sorted({len(x) for x in stems})
+        self.stem_halves = {(len(x), x[:len(x) // 2]) for x in stems} | {(-len(x), x[len(x) // 2:]) for x in stems}
 
     def lookup(self, word: str) -> tuple[str, float, bool] | None:
         """(term, weight, misspelled) of a lower-case word."""
-        if word in self.words:
-            return word, self.words[word], False
-        for k in self.stem_lengths:
-            if word[:k] in self.stems:
-                return word[:k], self.stems[word[:k]], False
+        whole, stem = self.all.exact(word)
+        if whole is not None:
+            return whole, self.words[whole], False
+        if stem is not None:
+            return stem, self.stems[stem], False
         n = len(word)
         for size in (n - 1, n, n + 1):
             half = size // 2
@@ -123,6 +147,18 @@ class Lexicon:
                 term = self.backward.within(word[::-1], size - half)
             if term is not None:
                 return term, self.words[term], True
+        for size in self.stem_sizes:
+            if n < size - 1:
+                break
+            half = size // 2
+            stem = None
+            if (size, word[:half]) in self.stem_halves:
+                stem = self.forward.within(word, half, place=2)
+            # the last half stands one place off where a letter is missing or too many
+            if stem is None and any((-size, word[half + d:size + d]) in self.stem_halves for d in (-1, 0, 1)):
+                stem = self.forward.within(word, 0, place=2)
+            if stem is not None:
+                return stem, self.stems[stem], True
         return None
 
     def hits(self, text: str) -> tuple[list, list]:
@@ -186,15 +222,16 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms: int = 2000,
+def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000,
           min_docs: int = 4, min_share: float = 0.005, min_ratio: float = 20.0) -> Model:
     """Fit a model on labelled documents.
 
     ``max_sample`` bounds the labelled rows of each label (those with the
-    smallest hash of their id), ``max_terms`` the words and the stems that reach the driver.
-    A term stands in ``min_docs`` toxic documents and ``min_share`` of them at
+    smallest hash of their id). All words and stems that qualify reach the driver: as each
+    stands in ``min_share`` of the toxic documents, they are 1 / ``min_share`` times the
+    different words of one document at most, however large the corpus. A term stands in ``min_docs`` toxic documents and ``min_share`` of them at
     least, and is ``min_ratio`` times as frequent there as in the others.
-    All words of five letters or more are also met misspelled, stems are not.
+    Words and stems of five letters or more are also met misspelled.
     """
     usable = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
@@ -217,8 +254,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_sample: int = 6000, max_terms:
     ratio = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
     ranked = counts.where((F.col("toxic") >= max(min_docs, min_share * n_toxic)) & (ratio >= min_ratio)).withColumn("ratio", ratio)
     words, stems = ({r["feature"]: (r["toxic"], r["ratio"]) for r in
-                     ranked.where(F.col("stem") == stem)
-                     .orderBy(F.desc("toxic"), F.desc("ratio"), "feature").limit(max_terms).collect()}
+                     ranked.where(F.col("stem") == stem).orderBy(F.desc("toxic"), F.desc("ratio"), "feature").collect()}
                     for stem in (False, True))
     lexicon = _lexicon(words, stems)
     if not lexicon.words and not lexicon.stems:

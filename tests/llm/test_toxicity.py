@@ -31,6 +31,35 @@ def test_automaton_equals_edit_distance():
             assert (lexicon.lookup(word) is not None) == (min(distance(word, t) for t in terms) <= 1)
 
 
+def test_lookups_equal_brute_force():
+    """Words and stems as they are, then both within one edit; a stem is near to any beginning of the word."""
+    r = random.Random(17)
+    make = lambda a, b: "".join(r.choice("abc") for _ in range(r.randint(a, b)))
+    for _ in range(60):
+        words, stems = {make(4, 8) for _ in range(6)}, {make(4, 6) for _ in range(4)}
+        lexicon = T.Lexicon(dict.fromkeys(words, 1.0), dict.fromkeys(stems, 2.0), sorted(words))
+        for _ in range(60):
+            word = list(r.choice([make(3, 10), r.choice(sorted(words)), r.choice(sorted(stems)) + make(0, 4)]))
+            for _ in range(r.randrange(2)):
+                k = r.randrange(len(word) + 1)
+                word[k:k + r.randrange(2)] = r.choice(["", "a", "d"])
+            word = "".join(word)
+            begun = [x for x in stems if word.startswith(x)]
+            near = [x for x in words if len(x) >= 5 and distance(word, x) <= 1]
+            near_stem = [x for x in stems if len(x) >= 5 and min(distance(word[:k], x) for k in range(len(word) + 1)) <= 1]
+            got = lexicon.lookup(word)
+            if word in words:
+                assert got == (word, 1.0, False)
+            elif begun:
+                assert got == (min(begun, key=len), 2.0, False)
+            elif near:
+                assert got[0] in near and got[1:] == (1.0, True)
+            elif near_stem:
+                assert got[0] in near_stem and got[1:] == (2.0, True)
+            else:
+                assert got is None
+
+
 @pytest.fixture(scope="module")
 def corpus():
     r = random.Random(5)
