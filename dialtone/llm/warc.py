@@ -17,7 +17,9 @@ lengths and keys are shuffled before the rewriting, and the compressed archives
 Defined cases: a null payload is empty; a null url or id is written as ``-``
 and read back as null; repeated rows are records of their own; an empty table
 gives no archives and an empty result; payloads may hold any bytes, header
-lines of either format among them.
+lines of either format among them; damaged headers, records and archives are left
+out of the conversion, which goes on behind them, and :func:`damaged` lists them.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,35 +61,87 @@ def arc_record(url: str, date: str, body: bytes, version: int, name: str = "-",
     return f"{' '.join(head)} {len(body)}\n".encode() + body + b"\n"
 
 
+#: Where a record header may begin: a line with a scheme, a date and a length.
+_HEADER = re.compile(rb"\n(?=[A-Za-z][A-Za-z0-9+.-]*:[^\n]* \d{8,14} [^\n]* \d+\r?\n)")
+
+
 def read_arc(data: bytes) -> Iterator[tuple[int, dict, bytes]]:
-    """(offset, header fields, body) of every record after the version block."""
+    """(offset, header fields, body) of every record after the version block.
+
+    A header with more fields than the file declares has spaces in its URL. What
+    can't be read is one item with the only field ``damage``, the reason, and the
+    bytes up to the next line that looks like a header, from which reading goes on. A
+    file without a version block has the fields of version 2 or 1 by their number.
+    """
     at, names = 0, None
     while at < len(data):
         if data[at] in b"\r\n":  # the line that separates records
             at += 1
             continue
         end = data.find(b"\n", at)
+        values = data[at:end].decode("utf-8", "surrogateescape").rstrip("\r").split(" ") if end >= 0 else []
+        start, fault = end + 1, None
         if end < 0:
-            raise ValueError(f"ARC header at byte {at} has no end")
-        values = data[at:end].decode("utf-8", "surrogateescape").rstrip("\r").split(" ")
-        length = int(values[-1])
-        start, stop = end + 1, end + 1 + length
-        if stop > len(data):
-            raise ValueError(f"ARC record at byte {at} declares {length} bytes beyond the archive")
-        body = data[start:stop]
-        if names is None:
-            if not values[0].startswith("filedesc:"):
-                raise ValueError("an ARC file starts with its version block")
-            lines = body.decode().split("\n")
-            version = lines[0].split(" ")[0]
-            if version not in ("1", "2"):
-                raise ValueError(f"ARC version {version} isn't known")
-            names = lines[1].split(" ")
+            fault = "a header without end"
+        elif not (values[-1].isascii() and values[-1].isdigit()):
+            fault = "a header without length"
+        elif start + int(values[-1]) > len(data):
+            fault = f"a record of {values[-1]} bytes, of which {len(data) - start} are left"
         else:
-            if len(values) != len(names):
-                raise ValueError(f"ARC header at byte {at} has {len(values)} fields; the file declares {len(names)}")
-            yield at, dict(zip(names, values)), body
-        at = stop
+            stop = start + int(values[-1])
+            if values[0].startswith("filedesc:"):
+                declared = (data[start:stop].decode("utf-8", "replace").split("\n") + [""])[1].split()
+                names = declared if declared[:1] == ["URL"] and declared[-1:] == ["Archive-length"] else None
+                at = stop
+                continue
+            own = names or (ARC_V2 if len(values) >= 10 else ARC_V1).split(" ")
+            more = len(values) - len(own)
+            if more >= 0:
+                yield at, dict(zip(own, [" ".join(values[:more + 1]), *values[more + 1:]])), data[start:stop]
+                at = stop
+                continue
+            fault = f"a header of {len(values)} fields, {len(own)} are declared"
+        found = _HEADER.search(data, at)
+        to = found.end() if found else len(data)
+        yield at, {"damage": fault}, data[at:to]
+        at = to
+
+
+def inflate(content: bytes) -> tuple[bytes, str | None]:
+    """(what the members of a gzip file hold, what is wrong with it)."""
+    out, rest = [], content
+    while rest:
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(rest))
+            out.append(member.flush())
+        except zlib.error as e:
+            return b"".join(out), f"the compression is damaged: {e}"
+        if not member.eof:
+            return b"".join(out), "the compressed file is cut short"
+        rest = member.unused_data
+    return b"".join(out), None
+
+
+def _records(content: bytes) -> Iterator[tuple[int, dict, bytes]]:
+    data, fault = inflate(content)
+    yield from read_arc(data)
+    if fault:
+        yield len(data), {"damage": fault}, b""
+
+
+def damaged(spark: SparkSession, arc_paths: list[str]) -> DataFrame:
+    """(path, at, n_bytes, damage): what :func:`convert` can't read of the ARC archives under ``arc_paths``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = [(path, at, len(body), f["damage"]) for at, f, body in _records(content.as_py()) if "damage" in f]
+                columns = list(zip(*rows)) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(
+                    columns, (pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["path", "at", "n_bytes", "damage"])
+
+    return read_archives(spark, *arc_paths).mapInArrow(run, "path string, at bigint, n_bytes bigint, damage string")
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int = 4 << 20,
@@ -210,7 +265,7 @@ def convert(spark: SparkSession, arc_paths: list[str], warc_path: str, revisit_b
 
 
 def _identity(path: str, at: int, fields: dict) -> str:
-    return record_id(path.rsplit("/", 1)[-1], str(at), fields["URL"], fields["Archive-date"])
+    return record_id(path.rsplit("/", 1)[-1], str(at), fields["URL"], fields.get("Archive-date", "-"))
 
 
 def _arc_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +274,12 @@ def _arc_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             rows = []
-            for at, fields, body in read_arc(gzip.decompress(content.as_py())):
+            for at, fields, body in _records(content.as_py()):
+                if "damage" in fields:
+                    continue
                 head, payload = split_http(body)
                 rows.append((path, at, http_header(head, b"X-Record-Key") or "-", _identity(path, at, fields),
-                             warc_date(fields["Archive-date"]), fields["URL"],
+                             warc_date(fields.get("Archive-date", "-")), fields["URL"],
                              hashlib.sha1(payload).digest(), len(payload)))
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=names)
@@ -238,15 +295,17 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = [warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, "warcinfo")),
                                   ("WARC-Date", "1970-01-01T00:00:00Z"),
                                   ("Content-Type", "application/warc-fields")], info)]
-            for at, fields, body in read_arc(gzip.decompress(content.as_py())):
+            for at, fields, body in _records(content.as_py()):
+                if "damage" in fields:
+                    continue
                 head, payload = split_http(body)
                 to = refers.get(at)
                 block = head if to else body
                 digest = hashlib.sha1(payload).hexdigest()
                 own = [("WARC-Type", "revisit" if to else "response"),
                        ("WARC-Record-ID", _identity(path, at, fields)),
-                       ("WARC-Date", warc_date(fields["Archive-date"])), ("WARC-Target-URI", fields["URL"]),
-                       ("WARC-IP-Address", fields["IP-address"]),
+                       ("WARC-Date", warc_date(fields.get("Archive-date", "-"))), ("WARC-Target-URI", fields["URL"]),
+                       ("WARC-IP-Address", fields.get("IP-address", "0.0.0.0")),
                        ("WARC-Payload-Digest", f"sha1:{digest}"),
                        ("WARC-Block-Digest", f"sha1:{hashlib.sha1(block).hexdigest()}"),
                        ("Content-Type", "application/http; msgtype=response")]

@@ -1,8 +1,6 @@
 import gzip
 import hashlib
 
-import pytest
-
 from dialtone.llm import warc as W
 from dialtone.llm.queries import QUERIES
 
@@ -15,8 +13,8 @@ def test_arc_lengths_not_separators():
         got = list(W.read_arc(data))
         assert [(f["URL"], body) for _, f, body in got] == [("http://b", trap), ("http://c", b"")]
         assert (got[0][1].get("Checksum") is not None) == (version == 2)
-    with pytest.raises(ValueError):
-        list(W.read_arc(data[:-10]))
+    # the last record is cut in its header: it is reported, the one before is read
+    assert [list(f)[0] for _, f, _ in W.read_arc(data[:-10])] == ["URL", "damage"]
     assert W.warc_date("20240102030405") == "2024-01-02T03:04:05Z" and W.warc_date("20240102") == "2024-01-02T00:00:00Z"
 
 
@@ -57,3 +55,29 @@ def test_archives_are_complete_files(spark, tmp_path):
     files = sorted((tmp_path / "arc").glob("*.gz"))
     assert len(files) > 3
     assert sum(len(list(W.read_arc(gzip.decompress(f.read_bytes())))) for f in files) == 50
+
+
+def test_damaged_archives_are_read_on(spark, tmp_path):
+    rec = lambda url, body, v=1: W.arc_record(url, "20240102030405", b"HTTP/1.1 200 OK\r\n\r\n" + body, v)
+    block = W.arc_version_block("x.arc", "20240101", 1)
+    spaced = b"http://a/b c d 0.0.0.0 20240102030405 text/html 4\nbody\n"
+    short = b"http://short 20240102030405 text/html 4\nbody\n"  # a field is missing
+    wrong = b"http://w 0.0.0.0 20240102030405 text/html 3\nlonger than three\n"
+    data = block + rec("http://1", b"one") + spaced + short + rec("http://2", b"two") + wrong + rec("http://3", b"three") + b"http://no length at all\n"
+    got = list(W.read_arc(data))
+    assert [f["URL"] for _, f, _ in got if "URL" in f] == ["http://1", "http://a/b c d", "http://2", "http://w", "http://3"]
+    assert [b for _, f, b in got if f.get("URL") == "http://a/b c d"] == [b"body"]
+    assert len([f for _, f, _ in got if "damage" in f]) == 3
+    assert [f["URL"] for _, f, _ in W.read_arc(rec("http://1", b"x") + rec("http://2", b"y", 2))] == ["http://1", "http://2"]
+    folder = tmp_path / "arc"
+    folder.mkdir()
+    whole = gzip.compress(data)
+    (folder / "a.arc.gz").write_bytes(whole)
+    (folder / "b.arc.gz").write_bytes(gzip.compress(block + rec("http://4", b"four" * 50_000))[:-300])  # cut short
+    (folder / "c.arc.gz").write_bytes(b"not gzip")
+    (folder / "d.arc.gz").write_bytes(gzip.compress(block) + gzip.compress(rec("http://5", b"five")))  # two members
+    W.convert(spark, [str(folder)], str(tmp_path / "warc"))
+    urls = sorted(r["url"] for r in W.read_warc_archives(spark, str(tmp_path / "warc")).collect())
+    assert urls == ["http://1", "http://2", "http://3", "http://5", "http://a/b c d", "http://w"]
+    reported = W.damaged(spark, [str(folder)]).groupBy("path").count().collect()
+    assert {r["path"].rsplit("/", 1)[1]: r["count"] for r in reported} == {"a.arc.gz": 3, "b.arc.gz": 2, "c.arc.gz": 1}
