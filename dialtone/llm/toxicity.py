@@ -127,12 +127,15 @@ class Lexicon:
         # one edit leaves a term's first or its last half as it is
         self.halves = {(len(w), w[:len(w) // 2]) for w in fuzzy} | {
             (-len(w), w[len(w) // 2:]) for w in fuzzy}
-        self.stem_sizes = sorted({len(x) for x in stems})
-        self.stem_halves = {(len(x), x[:len(x) // 2]) for x in stems} | {(-len(x), x[len(x) // 2:]) for x in stems}
+        self.stem_parts = [(n, n // 2, {x[:n // 2] for x in stems if len(x) == n}, {x[n // 2:] for x in stems if len(x) == n})
+                           for n in sorted({len(x) for x in stems})]
+        # no term begins otherwise
+        self.begun = min([3, *map(len, self.stems)])
+        self.starts = {x[:self.begun] for x in (*self.words, *self.stems)}
 
     def lookup(self, word: str) -> tuple[str, float, bool] | None:
         """(term, weight, misspelled) of a lower-case word."""
-        whole, stem = self.all.exact(word)
+        whole, stem = self.all.exact(word) if word[:self.begun] in self.starts else (None, None)
         if whole is not None:
             return whole, self.words[whole], False
         if stem is not None:
@@ -147,15 +150,12 @@ class Lexicon:
                 term = self.backward.within(word[::-1], size - half)
             if term is not None:
                 return term, self.words[term], True
-        for size in self.stem_sizes:
+        for size, half, first, last in self.stem_parts:
             if n < size - 1:
                 break
-            half = size // 2
-            stem = None
-            if (size, word[:half]) in self.stem_halves:
-                stem = self.forward.within(word, half, place=2)
+            stem = self.forward.within(word, half, place=2) if word[:half] in first else None
             # the last half stands one place off where a letter is missing or too many
-            if stem is None and any((-size, word[half + d:size + d]) in self.stem_halves for d in (-1, 0, 1)):
+            if stem is None and (word[half:size] in last or word[half - 1:size - 1] in last or word[half + 1:size + 1] in last):
                 stem = self.forward.within(word, 0, place=2)
             if stem is not None:
                 return stem, self.stems[stem], True
