@@ -90,7 +90,9 @@ def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     """
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"), F.col("x").alias("xa"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"), F.col("x").alias("xb"))
-    return pairs.join(left, "a").join(right, "b").where(_enough(percent) & _similar(k, percent)).select("a", "b")
+    shared = F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k)))
+    return pairs.join(left, "a").join(right, "b").where(
+        _enough(percent) & (shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb")))).select("a", "b")
 
 
 def _enough(percent: int) -> Column:
@@ -98,12 +100,6 @@ def _enough(percent: int) -> Column:
     return 100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb")
 
 
-def _similar(k: int, percent: int) -> Column:
-    """Whether the lines ``la``, ``lb`` have the wanted similarity."""
-    return _once(F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k))),
-                 lambda n: 100 * n >= percent * (F.col("xa") + F.col("xb") - n))
-
-
 def _bits(shingles: Column, word: int) -> Column:
     """A quarter of the 256 bits that the shingles' hashes set."""
     return F.aggregate(shingles, F.lit(0).cast("long"), lambda bits, s: F.when(
@@ -144,15 +140,23 @@ def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: i
                            F.col("line").alias(f"l{end}"), F.col("m").alias(f"m{end}"), F.col("x").alias(f"x{end}"),
                            *[F.col(f"bits{w}").alias(f"{end}{w}") for w in range(4)])
 
+    def dealt(rows: DataFrame, end: str) -> DataFrame:
+        # the texts are shuffled and sorted, the shingles cut after that and once for each row
+        keys = ["band", "bucket", "i", "j"]
+        return rows.repartition(*keys).sortWithinPartitions(*keys).withColumn(
+            f"all{end}", _shingles(F.col(f"l{end}"), F.col(f"m{end}"), k)).drop(f"l{end}", f"m{end}")
+
     left = side("a", "i", "j", F.sequence(F.col("own"), F.col("tiles") - 1))
     right = side("b", "j", "i", F.sequence(F.lit(0), F.col("own")))
     unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(4)), F.lit(0))
     near = unlike * (100 + percent) <= (F.col("xa") + F.col("xb")) * (100 - percent)
-    left, right = left.alias("l"), right.alias("r")
+    shared = F.size(F.array_intersect("alla", "allb"))
+    similar = shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb"))
+    left, right = dealt(left, "a").alias("l"), dealt(right, "b").alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "bucket", "i", "j")]
     once = (F.col("l.i") < F.col("l.j")) | (F.col("a") < F.col("b"))
     return (left.hint("merge").join(right, same[0] & same[1] & same[2] & same[3] & (F.col("ca") != F.col("cb")) & once
-                                    & _enough(percent) & near & _similar(k, percent))
+                                    & _enough(percent) & near & similar)
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
