@@ -293,9 +293,13 @@ WHERE reason = 'Register' AND resource_id IS NOT NULL AND created_at < {q.ts(P.M
 QUALIFY row_number() OVER (PARTITION BY resource_id ORDER BY created_at DESC) = 1"""
 
 
-@op("last_login_before", _LAST_LOGIN_SQL)
+@op("last_login_before", q.ctes("status") + f"""
+SELECT DISTINCT s.resource_id,
+  (SELECT created_at FROM status x WHERE x.reason = 'Register' AND x.created_at < {q.ts(P.MID_FROM_TS)}
+     AND x.resource_id = s.resource_id ORDER BY created_at DESC LIMIT 1) AS last_at
+FROM status s WHERE s.reason = 'Register' AND s.created_at < {q.ts(P.MID_FROM_TS)}""")
 def _last_login(spark, t):
-    return ss.last_before(t.status, "Register", P.MID_FROM_TS)
+    return ss.last_before(t.status, "Register", P.MID_FROM_TS, keep_null=True)
 
 
 @op("last_login_from_boundary", _LAST_LOGIN_SQL)

@@ -42,19 +42,23 @@ def first_last_per_day(status: DataFrame, keys: list[str], first: dt.date, last:
 
 
 def last_before(status: DataFrame, reason: str, before, by: str = "resource_id",
-                extra: Column | None = None, name: str = "last_at") -> DataFrame:
+                extra: Column | None = None, name: str = "last_at", keep_null: bool = False) -> DataFrame:
     """Latest ``reason`` event strictly before ``before``, per ``by``.
 
     The as-of lookup ``ORDER BY createdAt DESC LIMIT 1`` per agent, as a
     filtered ``max`` aggregate: partial maxima are combined map-side, so
     the shuffle carries at most one row per agent and partition. The lookup is
-    by equality, so a NULL ``by`` has no event. Without a snapshot
+    by equality, so a NULL ``by`` has no event: it has no row, or with ``keep_null``
+    a row in which ``name`` is NULL. Without a snapshot
     (``operators.snapshots``) the whole history before ``before`` is read.
     """
-    cond = (c("reason") == reason) & (c("created_at") < ts_literal(before)) & c(by).isNotNull()
+    cond = (c("reason") == reason) & (c("created_at") < ts_literal(before))
     if extra is not None:
         cond &= extra
-    return status.filter(cond).groupBy(by).agg(F.max("created_at").alias(name))
+    if not keep_null:
+        cond &= c(by).isNotNull()
+    found = status.filter(cond).groupBy(by).agg(F.max("created_at").alias(name))
+    return found.withColumn(name, F.when(c(by).isNotNull(), c(name))) if keep_null else found
 
 
 def micros_between(a: Column, b: Column) -> Column:

@@ -1,9 +1,11 @@
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from dialtone.catalog.op_queries import _last_login
 from dialtone.operators.sessions import last_before, lead_in_time, running_count, span_totals, spans
 from helpers import status, status_row
 
@@ -50,6 +52,13 @@ def test_last_before_has_no_row_for_a_null_agent(spark):
     assert [tuple(r) for r in last_before(ev, "Register", BASE + dt.timedelta(1)).collect()] == [(1, BASE)]
 
 
+def test_every_agent_that_logged_in_has_a_row_in_last_login_before(spark):
+    ev = status(spark, [status_row(None, BASE, "Register"), status_row(None, BASE, "Register"), status_row(1, BASE, "Register"),
+                        status_row(2, BASE, "UnRegister"), status_row(3, BASE + dt.timedelta(30), "Register")])
+    got = _last_login(spark, SimpleNamespace(status=ev)).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, BASE), (None, None)]
+
+
 def test_two_level_lead_equals_window_lead(spark):
     ev = _random_events(spark)
     w = Window.partitionBy("resource_id").orderBy("created_at", "reason")
