@@ -25,6 +25,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SCOPES: list[list[str]] = []
+#: Paths of the tables made by :func:`stored_by`, which the catalog knows.
+_TABLES: set[str] = set()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -46,7 +48,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_by(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """As :func:`stored`, in buckets by ``keys``: joins on all of them don't shuffle the table again.
+
+    ``df`` should be dealt by ``keys`` already, as an aggregation by them leaves it;
+    there are as many buckets as shuffle partitions, each in one file then.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.option("compression", "zstd").bucketBy(buckets, *keys)
+     .option("path", path).saveAsTable(_table_name(path)))
+    spark._jvm.System.gc()
+    out = spark.table(_table_name(path))
+    out.stored_at = path
+    _TABLES.add(path)
+    return out
+
+
+def _table_name(path: str) -> str:
+    return "corpus_" + path.rsplit("/", 1)[1].replace("-", "_")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
+    if path in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+        _TABLES.remove(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

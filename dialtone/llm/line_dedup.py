@@ -29,14 +29,16 @@ line numbers; an empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialtone.llm.common import connected_components, remove, scratch, stored
+from dialtone.llm.common import connected_components, remove, scratch, stored, stored_by
 
 SHINGLE = 6
 BANDS, ROWS = 6, 4
 TILE = 512
+#: So many shingles of a line are met in one row while it is signed.
+STRIDE = 4
 
 
 def _constant(k: int) -> int:
@@ -65,11 +67,16 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     one = lines.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.count("*").alias("n"), F.min("line").alias("line"))
     one = one.withColumn("m", _n_shingles(F.col("line"), k))
-    # UTF-32 gives every character four bytes, so that a shingle is cut out in constant time
+    # UTF-32 gives every character four bytes, so that a shingle is cut out in constant time; a row has
+    # STRIDE shingles, of which the last of a line may come again
     each = (one.withColumn("wide", F.encode("line", "UTF-32"))
-            .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-            .withColumn("s", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * k)))))
-    lowest = [F.min(F.col("s").bitwiseXOR(F.lit(_constant(j)))).alias(f"s{j}") for j in range(bands * rows)]
+            .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1, F.lit(STRIDE))))
+            .withColumns({f"w{r}": F.xxhash64(F.substring(
+                "wide", F.least(F.col("i") + r, F.col("m") - 1) * 4 + 1, F.lit(4 * k))) for r in range(STRIDE)}))
+    hashes = range(bands * rows)
+    each = each.select("h1", "h2", "doc", "n", "m", *[
+        F.least(*[F.col(f"w{r}").bitwiseXOR(F.lit(_constant(j))) for r in range(STRIDE)]).alias(f"s{j}") for j in hashes])
+    lowest = [F.min(f"s{j}").alias(f"s{j}") for j in hashes]
     # all columns of the lines are used on both sides, so their one shuffle serves both
     signed = each.groupBy("h1", "h2", "doc", "n", "m").agg(*lowest)
     keys = [F.xxhash64(F.lit(b), *[f"s{b * rows + r}" for r in range(rows)]) for b in range(bands)]
@@ -79,8 +86,9 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def _shingles(line: Column, m: Column, k: int) -> Column:
-    return _once(F.encode(line, "UTF-32"), lambda wide: F.array_distinct(F.transform(
-        F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * k))))))
+    """The hashes of all shingles in their order; equal ones come again."""
+    return _once(F.encode(line, "UTF-32"), lambda wide: F.transform(
+        F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * k)))))
 
 
 def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -91,7 +99,8 @@ def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"), F.col("x").alias("xa"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"), F.col("x").alias("xb"))
     shared = F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k)))
-    return pairs.join(left, "a").join(right, "b").where(
+    # sorted and merged at every size: the texts grow with the documents
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(
         _enough(percent) & (shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb")))).select("a", "b")
 
 
@@ -128,7 +137,7 @@ def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: i
     for a shingle that they don't share, so a pair with too many can't link.
     """
     known = stored(texts.join(here.select("line_id").distinct(), "line_id", "left_semi").withColumn(
-        "all", _shingles(F.col("line"), F.col("m"), k)).select(
+        "all", F.array_distinct(_shingles(F.col("line"), F.col("m"), k))).select(
         "line_id", "line", "m", "x", *[_bits(F.col("all"), w).alias(f"bits{w}") for w in range(4)]), "line-bits")
     rows = (here.withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64("line_id"), F.col("tiles")).cast("int"))
@@ -183,15 +192,19 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
                     rows: int = ROWS, rounds: int = 2, id_col: str = "doc_id",
                     text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one."""
-    lines = stored(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows)
-                   .withColumn("line_id", F.monotonically_increasing_id()), "lines")
-    placed = lines.select("line_id", F.posexplode("bands").alias("band", "bucket"))
-    several = placed.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    crowded = stored(placed.join(several.select("band", "bucket"), ["band", "bucket"]), "line-buckets")
+    # dealt and stored by their hashes: the texts of all lines are shuffled once
+    lines = stored_by(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows)
+                      .withColumn("line_id", F.monotonically_increasing_id()), "lines", "h1", "h2")
+    placed = lines.select("h1", "h2", F.posexplode("bands").alias("band", "bucket"))
+    shared = stored(placed.withColumn("size", F.count("*").over(Window.partitionBy("band", "bucket")))
+                    .where("size > 1").drop("size"), "line-shared")
     # the texts of the lines that share a bucket with another, the only ones that are compared
-    texts = stored(lines.select("line_id", "line", "m").join(
-        crowded.select("line_id").distinct(), "line_id", "left_semi")
-        .withColumn("x", F.size(_shingles(F.col("line"), F.col("m"), shingle))), "line-texts")
+    texts = stored(lines.select("h1", "h2", "line_id", "line", "m").join(
+        shared.select("h1", "h2").distinct().hint("merge"), ["h1", "h2"], "left_semi")
+        .withColumn("x", F.size(F.array_distinct(_shingles(F.col("line"), F.col("m"), shingle)))), "line-texts")
+    crowded = stored(shared.join(texts.select("h1", "h2", "line_id"), ["h1", "h2"])
+                     .select("line_id", "band", "bucket"), "line-buckets")
+    remove(shared)
 
     component = None
     for turn in range(rounds):
@@ -229,10 +242,10 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
         rest = stored(_split(crowded, component, min(rounds, 2)), "line-rest")
         links = stored(_tile_links(rest, texts, shingle, percent, tile), "line-links")
         component = keep(stored(_joined(component, links), "line-components"))
-    remove(texts)
     remove(crowded)
 
-    known = (lines.select("h1", "h2", "doc", "n", "line_id").join(component, "line_id", "left")
+    found = texts.select("h1", "h2", "line_id").join(component, "line_id").select("h1", "h2", "component")
+    known = (lines.select("h1", "h2", "doc", "n", "line_id").join(found, ["h1", "h2"], "left")
              .where("component is not null or n > 1")
              .withColumn("component", F.coalesce("component", "line_id")))
     keeper = known.groupBy("component").agg(F.min("doc").alias("keeper"))
@@ -257,7 +270,8 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with scratch(docs.sparkSession) as keep:
         gone = keep(stored(dropped_lines(docs, id_col, text_col, **options).select(
             F.col(id_col).alias("__lines_id"), F.col("dropped").alias("__lines_gone")), "lines-dropped"))
-    both = docs.join(gone, F.col(id_col) == F.col("__lines_id"), "left")
+    # sorted and merged at every size: the documents that lose lines grow with the documents
+    both = docs.join(gone.hint("merge"), F.col(id_col) == F.col("__lines_id"), "left")
     kept = F.filter(F.split(F.col(text_col), "\n", -1),
                     lambda x, i: ~F.array_contains("__lines_gone", i))
     text = F.when(F.col("__lines_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))

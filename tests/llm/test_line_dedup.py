@@ -1,7 +1,10 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from dialtone.llm import line_dedup as L
+from dialtone.llm.common import _table_name, scratch, stored, stored_by
 from dialtone.llm.queries import QUERIES
 
 BLANKS = " \t\n\v\f\r"
@@ -141,3 +144,44 @@ def test_intermediate_tables_go(spark, sf_dir):
     before = left()
     kept = L.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     assert {x.rsplit("-", 1)[0] for x in left() - before} == {"lines-dropped"} and kept.count() > 0
+
+
+def test_texts_of_all_lines_are_shuffled_once(spark, monkeypatch):
+    plans = {}
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(L, "stored", watched)
+    df = spark.createDataFrame([(i, f"a line that is met in many documents, number {i // 3} of them") for i in range(30)],
+                               "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = L.line_components(df).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == 10
+    exchanged = [x for x in plans["line-texts"].split("\n") if "Exchange" in x]
+    assert "Bucketed: true" in plans["line-texts"] and len(exchanged) == 1, plans["line-texts"]
+
+
+def test_tables_in_buckets_go_with_their_scope(spark):
+    with scratch(spark):
+        table = stored_by(spark.range(100).selectExpr("id", "id % 7 as k"), "bucketed", "k")
+        assert table.groupBy("k").count().count() == 7
+        name = _table_name(table.stored_at)
+        assert spark.catalog.tableExists(name)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_every_shingle_of_a_line_is_signed(spark):
+    lines = ["x" * n + "end" for n in range(1, 40)] + ["short", "s", "äöü€😀" * 5]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r["line"]: r["bands"] for r in L._signatures(L._lines(df, "doc_id", "text"), 6, 2, 2).collect()}
+    each = df.selectExpr("text", "explode(transform(sequence(1, greatest(1, char_length(text) - 5)), "
+                         "i -> xxhash64(encode(substring(text, i, 6), 'UTF-32')))) as s")
+    low = each.groupBy("text").agg(*[F.min(F.col("s").bitwiseXOR(F.lit(L._constant(j)))).alias(f"s{j}") for j in range(4)])
+    want = low.select("text", F.array(F.xxhash64(F.lit(0), "s0", "s1"), F.xxhash64(F.lit(1), "s2", "s3")).alias("bands"))
+    assert got == {r["text"]: r["bands"] for r in want.collect()}
