@@ -29,7 +29,7 @@ line numbers; an empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtone.llm.common import connected_components, remove, scratch, stored, stored_by
@@ -37,6 +37,8 @@ from dialtone.llm.common import connected_components, remove, scratch, stored, s
 SHINGLE = 6
 BANDS, ROWS = 6, 4
 TILE = 512
+#: So many words of 64 bits, a power of two, tell lines apart before their shingles are compared.
+WORDS = 8
 #: So many shingles of a line are met in one row while it is signed.
 STRIDE = 4
 
@@ -62,33 +64,51 @@ def _n_shingles(line: Column, k: int) -> Column:
     return F.greatest(F.lit(1), F.char_length(line) - (k - 1))
 
 
-def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """Distinct lines with their first document, number of occurrences and one hash for each band."""
+def _distinct(lines: DataFrame, k: int) -> DataFrame:
+    """Distinct lines with their first document, number of occurrences and number of shingles."""
     one = lines.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.count("*").alias("n"), F.min("line").alias("line"))
-    one = one.withColumn("m", _n_shingles(F.col("line"), k))
+    return one.withColumn("m", _n_shingles(F.col("line"), k))
+
+
+def _signed(one: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """(h1, h2, bands) of distinct lines: one hash for each band."""
     # UTF-32 gives every character four bytes, so that a shingle is cut out in constant time; a row has
     # STRIDE shingles, of which the last of a line may come again
-    each = (one.withColumn("wide", F.encode("line", "UTF-32"))
+    each = (one.select("h1", "h2", "m", F.encode("line", "UTF-32").alias("wide"))
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1, F.lit(STRIDE))))
             .withColumns({f"w{r}": F.xxhash64(F.substring(
                 "wide", F.least(F.col("i") + r, F.col("m") - 1) * 4 + 1, F.lit(4 * k))) for r in range(STRIDE)}))
     hashes = range(bands * rows)
-    each = each.select("h1", "h2", "doc", "n", "m", *[
+    each = each.select("h1", "h2", *[
         F.least(*[F.col(f"w{r}").bitwiseXOR(F.lit(_constant(j))) for r in range(STRIDE)]).alias(f"s{j}") for j in hashes])
-    lowest = [F.min(f"s{j}").alias(f"s{j}") for j in hashes]
-    # all columns of the lines are used on both sides, so their one shuffle serves both
-    signed = each.groupBy("h1", "h2", "doc", "n", "m").agg(*lowest)
+    signed = each.groupBy("h1", "h2").agg(*[F.min(f"s{j}").alias(f"s{j}") for j in hashes])
     keys = [F.xxhash64(F.lit(b), *[f"s{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    # every line stays, whatever its signature: equal lines are one by their number of occurrences alone
-    return one.join(signed.select("h1", "h2", F.array(*keys).alias("bands")).hint("merge"), ["h1", "h2"], "left").select(
-        "doc", "n", "m", "line", "h1", "h2", "bands")
+    return signed.select("h1", "h2", F.array(*keys).alias("bands"))
+
+
+def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """Distinct lines with one hash for each band."""
+    one = _distinct(lines, k)
+    return one.join(_signed(one, k, bands, rows), ["h1", "h2"], "left")
+
+
+def _shared(signed: DataFrame) -> DataFrame:
+    """(h1, h2, band, bucket) of lines in buckets that hold another line."""
+    # dealt once for both sides, which use all columns; taking the hashes out of the struct keeps the join
+    # from asking for another shuffle. The lines are distinct, so two of a bucket differ in a hash
+    placed = signed.select(F.struct("h1", "h2").alias("line"), F.posexplode("bands").alias("band", "bucket")).repartition(
+        "band", "bucket").select("line.h1", "line.h2", "band", "bucket")
+    several = placed.groupBy("band", "bucket").agg(*[
+        f(c).alias(f"{name}{c}") for c in ("h1", "h2") for name, f in (("low", F.min), ("high", F.max))]).where(
+        "lowh1 <> highh1 or lowh2 <> highh2")
+    return placed.join(several.select("band", "bucket").hint("shuffle_hash"), ["band", "bucket"], "left_semi")
 
 
 def _shingles(line: Column, m: Column, k: int) -> Column:
     """The hashes of all shingles in their order; equal ones come again."""
     return _once(F.encode(line, "UTF-32"), lambda wide: F.transform(
-        F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * k)))))
+        F.sequence(F.lit(1), m * 4 - 3, F.lit(4)), lambda at: F.xxhash64(F.substring(wide, at, F.lit(4 * k)))))
 
 
 def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -109,12 +129,15 @@ def _enough(percent: int) -> Column:
     return 100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb")
 
 
-def _bits(shingles: Column, word: int) -> Column:
-    """A quarter of the 256 bits that the shingles' hashes set."""
-    return F.aggregate(shingles, F.lit(0).cast("long"), lambda bits, s: F.when(
-        F.shiftright(s, 6).bitwiseAND(3) == word,
-        bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), s.bitwiseAND(63).cast("int"))))
-        .otherwise(bits))
+def _bits(texts: DataFrame, k: int) -> DataFrame:
+    """(line_id, bits0, ...): the 64 * WORDS bits that the hashes of a line's shingles set, each one of them."""
+    each = (texts.select("line_id", "m", F.encode("line", "UTF-32").alias("wide"))
+            .withColumn("at", F.explode(F.sequence(F.lit(1), F.col("m") * 4 - 3, F.lit(4))))
+            .select("line_id", F.xxhash64(F.substring("wide", F.col("at"), F.lit(4 * k))).alias("s"))
+            .select("line_id", F.shiftright("s", 6).bitwiseAND(WORDS - 1).alias("word"), F.call_function(
+                "shiftleft", F.lit(1).cast("long"), F.col("s").bitwiseAND(63).cast("int")).alias("bit")))
+    return each.groupBy("line_id").agg(*[F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"bits{w}")
+                                         for w in range(WORDS)])
 
 
 def _split(crowded: DataFrame, component: DataFrame, leaders: int) -> DataFrame:
@@ -136,18 +159,18 @@ def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: i
     the join, which returns links only. A bit that two lines don't share stands
     for a shingle that they don't share, so a pair with too many can't link.
     """
-    known = stored(texts.join(here.select("line_id").distinct(), "line_id", "left_semi").withColumn(
-        "all", F.array_distinct(_shingles(F.col("line"), F.col("m"), k))).select(
-        "line_id", "line", "m", "x", *[_bits(F.col("all"), w).alias(f"bits{w}") for w in range(4)]), "line-bits")
+    crowd = stored(texts.select("line_id", "line", "m", "x").join(
+        here.select("line_id").distinct().hint("merge"), "line_id", "left_semi"), "line-crowd")
+    known = crowd.join(stored(_bits(crowd, k), "line-bits").hint("merge"), "line_id")
     rows = (here.withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64("line_id"), F.col("tiles")).cast("int"))
-            .join(known, "line_id"))
+            .join(known.hint("merge"), "line_id"))
 
     def side(end: str, own: str, other: str, others: Column) -> DataFrame:
         return rows.select("band", "bucket", F.col("own").alias(own), F.explode(others).alias(other),
                            F.col("line_id").alias(end), F.col("component").alias(f"c{end}"),
                            F.col("line").alias(f"l{end}"), F.col("m").alias(f"m{end}"), F.col("x").alias(f"x{end}"),
-                           *[F.col(f"bits{w}").alias(f"{end}{w}") for w in range(4)])
+                           *[F.col(f"bits{w}").alias(f"{end}{w}") for w in range(WORDS)])
 
     def dealt(rows: DataFrame, end: str) -> DataFrame:
         # the texts are shuffled and sorted, the shingles cut after that and once for each row
@@ -157,7 +180,7 @@ def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: i
 
     left = side("a", "i", "j", F.sequence(F.col("own"), F.col("tiles") - 1))
     right = side("b", "j", "i", F.sequence(F.lit(0), F.col("own")))
-    unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(4)), F.lit(0))
+    unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(WORDS)), F.lit(0))
     near = unlike * (100 + percent) <= (F.col("xa") + F.col("xb")) * (100 - percent)
     shared = F.size(F.array_intersect("alla", "allb"))
     similar = shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb"))
@@ -193,11 +216,9 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
                     text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(h1, h2, component, keeper): lines that occur again or have near copies, and the document that keeps one."""
     # dealt and stored by their hashes: the texts of all lines are shuffled once
-    lines = stored_by(_signatures(_lines(docs, id_col, text_col), shingle, bands, rows)
+    lines = stored_by(_distinct(_lines(docs, id_col, text_col), shingle)
                       .withColumn("line_id", F.monotonically_increasing_id()), "lines", "h1", "h2")
-    placed = lines.select("h1", "h2", F.posexplode("bands").alias("band", "bucket"))
-    shared = stored(placed.withColumn("size", F.count("*").over(Window.partitionBy("band", "bucket")))
-                    .where("size > 1").drop("size"), "line-shared")
+    shared = stored(_shared(_signed(lines, shingle, bands, rows)), "line-shared")
     # the texts of the lines that share a bucket with another, the only ones that are compared
     texts = stored(lines.select("h1", "h2", "line_id", "line", "m").join(
         shared.select("h1", "h2").distinct().hint("merge"), ["h1", "h2"], "left_semi")
@@ -256,7 +277,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, dropped): the numbers, from 0 and rising, of the lines that go, of documents that lose any."""
     with scratch(docs.sparkSession) as keep:
         again = keep(stored(line_components(docs, id_col=id_col, text_col=text_col, **options), "line-decisions"))
-    seen = _lines(docs, id_col, text_col).select("doc", "at", "h1", "h2").join(again, ["h1", "h2"])
+    seen = _lines(docs, id_col, text_col).select("doc", "at", "h1", "h2").join(again.hint("merge"), ["h1", "h2"])
     per = (seen.groupBy("doc", "component", "keeper")
            .agg(F.sort_array(F.collect_set("at")).alias("places"))
            .withColumn("gone", F.when(F.col("doc") == F.col("keeper"), F.slice("places", F.lit(2), F.size("places")))
