@@ -38,7 +38,7 @@ SHINGLE = 6
 BANDS, ROWS = 6, 4
 TILE = 512
 #: So many words of 64 bits, a power of two, tell lines apart before their shingles are compared.
-WORDS = 8
+WORDS = 32
 #: So many shingles of a line are met in one row while it is signed.
 STRIDE = 4
 
@@ -100,10 +100,14 @@ def _jaccard_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     """
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("la"), F.col("m").alias("ma"), F.col("x").alias("xa"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb"), F.col("m").alias("mb"), F.col("x").alias("xb"))
-    shared = F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k)))
     # sorted and merged at every size: the texts grow with the documents
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(
-        _enough(percent) & (shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb")))).select("a", "b")
+        _enough(percent) & (_shared(k) * (100 + percent) >= percent * (F.col("xa") + F.col("xb")))).select("a", "b")
+
+
+def _shared(k: int) -> Column:
+    """The number of different shingles that the lines ``la`` and ``lb``, of ``ma`` and ``mb`` positions, share."""
+    return F.size(F.array_intersect(_shingles(F.col("la"), F.col("ma"), k), _shingles(F.col("lb"), F.col("mb"), k)))
 
 
 def _enough(percent: int) -> Column:
@@ -154,19 +158,13 @@ def _tile_links(here: DataFrame, texts: DataFrame, k: int, percent: int, tile: i
                            F.col("line").alias(f"l{end}"), F.col("m").alias(f"m{end}"), F.col("x").alias(f"x{end}"),
                            *[F.col(f"bits{w}").alias(f"{end}{w}") for w in range(WORDS)])
 
-    def dealt(rows: DataFrame, end: str) -> DataFrame:
-        # the texts are shuffled and sorted, the shingles cut after that and once for each row
-        keys = ["band", "bucket", "i", "j"]
-        return rows.repartition(*keys).sortWithinPartitions(*keys).withColumn(
-            f"all{end}", _shingles(F.col(f"l{end}"), F.col(f"m{end}"), k)).drop(f"l{end}", f"m{end}")
-
     left = side("a", "i", "j", F.sequence(F.col("own"), F.col("tiles") - 1))
     right = side("b", "j", "i", F.sequence(F.lit(0), F.col("own")))
     unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(WORDS)), F.lit(0))
     near = unlike * (100 + percent) <= (F.col("xa") + F.col("xb")) * (100 - percent)
-    shared = F.size(F.array_intersect("alla", "allb"))
-    similar = shared * (100 + percent) >= percent * (F.col("xa") + F.col("xb"))
-    left, right = dealt(left, "a").alias("l"), dealt(right, "b").alias("r")
+    # the shingles are cut only for pairs that the numbers and the bits allow
+    similar = _shared(k) * (100 + percent) >= percent * (F.col("xa") + F.col("xb"))
+    left, right = left.alias("l"), right.alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "bucket", "i", "j")]
     once = (F.col("l.i") < F.col("l.j")) | (F.col("a") < F.col("b"))
     return (left.hint("merge").join(right, same[0] & same[1] & same[2] & same[3] & (F.col("ca") != F.col("cb")) & once
@@ -205,7 +203,7 @@ def line_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
                     .where("size > 1").drop("size"), "line-shared")
     # the texts of the lines that share a bucket with another, the only ones that are compared
     texts = stored(lines.select("h1", "h2", "line_id", "line", "m").join(
-        shared.select("h1", "h2").distinct().hint("merge"), ["h1", "h2"], "left_semi")
+        shared.select("h1", "h2").distinct().hint("shuffle_hash"), ["h1", "h2"], "left_semi")
         .withColumn("x", F.size(F.array_distinct(_shingles(F.col("line"), F.col("m"), shingle)))), "line-texts")
     crowded = stored(shared.join(texts.select("h1", "h2", "line_id"), ["h1", "h2"])
                      .select("line_id", "band", "bucket"), "line-buckets")

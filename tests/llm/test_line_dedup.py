@@ -210,3 +210,17 @@ def test_bits_are_those_of_the_shingles(spark):
     for r in L._bits(df, 6).collect():
         bits = {64 * w + i for w in range(L.WORDS) for i in range(64) if r[f"bits{w}"] >> i & 1}
         assert bits == {64 * (h >> 6 & L.WORDS - 1) + (h & 63) for h in hashes[r["line_id"]]}
+
+
+def test_bits_tell_long_lines_apart(spark):
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = []
+    for i in range(40):  # 375 of 625 shingles in common, so no shingle of such a pair needs to be compared
+        base = text(380)
+        rows += [(2 * i, base + text(125)), (2 * i + 1, base + text(125))]
+    df = spark.createDataFrame(rows, "line_id long, line string").withColumn("m", L._n_shingles(F.col("line"), 6))
+    bits = {x["line_id"]: [x[f"bits{w}"] for w in range(L.WORDS)] for x in L._bits(df, 6).collect()}
+    for i in range(40):
+        unlike = sum(bin((a ^ b) % (1 << 64)).count("1") for a, b in zip(bits[2 * i], bits[2 * i + 1]))
+        assert unlike * 180 > 1000 * 20
